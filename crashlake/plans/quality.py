@@ -19,7 +19,7 @@ from crashlake.operators.joins import sized_broadcast
 class Check:
     name: str
     observed: Column  # aggregate expression, evaluated once over the table
-    rule: str  # "positive" (observed > 0) or "zero" (observed == 0)
+    rule: str  # "positive" (observed > 0), "zero" (observed == 0) or "report" (always passes)
 
 
 def non_empty_check() -> Check:
@@ -41,8 +41,8 @@ def pattern_check(column: str, regex: str, name: str | None = None) -> Check:
     return Check(name or f"{column}_pattern", F.count(F.when(~F.col(column).rlike(regex), 1)), "zero")
 
 
-def null_check(column: str, name: str | None = None) -> Check:
-    return Check(name or f"{column}_nulls", F.count(F.when(F.col(column).isNull(), 1)), "zero")
+def null_check(column: str, name: str | None = None, rule: str = "zero") -> Check:
+    return Check(name or f"{column}_nulls", F.count(F.when(F.col(column).isNull(), 1)), rule)
 
 
 def table_checks(df: DataFrame, table_name: str, checks: list[Check]) -> DataFrame:
@@ -51,7 +51,7 @@ def table_checks(df: DataFrame, table_name: str, checks: list[Check]) -> DataFra
     items = []
     for i, c in enumerate(checks):
         obs = F.col(f"c{i}")
-        passed = obs > 0 if c.rule == "positive" else obs == 0
+        passed = {"positive": obs > 0, "zero": obs == 0, "report": F.lit(True)}[c.rule]
         items.append(F.struct(F.lit(c.name).alias("check_name"), obs.alias("observed"), passed.alias("passed")))
     return row.select(F.inline(F.array(*items))).select(
         "check_name", F.lit(table_name).alias("table_name"), "observed", "passed"

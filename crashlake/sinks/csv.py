@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from crashlake.operators.keys import dense_index
+from crashlake.sinks.tables import observed
 from crashlake.sources.csv import CSV_DIALECT
 
 
@@ -55,6 +56,6 @@ def land_chunked_csv(
         .select(*[F.col(f"`{c}`") for c in keep], "chunk")
     )
     out.write.mode("overwrite").options(**CSV_DIALECT).option("sep", sep).partitionBy("chunk").csv(dest)
-    m = obs.get
+    m = observed(obs, lambda: chunked.agg(F.count(F.lit(1)).alias("rows"), F.max("chunk").alias("last")).head().asDict())
     rows = int(m["rows"])
     return {"rows": rows, "chunks": int(m["last"]) + 1 if rows else 0}

@@ -3,11 +3,29 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
+def observed(obs: Observation, fallback: Callable[[], dict]) -> dict:
+    """Metrics of an observation, or ``fallback()`` when the plan produced none.
+
+    When a stage turns out empty, adaptive execution may replace that part of
+    the plan with an empty relation, dropping the node that collects the
+    metrics; the caller then recounts from what was written (cheap: Parquet
+    counts come from file footers).
+    """
+    try:
+        m = obs.get
+        if m:
+            return dict(m)
+    except Exception:  # noqa: BLE001 - no metrics row was produced
+        pass
+    return fallback()
+
+
 def write_table(
     df: DataFrame,
     path: str,
@@ -25,12 +43,13 @@ def write_table(
     not from an extra pass.
     """
     obs = Observation(f"write_{uuid.uuid4().hex[:8]}")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer_df = observed.hint("rebalance", *partition_by) if partition_by else observed
+    tracked = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    writer_df = tracked.hint("rebalance", *partition_by) if partition_by else tracked
     writer = writer_df.write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic" if dynamic else "static"
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return int(obs.get["rows"])
+    spark = df.sparkSession
+    return int(observed(obs, lambda: {"rows": spark.read.schema(df.schema).parquet(path).count()})["rows"])

@@ -1,0 +1,105 @@
+import csv
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from pyspark.sql import SparkSession  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark():
+    s = (
+        SparkSession.builder.master("local[*]")
+        .appName("crashlake-tests")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.ui.enabled", "false")
+        .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.session.timeZone", "UTC")
+        .getOrCreate()
+    )
+    s.sparkContext.setLogLevel("ERROR")
+    yield s
+
+
+def write_csv_file(path, header, rows, sep=","):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", newline="") as f:
+        w = csv.writer(f, delimiter=sep)
+        w.writerow(header)
+        for r in rows:
+            w.writerow(["" if v is None else v for v in r])
+
+
+# Golden fixture (FIXTURES.md section 3).
+AIRPORTS = [
+    ("KDAY", "medium_airport", "Dayton Intl", "NA", "US", "US-OH", "Dayton"),
+    ("KCMH", "large_airport", 'Columbus "John Glenn", Intl', "NA", "US", "US-OH", "Columbus"),
+    ("KLAX", "large_airport", "Los Angeles Intl", "NA", "US", "US-CA", "Los Angeles"),
+    ("CYYZ", "large_airport", "Toronto", "NA", "CA", "CA-ON", "Toronto"),
+    ("PHNL", "large_airport", "Honolulu", "OC", "US", "US-HI", "Honolulu"),
+    ("KXXX", "small_airport", "No Region", "NA", "US", None, "Nowhere"),
+]
+CITIES = [
+    ("Dayton", "Ohio", "OH", "140599"),
+    ("Dayton", "Ohio", "OH", "140599"),
+    ("Los Angeles", "California", "CA", "3971896"),
+    ("Springfield", "Ohio", "OH", "59680"),
+    ("Springfield", "Illinois", "IL", "116565"),
+]
+ACCIDENT_HEADER = [
+    "ID", "Start_Time", "End_Time", "City", "State", "Timezone", "Airport_Code", "Severity", "Temperature(F)",
+    "Distance(mi)", "Wind_Speed(mph)", "Precipitation(in)", "Weather_Condition", "Weather_Timestamp", "Description",
+    "Country",
+]
+
+
+def _acc(id_, start, city, state, airport, severity, weather, description):
+    row = dict.fromkeys(ACCIDENT_HEADER)
+    row.update(
+        {"ID": id_, "Start_Time": start, "City": city, "State": state, "Airport_Code": airport,
+         "Severity": severity, "Weather_Condition": weather, "Description": description, "Country": "US",
+         "Distance(mi)": "0.5"}
+    )
+    return [row[c] for c in ACCIDENT_HEADER]
+
+
+ACCIDENTS = [
+    _acc("A-1", "2016-05-03 06:07:08", "Dayton", "OH", "KDAY", "3", "Rain", 'say "hi", now'),
+    _acc("A-2", "2016-05-31 23:59:59", "Dayton", "OH", "KDAY", "2", "Clear", "two\nlines"),
+    _acc("A-3", "2016-06-01 00:00:00", "Los Angeles", "CA", "KLAX", "2", None, "x"),
+    _acc("A-4", "2017-05-01 12:00:00", "Springfield", "IL", "KZZZ", "4", "Rain", "x"),
+    _acc("A-5", "2016-05-10 08:00:00", "Smallville", "KS", "KDAY", "1", "Fog", "x"),
+    _acc("A-6", "not a date", "Springfield", "OH", None, "2", "Clear", "x"),
+]
+
+
+@pytest.fixture(scope="session")
+def golden_raw(tmp_path_factory):
+    """Raw zone of the golden fixture, written by Python's csv module as the source files would be.
+
+    The accident file has more columns than the pipeline consumes, in another order.
+    """
+    root = str(tmp_path_factory.mktemp("golden_raw"))
+    write_csv_file(
+        f"{root}/airport_data/airports_0.csv",
+        ["ident", "type", "name", "continent", "iso_country", "iso_region", "municipality", "elevation_ft"],
+        [a + ("100",) for a in AIRPORTS],
+    )
+    write_csv_file(
+        f"{root}/city_data/cities_0.csv", ["City", "State", "State Code", "Total Population"], CITIES, sep=";"
+    )
+    write_csv_file(f"{root}/accident_data/accidents_0.csv", ACCIDENT_HEADER, ACCIDENTS[:3])
+    write_csv_file(f"{root}/accident_data/accidents_1.csv", ACCIDENT_HEADER, ACCIDENTS[3:])
+    return root
+
+
+@pytest.fixture(scope="session")
+def golden_lake(spark, golden_raw, tmp_path_factory):
+    from crashlake.plans import jobs
+
+    lake = str(tmp_path_factory.mktemp("golden_lake"))
+    build = jobs.build_lake(spark, golden_raw, lake)
+    return lake, build

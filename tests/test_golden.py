@@ -1,0 +1,129 @@
+"""End-to-end build of the six-accident golden fixture (FIXTURES.md section 3)."""
+
+from pyspark.sql import functions as F
+
+from crashlake.plans import jobs, marts, quality
+from crashlake.sources import read_table
+
+
+def _rows(df, *cols):
+    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=lambda t: tuple((x is None, str(x)) for x in t))
+
+
+def test_airports(spark, golden_lake):
+    lake, build = golden_lake
+    a = read_table(spark, lake, "airports")
+    assert build.rows["airports"] == 4
+    assert _rows(a.groupBy("state").count(), "state", "count") == [("CA", 1), ("OH", 2), (None, 1)]
+    names = {r["airport_code"]: r["name"] for r in a.collect()}
+    assert names["KCMH"] == 'Columbus "John Glenn", Intl'
+    assert set(names) == {"KDAY", "KCMH", "KLAX", "KXXX"}
+
+
+def test_cities_dense_ids(spark, golden_lake):
+    lake, _ = golden_lake
+    c = read_table(spark, lake, "cities")
+    assert _rows(c, "city_id", "city_name", "state", "total_population") == [
+        (0, "Dayton", "OH", 140599),
+        (1, "Los Angeles", "CA", 3971896),
+        (2, "Springfield", "IL", 116565),
+        (3, "Springfield", "OH", 59680),
+    ]
+
+
+def test_weather_nulls_first(spark, golden_lake):
+    lake, _ = golden_lake
+    w = read_table(spark, lake, "weather_conditions")
+    assert sorted((r[0], r[1]) for r in w.collect()) == [(0, None), (1, "Clear"), (2, "Fog"), (3, "Rain")]
+
+
+def test_accidents(spark, golden_lake):
+    lake, build = golden_lake
+    acc = read_table(spark, lake, "accidents")
+    assert sorted(r[0] for r in acc.select("accident_id").collect()) == ["A-1", "A-2", "A-3", "A-4", "A-6"]
+    assert build.rows["raw_accidents"] == 6 and build.rows["accidents"] == 5 and build.rows["dropped_no_city"] == 1
+    per_month = _rows(acc.groupBy("year", "month").count(), "year", "month", "count")
+    assert per_month == [(2016, 5, 2), (2016, 6, 1), (2017, 5, 1), (None, None, 1)]
+    by_id = {r["accident_id"]: r for r in acc.collect()}
+    assert by_id["A-1"]["description"] == 'say "hi", now'
+    assert by_id["A-2"]["description"] == "two\nlines"
+    assert by_id["A-3"]["weather_condition_id"] is None
+    assert by_id["A-6"]["datetime"] is None and by_id["A-6"]["airport_code"] is None
+    assert by_id["A-1"]["severity"] == 3 and by_id["A-1"]["distance"] == 0.5
+    assert str(by_id["A-1"]["start_time"]) == "2016-05-03 06:07:08"
+    assert by_id["A-1"]["weather_condition_id"] == 3 and by_id["A-2"]["weather_condition_id"] == 1
+    assert by_id["A-4"]["city_id"] == 2 and by_id["A-6"]["city_id"] == 3
+
+
+def test_marts(spark, golden_lake):
+    lake, _ = golden_lake
+    t = jobs.lake_tables(spark, lake)
+    acc, cities = t["accidents"], t["cities"]
+    assert marts.count_in_month(acc, 2016, 5).head()["n"] == 2
+    assert _rows(marts.accidents_in_city(acc, cities, "Dayton", "OH"), "accident_id") == [("A-1",), ("A-2",)]
+    by_state = [tuple(r) for r in marts.accidents_by_state(acc, cities).collect()]
+    assert by_state == [("OH", 3), ("CA", 1), ("IL", 1)]  # count desc, then state
+    assert marts.city_total(acc, cities, "Dayton", "OH").head()["n"] == 2
+    assert _rows(marts.by_weather(acc, t["weather_conditions"]), "condition", "n") == [
+        ("Clear", 2), ("Rain", 2), (None, 1)
+    ]
+    assert _rows(marts.by_airport(acc), "airport_code", "n") == [("KDAY", 2), ("KLAX", 1), ("KZZZ", 1), (None, 1)]
+    assert _rows(marts.by_city(acc, cities), "city_name", "state", "n") == [
+        ("Dayton", "OH", 2), ("Los Angeles", "CA", 1), ("Springfield", "IL", 1), ("Springfield", "OH", 1)
+    ]
+    assert [r["accident_id"] for r in marts.preview(acc, 2).collect()] == ["A-1", "A-2"]
+
+
+def test_quality(spark, golden_raw, golden_lake):
+    lake, _ = golden_lake
+    t = jobs.lake_tables(spark, lake)
+    orphans = dict(
+        (r["fk"], r["orphans"])
+        for r in quality.fk_orphans(
+            t["accidents"],
+            [
+                ("airport", "airport_code", t["airports"], "airport_code"),
+                ("city", "city_id", t["cities"], "city_id"),
+                ("weather", "weather_condition_id", t["weather_conditions"], "weather_condition_id"),
+            ],
+        ).collect()
+    )
+    assert orphans == {"airport": 1, "city": 0, "weather": 0}
+    from crashlake.plans.transforms import typed_cities
+    from crashlake.sources import read_raw_dataset
+
+    dup = quality.duplicate_profile(typed_cities(read_raw_dataset(spark, golden_raw, "cities")), ["city_name", "state_name"], "total_population")
+    assert [(r["city_name"], r["state_name"], r["n"], r["variants"]) for r in dup.collect()] == [("Dayton", "Ohio", 2, 1)]
+    rep = {(r["check_name"], r["table_name"]): (r["observed"], r["passed"]) for r in jobs.check_lake(spark, lake).collect()}
+    assert rep[("non_empty", "accidents")] == (5, True)
+    assert rep[("severity_range", "accidents")] == (0, True)
+    assert rep[("pk_unique", "accidents")] == (0, True)
+    assert rep[("join_key_unique", "cities")] == (0, True)
+    assert rep[("fk_city", "accidents")] == (0, True)
+    assert rep[("fk_airport", "accidents")] == (1, True)  # unknown airports are reported, not failed
+    assert rep[("non_empty", "weather_conditions")] == (4, True)
+    assert all(p for _, p in rep.values())
+
+
+def test_missing_table_is_a_failed_check(spark, tmp_path):
+    rep = jobs.check_lake(spark, str(tmp_path / "nowhere"))
+    rows = {(r["check_name"], r["table_name"]): (r["observed"], r["passed"]) for r in rep.collect()}
+    assert rows[("non_empty", "accidents")] == (0, False)
+    assert rows[("non_empty", "cities")] == (0, False)
+
+
+def test_chunk_landing_of_fixture(spark, golden_raw, tmp_path):
+    from crashlake.sinks import land_chunked_csv
+    from crashlake.sources import read_csv, read_raw_dataset
+
+    raw = read_raw_dataset(spark, golden_raw, "accidents").withColumn("_order", F.col("ID"))
+    for n, sizes in ((4, [4, 2]), (3, [3, 3]), (6, [6])):
+        dest = str(tmp_path / f"chunks_{n}")
+        out = land_chunked_csv(raw, dest, n, ["_order"], drop=["_order"])
+        assert out == {"rows": 6, "chunks": len(sizes)}
+        back = read_csv(spark, dest, recursive=False)
+        got = sorted((r["chunk"], r["n"]) for r in back.groupBy("chunk").agg(F.count(F.lit(1)).alias("n")).collect())
+        assert [s for _, s in got] == sizes
+        ids = [(r["chunk"], r["ID"]) for r in back.collect()]
+        assert sorted(ids) == sorted((i // n, f"A-{i + 1}") for i in range(6))
+        assert back.filter(F.col("ID") == "A-2").head()["Description"] == "two\nlines"

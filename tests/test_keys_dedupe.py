@@ -1,0 +1,49 @@
+"""Dense keys and deterministic dedupe: pure functions of the input set."""
+
+import random
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from crashlake.operators import dense_index, distinct_values, keep_smallest
+
+
+def test_dense_index_matches_row_number(spark):
+    keys = [f"k{i:05d}" for i in range(5000)] + [None]
+    random.Random(7).shuffle(keys)
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+    expected = {r["k"]: r["i"] for r in df.select("k", (F.row_number().over(Window.orderBy(F.col("k").asc_nulls_first())) - 1).alias("i")).collect()}
+    for parts, shuffled in ((1, df), (5, df.repartition(5)), (13, df.repartition(13, "k"))):
+        got = {r["k"]: r["i"] for r in dense_index(shuffled, ["k"], "i", num_partitions=parts).collect()}
+        assert got == expected
+    assert sorted(expected.values()) == list(range(len(keys)))
+    assert expected[None] == 0
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.integers(min_value=-1000, max_value=1000), unique=True, max_size=60), st.integers(1, 6))
+def test_dense_index_is_a_permutation(spark, values, parts):
+    df = spark.createDataFrame([(v,) for v in values], "v int")
+    got = sorted((r["v"], r["i"]) for r in dense_index(df, ["v"], "i", num_partitions=parts).collect())
+    assert got == [(v, i) for i, v in enumerate(sorted(values))]
+
+
+def test_composite_key_order(spark):
+    rows = [("b", "x"), ("a", "z"), ("a", "y"), ("b", None)]
+    got = [tuple(r) for r in dense_index(spark.createDataFrame(rows, "c string, s string"), ["c", "s"], "i").orderBy("i").collect()]
+    assert got == [("a", "y", 0), ("a", "z", 1), ("b", None, 2), ("b", "x", 3)]
+
+
+def test_keep_smallest_is_deterministic(spark):
+    rows = [("Dayton", "Ohio", "OH", 5), ("Dayton", "Ohio", "OH", 3), ("Dayton", "Ohio", "OX", 1), ("LA", "CA", "CA", 9)]
+    df = spark.createDataFrame(rows, "c string, s string, code string, pop long")
+    for shuffled in (df, df.repartition(3), df.orderBy(F.desc("pop"))):
+        got = sorted(tuple(r) for r in keep_smallest(shuffled, ["c", "s"], ["code", "pop"]).collect())
+        assert got == [("Dayton", "Ohio", "OH", 3), ("LA", "CA", "CA", 9)]
+
+
+def test_distinct_keeps_one_null(spark):
+    df = spark.createDataFrame([("Rain",), (None,), (None,), ("Rain",)], "w string")
+    assert sorted(distinct_values(df, ["w"]).collect(), key=lambda r: (r[0] is not None, r[0] or "")) == [(None,), ("Rain",)]
