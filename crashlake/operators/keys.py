@@ -60,3 +60,34 @@ def dense_index(
         *[F.col(f"`{c}`") for c in df.columns],
         (F.col("_off") + F.col("_pos")).cast("bigint").alias(index_col),
     )
+
+
+def file_order_index(df: DataFrame, index_col: str = "_idx") -> DataFrame:
+    """Add ``index_col`` = position of the row in (file name, record order in the file).
+
+    For a frame that is a plain file scan. Needs no sort and no shuffle of the
+    rows: a file scan is deterministic, so ``monotonically_increasing_id``
+    gives the same value to a row whenever its task runs. Rows are grouped by
+    (file, scan partition) - a file read in several splits spans several
+    partitions, whose ids follow the byte order of the file - and the group
+    sizes, one row per group, become running offsets that are joined back.
+    """
+    from crashlake.operators.joins import dimension_join
+
+    tagged = df.withColumn("_file", F.input_file_name()).withColumn("_mid", F.monotonically_increasing_id())
+    tagged = tagged.withColumn("_pid", F.shiftright("_mid", 33))
+    groups = tagged.groupBy("_file", "_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
+    before = Window.orderBy("_file", "_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = groups.select(
+        F.col("_file").alias("_o_file"),
+        F.col("_pid").alias("_o_pid"),
+        "_first",
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
+    )
+    joined = dimension_join(
+        tagged, offsets, (F.col("_file") == F.col("_o_file")) & (F.col("_pid") == F.col("_o_pid")), "inner"
+    )
+    return joined.select(
+        *[F.col(f"`{c}`") for c in df.columns],
+        (F.col("_off") + F.col("_mid") - F.col("_first")).cast("bigint").alias(index_col),
+    )

@@ -25,7 +25,8 @@ from crashlake.schemas import (
 )
 from crashlake.sinks import land_chunked_csv, write_table
 from crashlake.sinks.tables import observed
-from crashlake.sources import file_inventory, read_raw_dataset, read_table
+from crashlake.plans import marts
+from crashlake.sources import file_inventory, read_csv, read_raw_dataset, read_table
 
 
 def land_raw(
@@ -58,6 +59,24 @@ def land_raw(
     return out
 
 
+def land_source(
+    spark: SparkSession,
+    dataset: str,
+    source: str,
+    raw_root: str,
+    records_per_file: int | None = None,
+) -> dict[str, int]:
+    """Land one source CSV file (or folder) into the raw zone in file order (K6, K8).
+
+    All source columns are kept. The source is parsed with the dataset's real
+    delimiter and the RFC-4180 dialect, in ``FAILFAST`` mode, so a malformed
+    record stops the load instead of truncating it silently.
+    """
+    n = records_per_file or DEFAULT_CHUNK_RECORDS[dataset]
+    df = read_csv(spark, source, sep=RAW_DELIMITERS[dataset])
+    return land_chunked_csv(df, join_path(raw_root, RAW_FOLDERS[dataset]), n, order_by=None, sep=RAW_DELIMITERS[dataset])
+
+
 def raw_file_count(spark: SparkSession, raw_root: str) -> DataFrame:
     """Number of landed CSV files (Q5): a file listing, contents are never read."""
     return file_inventory(spark, raw_root, "*.csv").agg(F.count(F.lit(1)).alias("files"))
@@ -105,6 +124,19 @@ def build_lake(
     return build
 
 
+def build_marts(spark: SparkSession, lake_root: str, marts_root: str) -> dict[str, int]:
+    """Pre-aggregated marts (A7-A9, V4) as flat Parquet tables, rebuilt after each lake load."""
+    t = lake_tables(spark, lake_root)
+    frames = {
+        "by_city": marts.by_city(t["accidents"], t["cities"]),
+        "by_airport": marts.by_airport(t["accidents"]),
+        "by_weather": marts.by_weather(t["accidents"], t["weather_conditions"]),
+        "by_state": marts.accidents_by_state(t["accidents"], t["cities"]),
+        "by_month": t["accidents"].groupBy("year", "month").agg(F.count(F.lit(1)).alias("n")),
+    }
+    return {name: write_table(df, join_path(marts_root, name)) for name, df in frames.items()}
+
+
 def lake_tables(spark: SparkSession, lake_root: str) -> dict[str, DataFrame]:
     return {t: read_table(spark, lake_root, t) for t in ("accidents", "cities", "airports", "weather_conditions")}
 
@@ -186,6 +218,14 @@ def main(argv: list[str] | None = None) -> None:
 
     ap = argparse.ArgumentParser(prog="crashlake")
     sub = ap.add_subparsers(dest="cmd", required=True)
+    ld = sub.add_parser("land", help="split a source CSV into record-bounded chunks in the raw zone")
+    ld.add_argument("dataset", choices=sorted(RAW_FOLDERS))
+    ld.add_argument("source")
+    ld.add_argument("raw_root")
+    ld.add_argument("--records", type=int, default=None)
+    m = sub.add_parser("marts", help="rebuild the Parquet marts from the lake")
+    m.add_argument("lake_root")
+    m.add_argument("marts_root")
     b = sub.add_parser("build", help="build the lake from a landed raw zone")
     b.add_argument("raw_root")
     b.add_argument("lake_root")
@@ -194,7 +234,11 @@ def main(argv: list[str] | None = None) -> None:
     c.add_argument("report_path")
     args = ap.parse_args(argv)
     spark = local_session() if SparkSession.getActiveSession() is None else SparkSession.getActiveSession()
-    if args.cmd == "build":
+    if args.cmd == "land":
+        print(land_source(spark, args.dataset, args.source, args.raw_root, args.records))
+    elif args.cmd == "marts":
+        print(build_marts(spark, args.lake_root, args.marts_root))
+    elif args.cmd == "build":
         print(build_lake(spark, args.raw_root, args.lake_root).rows)
     else:
         path = args.report_path

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from crashlake.operators.keys import dense_index
+from crashlake.operators.keys import dense_index, file_order_index
 from crashlake.sinks.tables import observed
 from crashlake.sources.csv import CSV_DIALECT
 
@@ -17,15 +17,19 @@ def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
     df.write.mode("overwrite").options(**CSV_DIALECT).option("sep", sep).csv(path)
 
 
-def chunk_assign(df: DataFrame, records_per_file: int, order_by: list[str], chunk_col: str = "chunk") -> DataFrame:
-    """Number rows 0..n-1 in ``order_by`` and put row i in chunk ``floor(i / records_per_file)``.
+def chunk_assign(
+    df: DataFrame, records_per_file: int, order_by: list[str] | None, chunk_col: str = "chunk"
+) -> DataFrame:
+    """Number rows 0..n-1 and put row i in chunk ``floor(i / records_per_file)``.
 
-    Adds ``chunk_col`` and ``_idx``. All chunks hold exactly ``records_per_file``
+    The order is ``order_by`` (a total order), or, when it is ``None``, the
+    source order of a file scan (file name, then record position). Adds
+    ``chunk_col`` and ``_idx``. All chunks hold exactly ``records_per_file``
     rows except the last, and no chunk is empty.
     """
     if records_per_file <= 0:
         raise ValueError("records_per_file must be > 0")
-    indexed = dense_index(df, order_by, "_idx")
+    indexed = file_order_index(df, "_idx") if order_by is None else dense_index(df, order_by, "_idx")
     return indexed.withColumn(chunk_col, F.floor(F.col("_idx") / F.lit(records_per_file)).cast("bigint"))
 
 
@@ -33,14 +37,14 @@ def land_chunked_csv(
     df: DataFrame,
     dest: str,
     records_per_file: int,
-    order_by: list[str],
+    order_by: list[str] | None,
     sep: str = ",",
     drop: list[str] | None = None,
 ) -> dict[str, int]:
     """Write ``df`` as header CSV chunks of at most ``records_per_file`` records.
 
     Chunk ``k`` is the single file under ``dest/chunk=k/``; record order inside
-    a chunk follows ``order_by``. Rows are hash-partitioned by chunk so each
+    a chunk follows ``order_by`` (``None``: the source file order). Rows are hash-partitioned by chunk so each
     chunk is written by exactly one task (one file) and every task writes
     whole chunks only, which bounds task size by ``records_per_file``.
     Columns in ``drop`` (e.g. a source-order column) are not written.
