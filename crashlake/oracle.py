@@ -162,6 +162,7 @@ QUERIES = {
         "select 'non_empty' as check_name, 'accidents' as table_name, count(*) as observed, count(*) > 0 as passed from accidents "
         "union all select 'severity_range', 'accidents', count(*), count(*) = 0 from accidents where severity not between 1 and 4"
     ),
+    "stream_refresh": "select year, month, count(*) as n from accidents group by year, month",
     "build_airports": "select airport_code, state, state_code, type, name, municipality from airports",
     "build_cities": "select city_id, city_name, state, state_code, total_population from cities",
     "build_weather": "select weather_condition_id, condition from weather_conditions",

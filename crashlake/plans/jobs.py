@@ -35,12 +35,14 @@ def land_raw(
     raw_root: str,
     chunk_records: dict[str, int] | None = None,
     order_col: str = "_order",
+    load: str | None = None,
 ) -> dict[str, dict[str, int]]:
     """Land each source dataset as chunked header CSV under ``raw_root/<folder>/`` (K6, K8).
 
     ``sources`` maps ``accidents``/``cities``/``airports`` to a frame holding all
     source columns plus ``order_col``, a unique source order that fixes which
-    records share a chunk; it is not written.
+    records share a chunk. Columns whose name starts with ``_`` are not written.
+    ``load`` lands into ``<folder>/load=<load>/`` next to earlier loads.
     """
     sizes = {**DEFAULT_CHUNK_RECORDS, **(chunk_records or {})}
     for name, n in sizes.items():
@@ -50,11 +52,11 @@ def land_raw(
     for name, df in sources.items():
         out[name] = land_chunked_csv(
             df,
-            join_path(raw_root, RAW_FOLDERS[name]),
+            join_path(raw_root, RAW_FOLDERS[name], *([f"load={load}"] if load else [])),
             sizes[name],
             order_by=[order_col],
             sep=RAW_DELIMITERS[name],
-            drop=[order_col],
+            drop=[c for c in df.columns if c.startswith("_")],
         )
     return out
 
@@ -65,16 +67,22 @@ def land_source(
     source: str,
     raw_root: str,
     records_per_file: int | None = None,
+    load: str | None = None,
 ) -> dict[str, int]:
     """Land one source CSV file (or folder) into the raw zone in file order (K6, K8).
 
+    With ``load`` (e.g. ``2024-05``) the chunks go to ``<folder>/load=<load>/``
+    and earlier loads stay in place, for incremental refreshes; without it the
+    dataset folder is replaced.
+
     All source columns are kept. The source is parsed with the dataset's real
     delimiter and the RFC-4180 dialect, in ``FAILFAST`` mode, so a malformed
     record stops the load instead of truncating it silently.
     """
     n = records_per_file or DEFAULT_CHUNK_RECORDS[dataset]
     df = read_csv(spark, source, sep=RAW_DELIMITERS[dataset])
-    return land_chunked_csv(df, join_path(raw_root, RAW_FOLDERS[dataset]), n, order_by=None, sep=RAW_DELIMITERS[dataset])
+    dest = join_path(raw_root, RAW_FOLDERS[dataset], *([f"load={load}"] if load else []))
+    return land_chunked_csv(df, dest, n, order_by=None, sep=RAW_DELIMITERS[dataset])
 
 
 def raw_file_count(spark: SparkSession, raw_root: str) -> DataFrame:

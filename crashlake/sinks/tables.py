@@ -31,6 +31,7 @@ def write_table(
     path: str,
     partition_by: list[str] | None = None,
     dynamic: bool = False,
+    mode: str = "overwrite",
 ) -> int:
     """Overwrite ``path`` with ``df`` as Parquet and return the number of rows written.
 
@@ -39,17 +40,20 @@ def write_table(
     splits a value that holds a large share of the rows into several tasks of
     the advisory size instead of one huge task. ``dynamic`` replaces only the
     partitions present in ``df`` (incremental loads); otherwise the whole table
-    is replaced. The row count comes from an observation on the write itself,
-    not from an extra pass.
+    is replaced; ``mode="append"`` adds files. The row count comes from an
+    observation on the write itself, not from an extra pass.
     """
     obs = Observation(f"write_{uuid.uuid4().hex[:8]}")
     tracked = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer_df = tracked.hint("rebalance", *partition_by) if partition_by else tracked
-    writer = writer_df.write.mode("overwrite").option(
+    writer = writer_df.write.mode(mode).option(
         "partitionOverwriteMode", "dynamic" if dynamic else "static"
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     spark = df.sparkSession
+    if mode == "append":
+        # an append cannot be recounted from the table; an absent metric means nothing was written
+        return int(observed(obs, lambda: {"rows": 0})["rows"])
     return int(observed(obs, lambda: {"rows": spark.read.schema(df.schema).parquet(path).count()})["rows"])

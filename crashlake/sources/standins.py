@@ -7,7 +7,9 @@ miss the dimension, duplicated city keys with conflicting populations, null
 weather conditions, unparseable start times, unknown airport codes and
 airports outside the kept region. Columns carry the raw header names and are
 strings, as the CSV reader would return them. Each frame also carries
-``_order``, a unique source order used when it is landed in chunks.
+``_order``, a unique source order used when it is landed in chunks, and the
+accidents carry ``_loaded_on``, the day a record arrives (for incremental
+loads); underscore columns are never written to the raw zone.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ class StandInParams:
     city_state: str = "NATION_2"
     year: int = 1997
     month: int = 5
+    initial_load_until: str = "1996-12-31"
     chunk_records: tuple[tuple[str, int], ...] = (("accidents", 4000), ("cities", 1000), ("airports", 10))
 
     def chunks(self) -> dict[str, int]:
@@ -78,6 +81,7 @@ def raw_accidents(spark: SparkSession, sf_dir: str, p: StandInParams = DEFAULT_P
         F.nullif(F.col("o_orderpriority"), F.lit(p.unknown_weather)).alias("Weather_Condition"),
         null.alias("Weather_Timestamp"),
         F.col("o_orderkey").alias("_order"),
+        F.col("o_orderdate").cast("date").alias("_loaded_on"),
     )
 
 

@@ -443,6 +443,27 @@ def q_dq_report(spark, sf_dir):
     )
 
 
+# ---------------------------------------------------------------- incremental refresh
+
+
+def q_stream_refresh(spark, sf_dir):
+    """Build the lake from the records that arrived up to a day, then stream the later
+    arrivals in (one chunk file per micro-batch); return facts per month."""
+    from crashlake.streaming import accident_refresh
+
+    p = DEFAULT_PARAMS
+    root = scratch_path(spark, "stream_refresh")
+    raw_root, lake_root = join_path(root, "raw"), join_path(root, "lake")
+    src = standins.raw_sources(spark, sf_dir, p)
+    acc = src["accidents"]
+    initial = F.col("_loaded_on") <= F.lit(p.initial_load_until).cast("date")
+    jobs.land_raw(spark, {**src, "accidents": acc.filter(initial)}, raw_root, p.chunks(), load="initial")
+    jobs.build_lake(spark, raw_root, lake_root, p.continent, p.country)
+    jobs.land_raw(spark, {"accidents": acc.filter(~initial)}, raw_root, p.chunks(), load="later")
+    accident_refresh(spark, raw_root, lake_root, join_path(root, "checkpoint"), max_files_per_trigger=1).awaitTermination()
+    return read_table(spark, lake_root, "accidents").groupBy("year", "month").agg(F.count(F.lit(1)).alias("n"))
+
+
 # ---------------------------------------------------------------- composite builds
 
 
