@@ -5,39 +5,56 @@ without moving the data into one task:
 
 1. range-partition on the order and sort inside each partition;
 2. tag rows with ``monotonically_increasing_id`` = (partition << 33) + position;
-3. checkpoint that frame to the shared checkpoint folder, so both passes below
-   see the very same ids even if executors are lost and tasks re-run;
+3. checkpoint that frame to the shared checkpoint folder, so every later pass
+   sees the very same ids even if executors are lost and tasks re-run;
 4. count rows per partition (one row per partition) and turn the counts into
    running offsets - the only unpartitioned window, over at most
-   ``num_partitions`` rows;
+   ``num_partitions`` rows - and checkpoint that small table too;
 5. broadcast the offsets (size bound: the partition count) and add them to the
    in-partition position.
 
 The order must be total (unique) for the result to be a pure function of the
 input; dimension keys are unique after dedupe.
+
+Both index functions can also return their *segments*: one row per run of
+consecutive positions held by one task (``_task``, ``_start``, ``_n``). The
+rows stay in those tasks, which lets a caller act on whole runs without a
+shuffle (see ``sinks.csv.land_chunked_csv``).
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _POS_MASK = (1 << 33) - 1
 
 
+@dataclass
+class Indexed:
+    frame: DataFrame  # input columns + the index column
+    segments: DataFrame  # _task, _start, _n: consecutive positions held by one task
+    in_place: bool  # rows of a segment are in partition ``_task`` of ``frame``
+
+
 def _asc(c: str | Column) -> Column:
     col = F.col(c) if isinstance(c, str) else c
     return col.asc_nulls_first()
 
 
-def dense_index(
+def _cols(df: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in df.columns]
+
+
+def dense_index_segments(
     df: DataFrame,
     order_by: list[str],
     index_col: str = "_idx",
     num_partitions: int | None = None,
-    checkpoint: bool = True,
-) -> DataFrame:
-    """Add ``index_col`` (bigint, 0..n-1) = position of the row in ``order_by`` ascending, nulls first."""
+) -> Indexed:
+    """``dense_index`` plus its segments (one per range partition)."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [_asc(c) for c in order_by]
@@ -45,21 +62,56 @@ def dense_index(
         df.repartitionByRange(n, *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_mid", F.monotonically_increasing_id())
+        .checkpoint(eager=True)
     )
-    if checkpoint:
-        tagged = tagged.checkpoint(eager=True)
     tagged = tagged.select(
-        *[F.col(f"`{c}`") for c in df.columns],
+        *_cols(df),
         F.shiftright("_mid", 33).alias("_pid"),
         F.col("_mid").bitwiseAND(F.lit(_POS_MASK)).alias("_pos"),
     )
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return tagged.join(F.broadcast(offsets), "_pid").select(
-        *[F.col(f"`{c}`") for c in df.columns],
-        (F.col("_off") + F.col("_pos")).cast("bigint").alias(index_col),
+    offsets = counts.select("_pid", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    offsets = offsets.checkpoint(eager=True)
+    frame = tagged.join(F.broadcast(offsets.select("_pid", "_off")), "_pid").select(
+        *_cols(df), (F.col("_off") + F.col("_pos")).cast("bigint").alias(index_col)
     )
+    segments = offsets.select(F.col("_pid").alias("_task"), F.col("_off").alias("_start"), "_n")
+    return Indexed(frame, segments, True)
+
+
+def dense_index(
+    df: DataFrame,
+    order_by: list[str],
+    index_col: str = "_idx",
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """Add ``index_col`` (bigint, 0..n-1) = position of the row in ``order_by`` ascending, nulls first."""
+    return dense_index_segments(df, order_by, index_col, num_partitions).frame
+
+
+def file_order_index_segments(df: DataFrame, index_col: str = "_idx") -> Indexed:
+    """``file_order_index`` plus its segments (one per file split)."""
+    from crashlake.operators.joins import sized_broadcast
+
+    tagged = df.withColumn("_file", F.input_file_name()).withColumn("_mid", F.monotonically_increasing_id())
+    tagged = tagged.withColumn("_pid", F.shiftright("_mid", 33))
+    groups = tagged.groupBy("_file", "_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
+    before = Window.orderBy("_file", "_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = groups.select(
+        "_file", "_pid", "_n", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")
+    ).checkpoint(eager=True)
+    # One row per (file, split): broadcast when that count is proven small, which
+    # also keeps every row in its scan partition.
+    side, small = sized_broadcast(
+        offsets.select(F.col("_file").alias("_o_file"), F.col("_pid").alias("_o_pid"), "_first", "_off")
+    )
+    joined = tagged.join(side, (F.col("_file") == F.col("_o_file")) & (F.col("_pid") == F.col("_o_pid")), "inner")
+    frame = joined.select(
+        *_cols(df), (F.col("_off") + F.col("_mid") - F.col("_first")).cast("bigint").alias(index_col)
+    )
+    segments = offsets.select(F.col("_pid").alias("_task"), F.col("_off").alias("_start"), "_n")
+    return Indexed(frame, segments, small)
 
 
 def file_order_index(df: DataFrame, index_col: str = "_idx") -> DataFrame:
@@ -72,22 +124,4 @@ def file_order_index(df: DataFrame, index_col: str = "_idx") -> DataFrame:
     partitions, whose ids follow the byte order of the file - and the group
     sizes, one row per group, become running offsets that are joined back.
     """
-    from crashlake.operators.joins import dimension_join
-
-    tagged = df.withColumn("_file", F.input_file_name()).withColumn("_mid", F.monotonically_increasing_id())
-    tagged = tagged.withColumn("_pid", F.shiftright("_mid", 33))
-    groups = tagged.groupBy("_file", "_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
-    before = Window.orderBy("_file", "_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = groups.select(
-        F.col("_file").alias("_o_file"),
-        F.col("_pid").alias("_o_pid"),
-        "_first",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
-    )
-    joined = dimension_join(
-        tagged, offsets, (F.col("_file") == F.col("_o_file")) & (F.col("_pid") == F.col("_o_pid")), "inner"
-    )
-    return joined.select(
-        *[F.col(f"`{c}`") for c in df.columns],
-        (F.col("_off") + F.col("_mid") - F.col("_first")).cast("bigint").alias(index_col),
-    )
+    return file_order_index_segments(df, index_col).frame

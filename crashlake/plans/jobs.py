@@ -8,6 +8,7 @@ before the fact joins them, so the ids in the fact are the ids on disk.
 from __future__ import annotations
 
 import argparse
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -48,9 +49,9 @@ def land_raw(
     for name, n in sizes.items():
         if n <= 0:
             raise ValueError(f"records_per_file must be > 0 (got {n} for {name})")
-    out = {}
-    for name, df in sources.items():
-        out[name] = land_chunked_csv(
+    def land(name: str) -> dict[str, int]:
+        df = sources[name]
+        return land_chunked_csv(
             df,
             join_path(raw_root, RAW_FOLDERS[name], *([f"load={load}"] if load else [])),
             sizes[name],
@@ -58,7 +59,22 @@ def land_raw(
             sep=RAW_DELIMITERS[name],
             drop=[c for c in df.columns if c.startswith("_")],
         )
-    return out
+
+    return concurrently({name: (lambda n=name: land(n)) for name in sources})
+
+
+def concurrently(steps: dict) -> dict:
+    """Run independent Spark jobs from driver threads so their tasks share the cluster.
+
+    Used for the three raw datasets and the three dimensions, which do not
+    depend on each other (the source pipeline also loads them in parallel).
+    The first failure is raised after all steps finished.
+    """
+    if len(steps) <= 1:
+        return {k: f() for k, f in steps.items()}
+    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+        futures = {k: pool.submit(f) for k, f in steps.items()}
+        return {k: fut.result() for k, fut in futures.items()}
 
 
 def land_source(
@@ -105,7 +121,9 @@ def build_lake(
 ) -> LakeBuild:
     """Build the four curated tables in dependency order (T5).
 
-    A failure stops the build: the fact is never written over stale dimensions.
+    The three dimensions are independent and are written concurrently; the fact
+    waits for all of them. A failure stops the build: the fact is never written
+    over stale dimensions.
     Counts of the load report (K5) are observed during the writes.
     """
     build = LakeBuild(lake_root)
@@ -113,12 +131,18 @@ def build_lake(
     raw_city = read_raw_dataset(spark, raw_root, "cities", columns=CITY_RAW_COLUMNS)
     raw_acc = read_raw_dataset(spark, raw_root, "accidents", columns=ACCIDENT_RAW_COLUMNS)
 
-    build.rows["airports"] = write_table(
-        transforms.build_airports(raw_air, continent, country), join_path(lake_root, "airports"), ["state"]
-    )
-    build.rows["cities"] = write_table(transforms.build_cities(raw_city), join_path(lake_root, "cities"))
-    build.rows["weather_conditions"] = write_table(
-        transforms.build_weather_conditions(raw_acc), join_path(lake_root, "weather_conditions")
+    build.rows.update(
+        concurrently(
+            {
+                "airports": lambda: write_table(
+                    transforms.build_airports(raw_air, continent, country), join_path(lake_root, "airports"), ["state"]
+                ),
+                "cities": lambda: write_table(transforms.build_cities(raw_city), join_path(lake_root, "cities")),
+                "weather_conditions": lambda: write_table(
+                    transforms.build_weather_conditions(raw_acc), join_path(lake_root, "weather_conditions")
+                ),
+            }
+        )
     )
 
     raw_obs = Observation("raw_accidents")

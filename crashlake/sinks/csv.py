@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crashlake.operators.keys import dense_index, file_order_index
-from crashlake.sinks.tables import observed
+from crashlake.operators.joins import sized_broadcast
+from crashlake.operators.keys import Indexed, dense_index_segments, file_order_index_segments
 from crashlake.sources.csv import CSV_DIALECT
 
 
@@ -17,6 +15,14 @@ def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
     df.write.mode("overwrite").options(**CSV_DIALECT).option("sep", sep).csv(path)
 
 
+def _indexed(df: DataFrame, records_per_file: int, order_by: list[str] | None) -> Indexed:
+    if records_per_file <= 0:
+        raise ValueError("records_per_file must be > 0")
+    if order_by is None:
+        return file_order_index_segments(df, "_idx")
+    return dense_index_segments(df, order_by, "_idx")
+
+
 def chunk_assign(
     df: DataFrame, records_per_file: int, order_by: list[str] | None, chunk_col: str = "chunk"
 ) -> DataFrame:
@@ -27,10 +33,27 @@ def chunk_assign(
     ``chunk_col`` and ``_idx``. All chunks hold exactly ``records_per_file``
     rows except the last, and no chunk is empty.
     """
-    if records_per_file <= 0:
-        raise ValueError("records_per_file must be > 0")
-    indexed = file_order_index(df, "_idx") if order_by is None else dense_index(df, order_by, "_idx")
-    return indexed.withColumn(chunk_col, F.floor(F.col("_idx") / F.lit(records_per_file)).cast("bigint"))
+    frame = _indexed(df, records_per_file, order_by).frame
+    return frame.withColumn(chunk_col, F.floor(F.col("_idx") / F.lit(records_per_file)).cast("bigint"))
+
+
+def split_chunks(segments: DataFrame, records_per_file: int) -> DataFrame:
+    """Chunks whose rows lie in more than one task, from the segment table alone.
+
+    A segment's interior chunks belong to it entirely; only its first and last
+    chunk can be shared, so those are listed with the segment's task and a
+    chunk is split when two different tasks list it.
+    """
+    n = F.lit(records_per_file)
+    first = F.floor(F.col("_start") / n)
+    last = F.floor((F.col("_start") + F.col("_n") - 1) / n)
+    ends = segments.filter(F.col("_n") > 0).select("_task", F.explode(F.array_distinct(F.array(first, last))).alias("chunk"))
+    return (
+        ends.groupBy("chunk")
+        .agg(F.min("_task").alias("_lo"), F.max("_task").alias("_hi"))
+        .filter(F.col("_lo") != F.col("_hi"))
+        .select(F.col("chunk").cast("bigint").alias("chunk"))
+    )
 
 
 def land_chunked_csv(
@@ -44,22 +67,32 @@ def land_chunked_csv(
     """Write ``df`` as header CSV chunks of at most ``records_per_file`` records.
 
     Chunk ``k`` is the single file under ``dest/chunk=k/``; record order inside
-    a chunk follows ``order_by`` (``None``: the source file order). Rows are hash-partitioned by chunk so each
-    chunk is written by exactly one task (one file) and every task writes
-    whole chunks only, which bounds task size by ``records_per_file``.
-    Columns in ``drop`` (e.g. a source-order column) are not written.
-    Returns ``{"rows": n, "chunks": k}``, observed during the write.
+    a chunk follows ``order_by`` (``None``: the source file order). Columns in
+    ``drop`` (e.g. a source-order column) are not written.
+
+    Positions are consecutive within each task, so most chunks already sit
+    whole in one task and are written where they are. Only chunks that
+    straddle two tasks - at most one per task boundary - are hash-partitioned
+    by chunk, so the shuffle moves at most (tasks - 1) x ``records_per_file``
+    rows instead of the whole dataset. Both parts go out in one write job
+    (a union keeps each part's partitioning), one file per chunk.
+    Returns ``{"rows": n, "chunks": k}`` from the segment table.
     """
-    chunked = chunk_assign(df, records_per_file, order_by)
-    keep = [c for c in df.columns if c not in set(drop or [])]
-    obs = Observation(f"chunks_{uuid.uuid4().hex[:8]}")
-    out = (
-        chunked.observe(obs, F.count(F.lit(1)).alias("rows"), F.max("chunk").alias("last"))
-        .repartition("chunk")
-        .sortWithinPartitions("chunk", "_idx")
-        .select(*[F.col(f"`{c}`") for c in keep], "chunk")
-    )
+    indexed = _indexed(df, records_per_file, order_by)
+    chunked = indexed.frame.withColumn("chunk", F.floor(F.col("_idx") / F.lit(records_per_file)).cast("bigint"))
+    keep = [F.col(f"`{c}`") for c in df.columns if c not in set(drop or [])] + [F.col("chunk")]
+
+    split, small = sized_broadcast(split_chunks(indexed.segments, records_per_file))
+    if indexed.in_place and small:
+        local = chunked.join(split, "chunk", "left_anti")
+        moved = chunked.join(split, "chunk", "left_semi").repartition("chunk")
+        out = local.sortWithinPartitions("chunk", "_idx").select(*keep).unionByName(
+            moved.sortWithinPartitions("chunk", "_idx").select(*keep)
+        )
+    else:
+        out = chunked.repartition("chunk").sortWithinPartitions("chunk", "_idx").select(*keep)
     out.write.mode("overwrite").options(**CSV_DIALECT).option("sep", sep).partitionBy("chunk").csv(dest)
-    m = observed(obs, lambda: chunked.agg(F.count(F.lit(1)).alias("rows"), F.max("chunk").alias("last")).head().asDict())
-    rows = int(m["rows"])
-    return {"rows": rows, "chunks": int(m["last"]) + 1 if rows else 0}
+
+    rows = indexed.segments.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows")).head()["rows"]
+    rows = int(rows)
+    return {"rows": rows, "chunks": -(-rows // records_per_file)}

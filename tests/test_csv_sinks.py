@@ -75,3 +75,32 @@ def test_read_table_keeps_partition_columns(spark, golden_lake):
     lake, _ = golden_lake
     assert "state" in read_table(spark, lake, "airports").columns
     assert {"year", "month"} <= set(read_table(spark, lake, "accidents").columns)
+
+
+def test_split_chunks_from_segments(spark):
+    from crashlake.sinks.csv import split_chunks
+
+    segs = spark.createDataFrame([(0, 0, 10), (1, 10, 15), (2, 25, 5)], "_task long, _start long, _n long")
+    assert sorted(r[0] for r in split_chunks(segs, 4).collect()) == [2, 6]
+    interleaved = spark.createDataFrame([(0, 0, 5), (1, 5, 5), (0, 10, 5)], "_task long, _start long, _n long")
+    assert sorted(r[0] for r in split_chunks(interleaved, 5).collect()) == []
+    assert sorted(r[0] for r in split_chunks(interleaved, 4).collect()) == [1, 2]
+
+
+def test_landing_moves_only_straddling_chunks(spark, tmp_path):
+    import contextlib
+    import io
+
+    from crashlake.operators.keys import dense_index_segments
+    from crashlake.sinks.csv import split_chunks
+
+    df = spark.range(0, 2000).select((F.col("id") * 13 % 2000).alias("k"))
+    ix = dense_index_segments(df, ["k"], num_partitions=8)
+    split = sorted(r[0] for r in split_chunks(ix.segments, 64).collect())
+    assert 0 < len(split) <= 7  # at most one per task boundary
+    out = land_chunked_csv(df, str(tmp_path / "c"), 64, ["k"])
+    assert out == {"rows": 2000, "chunks": 32}
+    files = file_inventory(spark, str(tmp_path / "c"), "*.csv")
+    assert files.count() == 32
+    back = read_csv(spark, str(tmp_path / "c"), recursive=False)
+    assert sorted((int(r["k"]) // 64, r["chunk"]) for r in back.collect()) == [(k // 64, k // 64) for k in range(2000)]
