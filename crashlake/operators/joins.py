@@ -2,13 +2,18 @@
 
 A dimension is broadcast only after its size is *checked*: ``limit(max+1)``
 counts at most ``max+1`` rows, so the check itself is bounded. Beyond the
-bound the join is left to a shuffle join, where AQE's skew-join handling
-splits a hot key (a city or a null weather value holding a large share of
-the fact) into several tasks.
+bound the join is a shuffle join. There, fact rows with a null key - which
+never match, and may be a large share of the fact (unknown weather) - skip
+the shuffle: an outer join emits them with null dimension columns directly
+and an inner join drops them before the exchange. A hot non-null key is split
+into several tasks by AQE's skew-join handling
+(``spark.sql.adaptive.skewJoin.enabled``).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +34,21 @@ def dimension_join(
     on: Column | str | list[str],
     how: str = "inner",
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    fact_keys: list[str] | None = None,
 ) -> DataFrame:
-    """Join a (large) fact to a dimension, broadcasting the dimension when it is proven small."""
-    side, _ = sized_broadcast(dim, max_broadcast_rows)
-    return fact.join(side, on=on, how=how)
+    """Join a (large) fact to a dimension, broadcasting the dimension when it is proven small.
+
+    ``fact_keys`` names the fact's join-key columns; with them a shuffle join
+    keeps null-key rows out of the exchange (see the module note).
+    """
+    side, small = sized_broadcast(dim, max_broadcast_rows)
+    if small or not fact_keys or how not in ("inner", "left"):
+        return fact.join(side, on=on, how=how)
+    keyed = reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in fact_keys])
+    joined = fact.filter(keyed).join(dim, on=on, how=how)
+    if how == "inner":
+        return joined
+    unmatched = fact.filter(~keyed)
+    extra = [f for f in joined.schema.fields if f.name not in set(fact.columns)]
+    unmatched = unmatched.select(*[F.col(f"`{c}`") for c in fact.columns], *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra])
+    return joined.unionByName(unmatched.select(*[F.col(f"`{c}`") for c in joined.columns]))

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crashlake.operators.joins import sized_broadcast
+from crashlake.operators.joins import MAX_BROADCAST_ROWS, sized_broadcast
 
 
 @dataclass(frozen=True)
@@ -95,7 +95,9 @@ def pk_unique(df: DataFrame, table_name: str, key: list[str]) -> DataFrame:
     ).select(F.lit(table_name).alias("table_name"), "n", "keys", (F.col("n") == F.col("keys")).alias("passed"))
 
 
-def fk_orphans(fact: DataFrame, refs: list[tuple[str, str, DataFrame, str]]) -> DataFrame:
+def fk_orphans(
+    fact: DataFrame, refs: list[tuple[str, str, DataFrame, str]], max_broadcast_rows: int = MAX_BROADCAST_ROWS
+) -> DataFrame:
     """Facts whose non-null foreign key is missing from its dimension (Q9, J7).
 
     ``refs`` = ``[(name, fact_column, dimension, dimension_key), ...]``. When every
@@ -106,7 +108,7 @@ def fk_orphans(fact: DataFrame, refs: list[tuple[str, str, DataFrame, str]]) ->
     sides = []
     for name, fk, dim, pk in refs:
         keys = dim.select(F.col(pk).alias(f"_k_{name}")).distinct().withColumn(f"_hit_{name}", F.lit(True))
-        side, small = sized_broadcast(keys)
+        side, small = sized_broadcast(keys, max_broadcast_rows)
         sides.append((name, fk, side, small))
     if all(small for *_, small in sides):
         joined = fact.select(*dict.fromkeys(fk for _, fk, _, _ in sides))
