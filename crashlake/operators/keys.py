@@ -54,16 +54,17 @@ def dense_index_segments(
     index_col: str = "_idx",
     num_partitions: int | None = None,
 ) -> Indexed:
-    """``dense_index`` plus its segments (one per range partition)."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """``dense_index`` plus its segments (one per range partition).
+
+    Without ``num_partitions`` the number of range partitions is left to AQE:
+    it starts from ``spark.sql.adaptive.coalescePartitions.initialPartitionNum``
+    (or the shuffle partitions) and merges adjacent ranges up to the advisory
+    partition size, so partitions stay contiguous, ordered and right-sized at
+    any data volume.
+    """
     keys = [_asc(c) for c in order_by]
-    tagged = (
-        df.repartitionByRange(n, *keys)
-        .sortWithinPartitions(*keys)
-        .withColumn("_mid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
-    )
+    ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    tagged = ranged.sortWithinPartitions(*keys).withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
     tagged = tagged.select(
         *_cols(df),
         F.shiftright("_mid", 33).alias("_pid"),

@@ -15,7 +15,7 @@ def test_dense_index_matches_row_number(spark):
     random.Random(7).shuffle(keys)
     df = spark.createDataFrame([(k,) for k in keys], "k string")
     expected = {r["k"]: r["i"] for r in df.select("k", (F.row_number().over(Window.orderBy(F.col("k").asc_nulls_first())) - 1).alias("i")).collect()}
-    for parts, shuffled in ((1, df), (5, df.repartition(5)), (13, df.repartition(13, "k"))):
+    for parts, shuffled in ((1, df), (5, df.repartition(5)), (13, df.repartition(13, "k")), (None, df.repartition(7))):
         got = {r["k"]: r["i"] for r in dense_index(shuffled, ["k"], "i", num_partitions=parts).collect()}
         assert got == expected
     assert sorted(expected.values()) == list(range(len(keys)))
