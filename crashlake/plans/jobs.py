@@ -37,6 +37,7 @@ def land_raw(
     chunk_records: dict[str, int] | None = None,
     order_col: str = "_order",
     load: str | None = None,
+    verify: bool = True,
 ) -> dict[str, dict[str, int]]:
     """Land each source dataset as chunked header CSV under ``raw_root/<folder>/`` (K6, K8).
 
@@ -44,6 +45,8 @@ def land_raw(
     source columns plus ``order_col``, a unique source order that fixes which
     records share a chunk. Columns whose name starts with ``_`` are not written.
     ``load`` lands into ``<folder>/load=<load>/`` next to earlier loads.
+    With ``verify`` each landed folder is listed afterwards and its CSV file
+    count must equal its chunk count (T7); a mismatch raises.
     """
     sizes = {**DEFAULT_CHUNK_RECORDS, **(chunk_records or {})}
     for name, n in sizes.items():
@@ -51,14 +54,16 @@ def land_raw(
             raise ValueError(f"records_per_file must be > 0 (got {n} for {name})")
     def land(name: str) -> dict[str, int]:
         df = sources[name]
-        return land_chunked_csv(
-            df,
-            join_path(raw_root, RAW_FOLDERS[name], *([f"load={load}"] if load else [])),
-            sizes[name],
-            order_by=[order_col],
-            sep=RAW_DELIMITERS[name],
+        dest = join_path(raw_root, RAW_FOLDERS[name], *([f"load={load}"] if load else []))
+        out = land_chunked_csv(
+            df, dest, sizes[name], order_by=[order_col], sep=RAW_DELIMITERS[name],
             drop=[c for c in df.columns if c.startswith("_")],
         )
+        if verify and out["rows"]:
+            check = raw_file_count(spark, dest, expected=out["chunks"]).head()
+            if not check["passed"]:
+                raise RuntimeError(f"{name}: {check['files']} files landed in {dest}, expected {out['chunks']}")
+        return out
 
     return concurrently({name: (lambda n=name: land(n)) for name in sources})
 
@@ -101,9 +106,15 @@ def land_source(
     return land_chunked_csv(df, dest, n, order_by=None, sep=RAW_DELIMITERS[dataset])
 
 
-def raw_file_count(spark: SparkSession, raw_root: str) -> DataFrame:
-    """Number of landed CSV files (Q5): a file listing, contents are never read."""
-    return file_inventory(spark, raw_root, "*.csv").agg(F.count(F.lit(1)).alias("files"))
+def raw_file_count(spark: SparkSession, raw_root: str, expected: int | None = None) -> DataFrame:
+    """Number of landed CSV files (Q5): a file listing, contents are never read.
+
+    With ``expected`` a ``passed`` column tells whether the count matches.
+    """
+    files = file_inventory(spark, raw_root, "*.csv").agg(F.count(F.lit(1)).alias("files"))
+    if expected is None:
+        return files
+    return files.withColumn("passed", F.col("files") == F.lit(expected))
 
 
 @dataclass

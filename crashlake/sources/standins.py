@@ -5,7 +5,10 @@ CSV) are not available, so each is stood in for by a Spark join over the
 parquet tables with the same *semantics*: a fact whose composite city key may
 miss the dimension, duplicated city keys with conflicting populations, null
 weather conditions, unparseable start times, unknown airport codes and
-airports outside the kept region. Columns carry the raw header names and are
+airports outside the kept region. The modulo expressions below are such
+data-shaping rules (which cities are missing from the demographic list,
+which airport code a record reports, which start times are unreadable); no
+row of any source table is skipped. Columns carry the raw header names and are
 strings, as the CSV reader would return them. Each frame also carries
 ``_order``, a unique source order used when it is landed in chunks, and the
 accidents carry ``_loaded_on``, the day a record arrives (for incremental

@@ -11,7 +11,6 @@ reused by later queries.
 from __future__ import annotations
 
 import os
-import re
 import threading
 from collections.abc import Callable
 from dataclasses import dataclass, field

@@ -88,9 +88,6 @@ def test_split_chunks_from_segments(spark):
 
 
 def test_landing_moves_only_straddling_chunks(spark, tmp_path):
-    import contextlib
-    import io
-
     from crashlake.operators.keys import dense_index_segments
     from crashlake.sinks.csv import split_chunks
 

@@ -53,3 +53,13 @@ def test_cli_build_and_check(spark, golden_raw, tmp_path):
     jobs.main(["check", lake, str(tmp_path / "report")])
     assert spark.read.parquet(str(tmp_path / "report")).filter(~F.col("passed")).count() == 0
     assert read_raw_dataset(spark, golden_raw, "cities").count() == len(CITIES)
+
+
+def test_file_count_check(spark, tmp_path):
+    src = str(tmp_path / "src" / "a.csv")
+    write_csv_file(src, ["ident", "type", "name", "continent", "iso_country", "iso_region", "municipality"],
+                   [(f"K{i:03d}", "t", "n", "NA", "US", "US-OH", "m") for i in range(25)])
+    raw = str(tmp_path / "raw")
+    assert jobs.land_source(spark, "airports", src, raw, records_per_file=10) == {"rows": 25, "chunks": 3}
+    assert tuple(jobs.raw_file_count(spark, raw, expected=3).head()) == (3, True)
+    assert tuple(jobs.raw_file_count(spark, raw, expected=66).head()) == (3, False)
