@@ -11,10 +11,10 @@ import argparse
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crashlake.config import join_path
+from crashlake.config import join_path, scratch_path
 from crashlake.plans import quality, transforms
 from crashlake.schemas import (
     ACCIDENT_RAW_COLUMNS,
@@ -25,7 +25,6 @@ from crashlake.schemas import (
     RAW_FOLDERS,
 )
 from crashlake.sinks import land_chunked_csv, write_table
-from crashlake.sinks.tables import observed
 from crashlake.plans import marts
 from crashlake.sources import file_inventory, read_csv, read_raw_dataset, read_table
 
@@ -132,37 +131,50 @@ def build_lake(
 ) -> LakeBuild:
     """Build the four curated tables in dependency order (T5).
 
-    The three dimensions are independent and are written concurrently; the fact
-    waits for all of them. A failure stops the build: the fact is never written
-    over stale dimensions.
+    The raw accident CSV is parsed once: its typed rows are written to a
+    staging table in the shared folder, from which both the weather dimension
+    (one column) and the fact are built. Staging, airports and cities are
+    independent and run concurrently; the fact waits for all dimensions. A
+    failure stops the build: the fact is never written over stale dimensions.
     Counts of the load report (K5) are observed during the writes.
     """
     build = LakeBuild(lake_root)
     raw_air = read_raw_dataset(spark, raw_root, "airports", columns=AIRPORT_RAW_COLUMNS)
     raw_city = read_raw_dataset(spark, raw_root, "cities", columns=CITY_RAW_COLUMNS)
     raw_acc = read_raw_dataset(spark, raw_root, "accidents", columns=ACCIDENT_RAW_COLUMNS)
-
-    build.rows.update(
-        concurrently(
-            {
-                "airports": lambda: write_table(
-                    transforms.build_airports(raw_air, continent, country), join_path(lake_root, "airports"), ["state"]
-                ),
-                "cities": lambda: write_table(transforms.build_cities(raw_city), join_path(lake_root, "cities")),
-                "weather_conditions": lambda: write_table(
-                    transforms.build_weather_conditions(raw_acc), join_path(lake_root, "weather_conditions")
-                ),
-            }
-        )
+    typed = transforms.typed_accidents(raw_acc)
+    staging = scratch_path(spark, "staging", "accidents_typed")
+
+    def stage_then_weather() -> dict[str, int]:
+        rows = write_table(typed, staging)
+        staged = spark.read.schema(typed.schema).parquet(staging)
+        return {
+            "raw_accidents": rows,
+            "weather_conditions": write_table(
+                transforms.weather_from_typed(staged), join_path(lake_root, "weather_conditions")
+            ),
+        }
+
+    done = concurrently(
+        {
+            "airports": lambda: write_table(
+                transforms.build_airports(raw_air, continent, country), join_path(lake_root, "airports"), ["state"]
+            ),
+            "cities": lambda: write_table(transforms.build_cities(raw_city), join_path(lake_root, "cities")),
+            "accidents_staged": stage_then_weather,
+        }
     )
-
-    raw_obs = Observation("raw_accidents")
-    observed_raw = raw_acc.observe(raw_obs, F.count(F.lit(1)).alias("rows"))
-    fact = transforms.build_accidents(
-        observed_raw, read_table(spark, lake_root, "cities"), read_table(spark, lake_root, "weather_conditions")
+    staged_rows = done.pop("accidents_staged")
+    build.rows.update(done)
+    build.rows["weather_conditions"] = staged_rows["weather_conditions"]
+
+    fact = transforms.fact_from_typed(
+        spark.read.schema(typed.schema).parquet(staging),
+        read_table(spark, lake_root, "cities"),
+        read_table(spark, lake_root, "weather_conditions"),
     )
     build.rows["accidents"] = write_table(fact, join_path(lake_root, "accidents"), ["year", "month"])
-    build.rows["raw_accidents"] = int(observed(raw_obs, lambda: {"rows": raw_acc.count()})["rows"])
+    build.rows["raw_accidents"] = staged_rows["raw_accidents"]
     build.rows["dropped_no_city"] = build.rows["raw_accidents"] - build.rows["accidents"]
     return build
 

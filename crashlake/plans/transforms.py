@@ -60,7 +60,12 @@ def build_cities(raw: DataFrame) -> DataFrame:
 
 def build_weather_conditions(raw_accidents: DataFrame) -> DataFrame:
     """Weather dimension (T3): distinct conditions (null is one row), dense id with nulls first."""
-    conditions = distinct_values(raw_accidents.select(F.col("Weather_Condition").alias("condition")), ["condition"])
+    return weather_from_typed(raw_accidents.select(F.col("Weather_Condition").alias("_weather")))
+
+
+def weather_from_typed(typed: DataFrame) -> DataFrame:
+    """Weather dimension from typed accident rows (their ``_weather`` column)."""
+    conditions = distinct_values(typed.select(F.col("_weather").alias("condition")), ["condition"])
     return dense_index(conditions, ["condition"], "weather_condition_id").select("weather_condition_id", "condition")
 
 
@@ -117,7 +122,14 @@ def build_accidents(
     Facts whose (city, state) is not in the cities dimension are dropped (inner join).
     The airport code is kept as written; the airport join adds no column.
     """
-    joined = enrich(typed_accidents(raw), cities, weather, max_broadcast_rows=max_broadcast_rows)
+    return fact_from_typed(typed_accidents(raw), cities, weather, max_broadcast_rows)
+
+
+def fact_from_typed(
+    typed: DataFrame, cities: DataFrame, weather: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_ROWS
+) -> DataFrame:
+    """``build_accidents`` from rows already typed by ``typed_accidents``."""
+    joined = enrich(typed, cities, weather, max_broadcast_rows=max_broadcast_rows)
     return joined.select(
         "accident_id",
         "datetime",
