@@ -49,3 +49,34 @@ def file_inventory(spark: SparkSession, root: str, glob: str = "*") -> DataFrame
         .select("path", "length")
     )
     return files.withColumn("key", F.substring_index("path", "/", -2))
+
+
+def register_lake_tables(spark: SparkSession, lake_root: str, database: str, location: str | None = None) -> dict[str, str]:
+    """Register the lake as external tables ``<database>.<table>`` in the session catalog (S7).
+
+    SQL written against a catalog (``SELECT ... FROM db.accidents``) then runs
+    unchanged on Spark. Schemas are declared, so nothing is inferred; the
+    partitions of partitioned tables are recovered from the folders (a
+    distributed listing) and predicates on them prune folders. Calling it
+    again after a load picks up new partitions. ``location`` is where the
+    database itself lives (default: the shared scratch folder); the tables
+    stay where the lake is.
+    """
+    from crashlake.config import scratch_path
+
+    db_location = location or scratch_path(spark, f"{database}.db")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{db_location}'")
+    names = {}
+    for table, (schema, parts) in LAKE_TABLES.items():
+        name = f"`{database}`.`{table}`"
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        partitioned = f" PARTITIONED BY ({', '.join(parts)})" if parts else ""
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{partitioned} "
+            f"LOCATION '{join_path(lake_root, table)}'"
+        )
+        if parts:
+            spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        spark.sql(f"REFRESH TABLE {name}")
+        names[table] = f"{database}.{table}"
+    return names

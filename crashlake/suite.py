@@ -26,7 +26,7 @@ from crashlake.plans import jobs, marts, quality, transforms
 from crashlake.plans.jobs import LakeBuild
 from crashlake.schemas import RAW_DELIMITERS, RAW_FOLDERS
 from crashlake.sinks import land_chunked_csv, write_csv
-from crashlake.sources import file_inventory, read_csv, read_raw_dataset, read_table, register_lake_views
+from crashlake.sources import file_inventory, read_csv, read_raw_dataset, read_table, register_lake_tables
 from crashlake.sources import standins
 from crashlake.sources.standins import DEFAULT_PARAMS, StandInParams
 
@@ -128,11 +128,11 @@ def q_sink_part2_roundtrip(spark, sf_dir):
 
 def q_sql_preview(spark, sf_dir):
     fx = _ctx(spark, sf_dir)
-    views = fx.extras.get("views")
-    if views is None:
-        views = register_lake_views(spark, fx.lake_root, prefix=f"lake_{abs(hash(fx.root)) % 10**8}_")
-        fx.extras["views"] = views
-    return marts.preview(spark.table(views["accidents"]), 10)
+    tables = fx.extras.get("tables")
+    if tables is None:
+        tables = register_lake_tables(spark, fx.lake_root, f"lake_{fx.root.rstrip('/').rsplit('/', 2)[-2]}")
+        fx.extras["tables"] = tables
+    return marts.preview(spark.table(tables["accidents"]), 10)
 
 
 def q_preview_5(spark, sf_dir):
