@@ -122,6 +122,49 @@ class LakeBuild:
     rows: dict[str, int] = field(default_factory=dict)
 
 
+def build_airports_table(
+    spark: SparkSession,
+    raw_root: str,
+    lake_root: str,
+    continent: str = transforms.DEFAULT_CONTINENT,
+    country: str = transforms.DEFAULT_COUNTRY,
+) -> int:
+    """Airports job (T1): raw airports -> ``<lake>/airports`` partitioned by state."""
+    raw = read_raw_dataset(spark, raw_root, "airports", columns=AIRPORT_RAW_COLUMNS)
+    return write_table(transforms.build_airports(raw, continent, country), join_path(lake_root, "airports"), ["state"])
+
+
+def build_cities_table(spark: SparkSession, raw_root: str, lake_root: str) -> int:
+    """Cities job (T2): raw cities -> ``<lake>/cities``."""
+    raw = read_raw_dataset(spark, raw_root, "cities", columns=CITY_RAW_COLUMNS)
+    return write_table(transforms.build_cities(raw), join_path(lake_root, "cities"))
+
+
+def _stage_and_weather(spark: SparkSession, raw_root: str, lake_root: str) -> tuple[DataFrame, dict[str, int]]:
+    """Parse the raw accidents once into a typed staging table, then build the weather dimension (T3) from it."""
+    typed = transforms.typed_accidents(read_raw_dataset(spark, raw_root, "accidents", columns=ACCIDENT_RAW_COLUMNS))
+    staging = scratch_path(spark, "staging", "accidents_typed")
+    rows = write_table(typed, staging)
+    staged = spark.read.schema(typed.schema).parquet(staging)
+    weather = write_table(transforms.weather_from_typed(staged), join_path(lake_root, "weather_conditions"))
+    return staged, {"raw_accidents": rows, "weather_conditions": weather}
+
+
+def _fact(spark: SparkSession, staged: DataFrame, lake_root: str) -> int:
+    fact = transforms.fact_from_typed(
+        staged, read_table(spark, lake_root, "cities"), read_table(spark, lake_root, "weather_conditions")
+    )
+    return write_table(fact, join_path(lake_root, "accidents"), ["year", "month"])
+
+
+def build_accidents_tables(spark: SparkSession, raw_root: str, lake_root: str) -> dict[str, int]:
+    """Accidents job (T3 + T4): weather dimension and fact. Needs the cities table in the lake."""
+    staged, rows = _stage_and_weather(spark, raw_root, lake_root)
+    rows["accidents"] = _fact(spark, staged, lake_root)
+    rows["dropped_no_city"] = rows["raw_accidents"] - rows["accidents"]
+    return rows
+
+
 def build_lake(
     spark: SparkSession,
     raw_root: str,
@@ -139,42 +182,17 @@ def build_lake(
     Counts of the load report (K5) are observed during the writes.
     """
     build = LakeBuild(lake_root)
-    raw_air = read_raw_dataset(spark, raw_root, "airports", columns=AIRPORT_RAW_COLUMNS)
-    raw_city = read_raw_dataset(spark, raw_root, "cities", columns=CITY_RAW_COLUMNS)
-    raw_acc = read_raw_dataset(spark, raw_root, "accidents", columns=ACCIDENT_RAW_COLUMNS)
-    typed = transforms.typed_accidents(raw_acc)
-    staging = scratch_path(spark, "staging", "accidents_typed")
-
-    def stage_then_weather() -> dict[str, int]:
-        rows = write_table(typed, staging)
-        staged = spark.read.schema(typed.schema).parquet(staging)
-        return {
-            "raw_accidents": rows,
-            "weather_conditions": write_table(
-                transforms.weather_from_typed(staged), join_path(lake_root, "weather_conditions")
-            ),
-        }
-
     done = concurrently(
         {
-            "airports": lambda: write_table(
-                transforms.build_airports(raw_air, continent, country), join_path(lake_root, "airports"), ["state"]
-            ),
-            "cities": lambda: write_table(transforms.build_cities(raw_city), join_path(lake_root, "cities")),
-            "accidents_staged": stage_then_weather,
+            "airports": lambda: build_airports_table(spark, raw_root, lake_root, continent, country),
+            "cities": lambda: build_cities_table(spark, raw_root, lake_root),
+            "staged": lambda: _stage_and_weather(spark, raw_root, lake_root),
         }
     )
-    staged_rows = done.pop("accidents_staged")
+    staged, rows = done.pop("staged")
     build.rows.update(done)
-    build.rows["weather_conditions"] = staged_rows["weather_conditions"]
-
-    fact = transforms.fact_from_typed(
-        spark.read.schema(typed.schema).parquet(staging),
-        read_table(spark, lake_root, "cities"),
-        read_table(spark, lake_root, "weather_conditions"),
-    )
-    build.rows["accidents"] = write_table(fact, join_path(lake_root, "accidents"), ["year", "month"])
-    build.rows["raw_accidents"] = staged_rows["raw_accidents"]
+    build.rows.update(rows)
+    build.rows["accidents"] = _fact(spark, staged, lake_root)
     build.rows["dropped_no_city"] = build.rows["raw_accidents"] - build.rows["accidents"]
     return build
 
@@ -284,6 +302,8 @@ def main(argv: list[str] | None = None) -> None:
     b = sub.add_parser("build", help="build the lake from a landed raw zone")
     b.add_argument("raw_root")
     b.add_argument("lake_root")
+    b.add_argument("--table", choices=["all", "airports", "cities", "accidents"], default="all",
+                   help="build one table job only (accidents needs cities already built)")
     c = sub.add_parser("check", help="write the data-quality report and fail on a failed check")
     c.add_argument("lake_root")
     c.add_argument("report_path")
@@ -294,7 +314,12 @@ def main(argv: list[str] | None = None) -> None:
     elif args.cmd == "marts":
         print(build_marts(spark, args.lake_root, args.marts_root))
     elif args.cmd == "build":
-        print(build_lake(spark, args.raw_root, args.lake_root).rows)
+        one = {
+            "airports": lambda: build_airports_table(spark, args.raw_root, args.lake_root),
+            "cities": lambda: build_cities_table(spark, args.raw_root, args.lake_root),
+            "accidents": lambda: build_accidents_tables(spark, args.raw_root, args.lake_root),
+        }
+        print(build_lake(spark, args.raw_root, args.lake_root).rows if args.table == "all" else one[args.table]())
     else:
         path = args.report_path
         write_table(check_lake(spark, args.lake_root), path)

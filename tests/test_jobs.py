@@ -63,3 +63,28 @@ def test_file_count_check(spark, tmp_path):
     assert jobs.land_source(spark, "airports", src, raw, records_per_file=10) == {"rows": 25, "chunks": 3}
     assert tuple(jobs.raw_file_count(spark, raw, expected=3).head()) == (3, True)
     assert tuple(jobs.raw_file_count(spark, raw, expected=66).head()) == (3, False)
+
+
+def test_workflow_from_source_files(spark, tmp_path):
+    """Source files -> chunked raw zone -> per-table jobs -> DQ -> marts, all through the command line."""
+    src = tmp_path / "dataset"
+    write_csv_file(str(src / "airport_codes.csv"),
+                   ["ident", "type", "name", "continent", "iso_country", "iso_region", "municipality"],
+                   [("KDAY", "m", "Dayton Intl", "NA", "US", "US-OH", "Dayton"), ("KLAX", "l", "LAX", "NA", "US", "US-CA", "LA"),
+                    ("CYYZ", "l", "Toronto", "NA", "CA", "CA-ON", "Toronto")])
+    write_csv_file(str(src / "us_cities_demographics.csv"), ["City", "State", "State Code", "Total Population"],
+                   CITIES, sep=";")
+    write_csv_file(str(src / "us_accidents.csv"), ACCIDENT_HEADER, ACCIDENTS)
+    raw, lake = str(tmp_path / "raw"), str(tmp_path / "lake")
+    jobs.main(["land", "accidents", str(src / "us_accidents.csv"), raw, "--records", "4"])
+    jobs.main(["land", "cities", str(src / "us_cities_demographics.csv"), raw, "--records", "2"])
+    jobs.main(["land", "airports", str(src / "airport_codes.csv"), raw])
+    assert jobs.raw_file_count(spark, raw).head()["files"] == 2 + 3 + 1
+    for table in ("airports", "cities", "accidents"):
+        jobs.main(["build", raw, lake, "--table", table])
+    t = jobs.lake_tables(spark, lake)
+    assert t["accidents"].count() == 5 and t["airports"].count() == 2 and t["cities"].count() == 4
+    jobs.main(["marts", lake, str(tmp_path / "marts")])
+    by_airport = spark.read.parquet(str(tmp_path / "marts" / "by_airport"))
+    assert sorted((r["airport_code"] or "", r["n"]) for r in by_airport.collect()) == [("", 1), ("KDAY", 2), ("KLAX", 1), ("KZZZ", 1)]
+    jobs.main(["check", lake, str(tmp_path / "report")])
