@@ -239,19 +239,41 @@ def check_lake(
             )
     acc = t["accidents"]
     if acc is not None:
-        parts.append(
-            quality.table_checks(
-                acc,
-                "accidents",
-                [
-                    quality.non_empty_check(),
-                    quality.range_check("severity", 1, 4, "severity_range"),
-                    quality.length_check("airport_code", airport_code_length, "airport_code_format"),
-                    # unparseable start times land in the null partition; reported, not failed
-                    quality.null_check("datetime", "datetime_nulls", rule="report"),
-                ],
+        fact_checks = [
+            quality.non_empty_check(),
+            quality.range_check("severity", 1, 4, "severity_range"),
+            quality.length_check("airport_code", airport_code_length, "airport_code_format"),
+            # unparseable start times land in the null partition; reported, not failed
+            quality.null_check("datetime", "datetime_nulls", rule="report"),
+        ]
+        refs = [
+            (name, fk, t[dim], pk)
+            for name, fk, dim, pk in (
+                ("airport", "airport_code", "airports", "airport_code"),
+                ("city", "city_id", "cities", "city_id"),
+                ("weather", "weather_condition_id", "weather_conditions", "weather_condition_id"),
             )
-        )
+            if t[dim] is not None
+        ]
+        # Unknown airports are expected (the fact keeps codes as reported): reported, not failed.
+        rules = {"airport": "report"}
+        hits, _ = quality.with_reference_hits(acc, refs) if refs else (None, [])
+        if hits is not None:
+            # one scan of the fact for the column checks and every reference
+            orphan_checks = [quality.orphan_check(name, fk, rules.get(name, "zero")) for name, fk, _, _ in refs]
+            parts.append(quality.table_checks(hits, "accidents", fact_checks + orphan_checks))
+        else:
+            parts.append(quality.table_checks(acc, "accidents", fact_checks))
+            if refs:
+                orphans = quality.fk_orphans(acc, refs)
+                parts.append(
+                    orphans.select(
+                        F.concat(F.lit("fk_"), F.col("fk")).alias("check_name"),
+                        F.lit("accidents").alias("table_name"),
+                        F.col("orphans").alias("observed"),
+                        ((F.col("orphans") == 0) | (F.col("fk") == "airport")).alias("passed"),
+                    )
+                )
         pk = quality.pk_unique(acc, "accidents", ["accident_id"])
         parts.append(pk.select(F.lit("pk_unique").alias("check_name"), "table_name", (F.col("n") - F.col("keys")).alias("observed"), "passed"))
     if t["cities"] is not None:
@@ -265,24 +287,6 @@ def check_lake(
         parts.append(pk.select(F.lit("pk_unique").alias("check_name"), "table_name", (F.col("n") - F.col("keys")).alias("observed"), "passed"))
     if t["weather_conditions"] is not None:
         parts.append(quality.table_checks(t["weather_conditions"], "weather_conditions", [quality.non_empty_check()]))
-    if acc is not None and all(t[n] is not None for n in ("cities", "airports", "weather_conditions")):
-        orphans = quality.fk_orphans(
-            acc,
-            [
-                ("airport", "airport_code", t["airports"], "airport_code"),
-                ("city", "city_id", t["cities"], "city_id"),
-                ("weather", "weather_condition_id", t["weather_conditions"], "weather_condition_id"),
-            ],
-        )
-        # Unknown airports are expected (the fact keeps codes as reported); report only.
-        parts.append(
-            orphans.select(
-                F.concat(F.lit("fk_"), F.col("fk")).alias("check_name"),
-                F.lit("accidents").alias("table_name"),
-                F.col("orphans").alias("observed"),
-                ((F.col("orphans") == 0) | (F.col("fk") == "airport")).alias("passed"),
-            )
-        )
     return quality.report(parts)
 
 

@@ -95,35 +95,52 @@ def pk_unique(df: DataFrame, table_name: str, key: list[str]) -> DataFrame:
     ).select(F.lit(table_name).alias("table_name"), "n", "keys", (F.col("n") == F.col("keys")).alias("passed"))
 
 
+def with_reference_hits(
+    fact: DataFrame, refs: list[tuple[str, str, DataFrame, str]], max_broadcast_rows: int = MAX_BROADCAST_ROWS
+) -> tuple[DataFrame, list[DataFrame]] | tuple[None, list[DataFrame]]:
+    """Left-join the distinct keys of every referenced dimension, adding ``_hit_<name>``.
+
+    ``refs`` = ``[(name, fact_column, dimension, dimension_key), ...]``. Only
+    when every key set is proven small (and then broadcast) is the joined
+    frame returned: the fact keeps its partitioning and is read once for all
+    references. Otherwise ``None`` and the key sets, for left-anti joins.
+    """
+    sides, all_small = [], True
+    for name, _, dim, pk in refs:
+        keys = dim.select(F.col(pk).alias(f"_k_{name}")).distinct().withColumn(f"_hit_{name}", F.lit(True))
+        side, small = sized_broadcast(keys, max_broadcast_rows)
+        sides.append(side)
+        all_small = all_small and small
+    if not all_small:
+        return None, sides
+    joined = fact
+    for (name, fk, _, _), side in zip(refs, sides):
+        joined = joined.join(side, F.col(fk) == F.col(f"_k_{name}"), "left")
+    return joined, sides
+
+
+def orphan_check(name: str, fk: str, rule: str = "zero") -> Check:
+    """Non-null foreign keys without a dimension row; evaluated on ``with_reference_hits`` output."""
+    return Check(f"fk_{name}", F.count(F.when(F.col(fk).isNotNull() & F.col(f"_hit_{name}").isNull(), 1)), rule)
+
+
 def fk_orphans(
     fact: DataFrame, refs: list[tuple[str, str, DataFrame, str]], max_broadcast_rows: int = MAX_BROADCAST_ROWS
 ) -> DataFrame:
     """Facts whose non-null foreign key is missing from its dimension (Q9, J7).
 
-    ``refs`` = ``[(name, fact_column, dimension, dimension_key), ...]``. When every
-    dimension is proven small, the distinct keys of each are broadcast and
-    all foreign keys are checked in one scan of the fact; otherwise each key
-    is checked with its own left-anti join.
+    When every dimension is proven small, the distinct keys of each are
+    broadcast and all foreign keys are checked in one scan of the fact;
+    otherwise each key is checked with its own left-anti join.
     """
-    sides = []
-    for name, fk, dim, pk in refs:
-        keys = dim.select(F.col(pk).alias(f"_k_{name}")).distinct().withColumn(f"_hit_{name}", F.lit(True))
-        side, small = sized_broadcast(keys, max_broadcast_rows)
-        sides.append((name, fk, side, small))
-    if all(small for *_, small in sides):
-        joined = fact.select(*dict.fromkeys(fk for _, fk, _, _ in sides))
-        for name, fk, side, _ in sides:
-            joined = joined.join(side, F.col(fk) == F.col(f"_k_{name}"), "left")
-        row = joined.agg(
-            *[
-                F.count(F.when(F.col(fk).isNotNull() & F.col(f"_hit_{name}").isNull(), 1)).alias(name)
-                for name, fk, _, _ in sides
-            ]
-        )
-        items = [F.struct(F.lit(name).alias("fk"), F.col(name).cast("bigint").alias("orphans")) for name, *_ in sides]
+    fks = list(dict.fromkeys(fk for _, fk, _, _ in refs))
+    joined, sides = with_reference_hits(fact.select(*fks), refs, max_broadcast_rows)
+    if joined is not None:
+        row = joined.agg(*[orphan_check(name, fk).observed.alias(name) for name, fk, _, _ in refs])
+        items = [F.struct(F.lit(name).alias("fk"), F.col(name).cast("bigint").alias("orphans")) for name, *_ in refs]
         return row.select(F.inline(F.array(*items)))
     parts = []
-    for name, fk, side, _ in sides:
+    for (name, fk, _, _), side in zip(refs, sides):
         orphans = fact.select(fk).filter(F.col(fk).isNotNull()).join(side, F.col(fk) == F.col(f"_k_{name}"), "left_anti")
         parts.append(orphans.agg(F.count(F.lit(1)).alias("orphans")).select(F.lit(name).alias("fk"), "orphans"))
     return _union(parts)
