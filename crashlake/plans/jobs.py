@@ -210,6 +210,26 @@ def build_marts(spark: SparkSession, lake_root: str, marts_root: str) -> dict[st
     return {name: write_table(df, join_path(marts_root, name)) for name, df in frames.items()}
 
 
+def refresh_lake(
+    spark: SparkSession,
+    raw_root: str,
+    lake_root: str,
+    marts_root: str | None = None,
+    checkpoint_location: str | None = None,
+    max_files_per_trigger: int | None = None,
+) -> dict[str, int]:
+    """Fold newly landed raw accident chunks into the lake, then rebuild the marts (A8, A9).
+
+    The stream's checkpoint must stay the same across refreshes (keep it in the
+    shared folder) so each raw file is processed once.
+    """
+    from crashlake.streaming import accident_refresh
+
+    query = accident_refresh(spark, raw_root, lake_root, checkpoint_location, max_files_per_trigger)
+    query.awaitTermination()
+    return build_marts(spark, lake_root, marts_root) if marts_root else {}
+
+
 def lake_tables(spark: SparkSession, lake_root: str) -> dict[str, DataFrame]:
     return {t: read_table(spark, lake_root, t) for t in ("accidents", "cities", "airports", "weather_conditions")}
 
@@ -300,6 +320,12 @@ def main(argv: list[str] | None = None) -> None:
     ld.add_argument("source")
     ld.add_argument("raw_root")
     ld.add_argument("--records", type=int, default=None)
+    ld.add_argument("--load", default=None, help="land next to earlier loads under load=<name>/ (incremental)")
+    r = sub.add_parser("refresh", help="fold newly landed accident chunks into the lake, then rebuild the marts")
+    r.add_argument("raw_root")
+    r.add_argument("lake_root")
+    r.add_argument("marts_root")
+    r.add_argument("checkpoint", help="stream checkpoint; keep it across refreshes")
     m = sub.add_parser("marts", help="rebuild the Parquet marts from the lake")
     m.add_argument("lake_root")
     m.add_argument("marts_root")
@@ -314,7 +340,9 @@ def main(argv: list[str] | None = None) -> None:
     args = ap.parse_args(argv)
     spark = local_session() if SparkSession.getActiveSession() is None else SparkSession.getActiveSession()
     if args.cmd == "land":
-        print(land_source(spark, args.dataset, args.source, args.raw_root, args.records))
+        print(land_source(spark, args.dataset, args.source, args.raw_root, args.records, args.load))
+    elif args.cmd == "refresh":
+        print(refresh_lake(spark, args.raw_root, args.lake_root, args.marts_root, args.checkpoint))
     elif args.cmd == "marts":
         print(build_marts(spark, args.lake_root, args.marts_root))
     elif args.cmd == "build":

@@ -48,3 +48,15 @@ def test_replayed_batch_is_idempotent(spark, tmp_path):
     acc = read_table(spark, lake, "accidents")
     assert acc.count() == 5 and acc.select("accident_id").distinct().count() == 5
     assert read_table(spark, lake, "weather_conditions").filter(F.col("condition").isNull()).count() == 1
+
+
+def test_refresh_job_updates_marts(spark, tmp_path):
+    raw, lake, marts_root, ckpt = (str(tmp_path / n) for n in ("raw", "lake", "marts", "ckpt"))
+    _raw_zone(raw)
+    jobs.build_lake(spark, raw, lake)
+    src = tmp_path / "later.csv"
+    write_csv_file(str(src), ACCIDENT_HEADER, ACCIDENTS[3:])
+    jobs.main(["land", "accidents", str(src), raw, "--load", "2"])
+    jobs.main(["refresh", raw, lake, marts_root, ckpt])
+    by_state = {r["state"]: r["accident_count"] for r in spark.read.parquet(f"{marts_root}/by_state").collect()}
+    assert by_state == {"OH": 3, "CA": 1, "IL": 1}
