@@ -11,6 +11,7 @@ import argparse
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,7 +78,8 @@ def concurrently(steps: dict) -> dict:
     if len(steps) <= 1:
         return {k: f() for k, f in steps.items()}
     with ThreadPoolExecutor(max_workers=len(steps)) as pool:
-        futures = {k: pool.submit(f) for k, f in steps.items()}
+        # inherit the caller's job group, description and scheduler pool
+        futures = {k: pool.submit(inheritable_thread_target(f)) for k, f in steps.items()}
         return {k: fut.result() for k, fut in futures.items()}
 
 
