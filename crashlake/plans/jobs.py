@@ -65,10 +65,10 @@ def land_raw(
                 raise RuntimeError(f"{name}: {check['files']} files landed in {dest}, expected {out['chunks']}")
         return out
 
-    return concurrently({name: (lambda n=name: land(n)) for name in sources})
+    return concurrently(spark, {name: (lambda n=name: land(n)) for name in sources})
 
 
-def concurrently(steps: dict) -> dict:
+def concurrently(spark: SparkSession, steps: dict) -> dict:
     """Run independent Spark jobs from driver threads so their tasks share the cluster.
 
     Used for the three raw datasets and the three dimensions, which do not
@@ -79,7 +79,7 @@ def concurrently(steps: dict) -> dict:
         return {k: f() for k, f in steps.items()}
     with ThreadPoolExecutor(max_workers=len(steps)) as pool:
         # inherit the caller's job group, description and scheduler pool
-        futures = {k: pool.submit(inheritable_thread_target(f)) for k, f in steps.items()}
+        futures = {k: pool.submit(inheritable_thread_target(spark)(f)) for k, f in steps.items()}
         return {k: fut.result() for k, fut in futures.items()}
 
 
@@ -185,6 +185,7 @@ def build_lake(
     """
     build = LakeBuild(lake_root)
     done = concurrently(
+        spark,
         {
             "airports": lambda: build_airports_table(spark, raw_root, lake_root, continent, country),
             "cities": lambda: build_cities_table(spark, raw_root, lake_root),
