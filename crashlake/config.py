@@ -6,6 +6,7 @@ for tests, the bench and the command-line jobs only.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
@@ -22,6 +23,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # checkpoints (dense keys) are deleted once their DataFrames are garbage collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -67,6 +70,16 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([shared_dir(spark), "crashlake", uuid.uuid4().hex[:12], *parts])
 
 
+def staging_path(spark: SparkSession, owner: str, name: str) -> str:
+    """A fixed scratch path per ``owner`` (e.g. a lake root) under the shared folder.
+
+    Staging tables written there are overwritten by the next run for the same
+    owner, so they do not accumulate.
+    """
+    key = hashlib.sha1(owner.encode()).hexdigest()[:16]
+    return "/".join([shared_dir(spark), "crashlake", "staging", key, name])
+
+
 def join_path(root: str, *parts: str) -> str:
     return "/".join([root.rstrip("/"), *[p.strip("/") for p in parts]])
 

@@ -15,8 +15,8 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crashlake.config import join_path, scratch_path
-from crashlake.plans import quality, transforms
+from crashlake.config import join_path, staging_path
+from crashlake.plans import marts, quality, transforms
 from crashlake.schemas import (
     ACCIDENT_RAW_COLUMNS,
     AIRPORT_RAW_COLUMNS,
@@ -26,7 +26,6 @@ from crashlake.schemas import (
     RAW_FOLDERS,
 )
 from crashlake.sinks import land_chunked_csv, write_table
-from crashlake.plans import marts
 from crashlake.sources import file_inventory, read_csv, read_raw_dataset, read_table
 
 
@@ -52,22 +51,34 @@ def land_raw(
     for name, n in sizes.items():
         if n <= 0:
             raise ValueError(f"records_per_file must be > 0 (got {n} for {name})")
+
     def land(name: str) -> dict[str, int]:
         df = sources[name]
-        dest = join_path(raw_root, RAW_FOLDERS[name], *([f"load={load}"] if load else []))
+        dest = _raw_dest(raw_root, name, load)
         out = land_chunked_csv(
             df, dest, sizes[name], order_by=[order_col], sep=RAW_DELIMITERS[name],
             drop=[c for c in df.columns if c.startswith("_")],
         )
-        if verify and out["rows"]:
-            check = raw_file_count(spark, dest, expected=out["chunks"]).head()
-            if not check["passed"]:
-                raise RuntimeError(f"{name}: {check['files']} files landed in {dest}, expected {out['chunks']}")
+        if verify:
+            _verify_landed(spark, dest, out)
         return out
 
     return concurrently(spark, {name: (lambda n=name: land(n)) for name in sources})
 
 
+def _raw_dest(raw_root: str, dataset: str, load: str | None) -> str:
+    return join_path(raw_root, RAW_FOLDERS[dataset], *([f"load={load}"] if load else []))
+
+
+def _verify_landed(spark: SparkSession, dest: str, landed: dict[str, int]) -> None:
+    """T7: the landed folder must hold exactly one CSV file per chunk."""
+    if not landed["rows"]:
+        return
+    check = raw_file_count(spark, dest, expected=landed["chunks"]).head()
+    if not check["passed"]:
+        raise RuntimeError(f"{check['files']} files landed in {dest}, expected {landed['chunks']}")
+
+
 def concurrently(spark: SparkSession, steps: dict) -> dict:
     """Run independent Spark jobs from driver threads so their tasks share the cluster.
 
@@ -90,8 +101,9 @@ def land_source(
     raw_root: str,
     records_per_file: int | None = None,
     load: str | None = None,
+    verify: bool = True,
 ) -> dict[str, int]:
-    """Land one source CSV file (or folder) into the raw zone in file order (K6, K8).
+    """Land one source CSV file (or folder) into the raw zone in file order (K6, K8, T7).
 
     With ``load`` (e.g. ``2024-05``) the chunks go to ``<folder>/load=<load>/``
     and earlier loads stay in place, for incremental refreshes; without it the
@@ -103,8 +115,11 @@ def land_source(
     """
     n = records_per_file or DEFAULT_CHUNK_RECORDS[dataset]
     df = read_csv(spark, source, sep=RAW_DELIMITERS[dataset])
-    dest = join_path(raw_root, RAW_FOLDERS[dataset], *([f"load={load}"] if load else []))
-    return land_chunked_csv(df, dest, n, order_by=None, sep=RAW_DELIMITERS[dataset])
+    dest = _raw_dest(raw_root, dataset, load)
+    out = land_chunked_csv(df, dest, n, order_by=None, sep=RAW_DELIMITERS[dataset])
+    if verify:
+        _verify_landed(spark, dest, out)
+    return out
 
 
 def raw_file_count(spark: SparkSession, raw_root: str, expected: int | None = None) -> DataFrame:
@@ -145,7 +160,7 @@ def build_cities_table(spark: SparkSession, raw_root: str, lake_root: str) -> in
 def _stage_and_weather(spark: SparkSession, raw_root: str, lake_root: str) -> tuple[DataFrame, dict[str, int]]:
     """Parse the raw accidents once into a typed staging table, then build the weather dimension (T3) from it."""
     typed = transforms.typed_accidents(read_raw_dataset(spark, raw_root, "accidents", columns=ACCIDENT_RAW_COLUMNS))
-    staging = scratch_path(spark, "staging", "accidents_typed")
+    staging = staging_path(spark, lake_root, "accidents_typed")
     rows = write_table(typed, staging)
     staged = spark.read.schema(typed.schema).parquet(staging)
     weather = write_table(transforms.weather_from_typed(staged), join_path(lake_root, "weather_conditions"))
@@ -258,7 +273,9 @@ def check_lake(
     for name, df in t.items():
         if df is None:
             parts.append(
-                spark.createDataFrame([("non_empty", name, 0, False)], "check_name string, table_name string, observed bigint, passed boolean")
+                spark.createDataFrame(
+                    [("non_empty", name, 0, False)], "check_name string, table_name string, observed bigint, passed boolean"
+                )
             )
     acc = t["accidents"]
     if acc is not None:
@@ -297,17 +314,17 @@ def check_lake(
                         ((F.col("orphans") == 0) | (F.col("fk") == "airport")).alias("passed"),
                     )
                 )
-        pk = quality.pk_unique(acc, "accidents", ["accident_id"])
-        parts.append(pk.select(F.lit("pk_unique").alias("check_name"), "table_name", (F.col("n") - F.col("keys")).alias("observed"), "passed"))
+        parts.append(quality.key_check(acc, "accidents", ["accident_id"]))
     if t["cities"] is not None:
-        parts.append(quality.table_checks(t["cities"], "cities", [quality.non_empty_check(), quality.pattern_check("state_code", state_code_pattern, "state_code_format")]))
-        for key, label in ((["city_id"], "pk_unique"), (["city_name", "state_code"], "join_key_unique")):
-            pk = quality.pk_unique(t["cities"], "cities", key)
-            parts.append(pk.select(F.lit(label).alias("check_name"), "table_name", (F.col("n") - F.col("keys")).alias("observed"), "passed"))
+        city_checks = [quality.non_empty_check(), quality.pattern_check("state_code", state_code_pattern, "state_code_format")]
+        parts.append(quality.table_checks(t["cities"], "cities", city_checks))
+        parts.append(quality.key_check(t["cities"], "cities", ["city_id"]))
+        # the fact joins cities on (name, state code): it must be unique too, or the join fans out
+        parts.append(quality.key_check(t["cities"], "cities", ["city_name", "state_code"], "join_key_unique"))
     if t["airports"] is not None:
-        parts.append(quality.table_checks(t["airports"], "airports", [quality.non_empty_check(), quality.length_check("airport_code", airport_code_length, "airport_code_format")]))
-        pk = quality.pk_unique(t["airports"], "airports", ["airport_code"])
-        parts.append(pk.select(F.lit("pk_unique").alias("check_name"), "table_name", (F.col("n") - F.col("keys")).alias("observed"), "passed"))
+        airport_checks = [quality.non_empty_check(), quality.length_check("airport_code", airport_code_length, "airport_code_format")]
+        parts.append(quality.table_checks(t["airports"], "airports", airport_checks))
+        parts.append(quality.key_check(t["airports"], "airports", ["airport_code"]))
     if t["weather_conditions"] is not None:
         parts.append(quality.table_checks(t["weather_conditions"], "weather_conditions", [quality.non_empty_check()]))
     return quality.report(parts)

@@ -95,6 +95,13 @@ def pk_unique(df: DataFrame, table_name: str, key: list[str]) -> DataFrame:
     ).select(F.lit(table_name).alias("table_name"), "n", "keys", (F.col("n") == F.col("keys")).alias("passed"))
 
 
+def key_check(df: DataFrame, table_name: str, key: list[str], check_name: str = "pk_unique") -> DataFrame:
+    """``pk_unique`` as a report row: observed = rows minus distinct keys."""
+    return pk_unique(df, table_name, key).select(
+        F.lit(check_name).alias("check_name"), "table_name", (F.col("n") - F.col("keys")).alias("observed"), "passed"
+    )
+
+
 def with_reference_hits(
     fact: DataFrame, refs: list[tuple[str, str, DataFrame, str]], max_broadcast_rows: int = MAX_BROADCAST_ROWS
 ) -> tuple[DataFrame, list[DataFrame]] | tuple[None, list[DataFrame]]:
