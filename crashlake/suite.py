@@ -73,10 +73,6 @@ def _lake(spark, fx: Fixture, table: str) -> DataFrame:
     return read_table(spark, fx.lake_root, table)
 
 
-def _ctx(spark, sf_dir):
-    return fixture(spark, sf_dir)
-
-
 # ---------------------------------------------------------------- scans
 
 
@@ -89,7 +85,7 @@ def q_scan_csv_comma(spark, sf_dir):
 
 
 def q_scan_csv_semicolon(spark, sf_dir):
-    fx = _ctx(spark, sf_dir)
+    fx = fixture(spark, sf_dir)
     return _raw(spark, fx, "cities").select(F.col("City").alias("city"), F.col("State").alias("state"))
 
 
@@ -98,36 +94,36 @@ def q_scan_parquet_flat(spark, sf_dir):
 
 
 def q_scan_parquet_part1(spark, sf_dir):
-    return _lake(spark, _ctx(spark, sf_dir), "airports").select("airport_code", "state")
+    return _lake(spark, fixture(spark, sf_dir), "airports").select("airport_code", "state")
 
 
 def q_scan_parquet_part2(spark, sf_dir):
-    return _lake(spark, _ctx(spark, sf_dir), "accidents").select("accident_id", "year", "month")
+    return _lake(spark, fixture(spark, sf_dir), "accidents").select("accident_id", "year", "month")
 
 
 # ---------------------------------------------------------------- sinks
 
 
 def q_sink_flat_roundtrip(spark, sf_dir):
-    return _lake(spark, _ctx(spark, sf_dir), "cities").select(
+    return _lake(spark, fixture(spark, sf_dir), "cities").select(
         "city_id", "city_name", "state", "state_code", "total_population"
     )
 
 
 def q_sink_part1_roundtrip(spark, sf_dir):
-    return _lake(spark, _ctx(spark, sf_dir), "airports").groupBy("state").agg(F.count(F.lit(1)).alias("n"))
+    return _lake(spark, fixture(spark, sf_dir), "airports").groupBy("state").agg(F.count(F.lit(1)).alias("n"))
 
 
 def q_sink_part2_roundtrip(spark, sf_dir):
     return (
-        _lake(spark, _ctx(spark, sf_dir), "accidents")
+        _lake(spark, fixture(spark, sf_dir), "accidents")
         .groupBy("year", "month")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
 
 def q_sql_preview(spark, sf_dir):
-    fx = _ctx(spark, sf_dir)
+    fx = fixture(spark, sf_dir)
     tables = fx.extras.get("tables")
     if tables is None:
         tables = register_lake_tables(spark, fx.lake_root, f"lake_{fx.root.rstrip('/').rsplit('/', 2)[-2]}")
@@ -136,11 +132,11 @@ def q_sql_preview(spark, sf_dir):
 
 
 def q_preview_5(spark, sf_dir):
-    return marts.preview(_lake(spark, _ctx(spark, sf_dir), "accidents"), 5)
+    return marts.preview(_lake(spark, fixture(spark, sf_dir), "accidents"), 5)
 
 
 def q_load_report(spark, sf_dir):
-    fx = _ctx(spark, sf_dir)
+    fx = fixture(spark, sf_dir)
     return quality.load_report(
         _raw(spark, fx, "accidents"),
         _lake(spark, fx, "accidents"),
@@ -150,7 +146,7 @@ def q_load_report(spark, sf_dir):
 
 
 def _orders_chunks(spark, sf_dir) -> str:
-    fx = _ctx(spark, sf_dir)
+    fx = fixture(spark, sf_dir)
     path = fx.extras.get("orders_chunks")
     if path is None:
         path = scratch_path(spark, "orders_chunks")
@@ -179,7 +175,7 @@ def q_chunk_sizes(spark, sf_dir):
 
 
 def q_land_raw_counts(spark, sf_dir):
-    fx = _ctx(spark, sf_dir)
+    fx = fixture(spark, sf_dir)
     parts = []
     for name in ("accidents", "cities", "airports"):
         path = join_path(fx.raw_root, RAW_FOLDERS[name])
@@ -194,19 +190,19 @@ def q_land_raw_counts(spark, sf_dir):
 
 
 def q_file_keys(spark, sf_dir):
-    fx = _ctx(spark, sf_dir)
+    fx = fixture(spark, sf_dir)
     return file_inventory(spark, fx.raw_root, "*.csv").select("key", "length")
 
 
 def q_dq_file_count(spark, sf_dir):
-    return jobs.raw_file_count(spark, _ctx(spark, sf_dir).raw_root)
+    return jobs.raw_file_count(spark, fixture(spark, sf_dir).raw_root)
 
 
 # ---------------------------------------------------------------- projections
 
 
 def q_project_subset(spark, sf_dir):
-    raw = _raw(spark, _ctx(spark, sf_dir), "accidents")
+    raw = _raw(spark, fixture(spark, sf_dir), "accidents")
     return raw.select(
         F.col("ID").alias("id"),
         F.col("Start_Time").alias("start_time"),
@@ -217,42 +213,42 @@ def q_project_subset(spark, sf_dir):
 
 
 def q_project_rename(spark, sf_dir):
-    raw = _raw(spark, _ctx(spark, sf_dir), "accidents")
+    raw = _raw(spark, fixture(spark, sf_dir), "accidents")
     return raw.select(F.col("ID").alias("accident_id"), F.col("Weather_Condition").alias("condition"))
 
 
 def q_project_duplicate(spark, sf_dir):
-    return _lake(spark, _ctx(spark, sf_dir), "airports").select("airport_code", "state", "state_code")
+    return _lake(spark, fixture(spark, sf_dir), "airports").select("airport_code", "state", "state_code")
 
 
 def q_project_computed(spark, sf_dir):
-    raw = _raw(spark, _ctx(spark, sf_dir), "accidents")
+    raw = _raw(spark, fixture(spark, sf_dir), "accidents")
     return raw.select(F.col("ID").alias("id"), F.concat("City", F.lit(", "), "State").alias("place"))
 
 
 def q_surrogate_key_city(spark, sf_dir):
-    return _lake(spark, _ctx(spark, sf_dir), "cities").select("city_id", "city_name", "state")
+    return _lake(spark, fixture(spark, sf_dir), "cities").select("city_id", "city_name", "state")
 
 
 def q_surrogate_key_weather(spark, sf_dir):
-    return _lake(spark, _ctx(spark, sf_dir), "weather_conditions").select("weather_condition_id", "condition")
+    return _lake(spark, fixture(spark, sf_dir), "weather_conditions").select("weather_condition_id", "condition")
 
 
 def q_typed_fact(spark, sf_dir):
-    return _lake(spark, _ctx(spark, sf_dir), "accidents").select("accident_id", "severity", "distance", "datetime")
+    return _lake(spark, fixture(spark, sf_dir), "accidents").select("accident_id", "severity", "distance", "datetime")
 
 
 # ---------------------------------------------------------------- filters
 
 
 def q_filter_eq(spark, sf_dir):
-    fx = _ctx(spark, sf_dir)
+    fx = fixture(spark, sf_dir)
     raw = _raw(spark, fx, "airports")
     return raw.filter(F.col("continent") == fx.params.continent).select("ident", "continent")
 
 
 def q_filter_and(spark, sf_dir):
-    fx = _ctx(spark, sf_dir)
+    fx = fixture(spark, sf_dir)
     raw = _raw(spark, fx, "airports")
     return (
         raw.filter(F.col("continent") == fx.params.continent)
@@ -265,7 +261,7 @@ def q_filter_and(spark, sf_dir):
 
 
 def q_join_inner_composite(spark, sf_dir):
-    fx = _ctx(spark, sf_dir)
+    fx = fixture(spark, sf_dir)
     raw = _raw(spark, fx, "accidents").select(F.col("ID").alias("id"), F.col("City").alias("_city"), F.col("State").alias("_state"))
     c = _lake(spark, fx, "cities").select("city_id", F.col("city_name").alias("_cn"), F.col("state_code").alias("_cs"))
     j = dimension_join(raw, c, (F.col("_city") == F.col("_cn")) & (F.col("_state") == F.col("_cs")), "inner")
@@ -273,21 +269,21 @@ def q_join_inner_composite(spark, sf_dir):
 
 
 def q_join_left_using(spark, sf_dir):
-    fx = _ctx(spark, sf_dir)
+    fx = fixture(spark, sf_dir)
     raw = _raw(spark, fx, "accidents").select(F.col("ID").alias("id"), F.col("Airport_Code").alias("airport_code"))
     a = _lake(spark, fx, "airports").select("airport_code", "type")
     return dimension_join(raw, a, "airport_code", "left").select("id", "airport_code", "type")
 
 
 def q_join_left_null_key(spark, sf_dir):
-    fx = _ctx(spark, sf_dir)
+    fx = fixture(spark, sf_dir)
     raw = _raw(spark, fx, "accidents").select(F.col("ID").alias("id"), F.col("Weather_Condition").alias("_w"))
     w = _lake(spark, fx, "weather_conditions")
     return dimension_join(raw, w, F.col("_w") == F.col("condition"), "left").select("id", "weather_condition_id")
 
 
 def q_star_enrich(spark, sf_dir):
-    fx = _ctx(spark, sf_dir)
+    fx = fixture(spark, sf_dir)
     typed = transforms.typed_accidents(_raw(spark, fx, "accidents"))
     out = transforms.enrich(
         typed, _lake(spark, fx, "cities"), _lake(spark, fx, "weather_conditions"), _lake(spark, fx, "airports")
@@ -299,17 +295,17 @@ def q_star_enrich(spark, sf_dir):
 
 
 def q_agg_count_all(spark, sf_dir):
-    return _lake(spark, _ctx(spark, sf_dir), "accidents").agg(F.count(F.lit(1)).alias("n"))
+    return _lake(spark, fixture(spark, sf_dir), "accidents").agg(F.count(F.lit(1)).alias("n"))
 
 
 def q_dedupe_composite(spark, sf_dir):
-    typed = transforms.typed_cities(_raw(spark, _ctx(spark, sf_dir), "cities"))
+    typed = transforms.typed_cities(_raw(spark, fixture(spark, sf_dir), "cities"))
     kept = keep_smallest(typed.select("city_name", "state_name", "total_population"), ["city_name", "state_name"], ["total_population"])
     return kept.select(F.col("city_name").alias("city"), F.col("state_name").alias("state"), "total_population")
 
 
 def q_dedupe_null_group(spark, sf_dir):
-    raw = _raw(spark, _ctx(spark, sf_dir), "accidents")
+    raw = _raw(spark, fixture(spark, sf_dir), "accidents")
     return distinct_values(raw.select(F.col("Weather_Condition").alias("condition")), ["condition"])
 
 
@@ -317,59 +313,59 @@ def q_dedupe_null_group(spark, sf_dir):
 
 
 def q_sql_count_month(spark, sf_dir):
-    fx = _ctx(spark, sf_dir)
+    fx = fixture(spark, sf_dir)
     return marts.count_in_month(_lake(spark, fx, "accidents"), fx.params.year, fx.params.month)
 
 
 def q_sql_city_accidents(spark, sf_dir):
-    fx = _ctx(spark, sf_dir)
+    fx = fixture(spark, sf_dir)
     return marts.accidents_in_city(
         _lake(spark, fx, "accidents"), _lake(spark, fx, "cities"), fx.params.city_name, fx.params.city_state
     )
 
 
 def q_sql_by_state(spark, sf_dir):
-    fx = _ctx(spark, sf_dir)
+    fx = fixture(spark, sf_dir)
     return marts.accidents_by_state(_lake(spark, fx, "accidents"), _lake(spark, fx, "cities"))
 
 
 def q_mart_city_total(spark, sf_dir):
-    fx = _ctx(spark, sf_dir)
+    fx = fixture(spark, sf_dir)
     return marts.city_total(
         _lake(spark, fx, "accidents"), _lake(spark, fx, "cities"), fx.params.city_name, fx.params.city_state
     )
 
 
 def q_mart_by_weather(spark, sf_dir):
-    fx = _ctx(spark, sf_dir)
+    fx = fixture(spark, sf_dir)
     return marts.by_weather(_lake(spark, fx, "accidents"), _lake(spark, fx, "weather_conditions"))
 
 
 def q_mart_by_city(spark, sf_dir):
-    fx = _ctx(spark, sf_dir)
+    fx = fixture(spark, sf_dir)
     return marts.by_city(_lake(spark, fx, "accidents"), _lake(spark, fx, "cities"))
 
 
 def q_mart_by_airport(spark, sf_dir):
-    return marts.by_airport(_lake(spark, _ctx(spark, sf_dir), "accidents"))
+    return marts.by_airport(_lake(spark, fixture(spark, sf_dir), "accidents"))
 
 
 # ---------------------------------------------------------------- scalar functions
 
 
 def q_fn_to_date(spark, sf_dir):
-    raw = _raw(spark, _ctx(spark, sf_dir), "accidents")
+    raw = _raw(spark, fixture(spark, sf_dir), "accidents")
     return raw.select(F.col("ID").alias("id"), safe_date("Start_Time").alias("d"))
 
 
 def q_fn_year_month(spark, sf_dir):
-    raw = _raw(spark, _ctx(spark, sf_dir), "accidents")
+    raw = _raw(spark, fixture(spark, sf_dir), "accidents")
     d = safe_date("Start_Time")
     return raw.select(F.col("ID").alias("id"), F.year(d).alias("y"), F.month(d).alias("m"))
 
 
 def q_fn_state_code(spark, sf_dir):
-    raw = _raw(spark, _ctx(spark, sf_dir), "airports")
+    raw = _raw(spark, fixture(spark, sf_dir), "airports")
     return raw.select("ident", state_code("iso_region").alias("state_code"))
 
 
@@ -377,14 +373,14 @@ def q_fn_state_code(spark, sf_dir):
 
 
 def q_dq_non_empty(spark, sf_dir):
-    fx = _ctx(spark, sf_dir)
+    fx = fixture(spark, sf_dir)
     return quality.non_empty(
         {t: _lake(spark, fx, t) for t in ("accidents", "cities", "airports", "weather_conditions")}
     )
 
 
 def q_profile_nulls(spark, sf_dir):
-    raw = _raw(spark, _ctx(spark, sf_dir), "accidents")
+    raw = _raw(spark, fixture(spark, sf_dir), "accidents")
     return quality.null_profile(
         raw,
         {"start_time": safe_date("Start_Time"), "weather_condition": F.col("Weather_Condition"), "city": F.col("City")},
@@ -392,13 +388,13 @@ def q_profile_nulls(spark, sf_dir):
 
 
 def q_profile_duplicates(spark, sf_dir):
-    typed = transforms.typed_cities(_raw(spark, _ctx(spark, sf_dir), "cities"))
+    typed = transforms.typed_cities(_raw(spark, fixture(spark, sf_dir), "cities"))
     cities = typed.select(F.col("city_name").alias("city"), F.col("state_name").alias("state"), "total_population")
     return quality.duplicate_profile(cities, ["city", "state"], "total_population")
 
 
 def q_dq_pk_unique(spark, sf_dir):
-    fx = _ctx(spark, sf_dir)
+    fx = fixture(spark, sf_dir)
     lineitem = standins.table(spark, sf_dir, "lineitem")
     return quality.pk_unique(_lake(spark, fx, "accidents"), "accidents", ["accident_id"]).unionByName(
         quality.pk_unique(lineitem, "lineitem", ["l_orderkey", "l_linenumber"])
@@ -406,7 +402,7 @@ def q_dq_pk_unique(spark, sf_dir):
 
 
 def q_dq_fk_orphans(spark, sf_dir):
-    fx = _ctx(spark, sf_dir)
+    fx = fixture(spark, sf_dir)
     return quality.fk_orphans(
         _lake(spark, fx, "accidents"),
         [
@@ -418,21 +414,21 @@ def q_dq_fk_orphans(spark, sf_dir):
 
 
 def q_dq_range(spark, sf_dir):
-    acc = _lake(spark, _ctx(spark, sf_dir), "accidents")
+    acc = _lake(spark, fixture(spark, sf_dir), "accidents")
     return quality.table_checks(acc, "accidents", [quality.range_check("severity", 1, 4)]).select(
         F.col("observed").alias("violations")
     )
 
 
 def q_dq_format(spark, sf_dir):
-    fx = _ctx(spark, sf_dir)
+    fx = fixture(spark, sf_dir)
     acc = _lake(spark, fx, "accidents")
     check = quality.length_check("airport_code", fx.params.airport_code_length)
     return quality.table_checks(acc, "accidents", [check]).select(F.col("observed").alias("violations"))
 
 
 def q_dq_report(spark, sf_dir):
-    acc = _lake(spark, _ctx(spark, sf_dir), "accidents")
+    acc = _lake(spark, fixture(spark, sf_dir), "accidents")
     return quality.report(
         [
             quality.table_checks(
@@ -467,23 +463,23 @@ def q_stream_refresh(spark, sf_dir):
 
 
 def q_build_airports(spark, sf_dir):
-    return _lake(spark, _ctx(spark, sf_dir), "airports").select(
+    return _lake(spark, fixture(spark, sf_dir), "airports").select(
         "airport_code", "state", "state_code", "type", "name", "municipality"
     )
 
 
 def q_build_cities(spark, sf_dir):
-    return _lake(spark, _ctx(spark, sf_dir), "cities").select(
+    return _lake(spark, fixture(spark, sf_dir), "cities").select(
         "city_id", "city_name", "state", "state_code", "total_population"
     )
 
 
 def q_build_weather(spark, sf_dir):
-    return _lake(spark, _ctx(spark, sf_dir), "weather_conditions").select("weather_condition_id", "condition")
+    return _lake(spark, fixture(spark, sf_dir), "weather_conditions").select("weather_condition_id", "condition")
 
 
 def q_build_accidents(spark, sf_dir):
-    return _lake(spark, _ctx(spark, sf_dir), "accidents").select(
+    return _lake(spark, fixture(spark, sf_dir), "accidents").select(
         "accident_id", "year", "month", "datetime", "severity", "distance", "description", "airport_code",
         "city_id", "weather_condition_id",
     )
