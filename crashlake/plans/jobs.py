@@ -157,12 +157,22 @@ def build_cities_table(spark: SparkSession, raw_root: str, lake_root: str) -> in
     return write_table(transforms.build_cities(raw), join_path(lake_root, "cities"))
 
 
+BUILD_FILES = "_build_files"
+
+
 def _stage_and_weather(spark: SparkSession, raw_root: str, lake_root: str) -> tuple[DataFrame, dict[str, int]]:
-    """Parse the raw accidents once into a typed staging table, then build the weather dimension (T3) from it."""
-    typed = transforms.typed_accidents(read_raw_dataset(spark, raw_root, "accidents", columns=ACCIDENT_RAW_COLUMNS))
+    """Parse the raw accidents once into a typed staging table, then build the weather dimension (T3) from it.
+
+    Each staged row keeps the name of the raw file it came from; the distinct
+    names are written to ``<lake>/_build_files`` so an incremental refresh
+    can skip files this build already loaded.
+    """
+    raw = read_raw_dataset(spark, raw_root, "accidents", columns=ACCIDENT_RAW_COLUMNS)
+    typed = transforms.typed_accidents(raw).withColumn("_source_file", F.input_file_name())
     staging = staging_path(spark, lake_root, "accidents_typed")
     rows = write_table(typed, staging)
     staged = spark.read.schema(typed.schema).parquet(staging)
+    write_table(staged.select("_source_file").distinct(), join_path(lake_root, BUILD_FILES))
     weather = write_table(transforms.weather_from_typed(staged), join_path(lake_root, "weather_conditions"))
     return staged, {"raw_accidents": rows, "weather_conditions": weather}
 

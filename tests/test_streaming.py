@@ -60,3 +60,30 @@ def test_refresh_job_updates_marts(spark, tmp_path):
     jobs.main(["refresh", raw, lake, marts_root, ckpt])
     by_state = {r["state"]: r["accident_count"] for r in spark.read.parquet(f"{marts_root}/by_state").collect()}
     assert by_state == {"OH": 3, "CA": 1, "IL": 1}
+
+
+def test_ledger_skips_committed_and_repairs_half_written_batches(spark, tmp_path):
+    from crashlake.sinks import write_table
+    from crashlake.streaming.refresh import _mark
+
+    raw, lake = str(tmp_path / "raw"), str(tmp_path / "lake")
+    _raw_zone(raw)
+    jobs.build_lake(spark, raw, lake)
+    write_csv_file(f"{raw}/accident_data/load=2/chunk=0/part.csv", ACCIDENT_HEADER, ACCIDENTS[3:])
+    batch = read_raw_dataset(spark, raw, "accidents").filter(F.col("ID").isin("A-4", "A-5", "A-6"))
+
+    first = refresh_batch(spark, batch, lake, stream="s1", batch_id=0)
+    assert first["accidents"] == 2
+    assert refresh_batch(spark, batch, lake, stream="s1", batch_id=0) == {"weather_conditions": 0, "accidents": 0}
+    assert read_table(spark, lake, "accidents").count() == 5
+
+    # a crash after some rows of batch 1 landed: started, not committed
+    more = read_raw_dataset(spark, raw, "accidents").filter(F.col("ID") == "A-4").withColumn("ID", F.lit("A-7"))
+    _mark(spark, lake, "s1", 1, "started")
+    from crashlake.plans import transforms
+    partial = transforms.build_accidents(more, read_table(spark, lake, "cities"), read_table(spark, lake, "weather_conditions"))
+    write_table(partial, f"{lake}/accidents", ["year", "month"], mode="append")
+    replayed = refresh_batch(spark, more, lake, stream="s1", batch_id=1)
+    assert replayed["accidents"] == 0
+    ids = [r[0] for r in read_table(spark, lake, "accidents").select("accident_id").collect()]
+    assert sorted(ids) == ["A-1", "A-2", "A-3", "A-4", "A-6", "A-7"]
