@@ -101,3 +101,22 @@ def test_landing_moves_only_straddling_chunks(spark, tmp_path):
     assert files.count() == 32
     back = read_csv(spark, str(tmp_path / "c"), recursive=False)
     assert sorted((int(r["k"]) // 64, r["chunk"]) for r in back.collect()) == [(k // 64, k // 64) for k in range(2000)]
+
+
+def test_file_order_landing_of_split_files(spark, tmp_path):
+    src = tmp_path / "src"
+    src.mkdir()
+    for k, n in (("b", 3000), ("a", 2000)):
+        (src / f"{k}.csv").write_text("v\n" + "".join(f"{k}{i:06d}\n" for i in range(n)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        df = spark.read.option("header", True).csv(str(src))
+        out = land_chunked_csv(df, str(tmp_path / "c"), 300, None)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert out == {"rows": 5000, "chunks": 17}
+    assert file_inventory(spark, str(tmp_path / "c"), "*.csv").count() == 17
+    back = read_csv(spark, str(tmp_path / "c"), recursive=False)
+    expected = [f"a{i:06d}" for i in range(2000)] + [f"b{i:06d}" for i in range(3000)]
+    assert sorted((r["chunk"], r["v"]) for r in back.collect()) == [(i // 300, v) for i, v in enumerate(expected)]
