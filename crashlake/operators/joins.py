@@ -42,11 +42,11 @@ def dimension_join(
     keeps null-key rows out of the exchange (see the module note).
     """
     side, small = sized_broadcast(dim, max_broadcast_rows)
-    if small or not fact_keys or how not in ("inner", "left"):
+    if small or not fact_keys or how not in ("inner", "left", "left_semi"):
         return fact.join(side, on=on, how=how)
     keyed = reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in fact_keys])
     joined = fact.filter(keyed).join(dim, on=on, how=how)
-    if how == "inner":
+    if how in ("inner", "left_semi"):
         return joined
     unmatched = fact.filter(~keyed)
     extra = [f for f in joined.schema.fields if f.name not in set(fact.columns)]

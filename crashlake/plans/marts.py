@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from crashlake.operators.joins import dimension_join
+
 
 def _count(alias: str = "n"):
     return F.count(F.lit(1)).alias(alias)
@@ -33,17 +35,14 @@ def _city(cities: DataFrame, city_name: str, state: str) -> DataFrame:
 def accidents_in_city(accidents: DataFrame, cities: DataFrame, city_name: str, state: str) -> DataFrame:
     """All facts of one city (V3): the dimension filter is applied first, the few matching ids join the fact."""
     c = _city(cities, city_name, state).select("city_id", "city_name", "state")
-    return (
-        accidents.select("city_id", "description", "accident_id")
-        .join(F.broadcast(c), "city_id")
-        .select("city_name", "state", "description", "accident_id")
-    )
+    joined = dimension_join(accidents.select("city_id", "description", "accident_id"), c, "city_id")
+    return joined.select("city_name", "state", "description", "accident_id")
 
 
 def city_total(accidents: DataFrame, cities: DataFrame, city_name: str, state: str) -> DataFrame:
     """Number of facts in one city (A6), a semi join on the filtered dimension."""
     ids = _city(cities, city_name, state).select("city_id")
-    return accidents.select("city_id").join(F.broadcast(ids), "city_id", "left_semi").agg(_count())
+    return dimension_join(accidents.select("city_id"), ids, "city_id", "left_semi").agg(_count())
 
 
 def _per_city(accidents: DataFrame) -> DataFrame:
