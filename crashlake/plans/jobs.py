@@ -267,10 +267,14 @@ def check_lake(
     lake_root: str,
     airport_code_length: int = 4,
     state_code_pattern: str = "^[A-Z]{2}$",
+    raw_root: str | None = None,
 ) -> DataFrame:
     """Full data-quality report of a built lake (T6, Q1-Q11).
 
     A table whose folder is missing is reported as empty instead of raising.
+    With ``raw_root`` the raw zone is profiled too (Q6, Q7): missing values of
+    the accident columns the build parses and duplicated (City, State) keys of
+    the city source - reported, not failed.
     """
     t = {}
     for name in ("accidents", "cities", "airports", "weather_conditions"):
@@ -295,6 +299,8 @@ def check_lake(
             quality.length_check("airport_code", airport_code_length, "airport_code_format"),
             # unparseable start times land in the null partition; reported, not failed
             quality.null_check("datetime", "datetime_nulls", rule="report"),
+            quality.null_check("weather_condition_id", "weather_nulls", rule="report"),
+            quality.null_check("airport_code", "airport_code_nulls", rule="report"),
         ]
         refs = [
             (name, fk, t[dim], pk)
@@ -337,9 +343,46 @@ def check_lake(
         parts.append(quality.key_check(t["airports"], "airports", ["airport_code"]))
     if t["weather_conditions"] is not None:
         parts.append(quality.table_checks(t["weather_conditions"], "weather_conditions", [quality.non_empty_check()]))
+    if raw_root is not None:
+        parts.extend(_raw_profile(spark, raw_root))
     return quality.report(parts)
 
 
+def _raw_profile(spark: SparkSession, raw_root: str) -> list[DataFrame]:
+    """Q6/Q7 on the raw zone as report rows (never failing)."""
+    from crashlake.functions import safe_date
+
+    acc = read_raw_dataset(spark, raw_root, "accidents", columns=ACCIDENT_RAW_COLUMNS)
+    missing = quality.null_profile(
+        acc,
+        {
+            "Start_Time": safe_date("Start_Time"),
+            "City": F.col("City"),
+            "State": F.col("State"),
+            "Weather_Condition": F.col("Weather_Condition"),
+            "Airport_Code": F.col("Airport_Code"),
+        },
+    ).select(
+        F.concat(F.lit("missing_"), F.col("column_name")).alias("check_name"),
+        F.lit("raw_accidents").alias("table_name"),
+        F.col("nulls").alias("observed"),
+        F.lit(True).alias("passed"),
+    )
+    cities = transforms.typed_cities(read_raw_dataset(spark, raw_root, "cities", columns=CITY_RAW_COLUMNS))
+    dups = quality.duplicate_profile(cities, ["city_name", "state_name"], "total_population").agg(
+        F.count(F.lit(1)).alias("keys"), F.count(F.when(F.col("variants") > 1, 1)).alias("conflicting")
+    )
+    dup_rows = dups.select(
+        F.inline(
+            F.array(
+                F.struct(F.lit("duplicate_keys").alias("check_name"), F.col("keys").alias("observed")),
+                F.struct(F.lit("conflicting_duplicates").alias("check_name"), F.col("conflicting").alias("observed")),
+            )
+        )
+    ).select("check_name", F.lit("raw_cities").alias("table_name"), "observed", F.lit(True).alias("passed"))
+    return [missing, dup_rows]
+
+
 def main(argv: list[str] | None = None) -> None:
     from crashlake.config import local_session
 
@@ -367,6 +410,7 @@ def main(argv: list[str] | None = None) -> None:
     c = sub.add_parser("check", help="write the data-quality report and fail on a failed check")
     c.add_argument("lake_root")
     c.add_argument("report_path")
+    c.add_argument("--raw-root", default=None, help="also profile the raw zone (missing values, duplicate keys)")
     args = ap.parse_args(argv)
     spark = local_session() if SparkSession.getActiveSession() is None else SparkSession.getActiveSession()
     if args.cmd == "land":
@@ -384,7 +428,7 @@ def main(argv: list[str] | None = None) -> None:
         print(build_lake(spark, args.raw_root, args.lake_root).rows if args.table == "all" else one[args.table]())
     else:
         path = args.report_path
-        write_table(check_lake(spark, args.lake_root), path)
+        write_table(check_lake(spark, args.lake_root, raw_root=args.raw_root), path)
         failed = spark.read.parquet(path).filter(~F.col("passed")).limit(20).collect()
         if failed:
             raise SystemExit(f"data-quality checks failed: {[tuple(r) for r in failed]}")

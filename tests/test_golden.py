@@ -94,7 +94,8 @@ def test_quality(spark, golden_raw, golden_lake):
 
     dup = quality.duplicate_profile(typed_cities(read_raw_dataset(spark, golden_raw, "cities")), ["city_name", "state_name"], "total_population")
     assert [(r["city_name"], r["state_name"], r["n"], r["variants"]) for r in dup.collect()] == [("Dayton", "Ohio", 2, 1)]
-    rep = {(r["check_name"], r["table_name"]): (r["observed"], r["passed"]) for r in jobs.check_lake(spark, lake).collect()}
+    report = jobs.check_lake(spark, lake, raw_root=golden_raw)
+    rep = {(r["check_name"], r["table_name"]): (r["observed"], r["passed"]) for r in report.collect()}
     assert rep[("non_empty", "accidents")] == (5, True)
     assert rep[("severity_range", "accidents")] == (0, True)
     assert rep[("pk_unique", "accidents")] == (0, True)
@@ -102,6 +103,11 @@ def test_quality(spark, golden_raw, golden_lake):
     assert rep[("fk_city", "accidents")] == (0, True)
     assert rep[("fk_airport", "accidents")] == (1, True)  # unknown airports are reported, not failed
     assert rep[("non_empty", "weather_conditions")] == (4, True)
+    assert rep[("weather_nulls", "accidents")] == (1, True) and rep[("airport_code_nulls", "accidents")] == (1, True)
+    assert rep[("missing_Start_Time", "raw_accidents")] == (1, True)  # "not a date"
+    assert rep[("missing_Weather_Condition", "raw_accidents")] == (1, True)
+    assert rep[("duplicate_keys", "raw_cities")] == (1, True)  # (Dayton, Ohio) twice
+    assert rep[("conflicting_duplicates", "raw_cities")] == (0, True)
     assert all(p for _, p in rep.values())
 
 
