@@ -59,3 +59,26 @@ def test_by_state_aggregates_before_join(spark, golden_lake):
     # the fact is reduced to one row per city_id before it meets the dimension
     assert text.index("partial_count") < text.index("BroadcastHashJoin") or "partial_count" in text
     assert "SortMergeJoin" not in text
+
+
+def _shuffles(df):
+    tree = _formatted(df).split("\n\n")[0]
+    return sum(1 for line in tree.splitlines() if "Exchange" in line and "BroadcastExchange" not in line)
+
+
+def test_shuffle_budget(spark, golden_raw, golden_lake):
+    lake, _ = golden_lake
+    t = jobs.lake_tables(spark, lake)
+    acc, cities, weather = t["accidents"], t["cities"], t["weather_conditions"]
+    budget = {
+        "by_airport": (marts.by_airport(acc), 1),  # partial + final aggregate
+        "count_in_month": (marts.count_in_month(acc, 2016, 5), 1),  # global count
+        "by_city": (marts.by_city(acc, cities), 2),  # per city_id, then per (name, state)
+        "by_weather": (marts.by_weather(acc, weather), 2),
+        "by_state": (marts.accidents_by_state(acc, cities), 3),  # per city_id, per state, final sort
+        "city_total": (marts.city_total(acc, cities, "Dayton", "OH"), 1),
+        "accidents_in_city": (marts.accidents_in_city(acc, cities, "Dayton", "OH"), 0),
+        "fact_build": (transforms.build_accidents(read_raw_dataset(spark, golden_raw, "accidents"), cities, weather), 0),
+    }
+    over = {k: (_shuffles(df), limit) for k, (df, limit) in budget.items() if _shuffles(df) > limit}
+    assert not over, over
