@@ -181,7 +181,7 @@ def _fact(spark: SparkSession, staged: DataFrame, lake_root: str) -> int:
     fact = transforms.fact_from_typed(
         staged, read_table(spark, lake_root, "cities"), read_table(spark, lake_root, "weather_conditions")
     )
-    return write_table(fact, join_path(lake_root, "accidents"), ["year", "month"])
+    return write_table(fact, join_path(lake_root, "accidents"), ["year", "month"], cluster_by=["city_id"])
 
 
 def build_accidents_tables(spark: SparkSession, raw_root: str, lake_root: str) -> dict[str, int]:

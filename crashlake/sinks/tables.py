@@ -32,6 +32,7 @@ def write_table(
     partition_by: list[str] | None = None,
     dynamic: bool = False,
     mode: str = "overwrite",
+    cluster_by: list[str] | None = None,
 ) -> int:
     """Overwrite ``path`` with ``df`` as Parquet and return the number of rows written.
 
@@ -40,12 +41,18 @@ def write_table(
     splits a value that holds a large share of the rows into several tasks of
     the advisory size instead of one huge task. ``dynamic`` replaces only the
     partitions present in ``df`` (incremental loads); otherwise the whole table
-    is replaced; ``mode="append"`` adds files. The row count comes from an
-    observation on the write itself, not from an extra pass.
+    is replaced; ``mode="append"`` adds files. ``cluster_by`` sorts each task's
+    rows by the partition columns and then these columns - the sort the
+    partitioned writer needs anyway, extended - so every file holds narrow
+    ranges of them: better compression and row-group statistics that let a
+    filter on them skip data. The row count comes from an observation on the
+    write itself, not from an extra pass.
     """
     obs = Observation(f"write_{uuid.uuid4().hex[:8]}")
     tracked = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer_df = tracked.hint("rebalance", *partition_by) if partition_by else tracked
+    if cluster_by:
+        writer_df = writer_df.sortWithinPartitions(*(partition_by or []), *cluster_by)
     writer = writer_df.write.mode(mode).option(
         "partitionOverwriteMode", "dynamic" if dynamic else "static"
     )
