@@ -137,3 +137,9 @@ def test_dialect_round_trip_property(spark, tmp_path_factory, rows, sep):
     write_csv(spark.createDataFrame(rows, "id string, a string, b string"), path, sep=sep)
     back = sorted((tuple(r) for r in read_csv(spark, path, sep=sep).collect()), key=lambda r: int(r[0]))
     assert back == rows
+
+
+def test_landing_an_empty_dataset(spark, tmp_path):
+    empty = spark.createDataFrame([], "k long, v string")
+    assert land_chunked_csv(empty, str(tmp_path / "e"), 10, ["k"]) == {"rows": 0, "chunks": 0}
+    assert file_inventory(spark, str(tmp_path / "e"), "*.csv").count() == 0
