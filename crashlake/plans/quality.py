@@ -1,7 +1,7 @@
 """Data-quality checks (Q1-Q11) as DataFrames.
 
 Checks that read the same table are computed in one aggregate (one scan) and
-unpivoted with ``stack``; the report is a union of such rows,
+unpivoted with ``inline``; the report is a union of such rows,
 ``(check_name, table_name, observed, passed)``. Only the job raises.
 """
 
