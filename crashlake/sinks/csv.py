@@ -86,11 +86,12 @@ def land_chunked_csv(
     if indexed.in_place and small:
         local = chunked.join(split, "chunk", "left_anti")
         moved = chunked.join(split, "chunk", "left_semi").repartition("chunk")
-        out = local.sortWithinPartitions("chunk", "_idx").select(*keep).unionByName(
-            moved.sortWithinPartitions("chunk", "_idx").select(*keep)
-        )
+        placed = local.unionByName(moved)
     else:
-        out = chunked.repartition("chunk").sortWithinPartitions("chunk", "_idx").select(*keep)
+        placed = chunked.repartition("chunk")
+    # Sort last: the writer needs rows grouped by chunk, and (chunk, _idx) satisfies
+    # that, so it adds no sort of its own that could reorder records within a chunk.
+    out = placed.sortWithinPartitions("chunk", "_idx").select(*keep)
     out.write.mode("overwrite").options(**CSV_DIALECT).option("sep", sep).partitionBy("chunk").csv(dest)
 
     rows = indexed.segments.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows")).head()["rows"]
