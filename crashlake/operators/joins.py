@@ -22,9 +22,15 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 2_000_000
 
 
-def sized_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Return ``(dim, broadcast?)`` with a broadcast hint only if ``dim`` has at most ``max_rows`` rows."""
-    small = dim.limit(max_rows + 1).count() <= max_rows
+def sized_broadcast(
+    dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, bound_by: DataFrame | None = None
+) -> tuple[DataFrame, bool]:
+    """Return ``(dim, broadcast?)`` with a broadcast hint only if ``dim`` has at most ``max_rows`` rows.
+
+    ``bound_by`` is a frame with at least as many rows as ``dim`` (e.g. the
+    table a distinct key set comes from) that is cheaper to count.
+    """
+    small = (bound_by if bound_by is not None else dim).limit(max_rows + 1).count() <= max_rows
     return (F.broadcast(dim) if small else dim), small
 
 

@@ -115,7 +115,7 @@ def with_reference_hits(
     sides, all_small = [], True
     for name, _, dim, pk in refs:
         keys = dim.select(F.col(pk).alias(f"_k_{name}")).distinct().withColumn(f"_hit_{name}", F.lit(True))
-        side, small = sized_broadcast(keys, max_broadcast_rows)
+        side, small = sized_broadcast(keys, max_broadcast_rows, bound_by=dim)  # distinct keys <= dimension rows
         sides.append(side)
         all_small = all_small and small
     if not all_small:
