@@ -82,7 +82,8 @@ def land_chunked_csv(
     chunked = indexed.frame.withColumn("chunk", F.floor(F.col("_idx") / F.lit(records_per_file)).cast("bigint"))
     keep = [F.col(f"`{c}`") for c in df.columns if c not in set(drop or [])] + [F.col("chunk")]
 
-    split, small = sized_broadcast(split_chunks(indexed.segments, records_per_file))
+    # split chunks <= segments (each is shared by two or more), so the segment count bounds them
+    split, small = sized_broadcast(split_chunks(indexed.segments, records_per_file), bound_by=indexed.segments)
     if indexed.in_place and small:
         local = chunked.join(split, "chunk", "left_anti")
         moved = chunked.join(split, "chunk", "left_semi").repartition("chunk")
