@@ -37,18 +37,20 @@ def read_csv(
     """Scan header CSV; every column is a string.
 
     Without ``schema`` the column names come from the header (one small job that
-    reads the first line). With ``schema`` the header is validated against it
-    (``enforceSchema=false``), so a file whose columns moved fails instead of
-    being read positionally. ``columns`` keeps a subset; the CSV parser then
+    reads the first line). Either way every file's header is validated against
+    the schema (``enforceSchema=false``), so a file whose columns moved fails
+    instead of being read positionally. ``columns`` keeps a subset; the CSV parser then
     tokenises only those columns. ``recursive`` reads chunk folders
     (``chunk=K/part-*.csv``) without turning folder names into columns.
     ``FAILFAST`` raises on a malformed record instead of dropping or padding it.
     """
-    reader = spark.read.options(**CSV_DIALECT).option("sep", sep).option("mode", mode)
+    # enforceSchema=false: every file's header is checked against the schema (given or taken from the
+    # first header), so a file whose columns moved fails instead of being read by position.
+    reader = spark.read.options(**CSV_DIALECT).option("sep", sep).option("mode", mode).option("enforceSchema", "false")
     if recursive:
         reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
     if schema is not None:
-        reader = reader.schema(schema).option("enforceSchema", "false")
+        reader = reader.schema(schema)
     df = reader.csv(path)
     if columns is not None:
         df = df.select(*[df[f"`{c}`"] for c in columns])

@@ -143,3 +143,14 @@ def test_landing_an_empty_dataset(spark, tmp_path):
     empty = spark.createDataFrame([], "k long, v string")
     assert land_chunked_csv(empty, str(tmp_path / "e"), 10, ["k"]) == {"rows": 0, "chunks": 0}
     assert file_inventory(spark, str(tmp_path / "e"), "*.csv").count() == 0
+
+
+def test_files_with_moved_columns_fail(spark, tmp_path):
+    p = tmp_path / "mixed"
+    p.mkdir()
+    (p / "a.csv").write_text("City,State\nDayton,OH\n")
+    (p / "b.csv").write_text("State,City\nCA,Los Angeles\n")
+    with pytest.raises(Exception):
+        read_csv(spark, str(p)).collect()
+    (p / "b.csv").write_text("City,State\nLos Angeles,CA\n")
+    assert sorted(tuple(r) for r in read_csv(spark, str(p)).collect()) == [("Dayton", "OH"), ("Los Angeles", "CA")]
