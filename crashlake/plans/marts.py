@@ -32,17 +32,40 @@ def _city(cities: DataFrame, city_name: str, state: str) -> DataFrame:
     return cities.filter((F.col("city_name") == city_name) & (F.col("state") == state))
 
 
+# Upper bound on ids used as a literal filter; beyond it the question is answered by a join.
+MAX_LITERAL_KEYS = 1000
+
+
+def _city_ids(cities: DataFrame, city_name: str, state: str) -> list[int] | None:
+    """Ids of one city (normally one), read from the dimension with a bounded lookup.
+
+    Used as a literal ``IN`` filter, the ids reach the fact's Parquet scan,
+    whose files are clustered by ``city_id``, so row groups of other cities
+    are skipped instead of the whole fact being read. ``None`` when more than
+    ``MAX_LITERAL_KEYS`` ids match.
+    """
+    rows = _city(cities, city_name, state).select("city_id").limit(MAX_LITERAL_KEYS + 1).collect()
+    return [r["city_id"] for r in rows] if len(rows) <= MAX_LITERAL_KEYS else None
+
+
 def accidents_in_city(accidents: DataFrame, cities: DataFrame, city_name: str, state: str) -> DataFrame:
-    """All facts of one city (V3): the dimension filter is applied first, the few matching ids join the fact."""
+    """All facts of one city (V3): the city's ids filter the fact scan, then the city columns are joined."""
     c = _city(cities, city_name, state).select("city_id", "city_name", "state")
-    joined = dimension_join(accidents.select("city_id", "description", "accident_id"), c, "city_id")
+    facts = accidents.select("city_id", "description", "accident_id")
+    ids = _city_ids(cities, city_name, state)
+    if ids is not None:
+        facts = facts.filter(F.col("city_id").isin(ids))
+    joined = dimension_join(facts, c, "city_id")
     return joined.select("city_name", "state", "description", "accident_id")
 
 
 def city_total(accidents: DataFrame, cities: DataFrame, city_name: str, state: str) -> DataFrame:
-    """Number of facts in one city (A6), a semi join on the filtered dimension."""
-    ids = _city(cities, city_name, state).select("city_id")
-    return dimension_join(accidents.select("city_id"), ids, "city_id", "left_semi").agg(_count())
+    """Number of facts in one city (A6): a filtered count, or a semi join beyond the literal bound."""
+    ids = _city_ids(cities, city_name, state)
+    if ids is not None:
+        return accidents.select("city_id").filter(F.col("city_id").isin(ids)).agg(_count())
+    keys = _city(cities, city_name, state).select("city_id")
+    return dimension_join(accidents.select("city_id"), keys, "city_id", "left_semi").agg(_count())
 
 
 def _per_city(accidents: DataFrame) -> DataFrame:

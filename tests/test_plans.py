@@ -82,3 +82,13 @@ def test_shuffle_budget(spark, golden_raw, golden_lake):
     }
     over = {k: (_shuffles(df), limit) for k, (df, limit) in budget.items() if _shuffles(df) > limit}
     assert not over, over
+
+
+def test_city_question_filters_the_fact_scan(spark, golden_lake):
+    lake, _ = golden_lake
+    t = jobs.lake_tables(spark, lake)
+    df = marts.accidents_in_city(t["accidents"], t["cities"], "Dayton", "OH")
+    text = _formatted(df)
+    assert "EqualTo(city_id,0)" in text or "In(city_id" in text  # pushed to the Parquet scan
+    assert sorted(r["accident_id"] for r in df.collect()) == ["A-1", "A-2"]
+    assert marts.city_total(t["accidents"], t["cities"], "Nowhere", "XX").head()["n"] == 0
