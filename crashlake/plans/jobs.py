@@ -384,8 +384,6 @@ def _raw_profile(spark: SparkSession, raw_root: str) -> list[DataFrame]:
 
 
 def main(argv: list[str] | None = None) -> None:
-    from crashlake.config import local_session
-
     ap = argparse.ArgumentParser(prog="crashlake")
     sub = ap.add_subparsers(dest="cmd", required=True)
     ld = sub.add_parser("land", help="split a source CSV into record-bounded chunks in the raw zone")
@@ -412,7 +410,8 @@ def main(argv: list[str] | None = None) -> None:
     c.add_argument("report_path")
     c.add_argument("--raw-root", default=None, help="also profile the raw zone (missing values, duplicate keys)")
     args = ap.parse_args(argv)
-    spark = local_session() if SparkSession.getActiveSession() is None else SparkSession.getActiveSession()
+    # Master and cluster settings come from spark-submit (or the defaults of a local run).
+    spark = SparkSession.getActiveSession() or SparkSession.builder.appName(f"crashlake-{args.cmd}").getOrCreate()
     if args.cmd == "land":
         print(land_source(spark, args.dataset, args.source, args.raw_root, args.records, args.load))
     elif args.cmd == "refresh":
