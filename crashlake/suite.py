@@ -66,7 +66,16 @@ def fixture(spark: SparkSession, sf_dir: str, params: StandInParams = DEFAULT_PA
 
 
 def _raw(spark, fx: Fixture, dataset: str) -> DataFrame:
-    return read_raw_dataset(spark, fx.raw_root, dataset)
+    """Raw dataset read with its known header (no header-inference job; every file's header is still checked)."""
+    schemas = fx.extras.get("raw_schemas")
+    if schemas is None:
+        sources = standins.raw_sources(spark, fx.sf_dir, fx.params)
+        schemas = {
+            name: T.StructType([T.StructField(c, T.StringType()) for c in df.columns if not c.startswith("_")])
+            for name, df in sources.items()
+        }
+        fx.extras["raw_schemas"] = schemas
+    return read_raw_dataset(spark, fx.raw_root, dataset, schema=schemas[dataset])
 
 
 def _lake(spark, fx: Fixture, table: str) -> DataFrame:
