@@ -7,17 +7,32 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, pii, topk, urls
+from . import exact_dedup, ngram_join, packing, pii, topk, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """Place of a public vocabulary file on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_pii(_read(spark, sf_dir, "documents")))
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(_read(spark, sf_dir, "documents"), width=3, percent=90)
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_read(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), capacity=1024)
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(_read(spark, sf_dir, "documents"))
 
@@ -32,12 +47,37 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
+    "op2_ngram_join": op2_ngram_join,
+    "op4_packing": op4_packing,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_topk_search": op8_topk_search,
     "op10_url_filter": op10_url_filter,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_ngram_join": """
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+            FROM documents
+        ), shingles AS (
+            SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 1, 2)), lambda i: array_to_string(w[i:i + 2], ' '))) AS s
+            FROM words WHERE len(w) > 0
+        ), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        pairs AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+            FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2
+        ), links AS (
+            SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+            WHERE 100 * shared >= 90 * (x.n + y.n - shared)
+        ), reach AS (
+            SELECT a AS doc_id, a AS other FROM links UNION SELECT doc_id, b FROM reach JOIN links ON a = other
+        ), least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id),
+        degree AS (SELECT a AS doc_id, count(*) AS n_links FROM links GROUP BY a)
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, d.doc_id) AS component_id,
+               coalesce(n_links, 0) AS n_links
+        FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id) LEFT JOIN degree USING (doc_id)
+    """,
     "op6_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256,
