@@ -103,7 +103,9 @@ _FP = ["h1", "h2", "n_bytes"]
 
 def _differing(docs: DataFrame, prints: DataFrame, groups: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, fingerprint) of rows whose text differs from their group's representative: normally none."""
-    found = prints.join(groups.select(*_FP, "top_id"), _FP).select("doc_id", "text_sha256", *_FP, "top_id").distinct()
+    found = prints.join(groups.select(*_FP, "top_id"), _FP).select("doc_id", "text_sha256", *_FP, "top_id")
+    # one row per id and digest; not by fingerprint, so that the join above can be split where one fingerprint is hot
+    found = found.dropDuplicates(["doc_id", "text_sha256"])
     texts = id_and_text(docs, id_col, text_col).select("doc_id", F.col("text").cast("binary").alias("data"))
     texts = texts.withColumn("text_sha256", F.sha2("data", 256))
     # the text of a row is found again by its id and its own digest, so repeated ids do not mix

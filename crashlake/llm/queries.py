@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, ngram_join, packing, pii, topk, urls
+from . import exact_dedup, html_text, ngram_join, packing, pii, sentencepiece_fst, topk, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -33,10 +33,18 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), capacity=1024)
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_read(spark, sf_dir, "pages"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(_read(spark, sf_dir, "documents"))
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_fst.round_trip(_read(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
 def op8_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -49,7 +57,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_ngram_join": op2_ngram_join,
     "op4_packing": op4_packing,
+    "op5_html_text": op5_html_text,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_sentencepiece": op7_sentencepiece,
     "op8_topk_search": op8_topk_search,
     "op10_url_filter": op10_url_filter,
 }
