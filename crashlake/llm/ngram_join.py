@@ -226,7 +226,8 @@ def near_duplicates(
     sigs = rows.where("n > 0").select("c1", F.explode("sigs").alias("sig"))
     shared = sigs.groupBy("sig").agg(F.min("c1").alias("low"), F.max("c1").alias("high")).where("low <> high")
     shared = materialise(shared.select("sig", "low"), "shared")
-    edges = sigs.join(shared, "sig").select(F.col("c1").alias("a"), F.col("low").alias("b"))
+    # merged at every size: both sides grow with the corpus, and Spark can split a signature that is hot
+    edges = sigs.join(shared.hint("merge"), "sig").select(F.col("c1").alias("a"), F.col("low").alias("b"))
     cells = components(edges).select(F.col("node").alias("c1"), F.col("root").alias("cell"))
     members = classes.join(cells, "c1").withColumn("cid", F.monotonically_increasing_id())
     members = materialise(members, "members")  # cid is drawn once
@@ -242,6 +243,7 @@ def near_duplicates(
         "c1", "c2", "copies", F.when(F.col("linked").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"),
         F.coalesce("linked", F.lit(0)).alias("linked"),
     )
+    named = materialise(named, "named")  # so that the next join shuffles on its own, and a class with many copies can be split
     out = rows.select("doc_id", "n", "c1", "c2").join(named, ["c1", "c2"], "left")
     return out.select(
         "doc_id",
