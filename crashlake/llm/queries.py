@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, html_text, ngram_join, packing, pii, sentencepiece_fst, topk, urls
+from . import exact_dedup, html_text, maxent_lm, ngram_join, packing, pii, sentencepiece_fst, topk, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -49,6 +49,10 @@ def op8_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent_lm.score(_read(spark, sf_dir, "documents"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(_read(spark, sf_dir, "pages"))
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_exact_dedup": op6_exact_dedup,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_topk_search": op8_topk_search,
+    "op9_lm_score": op9_lm_score,
     "op10_url_filter": op10_url_filter,
 }
 

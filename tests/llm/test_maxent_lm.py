@@ -1,0 +1,82 @@
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pandas as pd
+import pytest
+
+from crashlake.llm import maxent_lm as M
+
+from .conftest import ODD_TEXTS
+
+
+def tokens(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) + ["\n"]
+
+
+def corpus(n=400):
+    """Two "languages" that never mix, so that history tells much."""
+    rng = random.Random(5)
+    langs = [[f"{a}{b}{e}" for a in "bdg" for b in "aeiou" for e in ends] for ends in (["tion", "ing", "the"], ["eaux", "ment", "les"])]
+    out = []
+    for i in range(n):
+        words = rng.choice(langs)
+        out.append(" ".join(rng.choice(words[: rng.choice([5, 45])]) for _ in range(rng.randint(5, 80))))
+    return out
+
+
+def check_base(got, rows):
+    counts = Counter(t for i, x in rows if zlib.crc32(str("" if i is None else i).encode()) % 10 for t in tokens(x))
+    n, v = sum(counts.values()), len(counts)
+    for i, x in rows:
+        r, own = got[i], tokens(x)
+        assert r["held_out"] == (zlib.crc32(str("" if i is None else i).encode()) % 10 == 0)
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(own), sum(t in counts for t in own), n)
+        base = sum(math.log10((counts[t] + 0.1) / (n + 0.1 * (v + 1))) for t in own)
+        assert r["base_score"] == pytest.approx(base, rel=1e-9, abs=1e-7)
+
+
+@pytest.fixture(params=[1 << 22, 40])
+def head(request, monkeypatch):
+    monkeypatch.setattr(M, "HEAD", request.param)  # 40: most tokens take the join
+    monkeypatch.setattr(M, "VOCABULARY", 30)
+
+
+def test_base_scores_and_gain_on_held_out_texts(docs_of, head):
+    texts = corpus() + ODD_TEXTS + ["only here unseen words", "same", "same"]
+    rows = [*enumerate(texts), (None, "no id at all")]
+    got = {r["doc_id"]: r for r in M.score(docs_of(rows)).collect()}
+    assert len(got) == len(rows)
+    check_base(got, rows)
+    held = [r for r in got.values() if r["held_out"] and r["n_known"] == r["n_tokens"] and r["n_tokens"] > 5]
+    assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+
+
+def test_probabilities_add_up_to_one():
+    rng = np.random.default_rng(0)
+    vocab = [f"w{i}".encode() for i in range(900)] + [M.END]
+    counts = rng.integers(1, 50, len(vocab))
+    table = pd.DataFrame({"h": [M.token_hash(t) for t in vocab], "tail": [M.tail_class(t) for t in vocab], "c": counts})
+    masses = table.groupby("tail").agg(c=("c", "sum"), n=("c", "size"), once=("c", lambda c: int((c == 1).sum()))).reset_index()
+    m = M.Model(int(counts.sum()), len(vocab), table, masses)
+    m.w1[:] = rng.normal(0, 1, m.w1.shape)
+    m.w2[:] = rng.normal(0, 1, m.w2.shape)
+    rows, _ = M.history([table["h"].to_numpy()[[3, 8, 5]]])
+    last = np.repeat(rows[:, 2:], M.GROUPS * M.SIZE, axis=1)
+    by_class = M.log_classes(m, last, np.arange(M.GROUPS * M.SIZE))
+    classes = m.classes(table["h"].to_numpy(), table["tail"].to_numpy())
+    inside = np.where(classes < M.SINGLES, 0, np.log10(counts + M.ADD) - m.log_mass[classes])
+    unseen = np.log10(m.unseen) - m.log_mass[M.SINGLES :]
+    total = (10 ** (by_class[classes] + inside)).sum() + (10 ** (by_class[M.SINGLES :] + unseen)).sum()
+    assert total == pytest.approx(1, abs=1e-5)
+
+
+def test_without_training_rows_and_empty(docs_of):
+    rows = [(i, "a b") for i in range(200) if zlib.crc32(str(i).encode()) % 10 == 0]
+    for r in M.score(docs_of(rows)).collect():
+        assert (r["n_known"], r["train_tokens"], r["base_score"]) == (0, 0, 0)
+        assert math.isfinite(r["score"])
+    assert M.score(docs_of(rows).where("false")).count() == 0
