@@ -40,9 +40,8 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .common import id_and_text, ship, text_or_empty
+from .common import id_and_text, ship
 
 MARK = "▁"
 #: Parts that a task remembers, and transitions into one piece.
@@ -89,7 +88,10 @@ class Transducer:
         self.kind = [p.type for p in proto.pieces]
         self.score = [p.score for p in proto.pieces]
         self.unknown = self.kind.index(_UNKNOWN)
-        self.pieces = {p.piece: i for i, p in enumerate(proto.pieces) if p.type == _NORMAL}
+        # inside, the word mark is a space, as it is in texts, so that these need not be rewritten
+        inner = (lambda t: t.replace(MARK, " ")) if self.escape else (lambda t: t)
+        self.surface = [inner(t) for t in self.surface]
+        self.pieces = {self.surface[i]: i for i, p in enumerate(proto.pieces) if p.type == _NORMAL}
         by_byte = {int(p.piece[1:-1], 16): i for i, p in enumerate(proto.pieces) if p.type == _BYTE}
         self.bytes = [by_byte[b] for b in range(256)] if len(by_byte) == 256 else None
         self.byte_ids = {i: b for b, i in by_byte.items()}
@@ -100,17 +102,18 @@ class Transducer:
             for c in text:
                 node = node[0].setdefault(c, [{}, -1])
             node[1] = i
-        self.follow: list[dict[int, bool]] = [{} for _ in proto.pieces]  # piece -> piece before it -> may it follow
+        self.follow: list[dict[int, bool]] = [{} for _ in range(len(proto.pieces) + 1)]  # piece (-1: none) -> next piece -> may it follow
         self.split: dict[int, tuple[int, int] | None] = {}
+        self.width = [len(t) for t in self.surface]
         self.longest = max(map(len, self.pieces), default=1)
         self.low = min((self.score[i] for i in self.pieces.values()), default=0.0) - _UNKNOWN_PENALTY
         # places that no piece spans: before a word mark that follows another character, around line ends that are in no piece
-        inner = any(MARK in p.lstrip(MARK) for p in self.pieces)
+        spans = any(" " in p.lstrip(" ") for p in self.pieces)
         apart = "".join(c for c in "\n\r\t" if not any(c in p for p in self.pieces))
-        other = f"[^{MARK}{apart}]"
+        other = f"[^ {apart}]"
         # unknown characters side by side are one piece in models without bytes, so those are not cut apart
-        safe = not inner and self.bytes is not None
-        self.cut = re.compile(f"{MARK}+{other}*|{other}+" + (f"|[{apart}]+" if apart else "") if safe else r"[\s\S]+")
+        safe = not spans and self.bytes is not None
+        self.cut = re.compile(f" +{other}*|{other}+" + (f"|[{apart}]+" if apart else "") if safe else r"[\s\S]+")
         self.parts = Parts(self)
         self.text_of = [self._decoded(i) for i in range(len(self.surface))]
 
@@ -120,7 +123,7 @@ class Transducer:
         if not text:
             return ""
         text = " " + text if self.prefix else text
-        return text.replace(" ", MARK) if self.escape else text
+        return text.replace(MARK, " ") if self.escape else text
 
     def encode(self, text: str) -> np.ndarray:
         """Ids as little-endian unsigned 32-bit integers."""
@@ -162,45 +165,46 @@ class Transducer:
 
     def _joined(self, part: str) -> list[int]:
         """BPE: the one path whose neighbours all belong together. last[i] is the piece that ends at i on the path to i."""
-        follow, start, n = self.follow, self.start, len(part)
-        last, arcs = [-1] * (n + 1), [[] for _ in range(n + 1)]  # arcs[i]: (begin, piece) of the pieces that end at i
-        for i in range(n + 1):
-            for j, piece in arcs[i]:  # the longest first
-                before = last[j]  # < 0: the beginning, or after a character in no piece, which merges with nothing
-                free = follow[piece].get(before)
-                if free is None:
-                    free = self.free(before, piece)
-                if free:
-                    last[i] = piece
-                    break
+        follow, start, longest, n = self.follow, self.start, self.longest, len(part)
+        last = [-1] * (n + 1)
+        for i in range(n):
+            before = last[i]  # < 0: the beginning, or after a character in no piece, which merges with nothing
+            may = follow[before]
             node, j = start, i
-            for c in part[i : i + self.longest]:
+            for c in part[i : i + longest]:
                 node = node[0].get(c)
                 if node is None:
                     break
                 j += 1
-                if node[1] >= 0:
-                    arcs[j].append((i, node[1]))
-        out, i = [], n
+                piece = node[1]
+                if piece >= 0 and last[j] < 0:
+                    free = may.get(piece)
+                    if free is None:
+                        free = self.free(before, piece)
+                    if free:
+                        last[j] = piece
+        out, i, width = [], n, self.width
         while i:
             piece = last[i]
-            if piece < 0:
-                at = i
-                while not self.bytes and at > 1 and last[at - 1] < 0:  # neighbouring unknown characters are one unknown piece
-                    at -= 1
-                i, ids = (i - 1, self._fallback(part[i - 1])) if self.bytes else (at - 1, [self.unknown])
-                out.append(ids)
-            else:
-                out.append([piece])
-                i -= len(self.surface[piece])
-        return [x for ids in reversed(out) for x in ids]
+            if piece >= 0:
+                out.append(piece)
+                i -= width[piece]
+            elif self.bytes:
+                out += reversed(self._fallback(part[i - 1]))
+                i -= 1
+            else:  # neighbouring unknown characters are one unknown piece
+                while i and last[i] < 0:
+                    i -= 1
+                out.append(self.unknown)
+        out.reverse()
+        return out
 
     def free(self, a: int, b: int) -> bool:
         """May piece b follow piece a (a < 0: nothing)? Remembered."""
-        known = self.follow[b]
+        known = self.follow[a]
         if len(known) >= PAIRS_CACHE:
             known.clear()
-        known[a] = free = self._stays_apart(a, b) if a >= 0 else self.halves(b) is not None
+        known[b] = free = self._stays_apart(a, b) if a >= 0 else self.halves(b) is not None
         return free
 
     def halves(self, piece: int) -> tuple[int, int] | None:
@@ -222,7 +226,7 @@ class Transducer:
         if self.halves(a) is None or self.halves(b) is None:
             return False
         x, y, score = self.surface[a], self.surface[b], self.score
-        if not (x + y).strip(MARK):  # runs of marks share one score
+        if not (x + y).strip(" "):  # runs of marks share one score
             return self._merged(x + y) == [x, y]
         r, l, up_r, up_l = a, b, -float("inf"), -float("inf")
         while True:
@@ -254,13 +258,11 @@ class Transducer:
             return bytes([self.byte_ids[i]])
         if kind == _UNKNOWN:
             return " ⁇ ".encode()
-        text = self.surface[i] if kind == _NORMAL else ""
-        return (text.replace(MARK, " ") if self.escape else text).encode()
+        return self.surface[i].encode() if kind == _NORMAL else b""
 
     def decode(self, ids: list[int]) -> str:
         """Text of a sequence of ids; bytes that are not UTF-8 become replacement characters."""
-        table = self.text_of
-        text = b"".join([table[i] for i in ids]).decode("utf-8", "replace")
+        text = b"".join(map(self.text_of.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if self.prefix and text[:1] == " " else text
 
 
@@ -312,7 +314,22 @@ def decode(rows: DataFrame, model_path: str, ids_col: str = "ids") -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def round_trip(docs: DataFrame, model_path: str) -> DataFrame:
-    """doc_id, n_tokens, ids_crc32, and whether decoding gives the text back."""
-    out = decode(encode(docs, model_path), model_path)
-    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids_crc32", (F.col("decoded") == text_or_empty("text")).alias("exact"))
+def round_trip(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_tokens, ids_crc32, and whether decoding gives the text back: both ways in one pass over each text."""
+    rows = id_and_text(docs, id_col, text_col)
+    model = docs.sparkSession.sparkContext.broadcast(Path(model_path).read_bytes())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fst = compiled(model.value)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 250):
+                batch = whole.slice(at, 250)
+                sizes, crcs, exact = [], [], []
+                for cell in batch.column(1):
+                    text = cell.as_py()
+                    ids = fst.encode(text)
+                    sizes.append(len(ids)), crcs.append(zlib.crc32(ids)), exact.append(fst.decode(ids.tolist()) == text)
+                columns = [pa.array(sizes, pa.int64()), pa.array(crcs, pa.int64()), pa.array(exact)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "n_tokens", "ids_crc32", "exact"])
+
+    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_crc32 long, exact boolean")

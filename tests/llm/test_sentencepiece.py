@@ -101,4 +101,6 @@ def test_query_and_odd_rows(docs_of, library):
         ids = library.encode(t or "")
         assert got[i]["n_tokens"] == len(ids)
         assert got[i]["ids_crc32"] == zlib.crc32(b"".join(x.to_bytes(4, "little") for x in ids))
+    both = S.decode(S.encode(docs_of(rows), PATH), PATH).collect()
+    assert len(both) == len(rows) and all(r["decoded"] == r["text"] and len(r["ids"]) == got[r["doc_id"]]["n_tokens"] for r in both)
     assert S.round_trip(docs_of([(0, "a")]).where("false"), PATH).count() == 0
