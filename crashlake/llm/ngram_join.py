@@ -303,3 +303,18 @@ def _cell_links(docs: DataFrame, members: DataFrame, width: int, percent: int, i
             yield emit(_links([*group.values()], percent, key[1] == key[2]))
 
     return rows.mapInArrow(join, "a long, b long, links long")
+
+
+def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: the smallest id of every component, in one row.
+
+    Documents without shingles, and rows without an id, are no near copies of anything and stay.
+    """
+    found = near_duplicates(docs, width, percent, id_col, text_col)
+    gone = found.where("n_shingles > 0 and doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    rows = docs.join(gone, F.col(f"`{id_col}`").cast("long") == F.col("_gone"), "left_anti")
+    repeated = found.where("n_shingles > 0 and doc_id is not null").groupBy("doc_id", "component_id").agg(F.count("*").alias("_rows"))
+    repeated = repeated.where("_rows > 1 and doc_id = component_id").select(F.col("doc_id").alias("_again"))
+    # rows of one id that are near copies of each other: one of them stays
+    again = rows.join(repeated, F.col(f"`{id_col}`").cast("long") == F.col("_again"), "left_semi").dropDuplicates([id_col])
+    return rows.join(repeated, F.col(f"`{id_col}`").cast("long") == F.col("_again"), "left_anti").unionByName(again)

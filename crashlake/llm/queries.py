@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, html_text, maxent_lm, ngram_join, packing, pii, sentencepiece_fst, topk, urls
+from . import cotrain, exact_dedup, html_text, maxent_lm, ngram_join, packing, pii, sentencepiece_fst, topk, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(_read(spark, sf_dir, "documents"), width=3, percent=90)
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotrain.score(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), capacity=1024)
 
@@ -60,6 +64,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_ngram_join": op2_ngram_join,
+    "op3_quality": op3_quality,
     "op4_packing": op4_packing,
     "op5_html_text": op5_html_text,
     "op6_exact_dedup": op6_exact_dedup,

@@ -1,0 +1,71 @@
+import zlib
+from collections import Counter
+
+import corpus_pipeline
+import pytest
+from crashlake.llm import cotrain, ngram_join, packing, pii
+from crashlake.llm.queries import tokenizer_file
+from tests.llm.test_exact_dedup import expect
+from tests.llm.test_ngram_join import brute
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    out = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        out.append(corpus_pipeline.materialise(stage(spark, out[-1], SF), f"test_{name}"))
+    return out
+
+
+def pairs(df):
+    return sorted((r["doc_id"], r["text"]) for r in df.collect())
+
+
+def test_stages_against_brute_force(spark, stages):
+    docs, good, single, apart, masked, packed = stages
+    assert all(s.columns == docs.columns for s in stages[1:-1])
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    accepted = {r["doc_id"] for r in cotrain.score(docs, labels).collect() if r["accepted"]}
+    assert pairs(good) == [p for p in pairs(docs) if p[0] in accepted]
+    clean = {r["doc_id"] for r in labels.collect() if r["quality"]} & {d for d, _ in pairs(docs)}
+    assert len(clean & accepted) >= 0.97 * len(clean)
+
+    rows = pairs(good)
+    kept = {i for i, _, _, k in expect(rows) if k}
+    assert pairs(single) == [p for p in rows if p[0] in kept]
+    rows = pairs(single)
+    kept = {i for i, _, least, _ in brute(rows, 5, 80) if i == least or least is None}
+    assert pairs(apart) == [p for p in rows if p[0] in kept]
+    assert pairs(masked) == [(i, pii.redacted(t)) for i, t in pairs(apart)]
+    assert all(r["n_chars"] == len(r["text"]) for r in masked.collect())
+
+    encoder = packing.encoder(open(tokenizer_file("byte_bpe_50k.json")).read())
+    want = Counter()
+    for i, t in pairs(masked):
+        ids = [*encoder.ids(t), packing.END_ID]
+        for k, (s, n) in enumerate(packing.cuts(len(ids))):
+            want[i, k, s, n, zlib.crc32(b"".join(x.to_bytes(4, "little") for x in ids[s : s + n]))] += 1
+    got = packed.collect()
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got) == want
+    fill = Counter()
+    for r in got:
+        fill[r["sequence_id"]] += r["length"]
+    assert max(fill.values()) <= 1024 and len(fill) <= 1.1 * -(-sum(fill.values()) // 1024) + 1
+
+
+def test_run_is_the_stages_in_turn(spark, stages):
+    assert sorted(map(tuple, corpus_pipeline.run(spark, SF).select("doc_id", "piece", "ids_crc32").collect())) == sorted(
+        map(tuple, stages[-1].select("doc_id", "piece", "ids_crc32").collect())
+    )
+
+
+def test_near_copies_keep_one_with_odd_rows(docs_of):
+    near = " ".join(f"w{i}" for i in range(100))
+    rows = [(5, near), (3, near + " end"), (5, near), (3, near + " end"), (9, "alone"), (None, near), (11, None), (12, ""), (12, "")]
+    out = ngram_join.keep_one(docs_of(rows))
+    assert sorted([(r["doc_id"], (r["text"] or "")[-3:]) for r in out.collect()], key=str) == sorted(
+        [(3, "end"), (9, "one"), (None, "w99"[-3:]), (11, ""), (12, ""), (12, "")], key=str
+    )
