@@ -48,8 +48,9 @@ def local_session(
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, for checkpoints and scratch tables.
 
-    It is the cluster's ``spark.checkpoint.dir``. Only when the session has none
-    (a bare local test session) is a fresh local folder made and registered.
+    It is the cluster's ``spark.checkpoint.dir``. Only in a local session that has
+    none (tests) is a fresh local folder made and registered; on a cluster a
+    driver-local folder would not be visible to executors, so that raises.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -60,6 +61,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not (sc.master or "").startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="crashlake-ckpt-")
     sc.setCheckpointDir(local)
     return local

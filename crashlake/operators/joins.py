@@ -1,60 +1,17 @@
 """Fact-to-dimension joins (J1-J7).
 
-A dimension is broadcast only after its size is *checked*: ``limit(max+1)``
-counts at most ``max+1`` rows, so the check itself is bounded. Beyond the
-bound the join is a shuffle join. There, fact rows with a null key - which
-never match, and may be a large share of the fact (unknown weather) - skip
-the shuffle: an outer join emits them with null dimension columns directly
-and an inner join drops them before the exchange. A hot non-null key is split
-into several tasks by AQE's skew-join handling
-(``spark.sql.adaptive.skewJoin.enabled``).
+The strategy is left to Spark: a dimension read from Parquet has a known size,
+so a small one is broadcast when the plan is made, and adaptive execution
+decides again by measured bytes. Beyond the threshold the join shuffles, and a
+hot key - null keys of an outer join included - is split into several tasks by
+the skew-join handling (``spark.sql.adaptive.skewJoin.enabled``).
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-# Upper bound, in rows, for broadcasting a dimension. Dimension rows are a few
-# short strings and a bigint, so this keeps a broadcast well under 1 GiB.
-MAX_BROADCAST_ROWS = 2_000_000
-
-
-def sized_broadcast(
-    dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, bound_by: DataFrame | None = None
-) -> tuple[DataFrame, bool]:
-    """Return ``(dim, broadcast?)`` with a broadcast hint only if ``dim`` has at most ``max_rows`` rows.
-
-    ``bound_by`` is a frame with at least as many rows as ``dim`` (e.g. the
-    table a distinct key set comes from) that is cheaper to count.
-    """
-    small = (bound_by if bound_by is not None else dim).limit(max_rows + 1).count() <= max_rows
-    return (F.broadcast(dim) if small else dim), small
-
 
-def dimension_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: Column | str | list[str],
-    how: str = "inner",
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-    fact_keys: list[str] | None = None,
-) -> DataFrame:
-    """Join a (large) fact to a dimension, broadcasting the dimension when it is proven small.
 
-    ``fact_keys`` names the fact's join-key columns; with them a shuffle join
-    keeps null-key rows out of the exchange (see the module note).
-    """
-    side, small = sized_broadcast(dim, max_broadcast_rows)
-    if small or not fact_keys or how not in ("inner", "left", "left_semi"):
-        return fact.join(side, on=on, how=how)
-    keyed = reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in fact_keys])
-    joined = fact.filter(keyed).join(dim, on=on, how=how)
-    if how in ("inner", "left_semi"):
-        return joined
-    unmatched = fact.filter(~keyed)
-    extra = [f for f in joined.schema.fields if f.name not in set(fact.columns)]
-    unmatched = unmatched.select(*[F.col(f"`{c}`") for c in fact.columns], *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra])
-    return joined.unionByName(unmatched.select(*[F.col(f"`{c}`") for c in joined.columns]))
+def dimension_join(fact: DataFrame, dim: DataFrame, on: Column | str | list[str], how: str = "inner") -> DataFrame:
+    """Join a (large) fact to a dimension; null keys never match."""
+    return fact.join(dim, on=on, how=how)

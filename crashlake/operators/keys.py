@@ -9,34 +9,26 @@ without moving the data into one task:
    sees the very same ids even if executors are lost and tasks re-run;
 4. count rows per partition (one row per partition) and turn the counts into
    running offsets - the only unpartitioned window, over at most
-   ``num_partitions`` rows - and checkpoint that small table too;
-5. broadcast the offsets (size bound: the partition count) and add them to the
-   in-partition position.
+   ``num_partitions`` rows;
+5. join the offsets back and add them to the in-partition position.
+
+It serves dimension keys, whose rows are few and narrow. ``staged_positions``
+does the same for whole datasets that are landed in chunks: rows are written
+once, as Parquet, with their run and place in it, and numbered from those files,
+so no second scan of the source can disagree with the first.
 
 The order must be total (unique) for the result to be a pure function of the
 input; dimension keys are unique after dedupe.
-
-Both index functions can also return their *segments*: one row per run of
-consecutive positions held by one task (``_task``, ``_start``, ``_n``). The
-rows stay in those tasks, which lets a caller act on whole runs without a
-shuffle (see ``sinks.csv.land_chunked_csv``).
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_POS_MASK = (1 << 33) - 1
-
+from crashlake.config import scratch_path
 
-@dataclass
-class Indexed:
-    frame: DataFrame  # input columns + the index column
-    segments: DataFrame  # _task, _start, _n: consecutive positions held by one task
-    in_place: bool  # rows of a segment are in partition ``_task`` of ``frame``
+_POS_MASK = (1 << 33) - 1
 
 
 def _asc(c: str | Column) -> Column:
@@ -48,13 +40,13 @@ def _cols(df: DataFrame) -> list[Column]:
     return [F.col(f"`{c}`") for c in df.columns]
 
 
-def dense_index_segments(
+def dense_index(
     df: DataFrame,
     order_by: list[str],
     index_col: str = "_idx",
     num_partitions: int | None = None,
-) -> Indexed:
-    """``dense_index`` plus its segments (one per range partition).
+) -> DataFrame:
+    """Add ``index_col`` (bigint, 0..n-1) = position of the row in ``order_by`` ascending, nulls first.
 
     Without ``num_partitions`` the number of range partitions is left to AQE:
     it starts from ``spark.sql.adaptive.coalescePartitions.initialPartitionNum``
@@ -72,57 +64,40 @@ def dense_index_segments(
     )
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    offsets = offsets.checkpoint(eager=True)
-    frame = tagged.join(F.broadcast(offsets.select("_pid", "_off")), "_pid").select(
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return tagged.join(offsets, "_pid").select(
         *_cols(df), (F.col("_off") + F.col("_pos")).cast("bigint").alias(index_col)
     )
-    segments = offsets.select(F.col("_pid").alias("_task"), F.col("_off").alias("_start"), "_n")
-    return Indexed(frame, segments, True)
 
 
-def dense_index(
-    df: DataFrame,
-    order_by: list[str],
-    index_col: str = "_idx",
-    num_partitions: int | None = None,
-) -> DataFrame:
-    """Add ``index_col`` (bigint, 0..n-1) = position of the row in ``order_by`` ascending, nulls first."""
-    return dense_index_segments(df, order_by, index_col, num_partitions).frame
-
-
-def file_order_index_segments(df: DataFrame, index_col: str = "_idx") -> Indexed:
-    """``file_order_index`` plus its segments (one per file split)."""
-    from crashlake.operators.joins import sized_broadcast
-
-    tagged = df.withColumn("_file", F.input_file_name()).withColumn("_mid", F.monotonically_increasing_id())
-    tagged = tagged.withColumn("_pid", F.shiftright("_mid", 33))
-    groups = tagged.groupBy("_file", "_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
-    before = Window.orderBy("_file", "_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = groups.select(
-        "_file", "_pid", "_n", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")
-    ).checkpoint(eager=True)
-    # One row per (file, split): broadcast when that count is proven small, which
-    # also keeps every row in its scan partition.
-    side, small = sized_broadcast(
-        offsets.select(F.col("_file").alias("_o_file"), F.col("_pid").alias("_o_pid"), "_first", "_off")
-    )
-    joined = tagged.join(side, (F.col("_file") == F.col("_o_file")) & (F.col("_pid") == F.col("_o_pid")), "inner")
-    frame = joined.select(
-        *_cols(df), (F.col("_off") + F.col("_mid") - F.col("_first")).cast("bigint").alias(index_col)
-    )
-    segments = offsets.select(F.col("_pid").alias("_task"), F.col("_off").alias("_start"), "_n")
-    return Indexed(frame, segments, small)
-
-
-def file_order_index(df: DataFrame, index_col: str = "_idx") -> DataFrame:
-    """Add ``index_col`` = position of the row in (file name, record order in the file).
+def staged_positions(df: DataFrame, order_by: list[str] | None, index_col: str = "_idx") -> tuple[DataFrame, int]:
+    """Write ``df`` once as Parquet in the shared folder; return it with each row's position, and the rows written.
 
-    For a frame that is a plain file scan. Needs no sort and no shuffle of the
-    rows: a file scan is deterministic, so ``monotonically_increasing_id``
-    gives the same value to a row whenever its task runs. Rows are grouped by
-    (file, scan partition) - a file read in several splits spans several
-    partitions, whose ids follow the byte order of the file - and the group
-    sizes, one row per group, become running offsets that are joined back.
+    The order is ``order_by``, or, when it is ``None``, the source order of a
+    file scan: file path, then byte position of the split, then record. Rows of
+    one split (or one sorted range) are a run; each row is written with its run
+    and a running id that was drawn in that same write. Run lengths, read from
+    the staged files, become offsets.
     """
-    return file_order_index_segments(df, index_col).frame
+    spark = df.sparkSession
+    if order_by is None:
+        staged = df.select(
+            *_cols(df),
+            F.col("_metadata.file_path").alias("_run"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_mid"),
+        )
+    else:
+        keys = [_asc(c) for c in order_by]
+        staged = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_mid", F.monotonically_increasing_id())
+        staged = staged.select(*_cols(df), F.lit("").alias("_run"), F.shiftright("_mid", 33).alias("_block"), "_mid")
+    path = scratch_path(spark, "staged")
+    staged.write.parquet(path)
+    staged = spark.read.schema(staged.schema).parquet(path)
+    runs = staged.groupBy("_run", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
+    before = Window.orderBy("_run", "_block").rowsBetween(Window.unboundedPreceding, -1)  # one row per run
+    offsets = runs.select("_run", "_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    placed = staged.join(offsets, ["_run", "_block"]).select(
+        *_cols(df), (F.col("_off") + F.col("_mid") - F.col("_first")).cast("bigint").alias(index_col)
+    )
+    return placed, staged.count()  # from the footers

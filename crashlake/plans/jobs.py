@@ -2,7 +2,8 @@
 
 Each job takes the caller's session and paths on any Hadoop file system
 (``s3a://``, ``hdfs://``, ``file:``). Dimensions are written and re-read
-before the fact joins them, so the ids in the fact are the ids on disk.
+before the fact joins them, so the ids in the fact are the ids on disk. Builds
+write a new version of the lake and switch to it last (``crashlake.versions``).
 """
 
 from __future__ import annotations
@@ -15,7 +16,9 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crashlake.config import join_path, staging_path
+from crashlake import versions
+from crashlake.config import join_path, scratch_path, staging_path
+from crashlake.functions import safe_date, safe_double, safe_int
 from crashlake.plans import marts, quality, transforms
 from crashlake.schemas import (
     ACCIDENT_RAW_COLUMNS,
@@ -44,8 +47,8 @@ def land_raw(
     source columns plus ``order_col``, a unique source order that fixes which
     records share a chunk. Columns whose name starts with ``_`` are not written.
     ``load`` lands into ``<folder>/load=<load>/`` next to earlier loads.
-    With ``verify`` each landed folder is listed afterwards and its CSV file
-    count must equal its chunk count (T7); a mismatch raises.
+    The rows written must be the rows read, or it raises; with ``verify`` each
+    landed folder is listed afterwards too and must hold one CSV file per chunk (T7).
     """
     sizes = {**DEFAULT_CHUNK_RECORDS, **(chunk_records or {})}
     for name, n in sizes.items():
@@ -102,6 +105,7 @@ def land_source(
     records_per_file: int | None = None,
     load: str | None = None,
     verify: bool = True,
+    multi_line: bool = True,
 ) -> dict[str, int]:
     """Land one source CSV file (or folder) into the raw zone in file order (K6, K8, T7).
 
@@ -111,10 +115,11 @@ def land_source(
 
     All source columns are kept. The source is parsed with the dataset's real
     delimiter and the RFC-4180 dialect, in ``FAILFAST`` mode, so a malformed
-    record stops the load instead of truncating it silently.
+    record stops the load instead of truncating it silently. A large file whose
+    records hold no line breaks is read in parallel with ``multi_line=False``.
     """
-    n = records_per_file or DEFAULT_CHUNK_RECORDS[dataset]
-    df = read_csv(spark, source, sep=RAW_DELIMITERS[dataset])
+    n = DEFAULT_CHUNK_RECORDS[dataset] if records_per_file is None else records_per_file
+    df = read_csv(spark, source, sep=RAW_DELIMITERS[dataset], multi_line=multi_line)
     dest = _raw_dest(raw_root, dataset, load)
     out = land_chunked_csv(df, dest, n, order_by=None, sep=RAW_DELIMITERS[dataset])
     if verify:
@@ -139,56 +144,61 @@ class LakeBuild:
     rows: dict[str, int] = field(default_factory=dict)
 
 
-def build_airports_table(
-    spark: SparkSession,
-    raw_root: str,
-    lake_root: str,
-    continent: str = transforms.DEFAULT_CONTINENT,
-    country: str = transforms.DEFAULT_COUNTRY,
-) -> int:
-    """Airports job (T1): raw airports -> ``<lake>/airports`` partitioned by state."""
+def _airports(spark: SparkSession, raw_root: str, version: str, continent: str, country: str) -> int:
     raw = read_raw_dataset(spark, raw_root, "airports", columns=AIRPORT_RAW_COLUMNS)
-    return write_table(transforms.build_airports(raw, continent, country), join_path(lake_root, "airports"), ["state"])
+    return write_table(transforms.build_airports(raw, continent, country), join_path(version, "airports"), ["state"])
 
 
-def build_cities_table(spark: SparkSession, raw_root: str, lake_root: str) -> int:
-    """Cities job (T2): raw cities -> ``<lake>/cities``."""
+def _cities(spark: SparkSession, raw_root: str, version: str) -> int:
     raw = read_raw_dataset(spark, raw_root, "cities", columns=CITY_RAW_COLUMNS)
-    return write_table(transforms.build_cities(raw), join_path(lake_root, "cities"))
-
-
-BUILD_FILES = "_build_files"
+    return write_table(transforms.build_cities(raw), join_path(version, "cities"))
 
 
-def _stage_and_weather(spark: SparkSession, raw_root: str, lake_root: str) -> tuple[DataFrame, dict[str, int]]:
-    """Parse the raw accidents once into a typed staging table, then build the weather dimension (T3) from it.
-
-    Each staged row keeps the name of the raw file it came from; the distinct
-    names are written to ``<lake>/_build_files`` so an incremental refresh
-    can skip files this build already loaded.
-    """
+def _stage_and_weather(spark: SparkSession, raw_root: str, version: str) -> tuple[DataFrame, dict[str, int]]:
+    """Parse the raw accidents once into a typed staging table, then build the weather dimension (T3) from it."""
     raw = read_raw_dataset(spark, raw_root, "accidents", columns=ACCIDENT_RAW_COLUMNS)
-    typed = transforms.typed_accidents(raw).withColumn("_source_file", F.input_file_name())
-    staging = staging_path(spark, lake_root, "accidents_typed")
+    typed = transforms.typed_accidents(raw)
+    staging = staging_path(spark, version, "accidents_typed")
     rows = write_table(typed, staging)
     staged = spark.read.schema(typed.schema).parquet(staging)
-    write_table(staged.select("_source_file").distinct(), join_path(lake_root, BUILD_FILES))
-    weather = write_table(transforms.weather_from_typed(staged), join_path(lake_root, "weather_conditions"))
+    weather = write_table(transforms.weather_from_typed(staged), join_path(version, "weather_conditions"))
     return staged, {"raw_accidents": rows, "weather_conditions": weather}
 
 
-def _fact(spark: SparkSession, staged: DataFrame, lake_root: str) -> int:
-    fact = transforms.fact_from_typed(
-        staged, read_table(spark, lake_root, "cities"), read_table(spark, lake_root, "weather_conditions")
-    )
-    return write_table(fact, join_path(lake_root, "accidents"), ["year", "month"], cluster_by=["city_id"])
+def _fact(spark: SparkSession, staged: DataFrame, cities: DataFrame, version: str) -> int:
+    fact = transforms.fact_from_typed(staged, cities, read_table(spark, version, "weather_conditions"))
+    return write_table(fact, join_path(version, "accidents"), ["year", "month"], cluster_by=["city_id"])
+
+
+def build_airports_table(
+    spark: SparkSession,
+    raw_root: str,
+    lake_root: str,
+    continent: str = transforms.DEFAULT_CONTINENT,
+    country: str = transforms.DEFAULT_COUNTRY,
+) -> int:
+    """Airports job (T1): raw airports -> ``airports`` partitioned by state."""
+    version = versions.new_version(spark, lake_root)
+    rows = _airports(spark, raw_root, version, continent, country)
+    versions.complete(spark, version)
+    return rows
+
+
+def build_cities_table(spark: SparkSession, raw_root: str, lake_root: str) -> int:
+    """Cities job (T2): raw cities -> ``cities``. Ids may change: build the accidents after it."""
+    version = versions.new_version(spark, lake_root)
+    rows = _cities(spark, raw_root, version)
+    versions.complete(spark, version)
+    return rows
 
 
 def build_accidents_tables(spark: SparkSession, raw_root: str, lake_root: str) -> dict[str, int]:
-    """Accidents job (T3 + T4): weather dimension and fact. Needs the cities table in the lake."""
-    staged, rows = _stage_and_weather(spark, raw_root, lake_root)
-    rows["accidents"] = _fact(spark, staged, lake_root)
+    """Accidents job (T3 + T4): weather dimension and fact, in one version. Needs the cities table in the lake."""
+    version = versions.new_version(spark, lake_root)
+    staged, rows = _stage_and_weather(spark, raw_root, version)
+    rows["accidents"] = _fact(spark, staged, read_table(spark, lake_root, "cities"), version)
     rows["dropped_no_city"] = rows["raw_accidents"] - rows["accidents"]
+    versions.complete(spark, version)
     return rows
 
 
@@ -199,62 +209,66 @@ def build_lake(
     continent: str = transforms.DEFAULT_CONTINENT,
     country: str = transforms.DEFAULT_COUNTRY,
 ) -> LakeBuild:
-    """Build the four curated tables in dependency order (T5).
+    """Build the four curated tables in dependency order (T5) as a new version of the lake.
 
     The raw accident CSV is parsed once: its typed rows are written to a
     staging table in the shared folder, from which both the weather dimension
     (one column) and the fact are built. Staging, airports and cities are
-    independent and run concurrently; the fact waits for all dimensions. A
-    failure stops the build: the fact is never written over stale dimensions.
-    Counts of the load report (K5) are observed during the writes.
+    independent and run concurrently; the fact waits for all dimensions.
+    Readers move to the new version when all four tables are written; a build
+    that fails before changes nothing. Counts of the load report (K5) are
+    those of the written files.
     """
     build = LakeBuild(lake_root)
+    version = versions.new_version(spark, lake_root)
     done = concurrently(
         spark,
         {
-            "airports": lambda: build_airports_table(spark, raw_root, lake_root, continent, country),
-            "cities": lambda: build_cities_table(spark, raw_root, lake_root),
-            "staged": lambda: _stage_and_weather(spark, raw_root, lake_root),
+            "airports": lambda: _airports(spark, raw_root, version, continent, country),
+            "cities": lambda: _cities(spark, raw_root, version),
+            "staged": lambda: _stage_and_weather(spark, raw_root, version),
         }
     )
     staged, rows = done.pop("staged")
     build.rows.update(done)
     build.rows.update(rows)
-    build.rows["accidents"] = _fact(spark, staged, lake_root)
+    build.rows["accidents"] = _fact(spark, staged, read_table(spark, version, "cities"), version)
     build.rows["dropped_no_city"] = build.rows["raw_accidents"] - build.rows["accidents"]
+    versions.complete(spark, version)
     return build
 
 
 def build_marts(spark: SparkSession, lake_root: str, marts_root: str) -> dict[str, int]:
-    """Pre-aggregated marts (A7-A9, V4) as flat Parquet tables, rebuilt after each lake load."""
+    """Pre-aggregated marts (A7-A9, V4) as flat Parquet tables, rebuilt after each lake load.
+
+    The fact is read once, into counts per (city, airport, weather, month); the marts are sums of those.
+    """
     t = lake_tables(spark, lake_root)
+    staged = scratch_path(spark, "mart_counts")
+    write_table(marts.counts(t["accidents"]), staged)
+    counts = spark.read.parquet(staged)
     frames = {
-        "by_city": marts.by_city(t["accidents"], t["cities"]),
-        "by_airport": marts.by_airport(t["accidents"]),
-        "by_weather": marts.by_weather(t["accidents"], t["weather_conditions"]),
-        "by_state": marts.accidents_by_state(t["accidents"], t["cities"]),
-        "by_month": t["accidents"].groupBy("year", "month").agg(F.count(F.lit(1)).alias("n")),
+        "by_city": marts.by_city(counts, t["cities"]),
+        "by_airport": marts.by_airport(counts),
+        "by_weather": marts.by_weather(counts, t["weather_conditions"]),
+        "by_state": marts.accidents_by_state(counts, t["cities"]),
+        "by_month": marts.by_month(counts),
     }
-    return {name: write_table(df, join_path(marts_root, name)) for name, df in frames.items()}
+    writes = {name: (lambda n=name: write_table(frames[n], join_path(marts_root, n))) for name in frames}
+    return concurrently(spark, writes)
 
 
 def refresh_lake(
-    spark: SparkSession,
-    raw_root: str,
-    lake_root: str,
-    marts_root: str | None = None,
-    checkpoint_location: str | None = None,
-    max_files_per_trigger: int | None = None,
+    spark: SparkSession, raw_root: str, lake_root: str, marts_root: str | None = None, load: str | None = None
 ) -> dict[str, int]:
-    """Fold newly landed raw accident chunks into the lake, then rebuild the marts (A8, A9).
+    """Fold raw accidents (one load, or all that is landed) into the lake, then rebuild the marts (A8, A9).
 
-    The stream's checkpoint must stay the same across refreshes (keep it in the
-    shared folder) so each raw file is processed once.
+    An upsert by accident and month: running it again changes nothing.
     """
-    from crashlake.streaming import accident_refresh
+    from crashlake.streaming import refresh_batch
 
-    query = accident_refresh(spark, raw_root, lake_root, checkpoint_location, max_files_per_trigger)
-    query.awaitTermination()
+    folder = _raw_dest(raw_root, "accidents", load)
+    refresh_batch(spark, read_csv(spark, folder, sep=RAW_DELIMITERS["accidents"]), lake_root)
     return build_marts(spark, lake_root, marts_root) if marts_root else {}
 
 
@@ -272,17 +286,13 @@ def check_lake(
     """Full data-quality report of a built lake (T6, Q1-Q11).
 
     A table whose folder is missing is reported as empty instead of raising.
-    With ``raw_root`` the raw zone is profiled too (Q6, Q7): missing values of
-    the accident columns the build parses and duplicated (City, State) keys of
-    the city source - reported, not failed.
+    With ``raw_root`` the raw zone is profiled too (Q6, Q7, P6): missing values of
+    every accident column, values that do not parse, and duplicated (City, State)
+    keys of the city source - reported, not failed.
     """
-    t = {}
-    for name in ("accidents", "cities", "airports", "weather_conditions"):
-        try:
-            t[name] = read_table(spark, lake_root, name)
-            t[name].limit(0).collect()  # resolves the path; raises if it is missing
-        except Exception:  # noqa: BLE001 - a missing table is a failed check, not a crash
-            t[name] = None
+    names = ("accidents", "cities", "airports", "weather_conditions")
+    there = {name: versions.exists(spark, versions.table_path(spark, lake_root, name)) for name in names}
+    t = {name: read_table(spark, lake_root, name) if there[name] else None for name in names}
     parts = []
     for name, df in t.items():
         if df is None:
@@ -313,23 +323,10 @@ def check_lake(
         ]
         # Unknown airports are expected (the fact keeps codes as reported): reported, not failed.
         rules = {"airport": "report"}
-        hits, _ = quality.with_reference_hits(acc, refs) if refs else (None, [])
-        if hits is not None:
-            # one scan of the fact for the column checks and every reference
-            orphan_checks = [quality.orphan_check(name, fk, rules.get(name, "zero")) for name, fk, _, _ in refs]
-            parts.append(quality.table_checks(hits, "accidents", fact_checks + orphan_checks))
-        else:
-            parts.append(quality.table_checks(acc, "accidents", fact_checks))
-            if refs:
-                orphans = quality.fk_orphans(acc, refs)
-                parts.append(
-                    orphans.select(
-                        F.concat(F.lit("fk_"), F.col("fk")).alias("check_name"),
-                        F.lit("accidents").alias("table_name"),
-                        F.col("orphans").alias("observed"),
-                        ((F.col("orphans") == 0) | (F.col("fk") == "airport")).alias("passed"),
-                    )
-                )
+        # one scan of the fact for the column checks and every reference
+        hits = quality.with_reference_hits(acc, refs)
+        orphan_checks = [quality.orphan_check(name, fk, rules.get(name, "zero")) for name, fk, _, _ in refs]
+        parts.append(quality.table_checks(hits, "accidents", fact_checks + orphan_checks))
         parts.append(quality.key_check(acc, "accidents", ["accident_id"]))
     if t["cities"] is not None:
         city_checks = [quality.non_empty_check(), quality.pattern_check("state_code", state_code_pattern, "state_code_format")]
@@ -338,11 +335,16 @@ def check_lake(
         # the fact joins cities on (name, state code): it must be unique too, or the join fans out
         parts.append(quality.key_check(t["cities"], "cities", ["city_name", "state_code"], "join_key_unique"))
     if t["airports"] is not None:
-        airport_checks = [quality.non_empty_check(), quality.length_check("airport_code", airport_code_length, "airport_code_format")]
+        airport_checks = [
+            quality.non_empty_check(),
+            quality.length_check("airport_code", airport_code_length, "airport_code_format"),
+            quality.pattern_check("state_code", state_code_pattern, "state_code_format"),
+        ]
         parts.append(quality.table_checks(t["airports"], "airports", airport_checks))
         parts.append(quality.key_check(t["airports"], "airports", ["airport_code"]))
     if t["weather_conditions"] is not None:
         parts.append(quality.table_checks(t["weather_conditions"], "weather_conditions", [quality.non_empty_check()]))
+        parts.append(quality.key_check(t["weather_conditions"], "weather_conditions", ["weather_condition_id"]))
     if raw_root is not None:
         parts.extend(_raw_profile(spark, raw_root))
     return quality.report(parts)
@@ -350,24 +352,14 @@ def check_lake(
 
 def _raw_profile(spark: SparkSession, raw_root: str) -> list[DataFrame]:
     """Q6/Q7 on the raw zone as report rows (never failing)."""
-    from crashlake.functions import safe_date
-
     acc = read_raw_dataset(spark, raw_root, "accidents", columns=ACCIDENT_RAW_COLUMNS)
-    missing = quality.null_profile(
-        acc,
-        {
-            "Start_Time": safe_date("Start_Time"),
-            "City": F.col("City"),
-            "State": F.col("State"),
-            "Weather_Condition": F.col("Weather_Condition"),
-            "Airport_Code": F.col("Airport_Code"),
-        },
-    ).select(
-        F.concat(F.lit("missing_"), F.col("column_name")).alias("check_name"),
-        F.lit("raw_accidents").alias("table_name"),
-        F.col("nulls").alias("observed"),
-        F.lit(True).alias("passed"),
-    )
+    checks = [quality.null_check(f"`{c}`", f"missing_{c}", rule="report") for c in ACCIDENT_RAW_COLUMNS]
+    parsers = {
+        "Start_Time": safe_date, "Weather_Timestamp": safe_date, "Severity": safe_int, "Distance(mi)": safe_double,
+        "Temperature(F)": safe_double, "Wind_Speed(mph)": safe_double, "Precipitation(in)": safe_double,
+    }
+    checks += [quality.cast_check(c, parse(c)) for c, parse in parsers.items()]
+    columns = quality.table_checks(acc, "raw_accidents", checks)
     cities = transforms.typed_cities(read_raw_dataset(spark, raw_root, "cities", columns=CITY_RAW_COLUMNS))
     dups = quality.duplicate_profile(cities, ["city_name", "state_name"], "total_population").agg(
         F.count(F.lit(1)).alias("keys"), F.count(F.when(F.col("variants") > 1, 1)).alias("conflicting")
@@ -380,7 +372,7 @@ def _raw_profile(spark: SparkSession, raw_root: str) -> list[DataFrame]:
             )
         )
     ).select("check_name", F.lit("raw_cities").alias("table_name"), "observed", F.lit(True).alias("passed"))
-    return [missing, dup_rows]
+    return [columns, dup_rows]
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -391,12 +383,13 @@ def main(argv: list[str] | None = None) -> None:
     ld.add_argument("source")
     ld.add_argument("raw_root")
     ld.add_argument("--records", type=int, default=None)
+    ld.add_argument("--single-line", action="store_true", help="no record holds a line break: read large files in parallel")
     ld.add_argument("--load", default=None, help="land next to earlier loads under load=<name>/ (incremental)")
     r = sub.add_parser("refresh", help="fold newly landed accident chunks into the lake, then rebuild the marts")
     r.add_argument("raw_root")
     r.add_argument("lake_root")
     r.add_argument("marts_root")
-    r.add_argument("checkpoint", help="stream checkpoint; keep it across refreshes")
+    r.add_argument("--load", default=None, help="fold in this load only (default: all that is landed)")
     m = sub.add_parser("marts", help="rebuild the Parquet marts from the lake")
     m.add_argument("lake_root")
     m.add_argument("marts_root")
@@ -413,9 +406,9 @@ def main(argv: list[str] | None = None) -> None:
     # Master and cluster settings come from spark-submit (or the defaults of a local run).
     spark = SparkSession.getActiveSession() or SparkSession.builder.appName(f"crashlake-{args.cmd}").getOrCreate()
     if args.cmd == "land":
-        print(land_source(spark, args.dataset, args.source, args.raw_root, args.records, args.load))
+        print(land_source(spark, args.dataset, args.source, args.raw_root, args.records, args.load, multi_line=not args.single_line))
     elif args.cmd == "refresh":
-        print(refresh_lake(spark, args.raw_root, args.lake_root, args.marts_root, args.checkpoint))
+        print(refresh_lake(spark, args.raw_root, args.lake_root, args.marts_root, args.load))
     elif args.cmd == "marts":
         print(build_marts(spark, args.lake_root, args.marts_root))
     elif args.cmd == "build":
@@ -428,7 +421,7 @@ def main(argv: list[str] | None = None) -> None:
     else:
         path = args.report_path
         write_table(check_lake(spark, args.lake_root, raw_root=args.raw_root), path)
-        failed = spark.read.parquet(path).filter(~F.col("passed")).limit(20).collect()
+        failed = spark.read.parquet(path).filter(~F.col("passed")).collect()  # a row per check
         if failed:
             raise SystemExit(f"data-quality checks failed: {[tuple(r) for r in failed]}")
 

@@ -12,8 +12,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crashlake.operators.joins import MAX_BROADCAST_ROWS, sized_broadcast
-
 
 @dataclass(frozen=True)
 class Check:
@@ -41,6 +39,12 @@ def pattern_check(column: str, regex: str, name: str | None = None) -> Check:
     return Check(name or f"{column}_pattern", F.count(F.when(~F.col(column).rlike(regex), 1)), "zero")
 
 
+def cast_check(raw: str, parsed: Column, name: str | None = None) -> Check:
+    """Raw values that are there but do not parse (P6); reported, not failed."""
+    bad = F.col(f"`{raw}`").isNotNull() & parsed.isNull()
+    return Check(name or f"cast_{raw}", F.count(F.when(bad, 1)), "report")
+
+
 def null_check(column: str, name: str | None = None, rule: str = "zero") -> Check:
     return Check(name or f"{column}_nulls", F.count(F.when(F.col(column).isNull(), 1)), rule)
 
@@ -102,28 +106,17 @@ def key_check(df: DataFrame, table_name: str, key: list[str], check_name: str =
     )
 
 
-def with_reference_hits(
-    fact: DataFrame, refs: list[tuple[str, str, DataFrame, str]], max_broadcast_rows: int = MAX_BROADCAST_ROWS
-) -> tuple[DataFrame, list[DataFrame]] | tuple[None, list[DataFrame]]:
+def with_reference_hits(fact: DataFrame, refs: list[tuple[str, str, DataFrame, str]]) -> DataFrame:
     """Left-join the distinct keys of every referenced dimension, adding ``_hit_<name>``.
 
-    ``refs`` = ``[(name, fact_column, dimension, dimension_key), ...]``. Only
-    when every key set is proven small (and then broadcast) is the joined
-    frame returned: the fact keeps its partitioning and is read once for all
-    references. Otherwise ``None`` and the key sets, for left-anti joins.
+    ``refs`` = ``[(name, fact_column, dimension, dimension_key), ...]``. The fact
+    is read once for all references.
     """
-    sides, all_small = [], True
-    for name, _, dim, pk in refs:
-        keys = dim.select(F.col(pk).alias(f"_k_{name}")).distinct().withColumn(f"_hit_{name}", F.lit(True))
-        side, small = sized_broadcast(keys, max_broadcast_rows, bound_by=dim)  # distinct keys <= dimension rows
-        sides.append(side)
-        all_small = all_small and small
-    if not all_small:
-        return None, sides
     joined = fact
-    for (name, fk, _, _), side in zip(refs, sides):
-        joined = joined.join(side, F.col(fk) == F.col(f"_k_{name}"), "left")
-    return joined, sides
+    for name, fk, dim, pk in refs:
+        keys = dim.select(F.col(pk).alias(f"_k_{name}")).distinct().withColumn(f"_hit_{name}", F.lit(True))
+        joined = joined.join(keys, F.col(fk) == F.col(f"_k_{name}"), "left")
+    return joined
 
 
 def orphan_check(name: str, fk: str, rule: str = "zero") -> Check:
@@ -131,25 +124,17 @@ def orphan_check(name: str, fk: str, rule: str = "zero") -> Check:
     return Check(f"fk_{name}", F.count(F.when(F.col(fk).isNotNull() & F.col(f"_hit_{name}").isNull(), 1)), rule)
 
 
-def fk_orphans(
-    fact: DataFrame, refs: list[tuple[str, str, DataFrame, str]], max_broadcast_rows: int = MAX_BROADCAST_ROWS
-) -> DataFrame:
+def fk_orphans(fact: DataFrame, refs: list[tuple[str, str, DataFrame, str]]) -> DataFrame:
     """Facts whose non-null foreign key is missing from its dimension (Q9, J7).
 
-    When every dimension is proven small, the distinct keys of each are
-    broadcast and all foreign keys are checked in one scan of the fact;
-    otherwise each key is checked with its own left-anti join.
+    Each key is counted per value first, so a hot value is one row when it meets its dimension.
     """
-    fks = list(dict.fromkeys(fk for _, fk, _, _ in refs))
-    joined, sides = with_reference_hits(fact.select(*fks), refs, max_broadcast_rows)
-    if joined is not None:
-        row = joined.agg(*[orphan_check(name, fk).observed.alias(name) for name, fk, _, _ in refs])
-        items = [F.struct(F.lit(name).alias("fk"), F.col(name).cast("bigint").alias("orphans")) for name, *_ in refs]
-        return row.select(F.inline(F.array(*items)))
     parts = []
-    for (name, fk, _, _), side in zip(refs, sides):
-        orphans = fact.select(fk).filter(F.col(fk).isNotNull()).join(side, F.col(fk) == F.col(f"_k_{name}"), "left_anti")
-        parts.append(orphans.agg(F.count(F.lit(1)).alias("orphans")).select(F.lit(name).alias("fk"), "orphans"))
+    for name, fk, dim, pk in refs:
+        used = fact.where(F.col(fk).isNotNull()).groupBy(fk).agg(F.count(F.lit(1)).alias("_n"))
+        known = dim.select(F.col(pk).alias("_known")).distinct()
+        lost = used.join(known, F.col(fk) == F.col("_known"), "left_anti")
+        parts.append(lost.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("orphans")).select(F.lit(name).alias("fk"), "orphans"))
     return _union(parts)
 
 
@@ -164,19 +149,17 @@ def report(parts: list[DataFrame]) -> DataFrame:
     return _union(parts)
 
 
-def load_report(raw_accidents: DataFrame, accidents: DataFrame, cities: DataFrame, airports: DataFrame) -> DataFrame:
+def load_report(raw_rows: int, accidents: DataFrame, cities: DataFrame, airports: DataFrame) -> DataFrame:
     """Row counts of the load (K5): raw facts, joined facts, facts dropped for an unknown
-    city, cities and airports. All four tables are counted in one job."""
-    stages = {"raw_accidents": raw_accidents, "joined": accidents, "cities": cities, "airports": airports}
-    tagged = _union([df.select(F.lit(name).alias("stage")) for name, df in stages.items()])
-    row = tagged.agg(*[F.count(F.when(F.col("stage") == name, 1)).alias(name) for name in stages])
-    items = [
-        ("raw_accidents", F.col("raw_accidents")),
-        ("joined", F.col("joined")),
-        ("dropped_no_city", F.col("raw_accidents") - F.col("joined")),
-        ("cities", F.col("cities")),
-        ("airports", F.col("airports")),
-    ]
-    return row.select(
-        F.inline(F.array(*[F.struct(F.lit(s).alias("stage"), c.cast("bigint").alias("n")) for s, c in items]))
-    )
+    city, cities and airports. ``raw_rows`` was counted when the raw zone was parsed;
+    the tables' counts come from Parquet footers."""
+    n = F.count(F.lit(1)).alias("n")
+    joined = accidents.agg(n)
+    raw = F.lit(raw_rows).cast("bigint")
+    fact = joined.select(F.inline(F.array(
+        F.struct(F.lit("raw_accidents").alias("stage"), raw.alias("n")),
+        F.struct(F.lit("joined").alias("stage"), F.col("n")),
+        F.struct(F.lit("dropped_no_city").alias("stage"), (raw - F.col("n")).alias("n")),
+    )))
+    dims = [df.agg(n).select(F.lit(name).alias("stage"), "n") for name, df in (("cities", cities), ("airports", airports))]
+    return _union([fact, *dims])

@@ -1,6 +1,5 @@
-"""Dimension and fact builds (T1-T4). Pure ``DataFrame -> DataFrame``; no actions
-except the bounded size checks that choose broadcast joins and the checkpoint
-that pins dense keys."""
+"""Dimension and fact builds (T1-T4), ``DataFrame -> DataFrame``. The only action is the
+checkpoint that pins a dimension's dense keys."""
 
 from __future__ import annotations
 
@@ -9,7 +8,6 @@ from pyspark.sql import functions as F
 
 from crashlake.functions import safe_bigint, safe_date, safe_double, safe_int, safe_timestamp, state_code
 from crashlake.operators import dense_index, dimension_join, distinct_values, keep_smallest
-from crashlake.operators.joins import MAX_BROADCAST_ROWS
 
 # The airport filter of the source pipeline (North America, USA).
 DEFAULT_CONTINENT = "NA"
@@ -94,42 +92,33 @@ def enrich(
     cities: DataFrame,
     weather: DataFrame,
     airports: DataFrame | None = None,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Star enrichment (J1-J4): inner join to cities on (city, state code), left joins to
     airports (optional) and weather. Null keys never match, so null weather gives a null id."""
-    b = max_broadcast_rows
     c = cities.select(
         F.col("city_id"), F.col("city_name").alias("_c_name"), F.col("state_code").alias("_c_state")
     )
-    out = dimension_join(
-        typed, c, (F.col("_city") == F.col("_c_name")) & (F.col("_state") == F.col("_c_state")), "inner",
-        b, ["_city", "_state"],
-    )
+    out = dimension_join(typed, c, (F.col("_city") == F.col("_c_name")) & (F.col("_state") == F.col("_c_state")))
     if airports is not None:
         a = airports.select(F.col("airport_code").alias("_a_code"), F.col("type").alias("airport_type"))
-        out = dimension_join(out, a, F.col("airport_code") == F.col("_a_code"), "left", b, ["airport_code"])
+        out = dimension_join(out, a, F.col("airport_code") == F.col("_a_code"), "left")
     w = weather.select("weather_condition_id", F.col("condition").alias("_w_cond"))
-    out = dimension_join(out, w, F.col("_weather") == F.col("_w_cond"), "left", b, ["_weather"])
+    out = dimension_join(out, w, F.col("_weather") == F.col("_w_cond"), "left")
     return out.drop("_c_name", "_c_state", "_a_code", "_w_cond")
 
 
-def build_accidents(
-    raw: DataFrame, cities: DataFrame, weather: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_ROWS
-) -> DataFrame:
+def build_accidents(raw: DataFrame, cities: DataFrame, weather: DataFrame) -> DataFrame:
     """Accident fact (T4): typed raw rows enriched with city and weather ids, partitioned by year/month.
 
     Facts whose (city, state) is not in the cities dimension are dropped (inner join).
     The airport code is kept as written; the airport join adds no column.
     """
-    return fact_from_typed(typed_accidents(raw), cities, weather, max_broadcast_rows)
+    return fact_from_typed(typed_accidents(raw), cities, weather)
 
 
-def fact_from_typed(
-    typed: DataFrame, cities: DataFrame, weather: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_ROWS
-) -> DataFrame:
+def fact_from_typed(typed: DataFrame, cities: DataFrame, weather: DataFrame) -> DataFrame:
     """``build_accidents`` from rows already typed by ``typed_accidents``."""
-    joined = enrich(typed, cities, weather, max_broadcast_rows=max_broadcast_rows)
+    joined = enrich(typed, cities, weather)
     return joined.select(
         "accident_id",
         "datetime",

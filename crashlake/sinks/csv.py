@@ -2,58 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from crashlake.operators.joins import sized_broadcast
-from crashlake.operators.keys import Indexed, dense_index_segments, file_order_index_segments
+from crashlake.operators.keys import staged_positions
 from crashlake.sources.csv import CSV_DIALECT
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
-    """Overwrite ``path`` with header CSV in the lake's RFC-4180 dialect."""
-    df.write.mode("overwrite").options(**CSV_DIALECT).option("sep", sep).csv(path)
-
-
-def _indexed(df: DataFrame, records_per_file: int, order_by: list[str] | None) -> Indexed:
-    if records_per_file <= 0:
-        raise ValueError("records_per_file must be > 0")
-    if order_by is None:
-        return file_order_index_segments(df, "_idx")
-    return dense_index_segments(df, order_by, "_idx")
+    """Replace ``path`` with header CSV in the lake's RFC-4180 dialect."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.options(**CSV_DIALECT).option("sep", sep).csv(path)
 
 
 def chunk_assign(
     df: DataFrame, records_per_file: int, order_by: list[str] | None, chunk_col: str = "chunk"
-) -> DataFrame:
+) -> tuple[DataFrame, int]:
     """Number rows 0..n-1 and put row i in chunk ``floor(i / records_per_file)``.
 
     The order is ``order_by`` (a total order), or, when it is ``None``, the
-    source order of a file scan (file name, then record position). Adds
-    ``chunk_col`` and ``_idx``. All chunks hold exactly ``records_per_file``
+    source order of a file scan (file path, then record position). Adds
+    ``chunk_col`` and ``_idx``; returned with the number of rows. All chunks hold exactly ``records_per_file``
     rows except the last, and no chunk is empty.
     """
-    frame = _indexed(df, records_per_file, order_by).frame
-    return frame.withColumn(chunk_col, F.floor(F.col("_idx") / F.lit(records_per_file)).cast("bigint"))
-
-
-def split_chunks(segments: DataFrame, records_per_file: int) -> DataFrame:
-    """Chunks whose rows lie in more than one task, from the segment table alone.
-
-    A segment's interior chunks belong to it entirely; only its first and last
-    chunk can be shared, so those are listed with the segment's task and a
-    chunk is split when two different tasks list it.
-    """
-    n = F.lit(records_per_file)
-    first = F.floor(F.col("_start") / n)
-    last = F.floor((F.col("_start") + F.col("_n") - 1) / n)
-    ends = segments.filter(F.col("_n") > 0).select("_task", F.explode(F.array_distinct(F.array(first, last))).alias("chunk"))
-    return (
-        ends.groupBy("chunk")
-        .agg(F.min("_task").alias("_lo"), F.max("_task").alias("_hi"))
-        .filter(F.col("_lo") != F.col("_hi"))
-        .select(F.col("chunk").cast("bigint").alias("chunk"))
-    )
+    if records_per_file <= 0:
+        raise ValueError("records_per_file must be > 0")
+    frame, rows = staged_positions(df, order_by, "_idx")
+    return frame.withColumn(chunk_col, F.floor(F.col("_idx") / F.lit(records_per_file)).cast("bigint")), rows
 
 
 def land_chunked_csv(
@@ -64,37 +39,27 @@ def land_chunked_csv(
     sep: str = ",",
     drop: list[str] | None = None,
 ) -> dict[str, int]:
-    """Write ``df`` as header CSV chunks of at most ``records_per_file`` records.
+    """Replace ``dest`` with header CSV chunks of at most ``records_per_file`` records.
 
     Chunk ``k`` is the single file under ``dest/chunk=k/``; record order inside
     a chunk follows ``order_by`` (``None``: the source file order). Columns in
-    ``drop`` (e.g. a source-order column) are not written.
+    ``drop`` (e.g. a source-order column) are not written. Earlier chunks go,
+    whatever overwrite mode the session has.
 
-    Positions are consecutive within each task, so most chunks already sit
-    whole in one task and are written where they are. Only chunks that
-    straddle two tasks - at most one per task boundary - are hash-partitioned
-    by chunk, so the shuffle moves at most (tasks - 1) x ``records_per_file``
-    rows instead of the whole dataset. Both parts go out in one write job
-    (a union keeps each part's partitioning), one file per chunk.
-    Returns ``{"rows": n, "chunks": k}`` from the segment table.
+    The rows are read once, staged as Parquet with their positions, shuffled by
+    chunk and written. The number of rows staged and the number the writing
+    tasks sent out are compared; a difference raises. Returns ``{"rows": n, "chunks": k}``.
     """
-    indexed = _indexed(df, records_per_file, order_by)
-    chunked = indexed.frame.withColumn("chunk", F.floor(F.col("_idx") / F.lit(records_per_file)).cast("bigint"))
+    chunked, rows = chunk_assign(df, records_per_file, order_by)
     keep = [F.col(f"`{c}`") for c in df.columns if c not in set(drop or [])] + [F.col("chunk")]
-
-    # split chunks <= segments (each is shared by two or more), so the segment count bounds them
-    split, small = sized_broadcast(split_chunks(indexed.segments, records_per_file), bound_by=indexed.segments)
-    if indexed.in_place and small:
-        local = chunked.join(split, "chunk", "left_anti")
-        moved = chunked.join(split, "chunk", "left_semi").repartition("chunk")
-        placed = local.unionByName(moved)
-    else:
-        placed = chunked.repartition("chunk")
     # Sort last: the writer needs rows grouped by chunk, and (chunk, _idx) satisfies
     # that, so it adds no sort of its own that could reorder records within a chunk.
-    out = placed.sortWithinPartitions("chunk", "_idx").select(*keep)
-    out.write.mode("overwrite").options(**CSV_DIALECT).option("sep", sep).partitionBy("chunk").csv(dest)
-
-    rows = indexed.segments.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows")).head()["rows"]
-    rows = int(rows)
+    out = chunked.repartition("chunk").sortWithinPartitions("chunk", "_idx").select(*keep)
+    sent = Observation()
+    if rows:
+        out = out.observe(sent, F.count(F.lit(1)).alias("rows"))  # above the last shuffle: in the writing tasks
+    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.options(**CSV_DIALECT).option("sep", sep).partitionBy("chunk").csv(dest)
+    if rows and sent.get["rows"] != rows:
+        raise RuntimeError(f"{sent.get['rows']} of {rows} rows landed in {dest}")
     return {"rows": rows, "chunks": -(-rows // records_per_file)}

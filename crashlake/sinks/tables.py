@@ -1,29 +1,8 @@
-"""Parquet table writes (K1-K3) with row counts observed during the write (K5)."""
+"""Parquet table writes (K1-K3) with row counts (K5) read from the written files' footers."""
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, Observation
-from pyspark.sql import functions as F
-
-
-def observed(obs: Observation, fallback: Callable[[], dict]) -> dict:
-    """Metrics of an observation, or ``fallback()`` when the plan produced none.
-
-    When a stage turns out empty, adaptive execution may replace that part of
-    the plan with an empty relation, dropping the node that collects the
-    metrics; the caller then recounts from what was written (cheap: Parquet
-    counts come from file footers).
-    """
-    try:
-        m = obs.get
-        if m:
-            return dict(m)
-    except Exception:  # noqa: BLE001 - no metrics row was produced
-        pass
-    return fallback()
+from pyspark.sql import DataFrame
 
 
 def write_table(
@@ -45,12 +24,11 @@ def write_table(
     rows by the partition columns and then these columns - the sort the
     partitioned writer needs anyway, extended - so every file holds narrow
     ranges of them: better compression and row-group statistics that let a
-    filter on them skip data. The row count comes from an observation on the
-    write itself, not from an extra pass.
+    filter on them skip data. The count is read from the footers of the written
+    files; an append or a dynamic overwrite, whose folder holds other rows too,
+    returns 0.
     """
-    obs = Observation(f"write_{uuid.uuid4().hex[:8]}")
-    tracked = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer_df = tracked.hint("rebalance", *partition_by) if partition_by else tracked
+    writer_df = df.hint("rebalance", *partition_by) if partition_by else df
     if cluster_by:
         writer_df = writer_df.sortWithinPartitions(*(partition_by or []), *cluster_by)
     writer = writer_df.write.mode(mode).option(
@@ -59,8 +37,6 @@ def write_table(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    spark = df.sparkSession
-    if mode == "append":
-        # an append cannot be recounted from the table; an absent metric means nothing was written
-        return int(observed(obs, lambda: {"rows": 0})["rows"])
-    return int(observed(obs, lambda: {"rows": spark.read.schema(df.schema).parquet(path).count()})["rows"])
+    if mode == "append" or dynamic:
+        return 0
+    return df.sparkSession.read.schema(df.schema).parquet(path).count()

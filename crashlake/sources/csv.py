@@ -4,7 +4,8 @@ RFC-4180 dialect everywhere: ``""`` escapes a quote and quoted fields may hold
 the delimiter or line breaks. Spark's defaults (backslash escape, one record per
 line) would silently split such records, so every read and write in the lake
 goes through :data:`CSV_DIALECT`. ``multiLine`` makes one file one task, which
-is why raw datasets are landed in record-bounded chunks.
+is why raw datasets are landed in record-bounded chunks; a source known to hold
+no line break inside a record is read with ``multi_line=False`` and splits by bytes.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ def read_csv(
     columns: list[str] | None = None,
     mode: str = "FAILFAST",
     recursive: bool = True,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Scan header CSV; every column is a string.
 
@@ -42,11 +44,15 @@ def read_csv(
     instead of being read positionally. ``columns`` keeps a subset; the CSV parser then
     tokenises only those columns. ``recursive`` reads chunk folders
     (``chunk=K/part-*.csv``) without turning folder names into columns.
-    ``FAILFAST`` raises on a malformed record instead of dropping or padding it.
+    ``FAILFAST`` raises on a malformed record instead of dropping or padding it;
+    with ``PERMISSIVE`` and a ``_corrupt_record`` column in ``schema`` malformed
+    records are kept aside in that column.
     """
     # enforceSchema=false: every file's header is checked against the schema (given or taken from the
     # first header), so a file whose columns moved fails instead of being read by position.
     reader = spark.read.options(**CSV_DIALECT).option("sep", sep).option("mode", mode).option("enforceSchema", "false")
+    if not multi_line:
+        reader = reader.option("multiLine", "false")
     if recursive:
         reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
     if schema is not None:

@@ -6,8 +6,8 @@ parquet tables with the same *semantics*: a fact whose composite city key may
 miss the dimension, duplicated city keys with conflicting populations, null
 weather conditions, unparseable start times, unknown airport codes and
 airports outside the kept region. The modulo expressions below are such
-data-shaping rules (which cities are missing from the demographic list,
-which airport code a record reports, which start times are unreadable); no
+data-shaping rules (which accidents spell their state so that no city
+matches, which airport code a record reports, which values are unreadable); no
 row of any source table is skipped. Columns carry the raw header names and are
 strings, as the CSV reader would return them. Each frame also carries
 ``_order``, a unique source order used when it is landed in chunks, and the
@@ -31,7 +31,10 @@ class StandInParams:
     bad_date_every: int = 97
     unknown_weather: str = "4-NOT SPECIFIED"
     airport_codes: int = 200
-    city_excluded_nation_mod: int = 5
+    unmatched_state_nation_mod: int = 5
+    bad_weather_time_every: int = 89
+    bad_temperature_every: int = 101
+    no_wind_every: int = 7
     continent: str = "AMERICA"
     country: str = "NATION_11"
     airport_code_length: int = 18
@@ -63,13 +66,17 @@ def raw_accidents(spark: SparkSession, sf_dir: str, p: StandInParams = DEFAULT_P
         nation, customer.c_nationkey == nation.n_nationkey
     )
     null = F.lit(None).cast("string")
+    key, text = F.col("o_orderkey"), lambda c: c.cast("string")
+    observed = F.concat(text(F.date_sub(F.col("o_orderdate").cast("date"), 1)), F.lit(" 05:06:07"))
     return j.select(
         F.col("o_orderkey").cast("string").alias("ID"),
         F.when(F.col("o_orderkey") % p.bad_date_every == 0, F.lit("bad"))
         .otherwise(F.col("o_orderdate").cast("string"))
         .alias("Start_Time"),
         F.col("c_mktsegment").alias("City"),
-        F.col("n_name").alias("State"),
+        F.when(F.col("c_nationkey") % p.unmatched_state_nation_mod == 0, F.concat(F.col("n_name"), F.lit(" (old)")))
+        .otherwise(F.col("n_name"))
+        .alias("State"),
         F.concat(
             F.lit("Supplier#"), F.lpad((F.col("o_custkey") % p.airport_codes).cast("string"), 9, "0")
         ).alias("Airport_Code"),
@@ -77,12 +84,14 @@ def raw_accidents(spark: SparkSession, sf_dir: str, p: StandInParams = DEFAULT_P
         null.alias("Timezone"),
         F.col("o_orderstatus").alias("Description"),
         F.substring("o_orderpriority", 1, 1).alias("Severity"),
-        null.alias("Temperature(F)"),
+        F.when(key % p.bad_temperature_every == 0, F.lit("warm"))
+        .otherwise(F.concat(text(key % 120), F.lit(".5")))
+        .alias("Temperature(F)"),
         F.col("o_totalprice").cast("double").cast("string").alias("Distance(mi)"),
-        null.alias("Wind_Speed(mph)"),
-        null.alias("Precipitation(in)"),
+        F.when(key % p.no_wind_every != 0, text(F.col("o_custkey") % 60)).alias("Wind_Speed(mph)"),
+        F.concat(F.lit("0."), text(key % 9 + 1)).alias("Precipitation(in)"),
         F.nullif(F.col("o_orderpriority"), F.lit(p.unknown_weather)).alias("Weather_Condition"),
-        null.alias("Weather_Timestamp"),
+        F.when(key % p.bad_weather_time_every == 0, F.lit("n/a")).otherwise(observed).alias("Weather_Timestamp"),
         F.col("o_orderkey").alias("_order"),
         F.col("o_orderdate").cast("date").alias("_loaded_on"),
     )
@@ -91,9 +100,7 @@ def raw_accidents(spark: SparkSession, sf_dir: str, p: StandInParams = DEFAULT_P
 def raw_cities(spark: SparkSession, sf_dir: str, p: StandInParams = DEFAULT_PARAMS) -> DataFrame:
     customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
     nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    j = customer.filter(F.col("c_nationkey") % p.city_excluded_nation_mod != 0).join(
-        nation, F.col("c_nationkey") == F.col("n_nationkey")
-    )
+    j = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     return j.select(
         F.col("c_mktsegment").alias("City"),
         F.col("n_name").alias("State"),

@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
+from urllib.parse import urlsplit
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crashlake.config import join_path
+from crashlake import versions
 from crashlake.schemas import LAKE_TABLES
 
 
 def read_table(spark: SparkSession, lake_root: str, table: str) -> DataFrame:
-    """Scan a curated table from its root folder.
+    """Scan a curated table of the lake's current version.
 
     Reading the table root (not a ``key=*/*.parquet`` file glob) keeps the
     partition columns and lets filters on them prune folders. The curated schema
     is given explicitly, so partition columns keep their declared types and no
     inference job runs.
     """
-    path = join_path(lake_root, table)
+    path = versions.table_path(spark, lake_root, table)
     if table in LAKE_TABLES:
         schema, _ = LAKE_TABLES[table]
         return spark.read.schema(schema).parquet(path)
@@ -35,11 +37,11 @@ def register_lake_views(spark: SparkSession, lake_root: str, prefix: str = "") -
 
 
 def file_inventory(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
-    """One row per file under ``root``: path, size and raw-zone key.
+    """One row per file under ``root``: path, size and key.
 
     Only the ``path`` and ``length`` columns are selected, so the binary-file
-    source never reads file contents. The key is ``<parent folder>/<file name>``
-    (K9).
+    source never reads file contents. The key is the path below ``root``, so in
+    the raw zone it begins with the dataset's folder (K9).
     """
     files = (
         spark.read.format("binaryFile")
@@ -48,7 +50,8 @@ def file_inventory(spark: SparkSession, root: str, glob: str = "*") -> DataFrame
         .load(root)
         .select("path", "length")
     )
-    return files.withColumn("key", F.substring_index("path", "/", -2))
+    base = urlsplit(root).path.rstrip("/") + "/"
+    return files.withColumn("key", F.substring_index("path", base, -1))
 
 
 def register_lake_tables(spark: SparkSession, lake_root: str, database: str, location: str | None = None) -> dict[str, str]:
@@ -58,7 +61,8 @@ def register_lake_tables(spark: SparkSession, lake_root: str, database: str, loc
     unchanged on Spark. Schemas are declared, so nothing is inferred; the
     partitions of partitioned tables are recovered from the folders (a
     distributed listing) and predicates on them prune folders. Calling it
-    again after a load picks up new partitions. ``location`` is where the
+    again after a load or a build points the tables at the current version
+    and picks up new partitions; the data stays. ``location`` is where the
     database itself lives (default: the shared scratch folder); the tables
     stay where the lake is.
     """
@@ -71,9 +75,10 @@ def register_lake_tables(spark: SparkSession, lake_root: str, database: str, loc
         name = f"`{database}`.`{table}`"
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         partitioned = f" PARTITIONED BY ({', '.join(parts)})" if parts else ""
+        spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: only the entry goes
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{partitioned} "
-            f"LOCATION '{join_path(lake_root, table)}'"
+            f"CREATE TABLE {name} ({columns}) USING parquet{partitioned} "
+            f"LOCATION '{versions.table_path(spark, lake_root, table)}'"
         )
         if parts:
             spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")

@@ -25,7 +25,7 @@ from crashlake.operators import dimension_join, distinct_values, keep_smallest
 from crashlake.plans import jobs, marts, quality, transforms
 from crashlake.plans.jobs import LakeBuild
 from crashlake.schemas import RAW_DELIMITERS, RAW_FOLDERS
-from crashlake.sinks import land_chunked_csv, write_csv
+from crashlake.sinks import land_chunked_csv, write_csv, write_table
 from crashlake.sources import file_inventory, read_csv, read_raw_dataset, read_table, register_lake_tables
 from crashlake.sources import standins
 from crashlake.sources.standins import DEFAULT_PARAMS, StandInParams
@@ -99,7 +99,7 @@ def q_scan_csv_semicolon(spark, sf_dir):
 
 
 def q_scan_parquet_flat(spark, sf_dir):
-    return spark.read.parquet(join_path(sf_dir, "nation.parquet")).select("n_nationkey", "n_name")
+    return read_table(spark, sf_dir, "nation.parquet").select("n_nationkey", "n_name")
 
 
 def q_scan_parquet_part1(spark, sf_dir):
@@ -113,22 +113,26 @@ def q_scan_parquet_part2(spark, sf_dir):
 # ---------------------------------------------------------------- sinks
 
 
+def _written(spark, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
+    path = scratch_path(spark, "sink")
+    write_table(df, path, partition_by)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def q_sink_flat_roundtrip(spark, sf_dir):
-    return _lake(spark, fixture(spark, sf_dir), "cities").select(
-        "city_id", "city_name", "state", "state_code", "total_population"
-    )
+    return _written(spark, standins.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"))
 
 
 def q_sink_part1_roundtrip(spark, sf_dir):
-    return _lake(spark, fixture(spark, sf_dir), "airports").groupBy("state").agg(F.count(F.lit(1)).alias("n"))
+    suppliers = standins.table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    return _written(spark, suppliers, ["s_nationkey"])
 
 
 def q_sink_part2_roundtrip(spark, sf_dir):
-    return (
-        _lake(spark, fixture(spark, sf_dir), "accidents")
-        .groupBy("year", "month")
-        .agg(F.count(F.lit(1)).alias("n"))
+    orders = standins.table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m")
     )
+    return _written(spark, orders, ["y", "m"])
 
 
 def q_sql_preview(spark, sf_dir):
@@ -140,14 +144,22 @@ def q_sql_preview(spark, sf_dir):
     return marts.preview(spark.table(tables["accidents"]), 10)
 
 
+def q_sql_count_month_text(spark, sf_dir):
+    """The month given as text literals, as analysts write it against the catalog."""
+    q_sql_preview(spark, sf_dir)  # registers the tables
+    fx = fixture(spark, sf_dir)
+    table, p = fx.extras["tables"]["accidents"], fx.params
+    return spark.sql(f"SELECT count(*) AS n FROM {table} WHERE year = '{p.year}' AND month = '{p.month}'")
+
+
 def q_preview_5(spark, sf_dir):
-    return marts.preview(_lake(spark, fixture(spark, sf_dir), "accidents"), 5)
+    return marts.preview(_lake(spark, fixture(spark, sf_dir), "accidents"), 5, ("accident_id", "city_id", "severity"))
 
 
 def q_load_report(spark, sf_dir):
     fx = fixture(spark, sf_dir)
     return quality.load_report(
-        _raw(spark, fx, "accidents"),
+        fx.build.rows["raw_accidents"],
         _lake(spark, fx, "accidents"),
         _lake(spark, fx, "cities"),
         _lake(spark, fx, "airports"),
@@ -198,9 +210,33 @@ def q_land_raw_counts(spark, sf_dir):
     return quality.report(parts)
 
 
+def q_land_source_order(spark, sf_dir):
+    """Events written as several CSV files, landed as one raw dataset in file order, read back with their chunk."""
+    root = scratch_path(spark, "land_source_order")
+    events = standins.events(spark, sf_dir)
+    write_csv(events.repartitionByRange(5, "event_id").sortWithinPartitions("event_id"), join_path(root, "src"))
+    jobs.land_source(spark, "accidents", join_path(root, "src"), join_path(root, "raw"), records_per_file=700)
+    df = _read_chunked(spark, join_path(root, "raw", RAW_FOLDERS["accidents"]), events.columns)
+    return df.select(F.col("event_id").cast("bigint").alias("event_id"), "event_type", "chunk")
+
+
+def q_build_lake(spark, sf_dir):
+    """A whole build beside the fixture's, then rows per table of the version that readers see."""
+    fx = fixture(spark, sf_dir)
+    lake = scratch_path(spark, "lake_again")
+    rows = jobs.build_lake(spark, fx.raw_root, lake, fx.params.continent, fx.params.country).rows
+    tables = {**jobs.lake_tables(spark, lake)}
+    return quality.report(
+        [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n") for name, df in tables.items()]
+        + [spark.range(1).select(F.lit("dropped_no_city").alias("table_name"), F.lit(rows["dropped_no_city"]).cast("bigint").alias("n"))]
+    )
+
+
 def q_file_keys(spark, sf_dir):
     fx = fixture(spark, sf_dir)
-    return file_inventory(spark, fx.raw_root, "*.csv").select("key", "length")
+    key = F.split("key", "/")
+    files = file_inventory(spark, fx.raw_root, "*.csv")
+    return files.select(key[0].alias("dataset"), F.regexp_extract(key[1], "chunk=([0-9]+)", 1).cast("bigint").alias("chunk"))
 
 
 def q_dq_file_count(spark, sf_dir):
@@ -244,7 +280,9 @@ def q_surrogate_key_weather(spark, sf_dir):
 
 
 def q_typed_fact(spark, sf_dir):
-    return _lake(spark, fixture(spark, sf_dir), "accidents").select("accident_id", "severity", "distance", "datetime")
+    return _lake(spark, fixture(spark, sf_dir), "accidents").select(
+        "accident_id", "severity", "distance", "datetime", "start_time", "weather_date", "temperature", "wind_speed", "precipitation"
+    )
 
 
 # ---------------------------------------------------------------- filters
@@ -345,18 +383,30 @@ def q_mart_city_total(spark, sf_dir):
     )
 
 
-def q_mart_by_weather(spark, sf_dir):
+def _mart(spark, sf_dir, name: str) -> DataFrame:
+    """A written mart, read back; all marts are built once per fixture."""
     fx = fixture(spark, sf_dir)
-    return marts.by_weather(_lake(spark, fx, "accidents"), _lake(spark, fx, "weather_conditions"))
+    if "marts" not in fx.extras:
+        root = join_path(fx.root, "marts")
+        jobs.build_marts(spark, fx.lake_root, root)
+        fx.extras["marts"] = root
+    return spark.read.parquet(join_path(fx.extras["marts"], name))
+
+
+def q_mart_by_weather(spark, sf_dir):
+    return _mart(spark, sf_dir, "by_weather")
 
 
 def q_mart_by_city(spark, sf_dir):
-    fx = fixture(spark, sf_dir)
-    return marts.by_city(_lake(spark, fx, "accidents"), _lake(spark, fx, "cities"))
+    return _mart(spark, sf_dir, "by_city")
 
 
 def q_mart_by_airport(spark, sf_dir):
-    return marts.by_airport(_lake(spark, fixture(spark, sf_dir), "accidents"))
+    return _mart(spark, sf_dir, "by_airport")
+
+
+def q_mart_by_month(spark, sf_dir):
+    return _mart(spark, sf_dir, "by_month")
 
 
 # ---------------------------------------------------------------- scalar functions
@@ -436,6 +486,17 @@ def q_dq_format(spark, sf_dir):
     return quality.table_checks(acc, "accidents", [check]).select(F.col("observed").alias("violations"))
 
 
+def q_check_lake(spark, sf_dir):
+    """The whole data-quality job (Q1-Q11, P6) over the lake and the raw zone."""
+    fx = fixture(spark, sf_dir)
+    return jobs.check_lake(spark, fx.lake_root, fx.params.airport_code_length, "^NATION_[0-9]+$", raw_root=fx.raw_root)
+
+
+def q_fn_weather_date(spark, sf_dir):
+    raw = _raw(spark, fixture(spark, sf_dir), "accidents")
+    return raw.select(F.col("ID").alias("id"), safe_date("Weather_Timestamp").alias("d"))
+
+
 def q_dq_report(spark, sf_dir):
     acc = _lake(spark, fixture(spark, sf_dir), "accidents")
     return quality.report(
@@ -451,8 +512,8 @@ def q_dq_report(spark, sf_dir):
 
 
 def q_stream_refresh(spark, sf_dir):
-    """Build the lake from the records that arrived up to a day, then stream the later
-    arrivals in (one chunk file per micro-batch); return facts per month."""
+    """Build the lake from the records that arrived up to a day, then stream all
+    landed loads in (some chunk files per micro-batch; what is there already changes nothing); return facts per month."""
     from crashlake.streaming import accident_refresh
 
     p = DEFAULT_PARAMS
@@ -464,7 +525,7 @@ def q_stream_refresh(spark, sf_dir):
     jobs.land_raw(spark, {**src, "accidents": acc.filter(initial)}, raw_root, p.chunks(), load="initial")
     jobs.build_lake(spark, raw_root, lake_root, p.continent, p.country)
     jobs.land_raw(spark, {"accidents": acc.filter(~initial)}, raw_root, p.chunks(), load="later")
-    accident_refresh(spark, raw_root, lake_root, join_path(root, "checkpoint"), max_files_per_trigger=1).awaitTermination()
+    accident_refresh(spark, raw_root, lake_root, join_path(root, "checkpoint"), max_files_per_trigger=4).awaitTermination()
     return read_table(spark, lake_root, "accidents").groupBy("year", "month").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -77,30 +77,72 @@ def test_read_table_keeps_partition_columns(spark, golden_lake):
     assert {"year", "month"} <= set(read_table(spark, lake, "accidents").columns)
 
 
-def test_split_chunks_from_segments(spark):
-    from crashlake.sinks.csv import split_chunks
-
-    segs = spark.createDataFrame([(0, 0, 10), (1, 10, 15), (2, 25, 5)], "_task long, _start long, _n long")
-    assert sorted(r[0] for r in split_chunks(segs, 4).collect()) == [2, 6]
-    interleaved = spark.createDataFrame([(0, 0, 5), (1, 5, 5), (0, 10, 5)], "_task long, _start long, _n long")
-    assert sorted(r[0] for r in split_chunks(interleaved, 5).collect()) == []
-    assert sorted(r[0] for r in split_chunks(interleaved, 4).collect()) == [1, 2]
-
-
-def test_landing_moves_only_straddling_chunks(spark, tmp_path):
-    from crashlake.operators.keys import dense_index_segments
-    from crashlake.sinks.csv import split_chunks
-
-    df = spark.range(0, 2000).select((F.col("id") * 13 % 2000).alias("k"))
-    ix = dense_index_segments(df, ["k"], num_partitions=8)
-    split = sorted(r[0] for r in split_chunks(ix.segments, 64).collect())
-    assert 0 < len(split) <= 7  # at most one per task boundary
-    out = land_chunked_csv(df, str(tmp_path / "c"), 64, ["k"])
-    assert out == {"rows": 2000, "chunks": 32}
-    files = file_inventory(spark, str(tmp_path / "c"), "*.csv")
-    assert files.count() == 32
-    back = read_csv(spark, str(tmp_path / "c"), recursive=False)
-    assert sorted((int(r["k"]) // 64, r["chunk"]) for r in back.collect()) == [(k // 64, k // 64) for k in range(2000)]
+def test_landing_survives_other_scan_packing(spark, tmp_path):
+    """Executors may join between two jobs and change how files are packed into tasks: no row may get lost."""
+    from crashlake.plans import jobs
+    from tests.conftest import write_csv_file
+
+    for k in range(40):
+        rows = [(f"C{k:02d}-{i:03d}", "S", "SC", str(i)) for i in range(100 + k)]
+        write_csv_file(str(tmp_path / "src" / f"p{k:02d}.csv"), ["City", "State", "State Code", "Total Population"], rows, sep=";")
+    total = sum(100 + k for k in range(40))
+    names = ("spark.sql.leafNodeDefaultParallelism", "spark.sql.files.openCostInBytes")
+    old = spark.conf.get(names[1])
+    try:
+        spark.conf.set(names[1], "1k")
+        spark.conf.set(names[0], "4")
+        df = read_csv(spark, str(tmp_path / "src"), sep=";")
+
+        from crashlake.operators import keys
+
+        placed, rows = keys.staged_positions(df, None, "_idx")
+        spark.conf.set(names[0], "16")  # between staging and numbering
+        assert rows == total and placed.count() == total
+        assert sorted(r["_idx"] for r in placed.select("_idx").collect()) == list(range(total))
+        out = jobs.land_source(spark, "cities", str(tmp_path / "src"), str(tmp_path / "raw"), records_per_file=1000)
+    finally:
+        spark.conf.set(names[1], old)
+        spark.conf.unset(names[0])
+    assert out == {"rows": total, "chunks": -(-total // 1000)}
+    back = read_csv(spark, str(tmp_path / "raw" / "city_data"), sep=";", recursive=False)
+    got = sorted((r["chunk"], r["City"]) for r in back.collect())
+    assert [c for _, c in sorted(got, key=lambda x: x[1])] == [f"C{k:02d}-{i:03d}" for k in range(40) for i in range(100 + k)]
+    assert [c for c, _ in got] == [i // 1000 for i in range(total)]
+
+
+def test_a_shorter_load_leaves_no_old_chunk(spark, tmp_path):
+    from crashlake.config import RECOMMENDED_CONF
+    from crashlake.plans import jobs
+    from tests.conftest import write_csv_file
+
+    name = "spark.sql.sources.partitionOverwriteMode"
+    header = ["City", "State", "State Code", "Total Population"]
+    old = spark.conf.get(name)
+    spark.conf.set(name, RECOMMENDED_CONF[name])
+    try:
+        for n in (25, 15):
+            write_csv_file(str(tmp_path / "c.csv"), header, [(f"C{i}", "S", "SC", "1") for i in range(n)], sep=";")
+            assert jobs.land_source(spark, "cities", str(tmp_path / "c.csv"), str(tmp_path / "raw"), 10) == {"rows": n, "chunks": -(-n // 10)}
+    finally:
+        spark.conf.set(name, old)
+    assert read_csv(spark, str(tmp_path / "raw" / "city_data"), sep=";").count() == 15
+
+
+def test_single_line_sources_are_split(spark, tmp_path):
+    from crashlake.plans import jobs
+
+    src = tmp_path / "big.csv"
+    src.write_text("City;State;State Code;Total Population\n" + "".join(f"C{i:05d};S;SC;1\n" for i in range(5000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        assert read_csv(spark, str(src), sep=";", multi_line=False).rdd.getNumPartitions() > 4
+        out = jobs.land_source(spark, "cities", str(src), str(tmp_path / "raw"), 300, multi_line=False)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert out == {"rows": 5000, "chunks": 17}
+    back = read_csv(spark, str(tmp_path / "raw" / "city_data"), sep=";", recursive=False)
+    assert sorted((r["chunk"], r["City"]) for r in back.collect()) == [(i // 300, f"C{i:05d}") for i in range(5000)]
 
 
 def test_file_order_landing_of_split_files(spark, tmp_path):

@@ -104,7 +104,8 @@ def test_quality(spark, golden_raw, golden_lake):
     assert rep[("fk_airport", "accidents")] == (1, True)  # unknown airports are reported, not failed
     assert rep[("non_empty", "weather_conditions")] == (4, True)
     assert rep[("weather_nulls", "accidents")] == (1, True) and rep[("airport_code_nulls", "accidents")] == (1, True)
-    assert rep[("missing_Start_Time", "raw_accidents")] == (1, True)  # "not a date"
+    assert rep[("missing_Start_Time", "raw_accidents")] == (0, True)
+    assert rep[("cast_Start_Time", "raw_accidents")] == (1, True)  # "not a date"
     assert rep[("missing_Weather_Condition", "raw_accidents")] == (1, True)
     assert rep[("duplicate_keys", "raw_cities")] == (1, True)  # (Dayton, Ohio) twice
     assert rep[("conflicting_duplicates", "raw_cities")] == (0, True)

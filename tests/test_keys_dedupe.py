@@ -49,9 +49,9 @@ def test_distinct_keeps_one_null(spark):
     assert sorted(distinct_values(df, ["w"]).collect(), key=lambda r: (r[0] is not None, r[0] or "")) == [(None,), ("Rain",)]
 
 
-def test_file_order_index_across_splits(spark, tmp_path):
-    """A plain CSV read in several splits, and several files: positions follow (file name, byte order)."""
-    from crashlake.operators.keys import file_order_index_segments
+def test_staged_positions_across_splits(spark, tmp_path):
+    """A plain CSV read in several splits, and several files: positions follow (file path, byte order)."""
+    from crashlake.operators.keys import staged_positions
 
     for k, n in (("b", 3000), ("a", 2000)):
         (tmp_path / f"{k}.csv").write_text("v\n" + "".join(f"{k}{i:06d}\n" for i in range(n)))
@@ -60,10 +60,9 @@ def test_file_order_index_across_splits(spark, tmp_path):
     try:
         df = spark.read.option("header", True).csv(str(tmp_path))
         assert df.rdd.getNumPartitions() > 4  # both files are split
-        ix = file_order_index_segments(df, "i")
-        got = sorted((r["i"], r["v"]) for r in ix.frame.collect())
+        frame, rows = staged_positions(df, None, "i")
+        got = sorted((r["i"], r["v"]) for r in frame.collect())
         assert [v for _, v in got] == [f"a{i:06d}" for i in range(2000)] + [f"b{i:06d}" for i in range(3000)]
-        assert [i for i, _ in got] == list(range(5000))
-        assert ix.in_place
+        assert [i for i, _ in got] == list(range(5000)) and rows == 5000
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)

@@ -51,39 +51,131 @@ def test_replayed_batch_is_idempotent(spark, tmp_path):
 
 
 def test_refresh_job_updates_marts(spark, tmp_path):
-    raw, lake, marts_root, ckpt = (str(tmp_path / n) for n in ("raw", "lake", "marts", "ckpt"))
+    raw, lake, marts_root = (str(tmp_path / n) for n in ("raw", "lake", "marts"))
     _raw_zone(raw)
     jobs.build_lake(spark, raw, lake)
     src = tmp_path / "later.csv"
     write_csv_file(str(src), ACCIDENT_HEADER, ACCIDENTS[3:])
     jobs.main(["land", "accidents", str(src), raw, "--load", "2"])
-    jobs.main(["refresh", raw, lake, marts_root, ckpt])
+    jobs.main(["refresh", raw, lake, marts_root, "--load", "2"])
     by_state = {r["state"]: r["accident_count"] for r in spark.read.parquet(f"{marts_root}/by_state").collect()}
     assert by_state == {"OH": 3, "CA": 1, "IL": 1}
 
 
-def test_ledger_skips_committed_and_repairs_half_written_batches(spark, tmp_path):
-    from crashlake.sinks import write_table
-    from crashlake.streaming.refresh import _mark
+def _facts(spark, lake):
+    return sorted(r[0] for r in read_table(spark, lake, "accidents").select("accident_id").collect())
 
+
+def test_refreshing_again_changes_nothing(spark, tmp_path):
     raw, lake = str(tmp_path / "raw"), str(tmp_path / "lake")
     _raw_zone(raw)
     jobs.build_lake(spark, raw, lake)
     write_csv_file(f"{raw}/accident_data/load=2/chunk=0/part.csv", ACCIDENT_HEADER, ACCIDENTS[3:])
-    batch = read_raw_dataset(spark, raw, "accidents").filter(F.col("ID").isin("A-4", "A-5", "A-6"))
+    for _ in range(3):
+        jobs.refresh_lake(spark, raw, lake)
+        assert _facts(spark, lake) == ["A-1", "A-2", "A-3", "A-4", "A-6"]
+    accident_refresh(spark, raw, lake, str(tmp_path / "new_checkpoint")).awaitTermination()
+    assert _facts(spark, lake) == ["A-1", "A-2", "A-3", "A-4", "A-6"]
 
-    first = refresh_batch(spark, batch, lake, stream="s1", batch_id=0)
-    assert first["accidents"] == 2
-    assert refresh_batch(spark, batch, lake, stream="s1", batch_id=0) == {"weather_conditions": 0, "accidents": 0}
-    assert read_table(spark, lake, "accidents").count() == 5
 
-    # a crash after some rows of batch 1 landed: started, not committed
-    more = read_raw_dataset(spark, raw, "accidents").filter(F.col("ID") == "A-4").withColumn("ID", F.lit("A-7"))
-    _mark(spark, lake, "s1", 1, "started")
-    from crashlake.plans import transforms
-    partial = transforms.build_accidents(more, read_table(spark, lake, "cities"), read_table(spark, lake, "weather_conditions"))
-    write_table(partial, f"{lake}/accidents", ["year", "month"], mode="append")
-    replayed = refresh_batch(spark, more, lake, stream="s1", batch_id=1)
-    assert replayed["accidents"] == 0
-    ids = [r[0] for r in read_table(spark, lake, "accidents").select("accident_id").collect()]
-    assert sorted(ids) == ["A-1", "A-2", "A-3", "A-4", "A-6", "A-7"]
+def test_landing_the_same_source_anew_does_not_double_the_fact(spark, tmp_path):
+    raw, lake = str(tmp_path / "raw"), str(tmp_path / "lake")
+    _raw_zone(raw)
+    jobs.build_lake(spark, raw, lake)
+    src = str(tmp_path / "again.csv")
+    write_csv_file(src, ACCIDENT_HEADER, ACCIDENTS[:3])
+    jobs.land_source(spark, "accidents", src, raw)
+    jobs.refresh_lake(spark, raw, lake)
+    assert _facts(spark, lake) == ["A-1", "A-2", "A-3"]
+
+
+def test_a_later_row_of_an_accident_replaces_the_earlier(spark, tmp_path):
+    raw, lake = str(tmp_path / "raw"), str(tmp_path / "lake")
+    _raw_zone(raw)
+    jobs.build_lake(spark, raw, lake)
+    changed = list(ACCIDENTS[0])
+    changed[ACCIDENT_HEADER.index("Severity")] = "1"
+    no_id = list(ACCIDENTS[1])
+    no_id[0] = None
+    write_csv_file(f"{raw}/accident_data/load=2/chunk=0/part.csv", ACCIDENT_HEADER, [changed, no_id])
+    for _ in range(2):
+        jobs.refresh_lake(spark, raw, lake, load="2")
+    rows = {r["accident_id"]: r["severity"] for r in read_table(spark, lake, "accidents").collect()}
+    assert rows == {"A-1": 1, "A-2": 2, "A-3": 2, None: 2}
+
+
+def test_a_refresh_that_died_is_finished_by_the_next(spark, tmp_path, monkeypatch):
+    from crashlake.streaming import refresh
+
+    raw, lake = str(tmp_path / "raw"), str(tmp_path / "lake")
+    _raw_zone(raw)
+    jobs.build_lake(spark, raw, lake)
+    write_csv_file(f"{raw}/accident_data/load=2/chunk=0/part.csv", ACCIDENT_HEADER, ACCIDENTS[3:])
+    put, calls = refresh._put_pending, []
+
+    def dies(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        return put(*args)
+
+    monkeypatch.setattr(refresh, "_put_pending", dies)
+    try:
+        jobs.refresh_lake(spark, raw, lake, load="2")
+    except RuntimeError:
+        pass
+    assert _facts(spark, lake) == ["A-1", "A-2", "A-3"]
+    monkeypatch.setattr(refresh, "_put_pending", put)
+    jobs.refresh_lake(spark, raw, lake, load="2")
+    assert _facts(spark, lake) == ["A-1", "A-2", "A-3", "A-4", "A-6"]
+
+
+def test_only_the_months_of_the_batch_are_read(spark, tmp_path):
+    import contextlib
+    import io
+
+    from crashlake.streaming import refresh
+
+    raw, lake = str(tmp_path / "raw"), str(tmp_path / "lake")
+    _raw_zone(raw)
+    jobs.build_lake(spark, raw, lake)
+    df = read_table(spark, lake, "accidents").where(refresh._in_months([(2016, 5), (None, None)]))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    assert "PartitionFilters: [((" in buf.getvalue()
+    assert sorted(r[0] for r in df.select("accident_id").collect()) == ["A-1", "A-2"]
+
+
+def test_a_build_that_fails_changes_nothing(spark, tmp_path, monkeypatch):
+    raw, lake = str(tmp_path / "raw"), str(tmp_path / "lake")
+    _raw_zone(raw)
+    jobs.build_lake(spark, raw, lake)
+    before = sorted(map(tuple, marts.by_weather(read_table(spark, lake, "accidents"), read_table(spark, lake, "weather_conditions")).collect()), key=str)
+    more = [list(ACCIDENTS[3])]
+    more[0][ACCIDENT_HEADER.index("Weather_Condition")] = "Aaa"  # would renumber the conditions
+    write_csv_file(f"{raw}/accident_data/load=2/chunk=0/part.csv", ACCIDENT_HEADER, more)
+    write = jobs.write_table
+
+    def no_fact(df, path, *args, **kwargs):
+        if path.endswith("/accidents"):
+            raise RuntimeError("disk full")
+        return write(df, path, *args, **kwargs)
+
+    monkeypatch.setattr(jobs, "write_table", no_fact)
+    try:
+        jobs.build_lake(spark, raw, lake)
+    except RuntimeError:
+        pass
+    monkeypatch.setattr(jobs, "write_table", write)
+    t = jobs.lake_tables(spark, lake)
+    assert sorted(map(tuple, marts.by_weather(t["accidents"], t["weather_conditions"]).collect()), key=str) == before
+    jobs.refresh_lake(spark, raw, lake)  # the file of the failed build is not skipped
+    assert _facts(spark, lake) == ["A-1", "A-2", "A-3", "A-4"]
+    jobs.build_lake(spark, raw, lake)
+    assert _facts(spark, lake) == ["A-1", "A-2", "A-3", "A-4"]
+    from crashlake import versions
+    from crashlake.schemas import LAKE_TABLES
+
+    assert len(versions.drop_old_versions(spark, lake, list(LAKE_TABLES), keep=1)) == 2
+    assert _facts(spark, lake) == ["A-1", "A-2", "A-3", "A-4"]
