@@ -66,18 +66,22 @@ def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     self loops are absent.
     """
 
-    def signature(e: DataFrame) -> tuple:
-        row = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        return row["n"], row["h"]
+    def settled(e: DataFrame) -> bool:
+        """Has every node one parent, and no parent a parent of its own?"""
+        several = e.groupBy("a").agg(F.count("*").alias("n")).where("n > 1")
+        chained = e.select(F.col("b").alias("p")).distinct().join(e, F.col("p") == F.col("a"), "left_semi")
+        return several.isEmpty() and chained.isEmpty()
 
     # a > b throughout: a is the child, b its current parent
     current = materialise(
         edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges"
     )
-    before = signature(current)
     for _ in range(max_rounds):
+        if settled(current):
+            break
         both = current.select("a", "b").unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        low = materialise(low, "low")  # apart from the join, so that a node with a huge neighbourhood can be split there
         large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (
@@ -88,11 +92,7 @@ def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
             .distinct()
         )
         current = materialise(small, "edges")
-        after = signature(current)
-        if after == before:
-            break
-        before = after
     else:
-        raise RuntimeError(f"components did not converge in {max_rounds} passes")
+        raise RuntimeError(f"components did not settle in {max_rounds} passes")
     roots = current.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionByName(current.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

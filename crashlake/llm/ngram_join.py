@@ -258,7 +258,7 @@ def _cell_links(docs: DataFrame, members: DataFrame, width: int, percent: int, i
     # the texts that stand for the classes: those of their smallest id (or of any row, for classes without ids)
     wanted = members.select(F.col("least").alias("want")).distinct()
     texts = id_and_text(docs, id_col, text_col).select("doc_id", F.col("text").cast("binary").alias("text"))
-    texts = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["want"]), "left_semi").select("text")
+    texts = texts.join(wanted.hint("merge"), texts["doc_id"].eqNullSafe(wanted["want"]), "left_semi").select("text")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
