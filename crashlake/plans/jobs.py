@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from crashlake import versions
 from crashlake.config import join_path, scratch_path, staging_path
@@ -106,6 +107,7 @@ def land_source(
     load: str | None = None,
     verify: bool = True,
     multi_line: bool = True,
+    bad_records: str | None = None,
 ) -> dict[str, int]:
     """Land one source CSV file (or folder) into the raw zone in file order (K6, K8, T7).
 
@@ -115,16 +117,27 @@ def land_source(
 
     All source columns are kept. The source is parsed with the dataset's real
     delimiter and the RFC-4180 dialect, in ``FAILFAST`` mode, so a malformed
-    record stops the load instead of truncating it silently. A large file whose
-    records hold no line breaks is read in parallel with ``multi_line=False``.
+    record stops the load instead of truncating it silently; with a folder
+    ``bad_records`` such records are written there as text, counted as ``bad``,
+    and the others are landed. A large file whose records hold no line breaks is
+    read in parallel with ``multi_line=False``.
     """
     n = DEFAULT_CHUNK_RECORDS[dataset] if records_per_file is None else records_per_file
-    df = read_csv(spark, source, sep=RAW_DELIMITERS[dataset], multi_line=multi_line)
-    dest = _raw_dest(raw_root, dataset, load)
-    out = land_chunked_csv(df, dest, n, order_by=None, sep=RAW_DELIMITERS[dataset])
+    sep, dest = RAW_DELIMITERS[dataset], _raw_dest(raw_root, dataset, load)
+    df = read_csv(spark, source, sep=sep, multi_line=multi_line)
+    bad = {}
+    if bad_records:
+        schema = T.StructType([*df.schema.fields, T.StructField("_corrupt_record", T.StringType())])
+        df = read_csv(spark, source, sep=sep, schema=schema, mode="PERMISSIVE", multi_line=multi_line)
+        # all columns are written first: the parser only knows a record is bad when it parses all of them
+        aside = scratch_path(spark, "bad_records")
+        bad = {"bad": write_table(df.where(F.col("_corrupt_record").isNotNull()), aside)}
+        spark.read.schema(schema).parquet(aside).select("_corrupt_record").write.mode("overwrite").text(bad_records)
+        df = df.where(F.col("_corrupt_record").isNull())
+    out = land_chunked_csv(df, dest, n, order_by=None, sep=sep, drop=["_corrupt_record"])
     if verify:
         _verify_landed(spark, dest, out)
-    return out
+    return {**out, **bad}
 
 
 def raw_file_count(spark: SparkSession, raw_root: str, expected: int | None = None) -> DataFrame:

@@ -39,6 +39,21 @@ def test_land_source_many_files_and_semicolons(spark, tmp_path):
     assert jobs.raw_file_count(spark, raw).head()["files"] == 3
 
 
+def test_malformed_records_are_kept_aside(spark, tmp_path):
+    src = tmp_path / "a.csv"
+    src.write_text("City;State;State Code;Total Population\n" + "".join(f"C{i};S;SC;{i}{';x;y' if i % 4 == 0 else ''}\n" for i in range(10)))
+    raw, aside = str(tmp_path / "raw"), str(tmp_path / "bad")
+    try:
+        jobs.land_source(spark, "cities", str(src), raw, 5)
+        raise AssertionError("a malformed record must stop the load")
+    except Exception as e:
+        assert "malformed" in str(e).lower()
+    assert jobs.land_source(spark, "cities", str(src), raw, 5, bad_records=aside) == {"rows": 7, "chunks": 2, "bad": 3}
+    back = read_csv(spark, os.path.join(raw, "city_data"), sep=";")
+    assert sorted(r["City"] for r in back.collect()) == [f"C{i}" for i in range(10) if i % 4]
+    assert sorted(r[0] for r in spark.read.text(aside).collect()) == [f"C{i};S;SC;{i};x;y" for i in (0, 4, 8)]
+
+
 def test_marts_job(spark, golden_lake, tmp_path):
     lake, _ = golden_lake
     out = jobs.build_marts(spark, lake, str(tmp_path / "marts"))
