@@ -3,7 +3,8 @@
 A token's probability is P(class group | history) P(class | group, history) P(token | class).
 The most frequent tokens are classes of their own; every other token's class follows from its
 last letters, so it needs no dictionary. Both softmaxes are log-linear in hashed features of
-the history: the previous token, the pair before, and the token two back alone (skip). Inside a
+the history: the token before and the pair before for the group, the token before and the
+one two back (skip) for the class in it. Inside a
 class tokens have smoothed frequencies, and the class's unseen tokens are one event, as likely
 as its tokens seen once; the probabilities of all tokens and these events add up to one.
 
@@ -28,6 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,10 +44,12 @@ FEATURE_BITS = 15
 ROWS = 1 << FEATURE_BITS
 HEAD = 1 << 22
 ROUNDS = 2
-BATCH = 16384
+BATCH = 8192
 RATE = 0.3
 CAUTION = 10.0  # squared gradient that a weight has at first: rows seen a few times move little
-VOCABULARY = 400_000  # tokens that a task remembers
+SLICE_BYTES = 8 << 20  # text that a task works on at once
+HELD_COUNTS = 3_000_000  # token counts that a task holds before it passes them on
+MARKS = b".,;:!?"  # not part of a token's ending
 END = b"\n"  # not a word: words hold no white space
 
 
@@ -63,63 +67,75 @@ def token_hash(token: bytes) -> int:
 
 def tail_class(token: bytes) -> int:
     """Class by last letters, before numbering: 0 ... TAIL - 1."""
-    return zlib.crc32(token.rstrip(b".,;:!?")[-3:]) % TAIL
-
-
-class Vocabulary(dict):
-    """Token -> number in this task; what is known of the numbered tokens stands in arrays."""
-
-    def __init__(self):
-        super().__init__()
-        self.tokens: list[bytes] = []
-        self.done = 0
-        self.hash = np.empty(0, np.int64)
-        self.tail = np.empty(0, np.int64)
-
-    def __missing__(self, token: bytes) -> int:
-        self[token] = n = len(self.tokens)
-        self.tokens.append(token)
-        return n
-
-    def numbers(self, texts: list[bytes]) -> list[np.ndarray]:
-        """Token numbers of every text, the end token last."""
-        end = self[END]
-        out = [np.array([*map(self.__getitem__, t.lower().split()), end], np.int32) for t in texts]
-        new = self.tokens[self.done :]
-        if new:
-            self.hash = np.concatenate([self.hash, np.array([token_hash(t) for t in new], np.int64)])
-            self.tail = np.concatenate([self.tail, np.array([tail_class(t) for t in new], np.int64)])
-            self.done = len(self.tokens)
-        return out
-
-
-def _slices(batches: Iterator[pa.RecordBatch], rows: int = 250) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for at in range(0, whole.num_rows, rows):
-            yield whole.slice(at, rows)
-
-
-def _texts(batch: pa.RecordBatch) -> list[bytes]:
-    return [t.as_py() for t in batch.column(batch.schema.names.index("text"))]
+    return zlib.crc32(token.rstrip(MARKS)[-3:]) % TAIL
+
+
+class Tokens:
+    """Tokens of a batch of texts, the end token last in each: numbers into the batch's distinct tokens."""
+
+    def __init__(self, texts: pa.Array):
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+        coded = lists.flatten().dictionary_encode()
+        words = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        numbers = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        if b"" in words:  # beside white space at a text's ends
+            real = numbers != words.index(b"")
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            sizes = np.bincount(owner[real], minlength=len(sizes))
+            numbers = numbers[real]
+        self.sizes = sizes + 1
+        self.first = np.cumsum(self.sizes) - self.sizes
+        self.numbers = np.full(int(self.sizes.sum()), len(words), np.int64)
+        inside = np.ones(len(self.numbers), bool)
+        inside[self.first + sizes] = False
+        self.numbers[inside] = numbers
+        words.append(END)
+        digest, crc = xxhash.xxh3_64_intdigest, zlib.crc32
+        self.hash = np.array([digest(t) for t in words], np.uint64).view(np.int64)
+        self.tail = np.array([crc(t.rstrip(MARKS)[-3:]) % TAIL for t in words], np.int64)
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of about SLICE_BYTES of text."""
+    for batch in batches:
+        at = batch.schema.names.index("text")
+        total = np.cumsum(pc.binary_length(batch.column(at)).to_numpy(zero_copy_only=False).astype(np.int64))
+        begin = 0
+        while begin < batch.num_rows:
+            before = total[begin - 1] if begin else 0
+            end = max(int(np.searchsorted(total, before + SLICE_BYTES, "right")), begin + 1)
+            yield batch.slice(begin, end - begin)
+            begin = end
+
+
+def _tokens(batch: pa.RecordBatch) -> Tokens:
+    return Tokens(batch.column(batch.schema.names.index("text")))
 
 
 def token_counts(rows: DataFrame) -> DataFrame:
-    """(h, tail, c) of every distinct token, from rows with a binary column text."""
+    """(h, tail, c) of every distinct token, from rows with a column text."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def emit() -> pa.RecordBatch:
-            at = np.flatnonzero(sums)
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in (known.hash[at], known.tail[at], sums[at])], ["h", "tail", "c"])
+    def merged(parts: list[tuple]) -> tuple[np.ndarray, ...]:
+        h, tail, c = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(h, kind="stable")
+        h = h[order]
+        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+        return h[first], tail[order][first], np.add.reduceat(c[order], first)
 
-        known, sums = Vocabulary(), np.zeros(0, np.int64)
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[tuple] = []
         for batch in _slices(batches):
-            numbers = np.concatenate(known.numbers(_texts(batch)))
-            sums = np.concatenate([sums, np.zeros(len(known.tokens) - len(sums), np.int64)])
-            sums += np.bincount(numbers, minlength=len(sums))
-            if len(sums) > VOCABULARY:
-                yield emit()
-                known, sums = Vocabulary(), np.zeros(0, np.int64)
-        yield emit()
+            t = _tokens(batch)
+            c = np.bincount(t.numbers, minlength=len(t.hash))
+            used = c > 0  # without documents not even the end token
+            parts.append((t.hash[used], t.tail[used], c[used]))
+            if sum(len(p[0]) for p in parts) > HELD_COUNTS:
+                parts = [merged(parts)]
+                if len(parts[0][0]) > HELD_COUNTS // 2:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in parts.pop()], ["h", "tail", "c"])
+        if parts:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in merged(parts)], ["h", "tail", "c"])
 
     parts = rows.mapInArrow(count, "h long, tail long, c long")
     return parts.groupBy("h").agg(F.first("tail").alias("tail"), F.sum("c").alias("c"))
@@ -151,8 +167,10 @@ class Model:
         self.single_sorted, self.single_class = self.single_h[order], order
         by_group = np.maximum(mass, 0).reshape(GROUPS, SIZE)
         with np.errstate(divide="ignore"):
-            self.bias1 = np.maximum(np.log(by_group.sum(axis=1)), -1e9).astype(np.float32)
-            self.bias2 = np.maximum(np.log(by_group), -1e9).astype(np.float32)
+            bias1 = np.maximum(np.log(by_group.sum(axis=1)), -1e9)
+            bias2 = np.maximum(np.log(by_group), -1e9)
+        self.bias1 = (bias1 - bias1.max()).astype(np.float32)
+        self.bias2 = (bias2 - bias2.max(axis=1, keepdims=True)).astype(np.float32)
         self.w1 = np.zeros((ROWS, GROUPS), np.float32)
         self.w2 = np.zeros((ROWS, SIZE), np.float32)
 
@@ -170,23 +188,20 @@ class Model:
         return np.where(self.head_h[at] == h, self.head_c[at], -1)
 
 
-def history(hashes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Feature rows (tokens x 3) of documents given as hash arrays, and each token's place in the joined array."""
-    gap = np.zeros(2, np.uint64)  # two empty tokens before every document
-    joined = np.concatenate([x for h in hashes for x in (gap, h.view(np.uint64))])
-    sizes = np.array([len(h) + 2 for h in hashes])
-    first = np.cumsum(sizes) - sizes
-    keep = np.ones(len(joined), bool)
-    keep[first] = keep[first + 1] = False
-    at = np.flatnonzero(keep)
-    one, two = joined[at - 1], joined[at - 2]
+def history(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Feature rows (3 x tokens) of documents that begin at ``first`` in ``hashes``: token before, pair before, token two back."""
+    h = hashes.view(np.uint64)
+    one, two = np.zeros_like(h), np.zeros_like(h)
+    one[1:], two[2:] = h[:-1], h[:-2]
+    one[first] = two[first] = 0  # nothing stands before a document
+    second = first + 1
+    two[second[second < len(h)]] = 0
     shift = np.uint64(64 - FEATURE_BITS)
-    rows = np.stack([
-        _mix(one ^ np.uint64(0x1234567)) >> shift,
-        _mix(one * np.uint64(0x9E3779B97F4A7C15) ^ two * np.uint64(0xC2B2AE3D27D4EB4F)) >> shift,
-        _mix(two ^ np.uint64(0x7654321ABC)) >> shift,
-    ])
-    return rows.astype(np.uint16), at
+    rows = np.empty((3, len(h)), np.uint16)
+    rows[0] = _mix(one ^ np.uint64(0x1234567)) >> shift
+    rows[1] = _mix(one * np.uint64(0x9E3779B97F4A7C15) ^ two * np.uint64(0xC2B2AE3D27D4EB4F)) >> shift
+    rows[2] = _mix(two ^ np.uint64(0x7654321ABC)) >> shift
+    return rows
 
 
 def _second(rows: np.ndarray, group: np.ndarray) -> np.ndarray:
@@ -196,21 +211,23 @@ def _second(rows: np.ndarray, group: np.ndarray) -> np.ndarray:
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(axis=1, keepdims=True)
-    np.exp(logits, out=logits)
-    logits /= logits.sum(axis=1, keepdims=True)
+    # the biases are at most 0 and the weights small, so exp stays in range
+    np.exp(np.minimum(logits, 60, out=logits), out=logits)
+    logits *= (1 / np.einsum("ij->i", logits))[:, None]
     return logits
 
 
 def probabilities(m: Model, rows: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, ...]:
     """Softmax over groups, over classes of the right group, and the rows used of the second table."""
     group = classes // SIZE
-    second = _second(rows, group)
-    p1 = m.bias1 + m.w1[rows[0]]
-    p2 = m.bias2[group] + m.w2[second[0]]
-    for f in range(1, len(rows)):
-        p1 += m.w1[rows[f]]
-        p2 += m.w2[second[f]]
+    # the token before and the pair tell the group; the token before and the one two back tell the class in it
+    second = _second(rows[::2], group)
+    p1 = np.take(m.w1, rows[0], axis=0)
+    p2 = np.take(m.w2, second[0], axis=0)
+    p1 += m.bias1
+    p2 += np.take(m.bias2, group, axis=0)
+    p1 += np.take(m.w1, rows[1], axis=0)
+    p2 += np.take(m.w2, second[1], axis=0)
     return _softmax(p1), _softmax(p2), second
 
 
@@ -226,15 +243,16 @@ def log_classes(m: Model, rows: np.ndarray, classes: np.ndarray) -> np.ndarray:
 
 
 def _update(w: np.ndarray, seen: np.ndarray, used: np.ndarray, rows: np.ndarray, grad: np.ndarray) -> None:
-    """Adagrad step of the rows in use; grad is summed over the tokens of a row."""
+    """Adagrad step of the rows in use, one rate a row; grad is summed over the tokens of a row."""
     order = np.argsort(rows, kind="stable")
     ordered = rows[order]
-    first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
     at = ordered[first]
-    total = np.add.reduceat(grad[order], first, axis=0)
-    seen[at] += total * total
-    w[at] -= RATE * total / np.sqrt(seen[at] + CAUTION)
-    used[at] += np.diff(np.r_[first, len(rows)])
+    total = np.add.reduceat(np.take(grad, order, axis=0), first, axis=0)
+    seen[at] += np.einsum("ij,ij->i", total, total) / SIZE
+    total *= (RATE / np.sqrt(seen[at] + CAUTION))[:, None]
+    w[at] -= total
+    used[at] += np.diff(first, append=len(rows))
 
 
 def _train_round(rows: DataFrame, model: Model) -> None:
@@ -246,25 +264,21 @@ def _train_round(rows: DataFrame, model: Model) -> None:
         start = held.value
         m = Model.__new__(Model)
         m.__dict__ = {**start.__dict__, "w1": start.w1.copy(), "w2": start.w2.copy()}
-        seen = [np.zeros_like(m.w1), np.zeros_like(m.w2)]
+        seen = [np.zeros(ROWS, np.float32), np.zeros(ROWS, np.float32)]
         used = [np.zeros(ROWS, np.int64), np.zeros(ROWS, np.int64)]
-        known = Vocabulary()
         for batch in _slices(batches):
-            numbers = known.numbers(_texts(batch))
-            feature, _ = history([known.hash[n] for n in numbers])
-            n = np.concatenate(numbers)
-            classes = m.classes(known.hash[n], known.tail[n])
-            for s in range(0, len(n), BATCH):
+            t = _tokens(batch)
+            feature = history(t.hash[t.numbers], t.first)
+            classes = m.classes(t.hash, t.tail)[t.numbers]
+            for s in range(0, len(classes), BATCH):
                 f, c = feature[:, s : s + BATCH], classes[s : s + BATCH]
                 p1, p2, second = probabilities(m, f, c)
                 i = np.arange(len(c))
                 p1[i, c // SIZE] -= 1
                 p2[i, c % SIZE] -= 1
-                for k in range(len(f)):
+                for k in (0, 1):
                     _update(m.w1, seen[0], used[0], f[k], p1)
                     _update(m.w2, seen[1], used[1], second[k], p2)
-            if len(known.tokens) > VOCABULARY:
-                known = Vocabulary()
         for table, (now, before) in enumerate(((m.w1, start.w1), (m.w2, start.w2))):
             at = np.flatnonzero(used[table])
             moved = ((now - before)[at].astype(np.float64) * used[table][at, None]).T
@@ -282,7 +296,7 @@ def _train_round(rows: DataFrame, model: Model) -> None:
 
 
 def fit(rows: DataFrame) -> tuple[Model, DataFrame]:
-    """Model of rows (doc_id, binary text), and the counts of all tokens (h, tail, c)."""
+    """Model of rows (doc_id, text), and the counts of all tokens (h, tail, c)."""
     counts = materialise(token_counts(rows), "counts")
     totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     head = counts.where(F.col("c") * HEAD >= totals["n"]).toPandas()  # at most HEAD rows
@@ -298,39 +312,32 @@ def fit(rows: DataFrame) -> tuple[Model, DataFrame]:
 def _scored(rows: DataFrame, model: Model) -> DataFrame:
     """Per row: sums without the counts of tail tokens, and the tail tokens as (h, tf)."""
     held = rows.sparkSession.sparkContext.broadcast(model)
-    pair = pa.list_(pa.struct([("h", pa.int64()), ("tf", pa.int32()), ("tail", pa.int16())]))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, known = held.value, Vocabulary()
-        count = np.empty(0, np.int64)
+        m = held.value
         for batch in _slices(batches):
-            numbers = known.numbers(_texts(batch))
-            count = np.concatenate([count, m.head_counts(known.hash[len(count) :])])
-            n = np.concatenate(numbers)
-            classes = m.classes(known.hash[n], known.tail[n])
-            feature, _ = history([known.hash[x] for x in numbers])
-            c = count[n]
-            log_c = np.log10(np.where(c >= 0, c + ADD, 1.0))
-            single = classes < SINGLES
-            inside = np.where(single, 0.0, log_c - m.log_mass[classes])
-            first = np.cumsum([0, *map(len, numbers)])[:-1]
-            add = lambda x: pa.array(np.add.reduceat(x, first))  # noqa: E731, B023
-            tails = []
-            for x in numbers:
-                rare, tf = np.unique(x[count[x] < 0], return_counts=True)
-                own = zip(known.hash[rare].tolist(), tf.tolist(), known.tail[rare].tolist(), strict=True)
-                tails.append([{"h": h, "tf": t, "tail": k} for h, t, k in own])
+            t = _tokens(batch)
+            n, count, kind = t.numbers, m.head_counts(t.hash), m.classes(t.hash, t.tail)
+            log_c = np.log10(np.where(count >= 0, count + ADD, 1.0))
+            inside = np.where(kind < SINGLES, 0.0, log_c - m.log_mass[kind])
+            own = log_classes(m, history(t.hash[n], t.first), kind[n]) + inside[n]
+            add = lambda x: pa.array(np.add.reduceat(x, t.first))  # noqa: E731, B023
+            # tail tokens: distinct (document, token) and how often
+            rare = np.flatnonzero(count[n] < 0)
+            doc = np.searchsorted(t.first, rare, "right") - 1
+            pairs, tf = np.unique(doc * len(t.hash) + n[rare], return_counts=True)
+            doc, token = pairs // len(t.hash), pairs % len(t.hash)
+            ends = np.searchsorted(doc, np.arange(len(t.first) + 1))
+            fields = [pa.array(t.hash[token]), pa.array(tf.astype(np.int32)), pa.array(t.tail[token].astype(np.int16))]
+            tails = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(fields, ["h", "tf", "tail"]))
             names = batch.schema.names
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(names.index("doc_id")), batch.column(names.index("held_out")),
-                    pa.array([len(x) for x in numbers], pa.int64()), add((c > 0).astype(np.int64)),
-                    add(log_c - m.log_base), add(log_classes(m, feature, classes) + inside), pa.array(tails, pair),
+                    batch.column(names.index("doc_id")), batch.column(names.index("held_out")), pa.array(t.sizes),
+                    add((count > 0).astype(np.int64)[n]), add((log_c - m.log_base)[n]), add(own), tails,
                 ],
                 ["doc_id", "held_out", "n_tokens", "head_known", "base", "own", "tails"],
             )
-            if len(known.tokens) > VOCABULARY:
-                known, count = Vocabulary(), np.empty(0, np.int64)
 
     schema = "doc_id long, held_out boolean, n_tokens long, head_known long, base double, own double, tails array<struct<h:long,tf:int,tail:short>>"
     return rows.mapInArrow(score, schema)
@@ -343,7 +350,7 @@ def held_out(doc_id: Column) -> Column:
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row; learns from the rows not held out."""
     rows = id_and_text(docs, id_col, text_col).select(
-        "doc_id", F.col("text").cast("binary").alias("text"), held_out(F.col("doc_id")).alias("held_out")
+        "doc_id", "text", held_out(F.col("doc_id")).alias("held_out")
     )
     model, counts = fit(rows.where("not held_out").select("doc_id", "text"))
     part = materialise(_scored(rows, model).withColumn("uid", F.monotonically_increasing_id()), "scored")  # uid is drawn once

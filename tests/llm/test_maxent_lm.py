@@ -42,7 +42,8 @@ def check_base(got, rows):
 @pytest.fixture(params=[1 << 22, 40])
 def head(request, monkeypatch):
     monkeypatch.setattr(M, "HEAD", request.param)  # 40: most tokens take the join
-    monkeypatch.setattr(M, "VOCABULARY", 30)
+    monkeypatch.setattr(M, "SLICE_BYTES", 3000)
+    monkeypatch.setattr(M, "HELD_COUNTS", 30)
 
 
 def test_base_scores_and_gain_on_held_out_texts(docs_of, head):
@@ -64,7 +65,7 @@ def test_probabilities_add_up_to_one():
     m = M.Model(int(counts.sum()), len(vocab), table, masses)
     m.w1[:] = rng.normal(0, 1, m.w1.shape)
     m.w2[:] = rng.normal(0, 1, m.w2.shape)
-    rows, _ = M.history([table["h"].to_numpy()[[3, 8, 5]]])
+    rows = M.history(table["h"].to_numpy()[[3, 8, 5]], np.array([0]))
     last = np.repeat(rows[:, 2:], M.GROUPS * M.SIZE, axis=1)
     by_class = M.log_classes(m, last, np.arange(M.GROUPS * M.SIZE))
     classes = m.classes(table["h"].to_numpy(), table["tail"].to_numpy())
@@ -74,6 +75,28 @@ def test_probabilities_add_up_to_one():
     assert total == pytest.approx(1, abs=1e-5)
 
 
+def test_tokens_are_runs_without_ascii_space():
+    import pyarrow as pa
+
+    texts = [t or "" for t in ODD_TEXTS] + [" a\x1cb\u00a0c \x85 É\v\fZ\r\nq ", "x", "\x1f"]
+    t = M.Tokens(pa.array(texts))
+    names = {M.token_hash(w.encode()): w for x in texts for w in tokens(x)}
+    got = [[names[h] for h in t.hash[t.numbers[f : f + n]].tolist()] for f, n in zip(t.first, t.sizes, strict=True)]
+    assert got == [tokens(x) for x in texts]
+
+
+def test_slices_of_a_batch_have_the_same_tokens(monkeypatch):
+    import pyarrow as pa
+
+    texts = [f"é{i} " * (i % 7) + "Ab c" * (i % 3) for i in range(5000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5000)), pa.array(texts)], ["doc_id", "text"])
+    monkeypatch.setattr(M, "SLICE_BYTES", 20_000)
+    parts = [M._tokens(x) for x in M._slices([batch])]
+    assert len(parts) > 3
+    got = [h for t in parts for h in t.hash[t.numbers].tolist()]
+    assert got == [M.token_hash(w.encode()) for x in texts for w in tokens(x)]
+
+
 def test_without_training_rows_and_empty(docs_of):
     rows = [(i, "a b") for i in range(200) if zlib.crc32(str(i).encode()) % 10 == 0]
     for r in M.score(docs_of(rows)).collect():
