@@ -95,39 +95,38 @@ class Model:
 
 
 def _count_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(kind, order, what, cell, n): what 0 counts a context, 1 a gram; partial sums of one task."""
-    sums = np.zeros((2, ORDER + 1, 2, CELLS), np.int64)
+    """(accepted, ord, context, gram, n): how often a character followed a context; partial sums of a batch."""
     for batch in batches:
-        for text, accepted, n in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            contexts, grams = context_cells(text)
+        rows = [*zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)]
+        for kind in (False, True):
+            own = [(*context_cells(t), n) for t, accepted, n in rows if accepted == kind]
+            if not own:
+                continue
+            weight = np.concatenate([np.full(c.shape[1], n) for c, _, n in own])
             for o in range(ORDER + 1):
-                np.add.at(sums[int(accepted), o, 0], contexts[o], n)
-                np.add.at(sums[int(accepted), o, 1], grams[o], n)
-    at = np.nonzero(sums)
-    yield pa.RecordBatch.from_arrays(
-        [*(pa.array(x.astype(np.int32)) for x in at), pa.array(sums[at])], ["accepted", "ord", "what", "cell", "n"]
-    )
-
-
-def _kinds(total: np.ndarray, gram: np.ndarray) -> np.ndarray:
-    """Followers of a context, about: Witten-Bell's T, bounded by the order's distinct grams over its contexts."""
-    out = np.zeros(total.shape)
-    for o in range(len(total)):
-        contexts = max(np.count_nonzero(total[o]), 1)
-        out[o] = np.minimum(total[o], max(np.count_nonzero(gram[o]) / contexts, 1.0))
-    return out
+                pair = np.concatenate([c[o] * CELLS + g[o] for c, g, _ in own])
+                found, at = np.unique(pair, return_inverse=True)
+                n = np.bincount(at, weight).astype(np.int64)
+                fixed = [pa.array(np.full(len(found), x, np.int32)) for x in (kind, o)]
+                cells = [pa.array(x.astype(np.int32)) for x in (found // CELLS, found % CELLS)]
+                yield pa.RecordBatch.from_arrays([*fixed, *cells, pa.array(n)], ["accepted", "ord", "context", "gram", "n"])
 
 
 def fit(settled: DataFrame) -> tuple[Model, Model] | None:
     """Models (rejected, accepted) from (text, accepted) rows; None without rows of both kinds."""
     rows = settled.groupBy("text", "accepted").agg(F.count("*").alias("n"))
-    cells = rows.mapInArrow(_count_cells, "accepted int, ord int, what int, cell int, n long")
-    found = cells.groupBy("accepted", "ord", "what", "cell").agg(F.sum("n").alias("n")).toPandas()  # at most 4 * (ORDER + 1) * CELLS rows
-    sums = np.zeros((2, ORDER + 1, 2, CELLS))
-    sums[tuple(found[c].to_numpy() for c in ("accepted", "ord", "what", "cell"))] = found["n"].to_numpy()
-    if not sums[0].any() or not sums[1].any():
+    cells = rows.mapInArrow(_count_cells, "accepted int, ord int, context int, gram int, n long")
+    pairs = materialise(cells.groupBy("accepted", "ord", "context", "gram").agg(F.sum("n").alias("n")), "grams")
+    # each at most 2 * (ORDER + 1) * CELLS rows
+    contexts = pairs.groupBy("accepted", "ord", "context").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).toPandas()
+    grams = pairs.groupBy("accepted", "ord", "gram").agg(F.sum("n").alias("n")).toPandas()
+    total, kinds, gram = (np.zeros((2, ORDER + 1, CELLS)) for _ in range(3))
+    at = tuple(contexts[c].to_numpy() for c in ("accepted", "ord", "context"))
+    total[at], kinds[at] = contexts["n"].to_numpy(), contexts["kinds"].to_numpy()
+    gram[tuple(grams[c].to_numpy() for c in ("accepted", "ord", "gram"))] = grams["n"].to_numpy()
+    if not total[0].any() or not total[1].any():
         return None
-    return tuple(Model(s[:, 0], _kinds(s[:, 0], s[:, 1]), s[:, 1]) for s in sums)
+    return tuple(Model(total[k], kinds[k], gram[k]) for k in (0, 1))
 
 
 def _scored(rows: DataFrame, models: tuple[Model, Model] | None) -> DataFrame:

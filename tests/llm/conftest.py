@@ -1,12 +1,10 @@
 import pytest
 
-from tests.conftest import spark  # noqa: F401
-
 ODD_TEXTS = [None, "", " \t\n", "a", "A b", "a b c", "A B C", "x" * 5000, "\x00 \x85 é ß \U0001f600 e\u0301", "a b c " * 4000]
 
 
 @pytest.fixture(scope="session")
-def docs_of(spark):  # noqa: F811
+def docs_of(spark):
     """DataFrame of documents from texts, or from (id, text) pairs, with extra columns whose names clash with results."""
 
     def build(rows, partitions=3):
