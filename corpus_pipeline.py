@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crashlake.llm import cotrain, exact_dedup, ngram_join, packing, pii
-from crashlake.llm.common import materialise
+from crashlake.llm.common import materialise, release
 from crashlake.llm.queries import tokenizer_file
 
 
@@ -55,6 +55,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), f"stage_{name}")
+    for k, (name, stage) in enumerate(STAGES):
+        before, docs = docs, materialise(stage(spark, docs, sf_dir), f"stage_{name}")
+        if k:
+            release(before)
     return docs

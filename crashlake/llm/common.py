@@ -14,6 +14,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crashlake import versions
 from crashlake.config import scratch_path
 
 
@@ -34,12 +35,29 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
-def materialise(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
-    """Write ``df`` once under the shared folder and return a reader over it."""
+#: Spark removes an execution's shuffle files when it has ended, not when the driver happens to collect garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once under the shared folder and return a reader over it; its shuffle files go at once."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.mode("errorifexists").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete materialised tables that nothing will read again."""
+    for t in tables:
+        versions.delete(t.sparkSession, t.scratch)
 
 
 def text_or_empty(column: str) -> Column:
@@ -81,7 +99,7 @@ def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
             break
         both = current.select("a", "b").unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        low = materialise(low, "low")  # apart from the join, so that a node with a huge neighbourhood can be split there
+        low = stored = materialise(low, "low")  # apart from the join, so that a node with a huge neighbourhood can be split there
         large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (
@@ -91,7 +109,8 @@ def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
             .where("a <> b")
             .distinct()
         )
-        current = materialise(small, "edges")
+        last, current = current, materialise(small, "edges")
+        release(last, stored)
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} passes")
     roots = current.select(F.col("a").alias("node"), F.col("b").alias("root"))

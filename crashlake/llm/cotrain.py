@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, ship, text_or_empty
+from .common import materialise, release, ship, text_or_empty
 
 LABELLED = 20_000
 ROUNDS = 3
@@ -281,7 +281,8 @@ def accepted(score: Column) -> Column:
 
 def keep_good(docs: DataFrame, labels: DataFrame, target: str = "quality") -> DataFrame:
     """The rows of ``docs`` that are accepted, with all their columns: scored where they stand, without a join."""
-    model, _ = fit(docs, labels, target)
+    model, rows = fit(docs, labels, target)
+    release(rows)
     held = docs.sparkSession.sparkContext.broadcast(model)
     names, schema = docs.columns, docs.schema
     text = names.index("text")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_and_text, input_partitions, materialise, text_or_empty
+from .common import id_and_text, input_partitions, materialise, release, text_or_empty
 
 CHUNK_BYTES = 1 << 16
 #: Two 31-bit primes and the points at which the text polynomial is taken.
@@ -88,14 +88,16 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # long texts: chunks are dealt out, hashed in parallel, and folded by row
     cut = rows.where(F.col("n_bytes") > CHUNK_BYTES).withColumn("row", F.expr("uuid()"))
     cut = cut.select("row", "doc_id", "n_bytes", "text_sha256", _chunked().alias("chunk", "data"))
-    # written before it is dealt out: uuid() must not be drawn again if a task is repeated
-    cut = materialise(cut, "chunks").repartition(input_partitions(docs.sparkSession), "row", "chunk")
-    hashed = cut.mapInArrow(_hash_batches, f"row string, doc_id long, n_bytes long, text_sha256 string, chunk int, {schema.split('string, ')[1]}")
+    stored = materialise(cut, "chunks")  # before it is dealt out: uuid() must not be drawn again if a task is repeated
+    dealt = stored.repartition(input_partitions(docs.sparkSession), "row", "chunk")
+    hashed = dealt.mapInArrow(_hash_batches, f"row string, doc_id long, n_bytes long, text_sha256 string, chunk int, {schema.split('string, ')[1]}")
     part = F.struct("chunk", "h1", "s1", "h2", "s2")
     folded = hashed.groupBy("row", "doc_id", "n_bytes", "text_sha256").agg(F.sort_array(F.collect_list(part)).alias("c"))
     folded = folded.select("doc_id", "n_bytes", "text_sha256", _fold(F.col("c"), 0).alias("h1"), _fold(F.col("c"), 1).alias("h2"))
     both = short.unionByName(folded).withColumn("uid", F.monotonically_increasing_id())
-    return materialise(both, "fingerprints")
+    out = materialise(both, "fingerprints")
+    release(stored)
+    return out
 
 
 _FP = ["h1", "h2", "n_bytes"]
@@ -121,7 +123,10 @@ def _differing(docs: DataFrame, prints: DataFrame, groups: DataFrame, id_col: st
         .agg(F.min("data").alias("model"))
     )
     compared = chunks.select("doc_id", "text_sha256", *_FP, "chunk", "data").join(model, [*_FP, "chunk"], "left")
-    return compared.where(~F.col("data").eqNullSafe(F.col("model"))).select("doc_id", "text_sha256", *_FP).distinct()
+    unlike = compared.where(~F.col("data").eqNullSafe(F.col("model"))).select("doc_id", "text_sha256", *_FP).distinct()
+    out = materialise(unlike, "differing")
+    release(chunks)
+    return out
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -136,7 +141,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         .select(*_FP, "group_size", F.col("top.doc_id").alias("top_id"), F.col("top.uid").alias("top_uid")),
         "groups",
     )
-    differing = materialise(_differing(docs, prints, groups, id_col, text_col), "differing")
+    differing = _differing(docs, prints, groups, id_col, text_col)
 
     own = prints.join(groups, _FP, "left")
     out = own.select(
@@ -171,6 +176,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     kept = deduplicate(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_kept_sha"))
+    kept = materialise(kept, "kept")
     rows = docs.withColumn("_sha", F.sha2(text_or_empty(text_col).cast("binary"), 256))
     same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_kept_sha"))
     rows = rows.join(kept, same, "left_semi")

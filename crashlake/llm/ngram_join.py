@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, id_and_text, input_partitions, materialise
+from .common import components, id_and_text, input_partitions, materialise, release
 
 #: Elements of the sets in one block of a cell, about.
 BLOCK_ELEMENTS = 150_000
@@ -217,20 +217,24 @@ def near_duplicates(
     docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (smallest id reachable by links), n_links (rows linked with it, copies too)."""
-    rows = materialise(shingled(docs, width, percent, id_col, text_col), "shingled")
+    whole = materialise(shingled(docs, width, percent, id_col, text_col), "shingled")
+    rows = materialise(whole.drop("sigs"), "sizes")
     classes = rows.where("n > 0").groupBy("c1", "c2").agg(
         F.first("n").alias("n"), F.count("*").alias("copies"), F.min("doc_id").alias("least")
     )
 
     # cells: sets that share signatures; a signature that only one class has goes first
-    sigs = rows.where("n > 0").select("c1", F.explode("sigs").alias("sig"))
+    sigs = whole.select("c1", F.explode("sigs").alias("sig"))
     shared = sigs.groupBy("sig").agg(F.min("c1").alias("low"), F.max("c1").alias("high")).where("low <> high")
     shared = materialise(shared.select("sig", "low"), "shared")
     # merged at every size: both sides grow with the corpus, and Spark can split a signature that is hot
     edges = sigs.join(shared.hint("merge"), "sig").select(F.col("c1").alias("a"), F.col("low").alias("b"))
+    edges = materialise(edges.where("a <> b").distinct(), "cell_edges")
+    release(whole, shared)
     cells = components(edges).select(F.col("node").alias("c1"), F.col("root").alias("cell"))
     members = classes.join(cells, "c1").withColumn("cid", F.monotonically_increasing_id())
     members = materialise(members, "members")  # cid is drawn once
+    release(edges)
 
     edges = materialise(_cell_links(docs, members, width, percent, id_col, text_col), "links")
     links = edges.where("b is null").groupBy(F.col("a").alias("cid")).agg(F.sum("links").alias("linked"))
@@ -243,7 +247,9 @@ def near_duplicates(
         "c1", "c2", "copies", F.when(F.col("linked").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"),
         F.coalesce("linked", F.lit(0)).alias("linked"),
     )
-    named = materialise(named, "named")  # so that the next join shuffles on its own, and a class with many copies can be split
+    # written, so that the next join shuffles on its own, and a class with many copies can be split
+    named = materialise(named, "named")
+    release(edges, members)
     out = rows.select("doc_id", "n", "c1", "c2").join(named, ["c1", "c2"], "left")
     return out.select(
         "doc_id",
@@ -310,7 +316,7 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "
 
     Documents without shingles, and rows without an id, are no near copies of anything and stay.
     """
-    found = near_duplicates(docs, width, percent, id_col, text_col)
+    found = materialise(near_duplicates(docs, width, percent, id_col, text_col), "found")
     gone = found.where("n_shingles > 0 and doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
     rows = docs.join(gone, F.col(f"`{id_col}`").cast("long") == F.col("_gone"), "left_anti")
     repeated = found.where("n_shingles > 0 and doc_id is not null").groupBy("doc_id", "component_id").agg(F.count("*").alias("_rows"))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, ship
+from .common import materialise, release, ship
 
 #: Fixed values: (verdict, host, path prefix).
 RULES = (
@@ -120,6 +120,7 @@ def fit(settled: DataFrame) -> tuple[Model, Model] | None:
     # each at most 2 * (ORDER + 1) * CELLS rows
     contexts = pairs.groupBy("accepted", "ord", "context").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).toPandas()
     grams = pairs.groupBy("accepted", "ord", "gram").agg(F.sum("n").alias("n")).toPandas()
+    release(pairs)
     total, kinds, gram = (np.zeros((2, ORDER + 1, CELLS)) for _ in range(3))
     at = tuple(contexts[c].to_numpy() for c in ("accepted", "ord", "context"))
     total[at], kinds[at] = contexts["n"].to_numpy(), contexts["kinds"].to_numpy()
