@@ -7,13 +7,18 @@ the short ones are merged and counted, sets with fewer than T - L hits are skipp
 the long lists are only probed, by binary search, for the sets still alive.
 
 On a cluster the lists cannot live in one place, so sets that can reach T are first brought
-together. Sets of sizes up to ``hi`` that link differ in at most d elements, so when the
-element space is split into d + 2 parts by hash, a linked pair agrees on two whole parts at
-least; the hash of a part is a signature (empty parts are skipped where one is allowed for).
-Sets that share signatures, directly or through others, form a cell; a linked pair is always
-in one cell. Signatures that fewer than two different sets have are dropped by a partially
-aggregated count. Within a cell the sets meet in bounded blocks: every pair of blocks is one
-unit of work, with its own inverted lists, so a cell of any size is spread over tasks.
+together. Linked sets of at most ``hi`` elements differ in at most d, so if the elements are
+dealt into some d parts by a hash, many parts are untouched by the differences, and hold the
+same elements in both sets. The hash of a part with at least m elements is a signature; sets
+that share one, directly or through others, form a cell. The number of parts, m, and how often
+the deal is repeated are chosen for each size so that a linked pair misses its cell with a
+chance of at most ``MISS`` (as for the 64-bit hashes below); m keeps passages that many
+documents share from making signatures by themselves. Sets so small that at most two elements
+may differ are signed by their subsets without one or two elements; where no deal is good
+enough there are d + 1 parts and some spare, of which a linked pair always shares one.
+Signatures of only one set are dropped by a partially aggregated count. Within a cell the sets
+meet in bounded blocks: every pair of blocks is one unit of work, with its own inverted lists,
+so a cell of any size is spread over tasks.
 
 Equal sets are one class from the start, so copies cost one row, and the result is one row per
 document with its component and its number of links. Elements are 64-bit hashes of shingles;
@@ -27,7 +32,9 @@ ids); an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +48,10 @@ from .common import components, id_and_text, input_partitions, materialise, rele
 BLOCK_ELEMENTS = 150_000
 #: Cost of a binary probe against the cost of a merged entry, for the choice of L.
 PROBE_COST = 0.5
+#: Chance that a linked pair shares no signature, at most.
+MISS = 1e-12
+#: Most elements that a part must hold to be a signature.
+MOST_IN_PART = 3
 #: Words that a task remembers the hash of.
 WORD_CACHE = 400_000
 
@@ -91,22 +102,70 @@ def levels(n: int, percent: int) -> list[tuple[int, int]]:
     return [(level, hi), (level + 1, max(hi + 1, hi * 100 // percent))]
 
 
+def _at_least(mean: float, m: int) -> float:
+    """Chance of m or more, Poisson."""
+    term, below = math.exp(-mean), 0.0
+    for i in range(m):
+        below, term = below + term, term * mean / (i + 1)
+    return 1 - below
+
+
+@lru_cache(maxsize=None)
+def scheme(hi: int, percent: int) -> tuple[str, int, int, int]:
+    """How sets of one level are signed: (kind, parts, least elements of a part, rounds or spare parts)."""
+    d = (100 - percent) * 2 * hi // (100 + percent)  # |x - y| + |y - x| of a linked pair
+    if d <= 2:
+        return ("subsets", d, 0, 0)
+    low = max(1, hi * percent * percent // 10000)  # about the smallest set of the level
+
+    def miss(k: int, m: int) -> float:
+        """Chance that no part of k is untouched by a pair's differences and holds m of its common elements."""
+        worst = 0.0
+        for n in (low, hi):
+            apart, common = (100 - percent) * 2 * n / (100 + percent), percent * 2 * n / (100 + percent)
+            worst = max(worst, (1 - (1 - 1 / k) ** apart * _at_least(common / k, m)) ** k)
+        return worst
+
+    for m in range(MOST_IN_PART, 1, -1):
+        found = []
+        for k in range(3, d + 3, max(1, d // 60)):
+            q = miss(k, m)
+            if q < 0.9:
+                rounds = max(1, math.ceil(math.log(MISS) / math.log(max(q, 1e-300))))
+                found.append((rounds * k, k, rounds))
+        if found and min(found)[0] <= hi + 60:
+            _, k, rounds = min(found)
+            return ("parts", k, m, rounds)
+    spare = 1  # parts that may be empty without losing a pair
+    while spare <= hi // 3 and (more := math.ceil((d + 1 + spare) * math.exp(-low / (d + 1 + spare)))) > spare:
+        spare = more
+    return ("strict", d + 1 + spare, 1, spare)
+
+
 def signatures(s: np.ndarray, percent: int) -> np.ndarray:
     out = []
     for level, hi in levels(len(s), percent):
-        d = (100 - percent) * 2 * hi // (100 + percent)  # |x - y| + |y - x| of a linked pair
-        if not d:
-            continue  # only equal sets link, and those are one class already
-        parts = d + 2
-        part = (mix(s, 91) % np.uint64(parts)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        first = np.searchsorted(part[order], np.arange(parts + 1))
-        sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(s[order], 92), dtype=np.uint64)])
-        sums = sums[first[1:]] - sums[first[:-1]]
-        filled = first[1:] > first[:-1]
-        keys = mix(sums ^ mix(np.arange(parts, dtype=np.uint64), level + 100), 93)
-        # two parts agree at least, so one empty part may be left out; a set with more keeps them
-        out.append(keys[filled] if parts - filled.sum() <= 1 else keys)
+        kind, parts, least, rounds = scheme(hi, percent)
+        if kind == "subsets":
+            if parts:  # else only equal sets link, and those are one class already
+                each = mix(s, 92)
+                total = each.sum(dtype=np.uint64)
+                subsets = [np.array([total]), total - each]
+                if parts == 2 and len(s) > 1:
+                    i, j = np.triu_indices(len(s), 1)
+                    subsets.append(total - each[i] - each[j])
+                out.append(mix(np.concatenate(subsets) ^ np.uint64(level + 100), 93))
+            continue
+        for r in range(rounds if kind == "parts" else 1):
+            part = (mix(s, 1000 + r) % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            first = np.searchsorted(part[order], np.arange(parts + 1))
+            sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(s[order], 92), dtype=np.uint64)])
+            sums = sums[first[1:]] - sums[first[:-1]]
+            full = first[1:] - first[:-1] >= least
+            keys = mix(sums ^ mix(np.arange(parts, dtype=np.uint64), (level + 1) * 1000 + r), 93)
+            # of the strict kind, spare + 1 parts agree, so `spare` empty ones may be left out; a set with more keeps them
+            out.append(keys[full] if kind == "parts" or parts - full.sum() <= rounds else keys)
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
