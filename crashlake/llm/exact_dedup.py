@@ -175,10 +175,18 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    kept = deduplicate(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_kept_sha"))
-    kept = materialise(kept, "kept")
+    found = materialise(deduplicate(docs, id_col, text_col).select("doc_id", "keep_id", "text_sha256"), "found")
+    stays = F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    gone = found.where(~stays).select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_gone")).distinct()
+    own_id = F.col(f"`{id_col}`").cast("long")
     rows = docs.withColumn("_sha", F.sha2(text_or_empty(text_col).cast("binary"), 256))
-    same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_kept_sha"))
-    rows = rows.join(kept, same, "left_semi")
-    once = Window.partitionBy(f"`{id_col}`", "_sha").orderBy(F.lit(1))
-    return rows.withColumn("_n", F.row_number().over(once)).where("_n = 1").drop("_sha", "_n")
+    # merged at every size: both sides grow with the corpus
+    rows = rows.join(gone.hint("merge"), own_id.eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_gone")), "left_anti")
+    again = found.where(stays).groupBy("doc_id", "text_sha256").agg(F.count("*").alias("n")).where("n > 1")
+    again = materialise(again.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_again")), "again")
+    if again.isEmpty():
+        return rows.drop("_sha")
+    # rows that repeat an id and its text: one of them stays
+    match = own_id.eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_again"))
+    once = rows.join(again, match, "left_semi").dropDuplicates([id_col, "_sha"])
+    return rows.join(again, match, "left_anti").unionByName(once).drop("_sha")

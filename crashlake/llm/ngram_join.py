@@ -376,10 +376,13 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "
     Documents without shingles, and rows without an id, are no near copies of anything and stay.
     """
     found = materialise(near_duplicates(docs, width, percent, id_col, text_col), "found")
+    own_id = F.col(f"`{id_col}`").cast("long")
     gone = found.where("n_shingles > 0 and doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    rows = docs.join(gone, F.col(f"`{id_col}`").cast("long") == F.col("_gone"), "left_anti")
-    repeated = found.where("n_shingles > 0 and doc_id is not null").groupBy("doc_id", "component_id").agg(F.count("*").alias("_rows"))
-    repeated = repeated.where("_rows > 1 and doc_id = component_id").select(F.col("doc_id").alias("_again"))
+    rows = docs.join(materialise(gone, "gone"), own_id == F.col("_gone"), "left_anti")  # ids only, of a size that Spark knows
+    again = found.where("n_shingles > 0 and doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    again = materialise(again.select(F.col("doc_id").alias("_again")), "again")
+    if again.isEmpty():
+        return rows
     # rows of one id that are near copies of each other: one of them stays
-    again = rows.join(repeated, F.col(f"`{id_col}`").cast("long") == F.col("_again"), "left_semi").dropDuplicates([id_col])
-    return rows.join(repeated, F.col(f"`{id_col}`").cast("long") == F.col("_again"), "left_anti").unionByName(again)
+    once = rows.join(again, own_id == F.col("_again"), "left_semi").dropDuplicates([id_col])
+    return rows.join(again, own_id == F.col("_again"), "left_anti").unionByName(once)
