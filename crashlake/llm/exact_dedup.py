@@ -122,10 +122,11 @@ def _differing(docs: DataFrame, prints: DataFrame, groups: DataFrame, id_col: st
         .groupBy(*_FP, "chunk")
         .agg(F.min("data").alias("model"))
     )
+    model = materialise(model, "models")  # apart from the join, so that a group with many copies can be split there
     compared = chunks.select("doc_id", "text_sha256", *_FP, "chunk", "data").join(model, [*_FP, "chunk"], "left")
     unlike = compared.where(~F.col("data").eqNullSafe(F.col("model"))).select("doc_id", "text_sha256", *_FP).distinct()
     out = materialise(unlike, "differing")
-    release(chunks)
+    release(chunks, model)
     return out
 
 
