@@ -3,8 +3,7 @@
 A token's probability is P(class group | history) P(class | group, history) P(token | class).
 The most frequent tokens are classes of their own; every other token's class follows from its
 last letters, so it needs no dictionary. Both softmaxes are log-linear in hashed features of
-the history: the token before and the pair before for the group, the token before and the
-one two back (skip) for the class in it. Inside a
+the history: the token before, the pair before, and the token two back alone (skip). Inside a
 class tokens have smoothed frequencies, and the class's unseen tokens are one event, as likely
 as its tokens seen once; the probabilities of all tokens and these events add up to one.
 
@@ -220,14 +219,14 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
 def probabilities(m: Model, rows: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, ...]:
     """Softmax over groups, over classes of the right group, and the rows used of the second table."""
     group = classes // SIZE
-    # the token before and the pair tell the group; the token before and the one two back tell the class in it
-    second = _second(rows[::2], group)
+    second = _second(rows, group)
     p1 = np.take(m.w1, rows[0], axis=0)
     p2 = np.take(m.w2, second[0], axis=0)
     p1 += m.bias1
     p2 += np.take(m.bias2, group, axis=0)
-    p1 += np.take(m.w1, rows[1], axis=0)
-    p2 += np.take(m.w2, second[1], axis=0)
+    for k in range(1, len(rows)):
+        p1 += np.take(m.w1, rows[k], axis=0)
+        p2 += np.take(m.w2, second[k], axis=0)
     return _softmax(p1), _softmax(p2), second
 
 
@@ -243,14 +242,18 @@ def log_classes(m: Model, rows: np.ndarray, classes: np.ndarray) -> np.ndarray:
 
 
 def _update(w: np.ndarray, seen: np.ndarray, used: np.ndarray, rows: np.ndarray, grad: np.ndarray) -> None:
-    """Adagrad step of the rows in use, one rate a row; grad is summed over the tokens of a row."""
+    """Adagrad step of the rows in use; grad is summed over the tokens of a row."""
     order = np.argsort(rows, kind="stable")
     ordered = rows[order]
     first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
     at = ordered[first]
     total = np.add.reduceat(np.take(grad, order, axis=0), first, axis=0)
-    seen[at] += np.einsum("ij,ij->i", total, total) / SIZE
-    total *= (RATE / np.sqrt(seen[at] + CAUTION))[:, None]
+    squares = np.take(seen, at, axis=0)
+    squares += total * total
+    seen[at] = squares
+    squares += CAUTION
+    total *= RATE
+    total /= np.sqrt(squares, out=squares)
     w[at] -= total
     used[at] += np.diff(first, append=len(rows))
 
@@ -264,7 +267,7 @@ def _train_round(rows: DataFrame, model: Model) -> None:
         start = held.value
         m = Model.__new__(Model)
         m.__dict__ = {**start.__dict__, "w1": start.w1.copy(), "w2": start.w2.copy()}
-        seen = [np.zeros(ROWS, np.float32), np.zeros(ROWS, np.float32)]
+        seen = [np.zeros_like(m.w1), np.zeros_like(m.w2)]
         used = [np.zeros(ROWS, np.int64), np.zeros(ROWS, np.int64)]
         for batch in _slices(batches):
             t = _tokens(batch)
@@ -276,7 +279,7 @@ def _train_round(rows: DataFrame, model: Model) -> None:
                 i = np.arange(len(c))
                 p1[i, c // SIZE] -= 1
                 p2[i, c % SIZE] -= 1
-                for k in (0, 1):
+                for k in range(len(f)):
                     _update(m.w1, seen[0], used[0], f[k], p1)
                     _update(m.w2, seen[1], used[1], second[k], p2)
         for table, (now, before) in enumerate(((m.w1, start.w1), (m.w2, start.w2))):

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from crashlake.llm import maxent_lm as M
@@ -75,6 +76,31 @@ def test_probabilities_add_up_to_one():
     assert total == pytest.approx(1, abs=1e-5)
 
 
+def test_every_feature_tells_group_and_class(docs_of):
+    texts = corpus(60)
+    model, _ = M.fit(docs_of(texts).select("doc_id", "text"))
+    t = M.Tokens(pa.array(texts))
+    rows = M.history(t.hash[t.numbers], t.first)
+    classes = model.classes(t.hash, t.tail)[t.numbers]
+    p1, p2, second = M.probabilities(model, rows, classes)
+    assert second.shape == rows.shape == (3, len(classes))
+    for k in range(3):  # token before, pair before, token two back
+        assert (np.abs(model.w1[rows[k]]).sum(axis=1) > 0).all() and (np.abs(model.w2[second[k]]).sum(axis=1) > 0).mean() > 0.99
+        for table, used, before, at in ((model.w1, rows, p1, 0), (model.w2, second, p2, 1)):
+            kept = table[used[k][9]].copy()
+            table[used[k][9], 0] += 1
+            assert M.probabilities(model, rows, classes)[at][9, 0] > before[9, 0]
+            table[used[k][9]] = kept
+
+
+def test_every_weight_has_its_own_rate():
+    w, seen, used = np.zeros((4, 2), np.float32), np.zeros((4, 2), np.float32), np.zeros(4, np.int64)
+    M._update(w, seen, used, np.array([1, 3, 1], np.uint16), np.array([[3, 0], [1, 1], [1, 2]], np.float32))
+    total = np.array([[0, 0], [4, 2], [0, 0], [1, 1]])
+    assert used.tolist() == [0, 2, 0, 1] and (seen == total**2).all()
+    assert w == pytest.approx(-M.RATE * total / np.sqrt(total**2 + M.CAUTION))
+
+
 def test_tokens_are_runs_without_ascii_space():
     import pyarrow as pa
 
