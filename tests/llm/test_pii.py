@@ -2,6 +2,8 @@ import hashlib
 import random
 import re
 
+import pytest
+
 from crashlake.llm import pii
 
 from .conftest import ODD_TEXTS
@@ -61,6 +63,43 @@ def test_known_items():
     assert "bob@" not in masked and "4111" not in masked and "[EMAIL]" in masked
 
 
+def accounts(text):
+    return [text[s:e] for k, s, e in pii.spans_of(text) if pii.KINDS[k] == "account"]
+
+
+@pytest.mark.parametrize("iban", ["DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "NO93 8601 1117 947", "MT84MALT011000012345MTLCAST001S"])
+@pytest.mark.parametrize("after", ["", ".", " The money", " A", " BIC COBADEFFXXX", " COBADEFFXXX", " 12 May", "-X", "\nTo"])
+def test_iban_ends_where_its_country_says(iban, after):
+    assert accounts(f"IBAN: {iban}{after}") == [iban]
+    assert pii.redacted(f"my IBAN {iban}{after}") == f"my IBAN [ACCOUNT]{after}"
+    wrong = iban[:2] + f"{(int(iban[2:4]) + 1) % 97:02d}" + iban[4:]
+    if iban[:2] != "NO":  # without its check it may be "no" and a number
+        assert not accounts(f"IBAN: {wrong}{after}")
+
+
+def test_iban_of_a_country_without_known_length():
+    body = "12345678901234"
+    iban = next(f"ZZ{k:02d}{body}" for k in range(2, 99) if pii._iban(f"ZZ{k:02d}{body}"))
+    grouped = " ".join(iban[i : i + 4] for i in range(0, len(iban), 4))
+    for code in (iban, grouped):
+        for after in ("", " The money", " BIC COBADEFFXXX"):
+            assert accounts(f"iban {code}{after}") == [code]
+
+
+def test_other_accounts_end_before_a_word():
+    for code in ("12345678", "1234-5678-90", "12 3456 78", "AB1234567", "123456 X78", "12-AB-345678", "1234567C"):
+        for after in (" Please pay", " P", " PLEASE", "-Please", ", then", "", " Éa"):
+            assert accounts(f"account {code}{after}") == [code], (code, after)
+    assert accounts("account 12345678Please") == ["12345678"] and not accounts("account 12345 Please")
+    assert pii.redacted("account 12345678 Please") == "account [ACCOUNT] Please"
+    assert len(accounts("account " + "1" * 9000)) == 1 and not accounts("account 1" + "A" * 9000)
+
+
+def test_known_iban_is_found_beside_other_items():
+    text = "Mail bob@ex.org, IBAN: GB82 WEST 1234 5698 7654 32 card 4111 1111 1111 1111 at 10.0.0.255"
+    assert accounts(text) == ["GB82 WEST 1234 5698 7654 32"]
+
+
 def test_query_digest_and_odd_rows(docs_of):
     texts = [*ODD_TEXTS, "a@b.cd 1.2.3.4", "a@b.cd 1.2.3.4", "+1 555 010 9999 " * 3000]
     got = {r["doc_id"]: r for r in pii.digest(pii.find_pii(docs_of(texts))).collect()}
