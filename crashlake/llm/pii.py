@@ -127,7 +127,7 @@ def spans_of(text: str) -> list[tuple[int, int, int]]:
             if last >= ip_end:
                 if m := _ADDRESS.match(text, last):
                     ip_end = m.end()
-                    if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+                    if all(len(d := p.lstrip("0")) <= 3 and int(d or "0") <= 255 for p in m[0].split(".")):
                         found.append((1, last, ip_end))
                 else:  # the rest of this run of digits cannot start an address either
                     ip_end = _DIGITS.match(text, last).end()

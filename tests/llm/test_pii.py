@@ -63,6 +63,12 @@ def test_known_items():
     assert "bob@" not in masked and "4111" not in masked and "[EMAIL]" in masked
 
 
+def test_address_parts_of_very_many_zeros():
+    zeros = "0" * 5000
+    for text, ok in ((f"{zeros}.1.2.3", True), (f"1.{zeros}255.{zeros}.3", True), (f"{zeros}256.1.2.3", False)):
+        assert base_spans(text) == ([("ip", 0, len(text))] if ok else [])
+
+
 def accounts(text):
     return [text[s:e] for k, s, e in pii.spans_of(text) if pii.KINDS[k] == "account"]
 
