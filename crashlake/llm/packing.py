@@ -6,13 +6,14 @@ or of gaps, is a list of at most ``capacity`` runs of equal size, whatever the n
 rows. A step takes one run of pieces, longest first, and sweeps the runs of gaps from its
 own length upwards: each piece gets the successor, the smallest gap that holds it. Many
 pieces may want one run of gaps; rank decides (piece rank r meets gap rank r, the rest
-sweep on). The gaps that took a piece shrink and join their new run, and the step repeats
+sweep on). Only as many gaps of a run take part as the pieces fill up, or one for the pieces
+that remain. The gaps that took a piece shrink and join their new run, and the step repeats
 until its pieces are placed; only when no gap is left are sequences opened. This is
 best-fit decreasing, with all pieces of one length placed at once.
 
 Spark counts the runs and ranks the rows within their run, over salted sub-runs so that a
 length shared by a third of all rows is dealt over many tasks. The sweeps walk counts
-only; they produce a table of flows (bounded by the capacity, not by the data) that is
+only, on the driver; they produce a table of flows (bounded by the capacity, not by the data) that is
 broadcast, and every row looks its sequence and offset up by its rank: tracing which
 earlier flow left the gap it took, back to the opening of the sequence. No rows are joined
 or gathered.
@@ -147,12 +148,13 @@ class Plan:
             while rank < n:
                 while gap < capacity and head[gap] == waiting[gap]:
                     gap += 1
+                # as many as these pieces fill up, as best fit does one after the other; what then remains shares one
+                m = max((n - rank) // (gap // length), 1)
                 if gap == capacity:  # no gap holds this length
-                    m = -(-(n - rank) // (capacity // length))
                     flows.append((length << _SHIFT | rank, capacity, 0, self.sequences))
                     self.sequences += m
                 else:
-                    m = min(n - rank, waiting[gap] - head[gap])
+                    m = min(m, waiting[gap] - head[gap])
                     flows.append((length << _SHIFT | rank, gap, head[gap], -1))
                     head[gap] += m
                 left = gap - length

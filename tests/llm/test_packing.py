@@ -54,6 +54,48 @@ def best_fit_decreasing(lengths, capacity):
     return len(gaps)
 
 
+def gaps_of(plan, counts, capacity):
+    """Gaps of the sequences, when every piece is looked up; checks that pieces lie gapless."""
+    found = defaultdict(list)
+    for length, n in counts.items():
+        for s, o in zip(*plan.place(np.full(n, length), np.arange(n)), strict=True):
+            found[s].append((o, length))
+    assert set(found) == set(range(plan.sequences))
+    gaps = []
+    for pieces in found.values():
+        at = 0
+        for o, length in sorted(pieces):
+            assert o == at
+            at += length
+        assert at <= capacity
+        gaps.append(capacity - at)
+    return sorted(gaps)
+
+
+def best_fit_gaps(counts, capacity):
+    gaps = []
+    for length in sorted(counts, reverse=True):
+        for _ in range(counts[length]):
+            fit = min((g for g in gaps if g >= length), default=capacity)
+            if fit in gaps:
+                gaps.remove(fit)
+            gaps.append(fit - length)
+    return sorted(gaps)
+
+
+def test_remainder_of_a_length_is_not_spread():
+    counts = {300: 4, 240: 3}
+    assert gaps_of(P.Plan(counts), counts, 1024) == best_fit_gaps(counts, 1024) == [4, 124]
+
+
+def test_gaps_are_those_of_best_fit_decreasing():
+    rng = random.Random(11)
+    for _ in range(300):
+        capacity = rng.choice([1, 7, 64, 100])
+        counts = {rng.randint(1, capacity): rng.choice([1, 2, 3, 10, 40]) for _ in range(rng.randint(1, 12))}
+        assert gaps_of(P.Plan(counts, capacity), counts, capacity) == best_fit_gaps(counts, capacity), counts
+
+
 def test_pieces_and_sequences(docs_of, exact, monkeypatch):
     monkeypatch.setattr(P, "RANK_ROWS", 7)
     rng = random.Random(2)
