@@ -3,9 +3,10 @@
 URLs that a rule settles train two variable-order Markov models over the characters of
 host and path, one of accepted and one of rejected URLs. A model blends orders 0 to
 ``ORDER`` by Witten-Bell smoothing: a context that was seen often trusts its own counts,
-a new one falls back to the next shorter context. Context counts are kept in a fixed
-number of hashed cells, summed by a shuffle over all training URLs; the cells have a fixed
-bound and are the only thing sent to every executor.
+a new one falls back to the next shorter context. Counts are exact (contexts are told apart
+by 64-bit hashes), summed by a shuffle over all training URLs, and stay a table that grows
+with them: URLs are dealt into blocks, the contexts and grams of a block meet their counts
+in a join, and the counts found meet the block's URLs.
 
 Other URLs are judged by the difference of the two log-likelihoods per character. The
 threshold is calibrated on settled URLs held out of training (by a hash of the URL): the
@@ -37,7 +38,8 @@ RULES = (
     ("block", "com", "/de/"),
 )
 ORDER = 5
-CELLS = 1 << 16
+#: Rows whose contexts are looked up together.
+BLOCK = 1024
 HOLD_OUT = 5
 BINS = 2000
 SPAN = 5.0
@@ -63,88 +65,110 @@ def rule_of(host: Column, path: Column, rules: tuple = RULES) -> tuple[Column, C
     return name, verdict
 
 
-def context_cells(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """For each character of ``text`` and each order: the cell of its context, and of context and character."""
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def context_keys(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """For each order and each character of ``text`` and its end: keys of its context, and of context and character."""
     codes = np.frombuffer(("\x02" * ORDER + text + "\x03").encode("utf-32-le"), np.uint32).astype(np.uint64)
     n = len(codes) - ORDER
-    contexts, grams = np.empty((ORDER + 1, n), np.int64), np.empty((ORDER + 1, n), np.int64)
+    contexts, grams = np.empty((ORDER + 1, n), np.uint64), np.empty((ORDER + 1, n), np.uint64)
     h = np.zeros(n, np.uint64)
     for o in range(ORDER + 1):
         if o:
-            h = (h ^ codes[ORDER - o : ORDER - o + n]) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(o)
-            h ^= h >> np.uint64(29)
-        g = (h ^ (codes[ORDER:] + np.uint64(0x51ED27))) * np.uint64(0xBF58476D1CE4E5B9)
-        contexts[o] = (h * np.uint64(0x94D049BB133111EB) >> np.uint64(40)).astype(np.int64) % CELLS
-        grams[o] = (g >> np.uint64(33)).astype(np.int64) % CELLS
-    return contexts, grams
-
-
-class Model:
-    """Witten-Bell blend of orders 0..ORDER from cell counts: total and distinct followers of a context, count of a gram."""
-
-    def __init__(self, total: np.ndarray, kinds: np.ndarray, gram: np.ndarray):
-        self.total, self.kinds, self.gram = total, kinds, gram
-
-    def per_character(self, text: str, alphabet: int = 256) -> float:
-        contexts, grams = context_cells(text)
+            h = _mix((h ^ codes[ORDER - o : ORDER - o + n]) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(o))
+        contexts[o] = _mix(h ^ np.uint64(0x1234567))
+        grams[o] = _mix((h + np.uint64(0x7654321ABC)) * np.uint64(0xC2B2AE3D27D4EB4F) ^ codes[ORDER:])
+    return contexts.view(np.int64), grams.view(np.int64)
+
+
+def per_character(texts: list[str], counts: dict[str, np.ndarray], alphabet: int = 256) -> np.ndarray:
+    """Log-likelihood a character of ``texts`` under both models (2 x texts): Witten-Bell blend of orders 0..ORDER.
+    ``counts``: by key, of a context its total and distinct followers (n, kinds), of a gram how often it stood (n)."""
+    order = np.argsort(counts["key"], kind="stable")
+    known = counts["key"][order]
+
+    def find(keys: np.ndarray, name: str) -> np.ndarray:
+        if not len(known):
+            return np.zeros(len(keys))
+        at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+        return np.where(known[at] == keys, counts[name][order][at], 0)
+
+    contexts, grams = (np.concatenate(x, axis=1) for x in zip(*map(context_keys, texts), strict=True))
+    sizes = np.array([len(t) + 1 for t in texts])
+    first = np.cumsum(sizes) - sizes
+    out = np.empty((2, len(texts)))
+    for k in (0, 1):
         p = np.full(contexts.shape[1], 1.0 / alphabet)
         for o in range(ORDER + 1):
-            n, t, c = self.total[o, contexts[o]], self.kinds[o, contexts[o]], self.gram[o, grams[o]]
-            p = np.where(n > 0, (np.minimum(c, n) + t * p) / np.maximum(n + t, 1), p)
-        return float(np.log(p).mean())
+            n, t, c = find(contexts[o], f"n{k}"), find(contexts[o], f"kinds{k}"), find(grams[o], f"n{k}")
+            p = np.where(n > 0, (c + t * p) / np.maximum(n + t, 1), p)
+        out[k] = np.add.reduceat(np.log(p), first) / sizes
+    return out
 
 
-def _count_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(accepted, ord, context, gram, n): how often a character followed a context; partial sums of a batch."""
+def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(accepted, context, gram, n): how often a character followed a context; partial sums of a batch."""
     for batch in batches:
         rows = [*zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)]
         for kind in (False, True):
-            own = [(*context_cells(t), n) for t, accepted, n in rows if accepted == kind]
+            own = [(*context_keys(t), n) for t, accepted, n in rows if accepted == kind]
             if not own:
                 continue
-            weight = np.concatenate([np.full(c.shape[1], n) for c, _, n in own])
-            for o in range(ORDER + 1):
-                pair = np.concatenate([c[o] * CELLS + g[o] for c, g, _ in own])
-                found, at = np.unique(pair, return_inverse=True)
-                n = np.bincount(at, weight).astype(np.int64)
-                fixed = [pa.array(np.full(len(found), x, np.int32)) for x in (kind, o)]
-                cells = [pa.array(x.astype(np.int32)) for x in (found // CELLS, found % CELLS)]
-                yield pa.RecordBatch.from_arrays([*fixed, *cells, pa.array(n)], ["accepted", "ord", "context", "gram", "n"])
-
-
-def fit(settled: DataFrame) -> tuple[Model, Model] | None:
-    """Models (rejected, accepted) from (text, accepted) rows; None without rows of both kinds."""
+            context = np.concatenate([c.ravel() for c, _, _ in own])
+            gram = np.concatenate([g.ravel() for _, g, _ in own])
+            weight = np.concatenate([np.full(c.size, n) for c, _, n in own])
+            found, at, back = np.unique(gram, return_index=True, return_inverse=True)  # a gram has one context
+            n = np.bincount(back, weight).astype(np.int64)
+            columns = [pa.array(np.full(len(found), kind, np.int32)), pa.array(context[at]), pa.array(found), pa.array(n)]
+            yield pa.RecordBatch.from_arrays(columns, ["accepted", "context", "gram", "n"])
+
+
+def fit(settled: DataFrame) -> DataFrame | None:
+    """Counts (key, n0, kinds0, n1, kinds1) of rejected and accepted from (text, accepted) rows; None without rows of both kinds."""
     rows = settled.groupBy("text", "accepted").agg(F.count("*").alias("n"))
-    cells = rows.mapInArrow(_count_cells, "accepted int, ord int, context int, gram int, n long")
-    pairs = materialise(cells.groupBy("accepted", "ord", "context", "gram").agg(F.sum("n").alias("n")), "grams")
-    # each at most 2 * (ORDER + 1) * CELLS rows
-    contexts = pairs.groupBy("accepted", "ord", "context").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).toPandas()
-    grams = pairs.groupBy("accepted", "ord", "gram").agg(F.sum("n").alias("n")).toPandas()
-    release(pairs)
-    total, kinds, gram = (np.zeros((2, ORDER + 1, CELLS)) for _ in range(3))
-    at = tuple(contexts[c].to_numpy() for c in ("accepted", "ord", "context"))
-    total[at], kinds[at] = contexts["n"].to_numpy(), contexts["kinds"].to_numpy()
-    gram[tuple(grams[c].to_numpy() for c in ("accepted", "ord", "gram"))] = grams["n"].to_numpy()
-    if not total[0].any() or not total[1].any():
+    if rows.select("accepted").distinct().count() < 2:
         return None
-    return tuple(Model(total[k], kinds[k], gram[k]) for k in (0, 1))
+    grams = rows.mapInArrow(_count_grams, "accepted int, context long, gram long, n long")
+    pairs = materialise(grams.groupBy("accepted", "context", "gram").agg(F.sum("n").alias("n")), "grams")
+    own = lambda k, x: F.coalesce(F.sum(F.when(F.col("accepted") == k, x)), F.lit(0))
+    sums = [f(k) for k in (0, 1) for f in (lambda k: own(k, F.col("n")).alias(f"n{k}"), lambda k: own(k, F.lit(1)).alias(f"kinds{k}"))]
+    counts = pairs.groupBy(F.col("context").alias("key")).agg(*sums).unionByName(pairs.groupBy(F.col("gram").alias("key")).agg(*sums))
+    counts = materialise(counts, "counts")
+    release(pairs)
+    return counts
 
 
-def _scored(rows: DataFrame, models: tuple[Model, Model] | None) -> DataFrame:
-    """``rows`` with a column score: log-likelihood difference per character of the column text."""
-    held = rows.sparkSession.sparkContext.broadcast(models)
+def _scored(rows: DataFrame, counts: DataFrame | None) -> DataFrame:
+    """``rows`` (with a column block) with a column score: log-likelihood difference per character of the column text."""
+    if counts is None:
+        return rows.withColumn("score", F.lit(0.0))
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            known: dict[str, float] = {}
-            for t in batch.column(batch.schema.names.index("text")).to_pylist():
-                if t not in known:
-                    m = held.value
-                    known[t] = m[1].per_character(t) - m[0].per_character(t) if m and t else 0.0
-            scores = pa.array([known[t.as_py()] for t in batch.column(batch.schema.names.index("text"))], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, scores], [*batch.schema.names, "score"])
-
-    return rows.mapInArrow(score, ", ".join(f"`{c}` {t}" for c, t in [*rows.dtypes, ("score", "double")]))
+            texts: dict[int, set[str]] = {}
+            for b, t in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+                texts.setdefault(b, set()).add(t)
+            for b, own in texts.items():
+                keys = np.unique(np.concatenate([x.ravel() for t in own for x in context_keys(t)]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), b)), pa.array(keys)], ["block", "key"])
+
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        texts = left.column("text").to_pylist()
+        own = sorted({t for t in texts if t})
+        known = {"": 0.0}
+        if own:
+            low, high = per_character(own, {c: right.column(c).to_numpy() for c in right.column_names if c != "block"})
+            known |= dict(zip(own, (high - low).tolist(), strict=True))
+        return left.append_column("score", pa.array([known[t] for t in texts], pa.float64()))
+
+    found = rows.where("text <> ''").select("block", "text").mapInArrow(wanted, "block long, key long").join(counts, "key")
+    found = found.select("block", *counts.columns)
+    schema = ", ".join(f"`{c}` {t}" for c, t in [*rows.dtypes, ("score", "double")])
+    return rows.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(score, schema)
 
 
 def calibrate(scored: DataFrame) -> float:
@@ -169,11 +193,16 @@ def judge(pages: DataFrame, rules: tuple = RULES, id_col: str = "page_id", url_c
     rows = pages.select(F.col(f"`{id_col}`").cast("long").alias("page_id"), host.alias("host"), path.alias("path"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     rows = rows.select("*", rule.alias("rule"), verdict.alias("settled"), F.concat("host", "path").alias("text"))
-    rows = materialise(rows, "urls")
+    row = F.monotonically_increasing_id()  # drawn once
+    rows = materialise(rows.withColumn("block", row - F.pmod(row, F.lit(BLOCK))), "urls")
     settled = rows.where("settled is not null").select("text", (F.col("settled") == "allow").alias("accepted"))
     held_out = F.pmod(F.xxhash64("text"), F.lit(HOLD_OUT)) == 0
-    models = fit(settled.where(~held_out))
-    threshold = calibrate(_scored(settled.where(held_out), models)) if models else 0.0
-    out = _scored(rows, models)
+    counts = fit(settled.where(~held_out))
+    out, threshold = _scored(rows, counts), 0.0
+    if counts is not None:
+        out = materialise(out, "scored")
+        release(rows, counts)
+        settled = out.where("settled is not null").select("text", "score", (F.col("settled") == "allow").alias("accepted"))
+        threshold = calibrate(settled.where(held_out))
     own = F.when(F.col("score") >= threshold, F.lit("allow")).otherwise(F.lit("block"))
     return out.select("page_id", "host", "path", "rule", F.coalesce("settled", own).alias("verdict"), "score")

@@ -1,6 +1,10 @@
+import math
+import random
 import re
+from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from crashlake.llm import urls
 
@@ -63,3 +67,45 @@ def test_without_training_rows(spark):
     df = spark.createDataFrame([(1, "x://a.net/"), (2, None)], "page_id long, url string")
     assert [r["verdict"] for r in urls.judge(df).collect()] == ["allow", "allow"]
     assert urls.judge(df.where("false")).count() == 0
+
+
+def brute_score(texts, trained):
+    """Witten-Bell with exact counts in dictionaries."""
+    models = []
+    for kind in (False, True):
+        follow = defaultdict(Counter)
+        for t, accepted in trained:
+            padded = "\x02" * urls.ORDER + t + "\x03"
+            for i in range(urls.ORDER, len(padded)) if accepted == kind else ():
+                for o in range(urls.ORDER + 1):
+                    follow[padded[i - o : i]][padded[i]] += 1
+        models.append(follow)
+
+    def mean(follow, t):
+        padded, total = "\x02" * urls.ORDER + t + "\x03", 0.0
+        for i in range(urls.ORDER, len(padded)):
+            p = 1 / 256
+            for o in range(urls.ORDER + 1):
+                if seen := follow.get(padded[i - o : i]):
+                    p = (seen[padded[i]] + len(seen) * p) / (seen.total() + len(seen))
+            total += math.log(p)
+        return total / (len(t) + 1)
+
+    return [mean(models[1], t) - mean(models[0], t) for t in texts]
+
+
+def test_counts_are_exact_however_many_contexts(spark, monkeypatch):
+    monkeypatch.setattr(urls, "BLOCK", 64)
+    rng = random.Random(4)
+    paths = [f"{rng.choice(['fr', 'de', 'it'])}/{rng.randrange(10**30)}" for _ in range(9000)]
+    paths += paths[:50]
+    pages = spark.createDataFrame([(i, f"http://b.com/{p}") for i, p in enumerate(paths)] + [(None, None), (None, "x")], "page_id long, url string")
+    got = [(r["host"] + r["path"], r["rule"], r["score"]) for r in urls.judge(pages).collect()]
+    assert sorted(t for t, _, _ in got) == sorted([f"b.com/{p}" for p in paths] + ["", ""])
+    texts = spark.createDataFrame([(t, r, s) for t, r, s in got if t], "text string, rule string, score double")
+    out = F.pmod(F.xxhash64("text"), F.lit(urls.HOLD_OUT)) == 0
+    trained = [(r["text"], r["rule"] == "com/fr/") for r in texts.where(~out & F.col("rule").isNotNull()).collect()]
+    assert len({t[i : i + 5] for t, _ in trained for i in range(len(t))}) > 1 << 16
+    some = rng.sample([(t, s) for t, _, s in got if t], 300)
+    assert [s for _, s in some] == pytest.approx(brute_score([t for t, _ in some], trained), abs=1e-9)
+    assert all(s == 0 for t, _, s in got if not t)
