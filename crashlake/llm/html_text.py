@@ -4,7 +4,7 @@ The markup is cut into tokens, a tree builder adds implied end tags (a new ``li`
 open one, a block ends an open ``p``, a cell ends a cell, ...), and the renderer walks the
 tree with visibility rules and writes what a reader would see: blocks on lines of their own
 with blank lines around paragraphs and headings, list items with bullets or numbers and
-indentation, table cells in aligned columns, preformatted text as it stands. Everything
+indentation, table cells in aligned columns (spanned rows and columns count), preformatted text as it stands. Everything
 visible is kept, whichever part of the page it is in. Builder and renderer use explicit
 stacks, so nesting of any depth is fine.
 
@@ -16,6 +16,8 @@ other columns are ignored. One narrow pass, without a shuffle.
 from __future__ import annotations
 
 import re
+import sys
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from html import unescape
@@ -62,8 +64,11 @@ IMPLIED = {
 WALLS = frozenset("td th table caption button".split())
 #: Their end tags look through walls.
 OUTER = frozenset("table tr thead tbody tfoot body html".split())
-#: Cells wider than this do not widen their column.
+ROW_GROUPS = frozenset("thead tbody tfoot".split())
+#: Cells wider than this do not widen their column; the row goes on below them.
 CELL_WIDTH = 60
+#: Cells that would begin further right just follow the cell before.
+WIDEST = 4096
 
 
 class Node:
@@ -238,25 +243,73 @@ class Flow:
         return self.lines
 
 
-def _grid(rows: list[list[tuple[list[str], int]]]) -> list[str]:
-    """Lines of a table: cells of a column start at the same place; a cell may have several lines."""
-    widths: dict[int, int] = {}
+def _placed(rows: list) -> list[list[tuple[int, int, list[str]]]]:
+    """Rows of (column, columns spanned, lines): cells stand beside those that reach down from rows above.
+    A row None ends a group of rows, and what reaches down in it."""
+    out: list[list] = []
+    down: dict[int, tuple[int, int]] = {}  # column where a cell from above begins: its end, the first row below it
+    jumps: dict[int, tuple[int, int]] = {}  # the same for neighbours taken together
     for row in rows:
-        at = 0
-        for lines, span in row:
+        if row is None:
+            down, jumps = {}, {}
+            continue
+        y, at = len(out), 0
+        own, new = [], []
+        for lines, span, height in row:
+            start, free = at, None
+            while (jump := jumps.get(at, (0, 0)))[1] > y or (jump := down.get(at, (0, 0)))[1] > y:
+                at, free = jump[0], jump[1] if free is None else min(free, jump[1])
+            if free is not None:
+                jumps[start] = at, free
+            own.append((at, span, lines))
+            if height != 1:
+                new.append((at, at + span, y + height if height else sys.maxsize))
+            at += span
+        down.update((a, (b, below)) for a, b, below in new)
+        out.append(own)
+    return out
+
+
+def _grid(rows: list[list[tuple[list[str], int, int]] | None]) -> list[str]:
+    """Lines of a table of cells (lines, columns, rows): cells of a column start at the same place; a cell may have
+    several lines. What stands right of a cell too wide for its column goes on in the next line, at its place."""
+    placed = _placed(rows)
+    widths: dict[int, int] = {}
+    spanning = []
+    for row in placed:
+        for at, span, lines in row:
             width = max(map(len, lines), default=0)
-            if span == 1 and width <= CELL_WIDTH:
+            if width <= CELL_WIDTH and span == 1:
                 widths[at] = max(widths.get(at, 0), width)
-            at += span
+            elif 0 < width <= CELL_WIDTH:
+                spanning.append((at, span, width))
+            elif width:
+                widths[at] = max(widths.get(at, 0), 1)
+    for at, span, width in spanning:
+        held = sum(widths[c] + 2 for c in range(at, at + span) if widths.get(c)) - 2
+        if held < width:
+            last = at + span - 1
+            widths[last] = max(widths.get(last, 0) + width - held - (0 if widths.get(last) else 2), 1)
+    used = sorted(c for c, width in widths.items() if width)
+    ends = [0]  # where the column after each used one begins
+    for c in used:
+        ends.append(ends[-1] + widths[c] + 2)
     out = []
-    for row in rows:
-        for k in range(max((len(lines) for lines, _ in row), default=0)):
-            line, at, place = "", 0, 0
-            for lines, span in row:
-                line = line.ljust(place) if len(line) <= place else line + "  "
-                line += lines[k] if k < len(lines) else ""
-                place += sum(widths.get(c, 0) + 2 for c in range(at, at + span) if widths.get(c))
-                at += span
+    for row in placed:
+        for k in range(max((len(lines) for _, _, lines in row), default=0)):
+            line = ""
+            for at, _, lines in row:
+                text = lines[k] if k < len(lines) else ""
+                if not text:
+                    continue
+                place = ends[bisect_left(used, at)]
+                if place > WIDEST:
+                    line += "  " + text
+                    continue
+                if line and len(line) > place - 2:
+                    out.append(line.rstrip(" "))
+                    line = ""
+                line = line.ljust(place) + text
             out.append(line.rstrip(" "))
     return out
 
@@ -282,6 +335,8 @@ def render(root: Node) -> str:
             continue
         tag = node.tag
         if leaving:
+            if tag in ROW_GROUPS and tables:
+                tables[-1].append(None)
             if tag == "pre":
                 pre -= 1
                 flow.block(True)
@@ -289,9 +344,11 @@ def render(root: Node) -> str:
                 lines, flow = flow.result(), flows.pop()
                 span = node.attr("colspan")
                 span = min(max(int(span), 1), 1000) if span and span.strip().isdigit() and len(span) < 6 else 1
-                if not tables[-1]:
+                height = (node.attr("rowspan") or "").strip()
+                height = min(int(height), 65534) if height.isascii() and height.isdigit() and len(height) < 6 else 1
+                if not tables[-1] or tables[-1][-1] is None:
                     tables[-1].append([])
-                tables[-1][-1].append((lines, span))
+                tables[-1][-1].append((lines, span, height))
             elif tag == "table":
                 flow.block(True)
                 flow.verbatim(_grid(tables.pop()))
@@ -337,6 +394,8 @@ def render(root: Node) -> str:
         if tag in VOID:
             continue
         todo.append((node, True))
+        if tag in ROW_GROUPS and tables:
+            tables[-1].append(None)
         if tag == "pre":
             flow.block(True)
             pre += 1

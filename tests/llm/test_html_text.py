@@ -41,6 +41,29 @@ def test_rendering(html, text):
     assert html_to_text(html) == text.strip("\n")
 
 
+WIDE = "w" * 70
+
+TABLES = [
+    ("<tr><th>A<th>B<th>C<tr><td rowspan=2>x<td>1<td>2<tr><td>3<td>4<tr><td>y<td>5<td>6", "A  B  C\nx  1  2\n   3  4\ny  5  6"),
+    ("<tr><td>a<td rowspan=3 colspan=2>b<td>c<tr><td>d<td>e<tr><td>f<td>g<tr><td>h<td>i<td>j<td>k", "a  b     c\nd        e\nf        g\nh  i  j  k"),
+    ("<thead><tr><td rowspan=9>a<td>b</thead><tbody><tr><td rowspan=0>c<td>d<tr><td>e<tr><td>f", "a  b\nc  d\n   e\n   f"),
+    ("<tr><td rowspan=2>a<td>b<td rowspan=3>c<tr><td>d<tr><td>e<td>f", "a  b  c\n   d\ne  f"),
+    (f"<tr><th>A<th>B<th>C<tr><td>x<td>{WIDE}<td>y<tr><td>1<td>2<td>3", f"A  B  C\nx  {WIDE}\n      y\n1  2  3"),
+    ("<tr><td colspan=2>wide cell<td>z<tr><td>a<td>b<td>c", "wide cell  z\na  b       c"),
+    ("<tr><td rowspan=x>a<td rowspan=-1>b<td rowspan=99999999999>c<tr><td>d<td>e<td>f", "a  b  c\nd  e  f"),
+]
+
+
+@pytest.mark.parametrize("rows,text", TABLES)
+def test_cells_stand_under_their_heading(rows, text):
+    assert html_to_text(f"<table>{rows}</table>") == text
+
+
+def test_many_cells_that_reach_down():
+    got = html_to_text("<table><tr>" + "<td rowspan=0 colspan=1000>x" * 5000 + "<tr><td>y" * 5000)
+    assert (got.count("x"), got.count("y")) == (5000, 5000)
+
+
 class Words(HTMLParser):
     def __init__(self):
         super().__init__()
