@@ -12,7 +12,8 @@ which is checked. Block results (k rows a query and block) are ranked by a windo
 
 Results for odd input: vectors that are null, empty, or hold null or non-finite components
 take no part; rows with a null id neither; vectors only meet vectors of their own length;
-repeated rows of an id are candidates each, but never of a query with that id; ties go to
+repeated rows of an id are candidates each, but never of a query with that id; the hits of
+all rows of a query id are ranked together, as the query's SQL does; ties go to
 the smaller id. Other columns are ignored.
 """
 

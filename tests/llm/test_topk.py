@@ -36,6 +36,22 @@ def test_against_brute_force_with_ties_and_odd_rows(spark, monkeypatch):
     assert run(spark, rows) == brute(rows, 5)
 
 
+def test_repeated_query_rows_are_ranked_together_as_in_the_sql(spark):
+    import duckdb
+    import pyarrow as pa
+
+    from crashlake.llm.queries import ORACLE_SQL
+
+    rng = random.Random(8)
+    rows = [(i, [rng.randint(-9, 9) / 8 for _ in range(6)]) for i in range(120)]
+    rows += [rows[0], rows[50], (50, [0.25] * 6), rows[7], rows[100], rows[100]]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted(tuple(r) for r in topk.top_k(df, F.col("vec_id") % 50 == 0).collect())
+    with duckdb.connect() as db:
+        db.register("embeddings", pa.table({"vec_id": [i for i, _ in rows], "embedding": pa.array([v for _, v in rows], pa.list_(pa.float32()))}))
+        assert got == sorted(db.execute(ORACLE_SQL["op8_topk_search"]).fetchall())
+
+
 def test_fewer_than_k_and_empty(spark):
     assert run(spark, [(0, [1.0]), (1, [2.0])]) == [(0, 1, 1, 256 * 512)]
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
