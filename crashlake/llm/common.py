@@ -60,6 +60,34 @@ def release(*tables: DataFrame) -> None:
         versions.delete(t.sparkSession, t.scratch)
 
 
+class Scratch:
+    """Tables of one run: all but the result are deleted when the run is over, also when it fails."""
+
+    def __init__(self) -> None:
+        self.tables: list[DataFrame] = []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        out = materialise(df, name)
+        self.tables.append(out)
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete tables before the run is over."""
+        release(*tables)
+        gone = {t.scratch for t in tables}
+        self.tables = [t for t in self.tables if t.scratch not in gone]
+
+    def result(self, df: DataFrame, name: str) -> DataFrame:
+        """Write what the run returns; it outlives the run."""
+        return materialise(df, name)
+
+    def __exit__(self, *exc) -> None:
+        release(*self.tables)
+
+
 def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(""))
 

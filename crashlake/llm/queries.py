@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cotrain, exact_dedup, html_text, maxent_lm, ngram_join, packing, pii, sentencepiece_fst, topk, urls
+from . import cotrain, exact_dedup, filter_audit, html_text, maxent_lm, ngram_join, packing, pii, sentencepiece_fst, spelling, topk, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -61,6 +61,14 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(_read(spark, sf_dir, "pages"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_ngram_join": op2_ngram_join,
@@ -72,6 +80,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_topk_search": op8_topk_search,
     "op9_lm_score": op9_lm_score,
     "op10_url_filter": op10_url_filter,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_spelling": op12_spelling,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -118,4 +128,83 @@ ORACLE_SQL: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op11_filter_audit": """
+        WITH words AS (
+            SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w
+            FROM documents
+        ), masks AS (
+            SELECT doc_id, part,
+                   CASE WHEN len(w) < 200 THEN 1 ELSE 0 END
+                   + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+                   + CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 3 * length(t) THEN 4 ELSE 0 END
+                   + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+                   + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS mask
+            FROM words
+        ), said AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+        weighted AS (
+            SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+            FROM masks LEFT JOIN said USING (doc_id) GROUP BY part, mask
+        ), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l),
+        orders AS (
+            SELECT a.l || b.l || c.l || d.l || e.l AS filter_order
+            FROM letters a JOIN letters b ON b.l <> a.l JOIN letters c ON c.l NOT IN (a.l, b.l)
+            JOIN letters d ON d.l NOT IN (a.l, b.l, c.l) JOIN letters e ON e.l NOT IN (a.l, b.l, c.l, d.l)
+        ), steps AS (
+            SELECT filter_order, step, 1 << (ascii(filter_order[step]) - 65) AS bit,
+                   CAST(coalesce(list_sum(list_transform(range(1, step), lambda k: 1 << (ascii(filter_order[k]) - 65))), 0) AS BIGINT) AS earlier
+            FROM orders, (SELECT unnest(range(1, 6)) AS step)
+        ), counted AS (
+            SELECT part, filter_order, step, bit,
+                   coalesce(sum(n) FILTER (mask & (bit | earlier) = 0), 0) AS kept,
+                   coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & earlier = 0), 0) AS removed,
+                   coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & earlier <> 0), 0) AS redundant,
+                   coalesce(sum(n) FILTER (mask = bit), 0) AS unique_fails,
+                   coalesce(sum(good) FILTER (mask & bit <> 0 AND mask & earlier = 0), 0) AS good_lost,
+                   coalesce(sum(toxic) FILTER (mask & bit <> 0 AND mask & earlier = 0), 0) AS toxic_lost
+            FROM steps, weighted GROUP BY part, filter_order, step, bit
+        )
+        SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+               CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+               CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+        FROM counted
+    """,
+    "op12_spelling": """
+        WITH RECURSIVE crc AS (
+            SELECT list(c ORDER BY i) AS tab FROM (
+                SELECT i, list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]),
+                    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+                FROM (SELECT unnest(range(0, 256)) AS i)
+            )
+        ), runs AS (
+            SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+            FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+            WHERE length(run) >= 7 GROUP BY ALL
+        ), hashed AS (
+            SELECT run, n, xor(list_reduce(
+                list_prepend(4294967295, flatten(list_transform(regexp_extract_all(concat(doc_id, ':', run), '.'),
+                    lambda ch: CASE WHEN ord(ch) < 128 THEN [CAST(ord(ch) AS BIGINT)] ELSE [192 + (ord(ch) >> 6), 128 + (ord(ch) & 63)] END))),
+                lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) AS h
+            FROM runs, crc
+        ), spelled AS (
+            SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed
+        ), words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spelled WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+        shorter AS (
+            SELECT word, i, left(word, i) || substr(word, i + 2) AS rest
+            FROM (SELECT word, unnest(range(0, length(word))) AS i FROM words)
+        ), near AS (
+            SELECT s.word AS a, w.word AS b FROM shorter s JOIN words w ON w.word = s.rest
+            UNION SELECT w.word, s.word FROM shorter s JOIN words w ON w.word = s.rest
+            UNION SELECT x.word, y.word FROM shorter x JOIN shorter y ON x.rest = y.rest AND x.i = y.i AND x.word <> y.word
+        ), tops AS (
+            SELECT a, b, w.n AS b_n, count(*) OVER (PARTITION BY a) AS n_near, row_number() OVER (PARTITION BY a ORDER BY w.n DESC, b) AS r
+            FROM near JOIN words w ON w.word = b
+        ), formed AS (
+            SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN b_n >= 10 * n THEN b END AS form, CASE WHEN b_n >= 10 * n THEN b_n END AS form_n
+            FROM words LEFT JOIN tops ON a = word AND r = 1
+        ), chain AS (
+            SELECT word, word AS reached, form AS further FROM formed
+            UNION ALL SELECT c.word, f.word, f.form FROM chain c JOIN formed f ON f.word = c.further
+        )
+        SELECT word, form, reached AS root, n, n_near, form_n FROM formed JOIN chain USING (word) WHERE further IS NULL
+    """,
 }

@@ -29,7 +29,7 @@ def test_query_matches_sql(spark, con, name):
 def test_every_operator_is_registered():
     names = set(entry.queries())
     assert set(queries.QUERIES) | {"pipeline"} <= names
-    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 14))
 
 
 CONTRACTS = {
@@ -40,6 +40,9 @@ CONTRACTS = {
     "op8_topk_search": {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "bigint"},
     "op9_lm_score": {"doc_id": "bigint", "held_out": "boolean", "n_tokens": "bigint", "n_known": "bigint", "train_tokens": "bigint", "base_score": "double", "score": "double"},
     "op10_url_filter": {"page_id": "bigint", "host": "string", "path": "string", "rule": "string", "verdict": "string"},
+    "op11_filter_audit": {"part": "string", "filter_order": "string", "step": "int", "kept": "bigint", "removed": "bigint", "redundant": "bigint", "unique_fails": "bigint", "good_lost": "bigint", "toxic_lost": "bigint", "shapley": "bigint"},
+    "op12_spelling": {"word": "string", "form": "string", "root": "string", "n": "bigint", "n_near": "bigint", "form_n": "bigint"},
+    "op13_suffix_dedup": {"doc_id": "bigint", "n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "kept_sha256": "string"},
 }
 
 
