@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cotrain, exact_dedup, filter_audit, html_text, maxent_lm, ngram_join, packing, pii, sentencepiece_fst, spelling, topk, urls
+from . import cotrain, exact_dedup, filter_audit, html_text, maxent_lm, ngram_join, packing, pii, sentencepiece_fst, spelling, suffix_dedup, topk, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -69,6 +69,10 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(_read(spark, sf_dir, "documents"))
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_ngram_join": op2_ngram_join,
@@ -82,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_url_filter": op10_url_filter,
     "op11_filter_audit": op11_filter_audit,
     "op12_spelling": op12_spelling,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -207,4 +212,23 @@ ORACLE_SQL: dict[str, str] = {
         )
         SELECT word, form, reached AS root, n, n_near, form_n FROM formed JOIN chain USING (word) WHERE further IS NULL
     """,
+    "op13_suffix_dedup": """
+        WITH texts AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+        sized AS (SELECT r, doc_id, x, CAST(length(x) // 2 AS BIGINT) AS n_bytes FROM texts),
+        starts AS (SELECT r, x, unnest(range(0, n_bytes - 199)) AS s FROM sized WHERE n_bytes >= 200),
+        hashed AS (SELECT r, s, md5(substr(x, 2 * s + 1, 400)) AS h FROM starts),
+        again AS (SELECT r, s FROM (SELECT r, s, count(*) OVER (PARTITION BY h) AS c FROM hashed) WHERE c > 1),
+        opened AS (SELECT r, s, CASE WHEN s <= lag(s) OVER (PARTITION BY r ORDER BY s) + 200 THEN 0 ELSE 1 END AS new FROM again),
+        runs AS (SELECT r, s, sum(new) OVER (PARTITION BY r ORDER BY s) AS k FROM opened),
+        spans AS (SELECT r, k, min(s) AS a, max(s) + 200 AS b FROM runs GROUP BY r, k),
+        gaps AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM spans),
+        kept AS (
+            SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last,
+                   string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS front
+            FROM gaps JOIN sized USING (r) GROUP BY r
+        )
+        SELECT doc_id, n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+               sha256(unhex(coalesce(front || substr(x, 2 * last + 1), x))) AS kept_sha256
+        FROM sized LEFT JOIN kept USING (r)
+    """,
 }
