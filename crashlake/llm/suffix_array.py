@@ -108,26 +108,29 @@ def _induce_places(t: np.ndarray, k: int, lms: np.ndarray, small: np.ndarray) ->
     n = len(t)
     edge = np.zeros(k + 1, np.int64)
     np.cumsum(np.bincount(t, minlength=k), out=edge[1:])
-    sa = [-1] * n
-    symbols, is_small = t.tolist(), small.tolist()
-    tail = edge[1:].tolist()
-    for j in lms[::-1].tolist():
-        tail[symbols[j]] -= 1
-        sa[tail[symbols[j]]] = j
-    head = edge[:-1].tolist()
-    for i in range(n):
-        j = sa[i] - 1
-        if j >= 0 and not is_small[j]:
-            c = symbols[j]
-            sa[head[c]] = j
+    # the symbol before each place, if the suffix there is L (or S), else -1; place n stands for an empty slot
+    large_before, small_before = (np.full(n + 1, -1, np.int64) for _ in range(2))
+    large_before[1:n] = np.where(small[:-1], -1, t[:-1])
+    small_before[1:n] = np.where(small[:-1], t[:-1], -1)
+    start = np.full(n, n, np.int64)
+    symbols = t[lms]
+    order = np.argsort(symbols, kind="stable")
+    many = np.bincount(symbols, minlength=k)
+    rank = np.arange(len(lms)) - np.repeat(np.cumsum(many) - many, many)
+    start[np.repeat(edge[1:] - many, many) + rank] = lms[order]
+    sa = start.tolist()
+    head, before = edge[:-1].tolist(), large_before.tolist()
+    for j in sa:  # the scan meets what it has filled in on its way
+        c = before[j]
+        if c >= 0:
+            sa[head[c]] = j - 1
             head[c] += 1
-    tail = edge[1:].tolist()
-    for i in range(n - 1, -1, -1):
-        j = sa[i] - 1
-        if j >= 0 and is_small[j]:
-            c = symbols[j]
+    tail, before = (edge[1:] - 1).tolist(), small_before.tolist()
+    for j in reversed(sa):
+        c = before[j]
+        if c >= 0:
+            sa[tail[c]] = j - 1
             tail[c] -= 1
-            sa[tail[c]] = j
     sa[0] = n - 1
     return np.array(sa, np.int64)
 

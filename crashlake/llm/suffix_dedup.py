@@ -49,7 +49,7 @@ from .common import Scratch, id_and_text
 from .suffix_array import permuted_common_prefixes, suffix_array
 
 LENGTH = 200
-GRAM = 32
+GRAM = 64  # long enough that chance seldom repeats it in prose
 DIVIDER = 0xFF
 RUN = 1024
 SHARD_BYTES = 1 << 20
@@ -148,8 +148,9 @@ def _find_pieces(length: int):
                     text, h, place, first, last, count = pieces_of(data, starts, length)
                     which = np.array([i for i, _ in named])[text] + rows
                     shift = np.array([o for _, o in named])[text] - starts[text]
-                    columns = [h, ids[which], place + shift, first + shift, last + shift, count]
-                    yield pa.record_batch([pa.array(c) for c in columns], names=["key", "tid", "anchor", "first", "last", "anchors"])
+                    first, last, place = first + shift, last + shift, place + shift
+                    packed = first << 24 | (place - first) << 12 | (last - first)  # distances below 2^12: LENGTH and RUN
+                    yield pa.record_batch([pa.array(c) for c in (h, ids[which], packed, count.astype(np.int8))], names=["key", "tid", "packed", "anchors"])
 
     return run
 
@@ -160,7 +161,9 @@ def _cut(length: int):
             for row in range(b.num_rows):
                 raw, tid = b.column("text")[row].as_py().encode(), b.column("tid")[row].as_py()
                 found = b.column("found")[row].values
-                key, anchor, first, last = (found.field(c).to_numpy() for c in ("key", "anchor", "first", "last"))
+                key, packed = found.field("key").to_numpy(), found.field("packed").to_numpy()
+                first = packed >> 24
+                anchor, last = first + (packed >> 12 & 0xFFF), first + (packed & 0xFFF)
                 for k in range(0, len(key), 4096):
                     part = slice(k, k + 4096)
                     yield _batch(
@@ -280,12 +283,14 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeated_ranges(scratch: Scratch, texts: DataFrame, length: int = LENGTH, most: int = SHARD_PIECES) -> DataFrame:
     """(tid, from_byte, to_byte): byte ranges of the different ``texts`` (tid, text) that repeated strings cover."""
-    found = scratch.table(texts.mapInArrow(_find_pieces(length), "key long, tid long, anchor long, first long, last long, anchors long"), "pieces_found")
+    found = scratch.table(texts.mapInArrow(_find_pieces(length), "key long, tid long, packed long, anchors byte"), "pieces_found")
     again = found.groupBy("key").agg(F.sum("anchors").alias("n")).where("n > 1").select("key")
     rows = found.join(again.hint("merge"), "key", "left_semi")
-    by_text = rows.groupBy("tid").agg(F.collect_list(F.struct("key", "anchor", "first", "last")).alias("found"))
-    pieces = scratch.table(texts.join(by_text.hint("merge"), "tid").select("tid", "text", "found").mapInArrow(_cut(length), _PIECES), "pieces")
+    live = scratch.table(rows.select("key", "tid", "packed"), "pieces_live")
     scratch.drop(found)
+    by_text = live.groupBy("tid").agg(F.collect_list(F.struct("key", "packed")).alias("found"))
+    pieces = scratch.table(texts.join(by_text.hint("merge"), "tid").select("tid", "text", "found").mapInArrow(_cut(length), _PIECES), "pieces")
+    scratch.drop(live)
     settled = []
     while True:
         large = pieces.select("key", "piece_id").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most)
