@@ -18,8 +18,9 @@ broadcast, and every row looks its sequence and offset up by its rank: tracing w
 earlier flow left the gap it took, back to the opening of the sequence. No rows are joined
 or gathered.
 
-Results for odd input: null or empty text is one piece holding only the end token; repeated
-rows are packed each; a null id passes through; an empty table gives no rows; other columns
+Results for odd input: null or empty text is one piece holding only the end token; very long
+texts are tokenised whole, those with a white-space run of LONG_BLANK or more by the slower
+tokenizer, whose splitter needs no stack for them (the ids are the same); repeated rows are packed each; a null id passes through; an empty table gives no rows; other columns
 are ignored.
 """
 
@@ -50,6 +51,9 @@ _PLAIN = re.compile(
     "[^\\t\\n\\r\\x20-\\x7e\\u00a1-\\u00ac\\u00ae-\\u024f\\u0391-\\u03a1\\u03a3-\\u03c9\\u0410-\\u044f"
     "\\u2010-\\u2015\\u2018-\\u2027\\u20ac]"
 )
+#: The faster tokenizer's splitter steps back through a run of white space, and ends the process near 1,000,000.
+LONG_BLANK = 50_000
+_BLANK = re.compile(r"\s{%d}" % LONG_BLANK)
 _SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
@@ -87,6 +91,7 @@ class Encoder:
 
     def ids(self, text: str) -> list[int]:
         plain = self.fast is not None and not _PLAIN.search(text) and not any(s in text for s in self.special)
+        plain = plain and (len(text) < LONG_BLANK or not _BLANK.search(text))
         return self.fast.encode_ordinary(text) if plain else self.exact.encode(text, add_special_tokens=False).ids
 
 

@@ -130,3 +130,16 @@ def test_ids_column_repeats_and_empty_table(docs_of):
     assert len(rows) == 3 and all(len(r["ids"]) == r["length"] and r["ids"][-1] == P.END_ID for r in rows)
     assert len({(r["sequence_id"], r["offset"]) for r in rows}) == 3
     assert P.pack(docs_of([(0, "a")]).where("false"), PATH).count() == 0
+
+
+def test_very_long_runs_are_packed(docs_of, exact):
+    texts = ["a" + c * 3_000_000 + "b c" for c in " \t\n"] + [" " * 1_200_000, "x" * 1_500_000, "a b " * 100, None, "ab " + "word" * 200_000 + " "]
+    rows = P.pack(docs_of(texts), PATH, capacity=1024).collect()
+    check(rows, texts, exact, 1024)
+
+
+def test_blank_runs_around_the_limit(exact):
+    enc = P.Encoder(Path(PATH).read_text())
+    for n in (P.LONG_BLANK - 1, P.LONG_BLANK, P.LONG_BLANK + 1):
+        for text in ("a" + " " * n + "b", "\r\n" * (n // 2) + "\t" * (n % 2), " " * n + "\n a"):
+            assert enc.ids(text) == exact.encode(text, add_special_tokens=False).ids
