@@ -233,6 +233,13 @@ QUERIES = {
         "having count(*) > 1 and count(distinct total_population) > 1) k",
     ]),
     "stream_refresh": "select year, month, count(*) as n from accidents group by year, month",
+    "refresh_last_writer": "select accident_id, severity, description from accidents",
+    "mart_refresh": (
+        "select 'by_city' as mart, c.city_name as key, c.state, count(*) as n from accidents a join cities c on a.city_id = c.city_id "
+        "group by c.city_name, c.state union all select 'by_airport', airport_code, null, count(*) from accidents group by airport_code "
+        "union all select 'by_weather', w.condition, null, count(*) from accidents a "
+        "left join weather_conditions w on a.weather_condition_id = w.weather_condition_id group by w.condition"
+    ),
     "build_airports": "select airport_code, state, state_code, type, name, municipality from airports",
     "build_cities": "select city_id, city_name, state, state_code, total_population from cities",
     "build_weather": "select weather_condition_id, condition from weather_conditions",

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crashlake import versions
+from crashlake import changes, versions
 from crashlake.config import join_path, scratch_path, staging_path
 from crashlake.functions import safe_date, safe_double, safe_int
 from crashlake.plans import marts, quality, transforms
@@ -251,15 +251,70 @@ def build_lake(
     return build
 
 
+PARTIALS = "counts_by_month"
+_SEEN = "counts_of"
+
+
 def build_marts(spark: SparkSession, lake_root: str, marts_root: str) -> dict[str, int]:
-    """Pre-aggregated marts (A7-A9, V4) as flat Parquet tables, rebuilt after each lake load.
+    """Pre-aggregated marts (A7-A9, V4) as flat Parquet tables, built from the whole fact.
+
+    The fact is read once, into counts per (city, airport, weather, month), kept as the table ``counts_by_month``;
+    the marts are sums of those.
+    """
+    upto = changes.last(spark, lake_root)
+    write_table(marts.counts(read_table(spark, lake_root, "accidents")), join_path(marts_root, PARTIALS), ["year", "month"])
+    _remember(spark, lake_root, marts_root, upto)
+    return _sum_marts(spark, lake_root, marts_root)
+
+
+def refresh_marts(spark: SparkSession, lake_root: str, marts_root: str) -> dict[str, int]:
+    """Bring the marts up to date with the facts replaced since they were last built or refreshed (A8, A9).
 
-    The fact is read once, into counts per (city, airport, weather, month); the marts are sums of those.
+    Counts are maintained month by month: of the fact only the months noted since are read, their counts take the
+    place of the old ones, and the marts are summed anew from counts. A month that has no facts any more has no counts.
+    The place in the change log is remembered after the counts are written, so a run that dies is done again by the
+    next. Marts of another version of the lake are built whole.
     """
-    t = lake_tables(spark, lake_root)
-    staged = scratch_path(spark, "mart_counts")
-    write_table(marts.counts(t["accidents"]), staged)
-    counts = spark.read.parquet(staged)
+    fact, seen = _remembered(spark, marts_root)
+    if fact != versions.table_path(spark, lake_root, "accidents"):
+        return build_marts(spark, lake_root, marts_root)
+    upto = changes.last(spark, lake_root)
+    months = changes.since(spark, lake_root, seen, upto)
+    if months:
+        path, staged = join_path(marts_root, PARTIALS), scratch_path(spark, "month_counts")
+        touched = month_counts(spark, lake_root, months)
+        write_table(touched, staged)
+        touched = spark.read.schema(touched.schema).parquet(staged)
+        there = {tuple(r) for r in touched.select("year", "month").distinct().collect()}  # some of ``months``
+        write_table(touched, path, ["year", "month"], dynamic=True)
+        for pair in set(months) - there:
+            names = [f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for c, v in zip(("year", "month"), pair)]
+            versions.delete(spark, join_path(path, *names))
+        _remember(spark, lake_root, marts_root, upto)
+    return _sum_marts(spark, lake_root, marts_root)
+
+
+def month_counts(spark: SparkSession, lake_root: str, months: list[tuple]) -> DataFrame:
+    """Counts of the facts of some months: the only scan of the fact in a refresh of the marts."""
+    return marts.counts(read_table(spark, lake_root, "accidents").where(changes.in_months(months)))
+
+
+def _remember(spark: SparkSession, lake_root: str, marts_root: str, number: int) -> None:
+    """Note of which fact the counts are, and up to which change."""
+    fact = versions.table_path(spark, lake_root, "accidents")
+    row = spark.range(1).select(F.lit(fact).alias("fact"), F.lit(number).cast("long").alias("number"))
+    write_table(row, join_path(marts_root, _SEEN))
+
+
+def _remembered(spark: SparkSession, marts_root: str) -> tuple[str | None, int]:
+    path = join_path(marts_root, _SEEN)
+    return tuple(spark.read.parquet(path).head()) if versions.exists(spark, join_path(path, "_SUCCESS")) else (None, 0)
+
+
+def _sum_marts(spark: SparkSession, lake_root: str, marts_root: str) -> dict[str, int]:
+    schema = "city_id long, airport_code string, weather_condition_id long, n long, year int, month int"
+    counts = spark.read.schema(schema).parquet(join_path(marts_root, PARTIALS))
+    t = {name: read_table(spark, lake_root, name) for name in ("cities", "weather_conditions")}
     frames = {
         "by_city": marts.by_city(counts, t["cities"]),
         "by_airport": marts.by_airport(counts),
@@ -274,7 +329,7 @@ def build_marts(spark: SparkSession, lake_root: str, marts_root: str) -> dict[st
 def refresh_lake(
     spark: SparkSession, raw_root: str, lake_root: str, marts_root: str | None = None, load: str | None = None
 ) -> dict[str, int]:
-    """Fold raw accidents (one load, or all that is landed) into the lake, then rebuild the marts (A8, A9).
+    """Fold raw accidents (one load, or all that is landed) into the lake, then bring the marts up to date (A8, A9).
 
     An upsert by accident and month: running it again changes nothing.
     """
@@ -282,7 +337,7 @@ def refresh_lake(
 
     folder = _raw_dest(raw_root, "accidents", load)
     refresh_batch(spark, read_csv(spark, folder, sep=RAW_DELIMITERS["accidents"]), lake_root)
-    return build_marts(spark, lake_root, marts_root) if marts_root else {}
+    return refresh_marts(spark, lake_root, marts_root) if marts_root else {}
 
 
 def lake_tables(spark: SparkSession, lake_root: str) -> dict[str, DataFrame]:

@@ -529,6 +529,52 @@ def q_stream_refresh(spark, sf_dir):
     return read_table(spark, lake_root, "accidents").groupBy("year", "month").agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_mart_refresh(spark, sf_dir):
+    """Marts built after the initial load, then brought up to date with a later load from the months it touched."""
+    p = DEFAULT_PARAMS
+    root = scratch_path(spark, "mart_refresh")
+    raw_root, lake_root, marts_root = (join_path(root, n) for n in ("raw", "lake", "marts"))
+    src = standins.raw_sources(spark, sf_dir, p)
+    acc = src["accidents"]
+    initial = F.col("_loaded_on") <= F.lit(p.initial_load_until).cast("date")
+    jobs.land_raw(spark, {**src, "accidents": acc.filter(initial)}, raw_root, p.chunks(), load="initial")
+    jobs.build_lake(spark, raw_root, lake_root, p.continent, p.country)
+    jobs.build_marts(spark, lake_root, marts_root)
+    jobs.land_raw(spark, {"accidents": acc.filter(~initial)}, raw_root, p.chunks(), load="later")
+    jobs.refresh_lake(spark, raw_root, lake_root, marts_root, load="later")
+    mart = lambda name: spark.read.parquet(join_path(marts_root, name))
+    none = F.lit(None).cast("string")
+    return quality.report(
+        [
+            mart("by_city").select(F.lit("by_city").alias("mart"), F.col("city_name").alias("key"), F.col("state").alias("state"), "n"),
+            mart("by_airport").select(F.lit("by_airport").alias("mart"), F.col("airport_code").alias("key"), none.alias("state"), "n"),
+            mart("by_weather").select(F.lit("by_weather").alias("mart"), F.col("condition").alias("key"), none.alias("state"), "n"),
+        ]
+    )
+
+
+def q_refresh_last_writer(spark, sf_dir):
+    """Every record of the later load is sent three times, over tens of chunks and two loads; the last row sent must stay,
+    whichever micro-batch brings it."""
+    from crashlake.streaming import accident_refresh
+
+    p = DEFAULT_PARAMS
+    root = scratch_path(spark, "refresh_last_writer")
+    raw_root, lake_root = join_path(root, "raw"), join_path(root, "lake")
+    src = standins.raw_sources(spark, sf_dir, p)
+    acc = src["accidents"]
+    initial = F.col("_loaded_on") <= F.lit(p.initial_load_until).cast("date")
+    later = acc.filter(~initial)
+    draft = lambda what, turn: later.withColumn("Description", F.lit(what)).withColumn("_order", F.col("_order") + F.lit(turn * 10**12))
+    chunks = {**p.chunks(), "accidents": 500}
+    jobs.land_raw(spark, {**src, "accidents": acc.filter(initial)}, raw_root, p.chunks(), load="1")
+    jobs.build_lake(spark, raw_root, lake_root, p.continent, p.country)
+    jobs.land_raw(spark, {"accidents": draft("first draft", 0).unionByName(draft("second draft", 1))}, raw_root, chunks, load="9")
+    jobs.land_raw(spark, {"accidents": later}, raw_root, chunks, load="10")
+    accident_refresh(spark, raw_root, lake_root, join_path(root, "checkpoint"), max_files_per_trigger=16).awaitTermination()
+    return read_table(spark, lake_root, "accidents").select("accident_id", "severity", "description")
+
+
 # ---------------------------------------------------------------- composite builds
 
 

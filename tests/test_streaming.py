@@ -179,3 +179,130 @@ def test_a_build_that_fails_changes_nothing(spark, tmp_path, monkeypatch):
 
     assert len(versions.drop_old_versions(spark, lake, list(LAKE_TABLES), keep=1)) == 2
     assert _facts(spark, lake) == ["A-1", "A-2", "A-3", "A-4"]
+
+
+def _changed(row, **values):
+    row = list(row)
+    for name, value in values.items():
+        row[ACCIDENT_HEADER.index(name)] = value
+    return row
+
+
+def _severity(spark, lake):
+    return {r["accident_id"]: r["severity"] for r in read_table(spark, lake, "accidents").collect()}
+
+
+def test_the_last_chunk_load_and_record_win(spark, tmp_path):
+    raw, lake = str(tmp_path / "raw"), str(tmp_path / "lake")
+    _raw_zone(raw)
+    jobs.build_lake(spark, raw, lake)
+    land = lambda where, *rows: write_csv_file(f"{raw}/accident_data/{where}/part.csv", ACCIDENT_HEADER, list(rows))
+    land("load=2/chunk=10", _changed(ACCIDENTS[0], Severity="4"))
+    land("load=2/chunk=9", _changed(ACCIDENTS[0], Severity="1"), _changed(ACCIDENTS[2], Severity="4"))
+    land("load=10/chunk=0", _changed(ACCIDENTS[1], Severity="4", Description="a"), _changed(ACCIDENTS[1], Severity="1", Description="z"),
+         _changed(ACCIDENTS[1], Severity="3", Description="b"))
+    land("load=9/chunk=0", _changed(ACCIDENTS[1], Severity="2"), _changed(ACCIDENTS[2], Severity="1"))
+    for _ in range(2):
+        jobs.refresh_lake(spark, raw, lake)
+        assert _severity(spark, lake) == {"A-1": 4, "A-2": 3, "A-3": 1}
+
+
+def test_order_holds_across_batches(spark, tmp_path):
+    raw, lake = str(tmp_path / "raw"), str(tmp_path / "lake")
+    _raw_zone(raw)
+    jobs.build_lake(spark, raw, lake)
+    for load, severity in (("10", "4"), ("2", "1"), ("9", "3")):  # the last load comes first
+        write_csv_file(f"{raw}/accident_data/load={load}/chunk=0/part.csv", ACCIDENT_HEADER, [_changed(ACCIDENTS[0], Severity=severity)])
+        jobs.refresh_lake(spark, raw, lake, load=load)
+        assert _severity(spark, lake)["A-1"] == 4
+    # the chunk is landed anew: it comes when the first one came
+    write_csv_file(f"{raw}/accident_data/load=10/chunk=0/part.csv", ACCIDENT_HEADER, [_changed(ACCIDENTS[0], Severity="2")])
+    jobs.refresh_lake(spark, raw, lake, load="10")
+    assert _severity(spark, lake)["A-1"] == 2
+
+
+def test_arrival_compares_numbers_as_numbers(spark):
+    from crashlake.streaming.refresh import arrival
+
+    uid = "0a1b2c3d-0000-4000-8000-00112233445"
+    paths = ["f:/x/load=9/chunk=2/part-00000-%s1.c000.csv" % uid, "f:/x/load=9/chunk=10/part-00000-%s0.c000.csv" % uid, "f:/x/load=9/chunk=00011/p.csv",
+             "f:/x/load=10/chunk=0/p.csv", "f:/x/load=100000000000000000000000/chunk=0/p.csv"]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(paths)], "i int, p string")
+    assert [r["i"] for r in df.orderBy(arrival(F.col("p")).getField("chunk")).collect()] == list(range(5))
+
+
+def _marts(spark, root):
+    names = ("by_city", "by_airport", "by_weather", "by_state", "by_month")
+    return {n: sorted(map(tuple, spark.read.parquet(f"{root}/{n}").collect()), key=str) for n in names}
+
+
+def test_refreshed_marts_equal_a_full_build(spark, tmp_path, monkeypatch):
+    raw, lake, marts_root = (str(tmp_path / n) for n in ("raw", "lake", "marts"))
+    _raw_zone(raw)
+    jobs.build_lake(spark, raw, lake)
+    jobs.build_marts(spark, lake, marts_root)
+    read, built = [], []
+    counts, build = jobs.month_counts, jobs.build_marts
+    monkeypatch.setattr(jobs, "month_counts", lambda s, l, months: read.append(set(months)) or counts(s, l, months))
+    monkeypatch.setattr(jobs, "build_marts", lambda *a: built.append(a) or build(*a))
+    write_csv_file(f"{raw}/accident_data/load=2/chunk=0/part.csv", ACCIDENT_HEADER, ACCIDENTS[3:4])
+    write_csv_file(f"{raw}/accident_data/load=3/chunk=0/part.csv", ACCIDENT_HEADER, ACCIDENTS[4:] + [_changed(ACCIDENTS[0], Airport_Code="KLAX")])
+    accident_refresh(spark, f"{raw}", lake, str(tmp_path / "ckpt"), max_files_per_trigger=1).awaitTermination()  # without marts
+    jobs.refresh_marts(spark, lake, marts_root)
+    jobs.refresh_lake(spark, raw, lake, marts_root, load="3")
+    jobs.refresh_marts(spark, lake, marts_root)  # nothing new
+    assert not built and read == [{(2016, 5), (2016, 6), (2017, 5), (None, None)}, {(2016, 5), (None, None)}]
+    build(spark, lake, str(tmp_path / "whole"))
+    assert _marts(spark, marts_root) == _marts(spark, str(tmp_path / "whole"))
+    jobs.build_lake(spark, raw, lake)  # another version: counts of the old one are of no use
+    jobs.refresh_marts(spark, lake, marts_root)
+    assert len(built) == 1
+
+
+def test_marts_of_a_run_that_died_are_made_up(spark, tmp_path, monkeypatch):
+    raw, lake, marts_root = (str(tmp_path / n) for n in ("raw", "lake", "marts"))
+    _raw_zone(raw)
+    jobs.build_lake(spark, raw, lake)
+    jobs.build_marts(spark, lake, marts_root)
+    write_csv_file(f"{raw}/accident_data/load=2/chunk=0/part.csv", ACCIDENT_HEADER, ACCIDENTS[3:])
+    remember = jobs._remember
+
+    def dies(*args):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(jobs, "_remember", dies)
+    try:
+        jobs.refresh_lake(spark, raw, lake, marts_root, load="2")
+    except RuntimeError:
+        pass
+    monkeypatch.setattr(jobs, "_remember", remember)
+    jobs.refresh_marts(spark, lake, marts_root)
+    jobs.build_marts(spark, lake, str(tmp_path / "whole"))
+    assert _marts(spark, marts_root) == _marts(spark, str(tmp_path / "whole"))
+
+
+def test_a_month_without_facts_loses_its_counts(spark, tmp_path):
+    from crashlake import changes, versions
+
+    raw, lake, marts_root = (str(tmp_path / n) for n in ("raw", "lake", "marts"))
+    _raw_zone(raw)
+    jobs.build_lake(spark, raw, lake)
+    jobs.build_marts(spark, lake, marts_root)
+    versions.delete(spark, versions.table_path(spark, lake, "accidents") + "/year=2016/month=6")
+    changes.note(spark, lake, [(2016, 6)])
+    jobs.refresh_marts(spark, lake, marts_root)
+    assert _marts(spark, marts_root)["by_month"] == [(2016, 5, 2)]
+
+
+def test_the_marts_refresh_reads_the_touched_months_only(spark, tmp_path):
+    import contextlib
+    import io
+
+    raw, lake = str(tmp_path / "raw"), str(tmp_path / "lake")
+    _raw_zone(raw)
+    jobs.build_lake(spark, raw, lake)
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        jobs.month_counts(spark, lake, [(2016, 5)]).explain()
+    line = next(x for x in out.getvalue().splitlines() if "PartitionFilters" in x)
+    assert "2016" in line and "5" in line.split("PartitionFilters")[1]
