@@ -53,7 +53,7 @@ _PLAIN = re.compile(
 )
 #: The faster tokenizer's splitter steps back through a run of white space, and ends the process near 1,000,000.
 LONG_BLANK = 50_000
-_BLANK = re.compile(r"\s{%d}" % LONG_BLANK)
+_BLANK = re.compile(r"(?<!\s)\s{%d}" % LONG_BLANK)  # a run is tried once, from its beginning
 _SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 

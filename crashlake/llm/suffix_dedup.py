@@ -52,9 +52,9 @@ LENGTH = 200
 GRAM = 64  # long enough that chance seldom repeats it in prose
 DIVIDER = 0xFF
 RUN = 1024
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 1 << 18
 SHARD_PIECES = 4096
-_BLOCK = 1 << 20
+_BLOCK = 1 << 18  # numbers of a block stay in the cache
 _PLACE = np.uint64((1 << 24) - 1)
 _BASE = 0x9E3779B97F4A7C15
 
