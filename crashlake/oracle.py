@@ -92,6 +92,9 @@ QUERIES = {
     "land_source_order": (
         "select event_id, event_type, cast(floor((row_number() over (order by event_id) - 1) / 700) as bigint) as chunk from events"
     ),
+    "land_source_multiline": (
+        "select doc_id, lang, md5(text) as text_md5, cast(floor((row_number() over (order by doc_id) - 1) / 300) as bigint) as chunk from documents"
+    ),
     "file_keys": (
         "select 'accident_data' as dataset, unnest(range(cast(ceil(count(*) / 4000) as bigint))) as chunk from raw_acc "
         "union all select 'city_data', unnest(range(cast(ceil(count(*) / 1000) as bigint))) from raw_city "

@@ -31,6 +31,7 @@ from crashlake.schemas import (
 )
 from crashlake.sinks import land_chunked_csv, write_table
 from crashlake.sources import file_inventory, read_csv, read_raw_dataset, read_table
+from crashlake.sources.records import ORDER, read_csv_records
 
 
 def land_raw(
@@ -108,6 +109,7 @@ def land_source(
     verify: bool = True,
     multi_line: bool = True,
     bad_records: str | None = None,
+    one_task: bool = False,
 ) -> dict[str, int]:
     """Land one source CSV file (or folder) into the raw zone in file order (K6, K8, T7).
 
@@ -119,22 +121,35 @@ def land_source(
     delimiter and the RFC-4180 dialect, in ``FAILFAST`` mode, so a malformed
     record stops the load instead of truncating it silently; with a folder
     ``bad_records`` such records are written there as text, counted as ``bad``,
-    and the others are landed. A large file whose records hold no line breaks is
-    read in parallel with ``multi_line=False``.
+    and the others are landed.
+
+    Records may hold line breaks. A file is still read by many tasks: its splits are brought in line with its records
+    (:mod:`crashlake.sources.records`). ``multi_line=False`` spares that work where no record holds a line break;
+    ``one_task`` reads each file in one task with Spark's own ``multiLine`` source.
     """
     n = DEFAULT_CHUNK_RECORDS[dataset] if records_per_file is None else records_per_file
+    if n <= 0:
+        raise ValueError("records_per_file must be > 0")
     sep, dest = RAW_DELIMITERS[dataset], _raw_dest(raw_root, dataset, load)
-    df = read_csv(spark, source, sep=sep, multi_line=multi_line)
+    aligned = multi_line and not one_task
+    if aligned:
+        mode = {"mode": "PERMISSIVE", "corrupt": "_corrupt_record"} if bad_records else {}
+        df = read_csv_records(spark, source, sep, **mode)
+        schema = df.schema
+    else:
+        df = read_csv(spark, source, sep=sep, multi_line=multi_line)
+        schema = T.StructType([*df.schema.fields, T.StructField("_corrupt_record", T.StringType())])
     bad = {}
     if bad_records:
-        schema = T.StructType([*df.schema.fields, T.StructField("_corrupt_record", T.StringType())])
-        df = read_csv(spark, source, sep=sep, schema=schema, mode="PERMISSIVE", multi_line=multi_line)
+        if not aligned:
+            df = read_csv(spark, source, sep=sep, schema=schema, mode="PERMISSIVE", multi_line=multi_line)
         # all columns are written first: the parser only knows a record is bad when it parses all of them
         aside = scratch_path(spark, "bad_records")
         bad = {"bad": write_table(df.where(F.col("_corrupt_record").isNotNull()), aside)}
         spark.read.schema(schema).parquet(aside).select("_corrupt_record").write.mode("overwrite").text(bad_records)
         df = df.where(F.col("_corrupt_record").isNull())
-    out = land_chunked_csv(df, dest, n, order_by=None, sep=sep, drop=["_corrupt_record"])
+    order = ORDER if aligned else None
+    out = land_chunked_csv(df, dest, n, order_by=order, sep=sep, drop=["_corrupt_record", *(order or [])])
     if verify:
         _verify_landed(spark, dest, out)
     return {**out, **bad}
