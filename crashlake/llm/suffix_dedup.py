@@ -52,7 +52,7 @@ LENGTH = 200
 GRAM = 64  # long enough that chance seldom repeats it in prose
 DIVIDER = 0xFF
 RUN = 1024
-SHARD_BYTES = 1 << 18
+SHARD_BYTES = 1 << 18  # a shard sorts fastest where its lists stay in the cache
 SHARD_PIECES = 4096
 _BLOCK = 1 << 18  # numbers of a block stay in the cache
 _PLACE = np.uint64((1 << 24) - 1)
