@@ -92,6 +92,10 @@ QUERIES = {
     "land_source_order": (
         "select event_id, event_type, cast(floor((row_number() over (order by event_id) - 1) / 700) as bigint) as chunk from events"
     ),
+    "land_content": (
+        "select 'accidents' as dataset, count(*) as verified_rows from raw_acc union all select 'cities', count(*) from raw_city "
+        "union all select 'airports', count(*) from raw_air"
+    ),
     "land_source_multiline": (
         "select doc_id, lang, md5(text) as text_md5, cast(floor((row_number() over (order by doc_id) - 1) / 300) as bigint) as chunk from documents"
     ),

@@ -30,6 +30,7 @@ from crashlake.schemas import (
     RAW_FOLDERS,
 )
 from crashlake.sinks import land_chunked_csv, write_table
+from crashlake.sinks.csv import CONTENT, verify_content
 from crashlake.sources import file_inventory, read_csv, read_raw_dataset, read_table
 from crashlake.sources.records import ORDER, read_csv_records
 
@@ -76,12 +77,14 @@ def _raw_dest(raw_root: str, dataset: str, load: str | None) -> str:
 
 
 def _verify_landed(spark: SparkSession, dest: str, landed: dict[str, int]) -> None:
-    """T7: the landed folder must hold exactly one CSV file per chunk."""
+    """T7: the landed folder must hold exactly one CSV file per chunk, and read back the rows that were sent to it."""
     if not landed["rows"]:
         return
     check = raw_file_count(spark, dest, expected=landed["chunks"]).head()
     if not check["passed"]:
         raise RuntimeError(f"{check['files']} files landed in {dest}, expected {landed['chunks']}")
+    if versions.exists(spark, join_path(dest, CONTENT)):
+        verify_content(spark, dest)
 
 
 def concurrently(spark: SparkSession, steps: dict) -> dict:

@@ -1,12 +1,17 @@
-"""CSV sinks: plain writes and record-bounded chunked landing (K6-K8)."""
+"""CSV sinks: plain writes and record-bounded chunked landing (K6-K8), with proof of the landed content (T7)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from crashlake.config import join_path
 from crashlake.operators.keys import staged_positions
-from crashlake.sources.csv import CSV_DIALECT
+from crashlake.sources.csv import CSV_DIALECT, read_csv
+
+#: Kept beside the chunks, where no reader of the raw zone looks (the name begins with an underscore).
+CONTENT = "_content"
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
@@ -31,6 +36,37 @@ def chunk_assign(
     return frame.withColumn(chunk_col, F.floor(F.col("_idx") / F.lit(records_per_file)).cast("bigint")), rows
 
 
+def fingerprint(columns: list[str]) -> Column:
+    """Fingerprint of a multiset of rows, whatever their order: the sum of 64-bit row hashes, as decimal(38).
+
+    A sum is merged from partial sums, so it costs no shuffle. A value counts with its place among the columns. An
+    empty text counts as null, which it becomes in the CSV dialect of the lake.
+    """
+    values = [F.nullif(F.col(f"`{name}`").cast("string"), F.lit("")) for name in columns]
+    cells = [c for value in values for c in (value.isNull(), value)]
+    return F.sum(F.xxhash64(*cells).cast("decimal(28,0)"))
+
+
+def _as_written(df: DataFrame, columns: list[str]) -> list[str]:
+    """Columns whose text in a CSV file is that of a cast: texts, whole numbers and truth values."""
+    plain = (T.StringType, T.IntegralType, T.BooleanType)
+    return [c for c in columns if isinstance(df.schema[c].dataType, plain)]
+
+
+def verify_content(spark: SparkSession, dest: str) -> int:
+    """Read landed chunks back and compare rows and fingerprint with those of the landing; a difference raises.
+
+    Returns the number of rows. One scan of the chunks, with one sum per task.
+    """
+    noted = spark.read.parquet(join_path(dest, CONTENT)).head()
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in noted["columns"]])
+    landed = read_csv(spark, dest, sep=noted["sep"], schema=schema)
+    rows, mark = landed.agg(F.count(F.lit(1)), fingerprint(noted["checked"])).head()
+    if (rows, mark) != (noted["rows"], noted["fingerprint"]):
+        raise RuntimeError(f"{dest} holds other content than was landed: {rows} rows of {noted['rows']}, fingerprint {mark}, not {noted['fingerprint']}")
+    return rows
+
+
 def land_chunked_csv(
     df: DataFrame,
     dest: str,
@@ -48,18 +84,28 @@ def land_chunked_csv(
 
     The rows are read once, staged as Parquet with their positions, shuffled by
     chunk and written. The number of rows staged and the number the writing
-    tasks sent out are compared; a difference raises. Returns ``{"rows": n, "chunks": k}``.
+    tasks sent out are compared; a difference raises. The writing tasks also sum up
+    a fingerprint of what they send out, which is kept in ``dest/_content`` for
+    :func:`verify_content`. Returns ``{"rows": n, "chunks": k}``.
     """
     chunked, rows = chunk_assign(df, records_per_file, order_by)
-    keep = [F.col(f"`{c}`") for c in df.columns if c not in set(drop or [])] + [F.col("chunk")]
+    names = [c for c in df.columns if c not in set(drop or [])]
+    checked = _as_written(df, names)
+    keep = [F.col(f"`{c}`") for c in names] + [F.col("chunk")]
     # Sort last: the writer needs rows grouped by chunk, and (chunk, _idx) satisfies
     # that, so it adds no sort of its own that could reorder records within a chunk.
     out = chunked.repartition("chunk").sortWithinPartitions("chunk", "_idx").select(*keep)
     sent = Observation()
     if rows:
-        out = out.observe(sent, F.count(F.lit(1)).alias("rows"))  # above the last shuffle: in the writing tasks
+        marks = [fingerprint(checked).alias("fingerprint")] if checked else []
+        out = out.observe(sent, F.count(F.lit(1)).alias("rows"), *marks)  # above the last shuffle: in the writing tasks
     writer = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
     writer.options(**CSV_DIALECT).option("sep", sep).partitionBy("chunk").csv(dest)
     if rows and sent.get["rows"] != rows:
         raise RuntimeError(f"{sent.get['rows']} of {rows} rows landed in {dest}")
+    if rows and checked:
+        spark = df.sparkSession
+        row = (names, checked, sep, rows, sent.get["fingerprint"])
+        schema = "columns array<string>, checked array<string>, sep string, rows bigint, fingerprint decimal(38,0)"
+        spark.createDataFrame([row], schema).coalesce(1).write.mode("overwrite").parquet(join_path(dest, CONTENT))
     return {"rows": rows, "chunks": -(-rows // records_per_file)}

@@ -26,6 +26,7 @@ from crashlake.plans import jobs, marts, quality, transforms
 from crashlake.plans.jobs import LakeBuild
 from crashlake.schemas import RAW_DELIMITERS, RAW_FOLDERS
 from crashlake.sinks import land_chunked_csv, write_csv, write_table
+from crashlake.sinks.csv import verify_content
 from crashlake.sources import file_inventory, read_csv, read_raw_dataset, read_table, register_lake_tables
 from crashlake.sources import standins
 from crashlake.sources.standins import DEFAULT_PARAMS, StandInParams
@@ -230,6 +231,15 @@ def q_land_source_multiline(spark, sf_dir):
     return df.select(F.col("doc_id").cast("bigint").alias("doc_id"), "lang", F.md5("text").alias("text_md5"), "chunk")
 
 
+def q_land_content(spark, sf_dir):
+    """Per raw dataset, the rows that read back with the fingerprint of the landing (a difference raises)."""
+    fx = fixture(spark, sf_dir)
+    rows = {name: verify_content(spark, join_path(fx.raw_root, folder)) for name, folder in RAW_FOLDERS.items()}
+    return quality.report(
+        [spark.range(1).select(F.lit(name).alias("dataset"), F.lit(n).cast("bigint").alias("verified_rows")) for name, n in rows.items()]
+    )
+
+
 def q_build_lake(spark, sf_dir):
     """A whole build beside the fixture's, then rows per table of the version that readers see."""
     fx = fixture(spark, sf_dir)

@@ -196,3 +196,43 @@ def test_files_with_moved_columns_fail(spark, tmp_path):
         read_csv(spark, str(p)).collect()
     (p / "b.csv").write_text("City,State\nLos Angeles,CA\n")
     assert sorted(tuple(r) for r in read_csv(spark, str(p)).collect()) == [("Dayton", "OH"), ("Los Angeles", "CA")]
+
+
+def test_one_changed_byte_is_found(spark, tmp_path):
+    import glob
+
+    from crashlake.sinks.csv import verify_content
+
+    texts = ["plain", "", None, 'q "x", y', "two\nlines", " spaces ", "é", "a,b"]
+    df = spark.createDataFrame([(i, str(i), texts[i % 8], texts[(i + 3) % 8], i * 0.5) for i in range(60)], "_o long, id string, a string, b string, d double")
+    dest = str(tmp_path / "raw")
+    land_chunked_csv(df, dest, 25, ["_o"], drop=["_o"])
+    assert verify_content(spark, dest) == 60
+    path = sorted(glob.glob(f"{dest}/chunk=1/*.csv"))[0]
+    with open(path, "rb") as f:
+        raw = f.read()
+    changes = [raw.replace(b"plain", b"plaim", 1), raw.replace(b"two\n", b"two ", 1), raw.rsplit(b"\n", 2)[0] + b"\n", raw.replace(b" spaces ", b" spaces", 1)]
+    for changed in changes:
+        assert changed != raw
+        with open(path, "wb") as f:
+            f.write(changed)
+        crc = path.rsplit("/", 1)[0] + "/." + path.rsplit("/", 1)[1] + ".crc"
+        import os
+
+        if os.path.exists(crc):
+            os.unlink(crc)
+        with pytest.raises(Exception):
+            verify_content(spark, dest)
+    with open(path, "wb") as f:
+        f.write(raw)
+    assert verify_content(spark, dest) == 60
+
+
+def test_fingerprint_tells_nulls_places_and_counts_apart(spark):
+    from crashlake.sinks.csv import fingerprint
+
+    of = lambda rows: spark.createDataFrame(rows, "a string, b string").agg(fingerprint(["a", "b"])).head()[0]
+    sets = [[("x", None)], [(None, "x")], [("x", "x")], [("x", None)] * 2, [("x", "y"), ("z", "w")], [("x", "w"), ("z", "y")]]
+    assert len({of(s) for s in sets}) == len(sets)
+    assert of([("x", "y"), ("z", "w")]) == of([("z", "w"), ("x", "y")])
+    assert of([("x", "")]) == of([("x", None)])  # as CSV reads it
