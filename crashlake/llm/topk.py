@@ -7,12 +7,13 @@ pair is emitted). In a block pair, scores are accumulated a few dimensions at a
 After each step a candidate survives only if its partial score plus the largest score
 its remaining dimensions allow (remaining mass of the query times remaining mass of the
 candidate, by Cauchy-Schwarz) can still reach the query's k-th best score so far, and the
-survivors are compacted. Integer scores are exact in float64 while they stay below 2^53,
-which is checked. Block results (k rows a query and block) are ranked by a window.
+survivors are compacted. Integer scores are exact in float64 while they stay below 2^53;
+where they may pass that, candidates survive by float scores with a bound on their error,
+and survivors are scored in Python integers. Block results (k rows a query and block) are ranked by a window.
 
 Results for odd input: vectors that are null, empty, or hold null or non-finite components
 take no part; rows with a null id neither; vectors only meet vectors of their own length;
-repeated rows of an id are candidates each, but never of a query with that id; the hits of
+components and scores beyond 64 bits count as the largest or smallest long; repeated rows of an id are candidates each, but never of a query with that id; the hits of
 all rows of a query id are ranked together, as the query's SQL does; ties go to
 the smaller id. Other columns are ignored.
 """
@@ -45,14 +46,35 @@ def quantised(vectors: DataFrame, id_col: str, vec_col: str, scale: int) -> Data
     return out.select("vec_id", F.transform("v", lambda x: F.floor(x * scale).cast("long")).alias("v"))
 
 
+_MOST = 2**63 - 1
+
+
+def _exact_best(query: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, list[int]]:
+    """Best k rows of one query by exact integer scores, held within 64 bits, whatever the components."""
+    q, c = query.astype(np.float64), rows.astype(np.float64)
+    about = c @ q
+    # float sums of d products err by less than this (rounding of products and sums, and of the components themselves)
+    error = (len(q) + 4) * 2.0**-50 * np.sqrt((q**2).sum()) * np.sqrt((c**2).sum(axis=1)) + 1
+    low = np.minimum(about - error, _MOST)
+    alive = np.arange(len(ids))
+    if len(ids) > k:
+        alive = np.flatnonzero(np.minimum(about + error, _MOST) >= np.partition(low, len(low) - k)[len(low) - k])
+    whole = query.tolist()
+    scores = [min(max(sum(a * b for a, b in zip(whole, row)), -_MOST - 1), _MOST) for row in rows[alive].tolist()]
+    best = sorted(range(len(alive)), key=lambda i: (-scores[i], ids[alive[i]]))[:k]
+    return ids[alive[best]] if best else ids[:0], [scores[i] for i in best]
+
+
 def search_block(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
     """Best k candidates of each query in one block pair, as (query ids, candidate ids, scores)."""
+    if np.abs(q.astype(np.float64)).max(initial=0) * np.abs(c.astype(np.float64)).max(initial=0) * q.shape[1] >= 2.0**53:
+        found = [(i, *_exact_best(row, c_ids[c_ids != i], c[c_ids != i], k)) for i, row in zip(q_ids, q)]
+        columns = [np.repeat([f[0] for f in found], [len(f[1]) for f in found]), np.concatenate([f[1] for f in found]), [x for f in found for x in f[2]]]
+        return tuple(np.asarray(x, np.int64) for x in columns)
     order = np.argsort(-np.abs(q).sum(axis=0), kind="stable")  # heavy dimensions first: bounds fall sooner
     q = q[:, order].astype(np.float64)
     columns = np.ascontiguousarray(c[:, order].T.astype(np.float64))  # vertical layout: a row per dimension
     d, n = columns.shape
-    if float(np.abs(q).max(initial=0)) * float(np.abs(columns).max(initial=0)) * d >= 2.0**53:
-        raise OverflowError("scores may pass 2^53; use a smaller scale")
     steps = range(0, d, DIMENSION_BLOCK)
     q_rest = np.array([np.sqrt((q[:, s:] ** 2).sum(axis=1)) for s in [*steps, d]])
     c_rest = np.array([np.sqrt((columns[s:] ** 2).sum(axis=0)) for s in [*steps, d]])

@@ -56,3 +56,22 @@ def test_fewer_than_k_and_empty(spark):
     assert run(spark, [(0, [1.0]), (1, [2.0])]) == [(0, 1, 1, 256 * 512)]
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.top_k(df, F.col("vec_id") % 7 == 0).count() == 0
+
+
+def test_components_of_any_size(spark, monkeypatch):
+    most = 2**63 - 1
+    held = lambda x: min(max(x, -most - 1), most)
+    rng = random.Random(6)
+    rows = [(i, [rng.choice([1.0, -1.0]) * rng.uniform(0, 10.0 ** rng.choice([0, 3, 6, 7])) for _ in range(5)]) for i in range(250)]
+    rows += [(300, [1e15] * 5), (301, [1e15, -1e15, 1e15, 1.0, 0.0]), (302, [1e300] * 5), (308, [-1e300, 1.0, 0.0, 0.0, 0.0]), (309, [7e6 + 1 / 256] * 5)]
+    rows += [(310 + i, [7e6 + i / 256] * 5) for i in range(20)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    monkeypatch.setattr(topk, "CANDIDATE_BLOCK", 64)
+    got = sorted(tuple(r) for r in topk.top_k(df, F.col("vec_id") % 7 == 0, 5).collect())
+    whole = [(i, [held(math.floor(256 * x)) for x in v]) for i, v in rows]
+    want = []
+    for q, v in whole:
+        if q % 7 == 0:
+            found = sorted((-held(sum(a * b for a, b in zip(v, w))), i) for i, w in whole if i != q)
+            want += [(q, r + 1, i, -x) for r, (x, i) in enumerate(found[:5])]
+    assert got == sorted(want)
