@@ -240,6 +240,11 @@ QUERIES = {
         "having count(*) > 1 and count(distinct total_population) > 1) k",
     ]),
     "stream_refresh": "select year, month, count(*) as n from accidents group by year, month",
+    "lasting_city_keys": (
+        "select cast(row_number() over (order by c.city_name = 'AUTOMOBILE', c.city_name, c.state) - 1 as bigint) as city_id, "
+        "c.city_name, c.state, count(a.accident_id) as n from cities c left join accidents a on a.city_id = c.city_id "
+        "group by c.city_name, c.state"
+    ),
     "refresh_last_writer": "select accident_id, severity, description from accidents",
     "mart_refresh": (
         "select 'by_city' as mart, c.city_name as key, c.state, count(*) as n from accidents a join cities c on a.city_id = c.city_id "

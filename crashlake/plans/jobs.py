@@ -20,12 +20,14 @@ from pyspark.sql import types as T
 from crashlake import changes, versions
 from crashlake.config import join_path, scratch_path, staging_path
 from crashlake.functions import safe_date, safe_double, safe_int
+from crashlake.operators.lasting import lasting_ids
 from crashlake.plans import marts, quality, transforms
 from crashlake.schemas import (
     ACCIDENT_RAW_COLUMNS,
     AIRPORT_RAW_COLUMNS,
     CITY_RAW_COLUMNS,
     DEFAULT_CHUNK_RECORDS,
+    LAKE_TABLES,
     RAW_DELIMITERS,
     RAW_FOLDERS,
 )
@@ -180,9 +182,15 @@ def _airports(spark: SparkSession, raw_root: str, version: str, continent: str,
     return write_table(transforms.build_airports(raw, continent, country), join_path(version, "airports"), ["state"])
 
 
-def _cities(spark: SparkSession, raw_root: str, version: str) -> int:
-    raw = read_raw_dataset(spark, raw_root, "cities", columns=CITY_RAW_COLUMNS)
-    return write_table(transforms.build_cities(raw), join_path(version, "cities"))
+def city_register(lake_root: str) -> str:
+    """Table (city_name, state_name, city_id) of all cities the lake ever had; outlives its versions."""
+    return join_path(lake_root, "_keys", "cities")
+
+
+def _cities(spark: SparkSession, raw_root: str, lake_root: str, version: str) -> int:
+    found = transforms.distinct_cities(read_raw_dataset(spark, raw_root, "cities", columns=CITY_RAW_COLUMNS))
+    keyed = lasting_ids(found, transforms.CITY_KEY, city_register(lake_root), "city_id")
+    return write_table(transforms.city_table(keyed), join_path(version, "cities"), cluster_by=["city_id"])
 
 
 def _stage_and_weather(spark: SparkSession, raw_root: str, version: str) -> tuple[DataFrame, dict[str, int]]:
@@ -216,9 +224,10 @@ def build_airports_table(
 
 
 def build_cities_table(spark: SparkSession, raw_root: str, lake_root: str) -> int:
-    """Cities job (T2): raw cities -> ``cities``. Ids may change: build the accidents after it."""
+    """Cities job (T2): raw cities -> ``cities``. Known cities keep their ids, so the accidents stay right; those that
+    were left out for want of a city come in with ``refresh_dimensions``."""
     version = versions.new_version(spark, lake_root)
-    rows = _cities(spark, raw_root, version)
+    rows = _cities(spark, raw_root, lake_root, version)
     versions.complete(spark, version)
     return rows
 
@@ -256,7 +265,7 @@ def build_lake(
         spark,
         {
             "airports": lambda: _airports(spark, raw_root, version, continent, country),
-            "cities": lambda: _cities(spark, raw_root, version),
+            "cities": lambda: _cities(spark, raw_root, lake_root, version),
             "staged": lambda: _stage_and_weather(spark, raw_root, version),
         }
     )
@@ -358,6 +367,50 @@ def refresh_lake(
     return refresh_marts(spark, lake_root, marts_root) if marts_root else {}
 
 
+LATE = "_late_cities"
+
+
+def refresh_dimensions(
+    spark: SparkSession,
+    raw_root: str,
+    lake_root: str,
+    marts_root: str | None = None,
+    continent: str = transforms.DEFAULT_CONTINENT,
+    country: str = transforms.DEFAULT_COUNTRY,
+) -> dict[str, int]:
+    """Bring airports and cities up to date with all that is landed, without building the accidents anew.
+
+    Cities keep their ids. The pairs (name, state code) that are new are noted in ``_late_cities`` before readers see
+    them; landed accidents that were left out for want of them are then folded in like a refresh, and the note
+    goes. A run that dies in between leaves the note to the next.
+    """
+    from crashlake.streaming import refresh_batch
+
+    pair = ["city_name", "state_code"]
+    before = read_table(spark, lake_root, "cities").select(*pair)
+    version, late = versions.new_version(spark, lake_root), join_path(lake_root, LATE)
+    rows = concurrently(
+        spark,
+        {
+            "airports": lambda: _airports(spark, raw_root, version, continent, country),
+            "cities": lambda: _cities(spark, raw_root, lake_root, version),
+        },
+    )
+    schema = LAKE_TABLES["cities"][0]
+    now = spark.read.schema(schema).parquet(join_path(version, "cities")).select(*pair)
+    write_table(now.join(before, pair, "left_anti"), late, mode="append")
+    versions.complete(spark, version)
+    waiting = spark.read.schema(now.schema).parquet(late).distinct()
+    gained = {"accidents": 0, "weather_conditions": 0}
+    if not waiting.isEmpty():
+        raw = read_raw_dataset(spark, raw_root, "accidents", columns=ACCIDENT_RAW_COLUMNS)
+        gained = refresh_batch(spark, raw, lake_root, of_cities=waiting)
+    versions.delete(spark, late)
+    if marts_root:
+        refresh_marts(spark, lake_root, marts_root)
+    return {**rows, "late_accidents": gained["accidents"]}
+
+
 def lake_tables(spark: SparkSession, lake_root: str) -> dict[str, DataFrame]:
     return {t: read_table(spark, lake_root, t) for t in ("accidents", "cities", "airports", "weather_conditions")}
 
@@ -476,6 +529,10 @@ def main(argv: list[str] | None = None) -> None:
     r.add_argument("lake_root")
     r.add_argument("marts_root")
     r.add_argument("--load", default=None, help="fold in this load only (default: all that is landed)")
+    d = sub.add_parser("refresh-dimensions", help="bring airports and cities up to date; accidents of new cities come in")
+    d.add_argument("raw_root")
+    d.add_argument("lake_root")
+    d.add_argument("marts_root")
     m = sub.add_parser("marts", help="rebuild the Parquet marts from the lake")
     m.add_argument("lake_root")
     m.add_argument("marts_root")
@@ -495,6 +552,8 @@ def main(argv: list[str] | None = None) -> None:
         print(land_source(spark, args.dataset, args.source, args.raw_root, args.records, args.load, multi_line=not args.single_line))
     elif args.cmd == "refresh":
         print(refresh_lake(spark, args.raw_root, args.lake_root, args.marts_root, args.load))
+    elif args.cmd == "refresh-dimensions":
+        print(refresh_dimensions(spark, args.raw_root, args.lake_root, args.marts_root))
     elif args.cmd == "marts":
         print(build_marts(spark, args.lake_root, args.marts_root))
     elif args.cmd == "build":

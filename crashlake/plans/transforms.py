@@ -42,11 +42,20 @@ def typed_cities(raw: DataFrame) -> DataFrame:
     )
 
 
+CITY_KEY = ["city_name", "state_name"]
+
+
+def distinct_cities(raw: DataFrame) -> DataFrame:
+    """One row per (City, State), the smallest by (State Code, population)."""
+    return keep_smallest(typed_cities(raw), CITY_KEY, ["state_code", "total_population"])
+
+
 def build_cities(raw: DataFrame) -> DataFrame:
-    """Cities dimension (T2): one row per (City, State), the smallest by (State Code, population);
-    ``city_id`` = dense position of (City, State) ascending."""
-    deduped = keep_smallest(typed_cities(raw), ["city_name", "state_name"], ["state_code", "total_population"])
-    keyed = dense_index(deduped, ["city_name", "state_name"], "city_id")
+    """Cities dimension (T2) of its own: ``city_id`` = dense position of (City, State) ascending."""
+    return city_table(dense_index(distinct_cities(raw), CITY_KEY, "city_id"))
+
+
+def city_table(keyed: DataFrame) -> DataFrame:
     return keyed.select(
         "city_id",
         "city_name",

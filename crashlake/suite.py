@@ -595,6 +595,23 @@ def q_refresh_last_writer(spark, sf_dir):
     return read_table(spark, lake_root, "accidents").select("accident_id", "severity", "description")
 
 
+def q_lasting_city_keys(spark, sf_dir):
+    """Cities of one segment, which sorts first, are landed after the lake is built: no id changes, new cities are numbered
+    after the old ones, and their accidents come in without the fact being built anew."""
+    p = DEFAULT_PARAMS
+    root = scratch_path(spark, "lasting_city_keys")
+    raw_root, lake_root = join_path(root, "raw"), join_path(root, "lake")
+    src = standins.raw_sources(spark, sf_dir, p)
+    late = F.col("City") == F.lit("AUTOMOBILE")
+    jobs.land_raw(spark, {**src, "cities": src["cities"].filter(~late)}, raw_root, p.chunks(), load="1")
+    jobs.build_lake(spark, raw_root, lake_root, p.continent, p.country)
+    jobs.land_raw(spark, {"cities": src["cities"].filter(late)}, raw_root, p.chunks(), load="2")
+    jobs.refresh_dimensions(spark, raw_root, lake_root, continent=p.continent, country=p.country)
+    cities = read_table(spark, lake_root, "cities").select("city_id", "city_name", "state")
+    n = read_table(spark, lake_root, "accidents").groupBy("city_id").agg(F.count(F.lit(1)).alias("n"))
+    return cities.join(n, "city_id", "left").select("city_id", "city_name", "state", F.coalesce("n", F.lit(0)).alias("n"))
+
+
 # ---------------------------------------------------------------- composite builds
 
 
