@@ -8,10 +8,11 @@ class tokens have smoothed frequencies, and the class's unseen tokens are one ev
 as its tokens seen once; the probabilities of all tokens and these events add up to one.
 
 Counts and training cover all training documents. Counting merges per-task sums in a shuffle.
-Training is one pass in ``ROUNDS`` rounds over disjoint shares: every task takes its documents in
-mini-batches, updates its copy of the weights by Adagrad, and returns the rows that moved; rows
-are averaged over tasks, weighted by how often they were used. The weight tables have a fixed
-size and are what is sent out. Token counts are not: tokens with at least N / ``HEAD`` occurrences
+Training is one pass in ``ROUNDS`` rounds. Documents are dealt by a hash into shares of about ``SHARE``
+tokens, so how the input is split, and on how many tasks, does not matter: every share is taken in
+the order of the hash in mini-batches that update a copy of the weights by Adagrad, and gives back
+the rows that moved; rows are averaged over shares, weighted by how often they were used. The
+weight tables have a fixed size and are what is sent out. Token counts are not: tokens with at least N / ``HEAD`` occurrences
 (there cannot be more than ``HEAD`` of them) are sent to every task, and the counts of all others
 meet the documents that use them in a join. Scoring works on numpy batches.
 
@@ -33,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, materialise
+from .common import id_and_text, materialise, release
 
 ADD = 0.1
 GROUPS = SIZE = 16  # classes: GROUPS groups of SIZE
@@ -44,6 +45,7 @@ ROWS = 1 << FEATURE_BITS
 HEAD = 1 << 22
 ROUNDS = 2
 BATCH = 8192
+SHARE = 8_000_000  # training tokens of a share
 RATE = 0.3
 CAUTION = 10.0  # squared gradient that a weight has at first: rows seen a few times move little
 SLICE_BYTES = 8 << 20  # text that a task works on at once
@@ -258,8 +260,14 @@ def _update(w: np.ndarray, seen: np.ndarray, used: np.ndarray, rows: np.ndarray,
     used[at] += np.diff(first, append=len(rows))
 
 
+def _dealt(rows: DataFrame, shares: int) -> DataFrame:
+    """A partition a share, in an order of its own: the same whatever the partitions of ``rows``."""
+    placed = rows.withColumn("place", F.xxhash64("doc_id", "text", F.lit("share")))
+    return placed.repartitionById(shares, F.pmod("place", F.lit(shares)).cast("int")).sortWithinPartitions("place").drop("place")
+
+
 def _train_round(rows: DataFrame, model: Model) -> None:
-    """One round over ``rows``: local updates in every task, averaged into ``model``."""
+    """One round over ``rows``: local updates in every partition, averaged into ``model``."""
     held = rows.sparkSession.sparkContext.broadcast(model)
     names = [f"d{i}" for i in range(SIZE)]
 
@@ -290,7 +298,9 @@ def _train_round(rows: DataFrame, model: Model) -> None:
             )
 
     moved = rows.mapInArrow(train, "row long, n long, " + ", ".join(f"{d} double" for d in names))
-    found = moved.groupBy("row").agg(F.sum("n").alias("n"), *[F.sum(d).alias(d) for d in names]).toPandas()  # at most 2 * ROWS rows
+    table = materialise(moved.groupBy("row").agg(F.sum("n").alias("n"), *[F.sum(d).alias(d) for d in names]), "moved")
+    found = table.toPandas()  # at most 2 * ROWS rows
+    release(table)
     at = found["row"].to_numpy(np.int64)
     step = (found[names].to_numpy() / found[["n"]].to_numpy()).astype(np.float32)
     for table, w in enumerate((model.w1, model.w2)):
@@ -307,8 +317,9 @@ def fit(rows: DataFrame) -> tuple[Model, DataFrame]:
     masses = masses.toPandas()  # at most TAIL rows
     model = Model(totals["n"], totals["v"], head, masses)
     if totals["n"]:
+        shares = -(-totals["n"] // (ROUNDS * SHARE))
         for r in range(ROUNDS):
-            _train_round(rows.where(F.pmod(F.xxhash64("doc_id", F.lit("round")), F.lit(ROUNDS)) == r), model)
+            _train_round(_dealt(rows.where(F.pmod(F.xxhash64("doc_id", F.lit("round")), F.lit(ROUNDS)) == r), shares), model)
     return model, counts
 
 

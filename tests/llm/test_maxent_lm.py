@@ -129,3 +129,58 @@ def test_without_training_rows_and_empty(docs_of):
         assert (r["n_known"], r["train_tokens"], r["base_score"]) == (0, 0, 0)
         assert math.isfinite(r["score"])
     assert M.score(docs_of(rows).where("false")).count() == 0
+
+
+def test_scores_do_not_depend_on_the_partitions(docs_of, monkeypatch):
+    monkeypatch.setattr(M, "SHARE", 3000)
+    monkeypatch.setattr(M, "SLICE_BYTES", 2000)
+    docs = docs_of([*enumerate(corpus() + ODD_TEXTS)])
+    found = []
+    for n in (1, 13, 50):
+        rows = M.score(docs.repartition(n)).select("doc_id", "score", "base_score").collect()
+        found.append({r["doc_id"]: (r["score"], r["base_score"]) for r in rows})
+    for other in found[1:]:
+        assert other.keys() == found[0].keys()
+        for i, (score, base) in other.items():
+            assert score == pytest.approx(found[0][i][0], rel=1e-6, abs=1e-4) and base == pytest.approx(found[0][i][1], rel=1e-9, abs=1e-7)
+
+
+def test_shares_are_dealt_whole(docs_of):
+    from pyspark.sql import functions as F
+
+    rows = docs_of([*enumerate(corpus())]).select("doc_id", "text")
+    deal = lambda n: M._dealt(rows.repartition(n), 7).withColumn("p", F.spark_partition_id())
+    one = [tuple(r) for r in deal(1).select("p", "doc_id").collect()]
+    assert one == [tuple(r) for r in deal(9).select("p", "doc_id").collect()]
+    assert len(one) == 400 and {p for p, _ in one} == set(range(7))
+
+
+def test_score_from_the_weights_place_by_place(docs_of, monkeypatch):
+    """Scores written out token by token from the fitted model, without numpy batches or joins."""
+    texts = corpus(120) + ["unseen words only", "", None]
+    rows = [*enumerate(texts)]
+    models = []
+    fit = M.fit
+    monkeypatch.setattr(M, "fit", lambda r: models.append(fit(r)) or models[-1])
+    got = {r["doc_id"]: r for r in M.score(docs_of(rows)).collect()}
+    m, table = models[0]
+    counts = {r["h"]: r["c"] for r in table.collect()}
+
+    def softmax(x):
+        e = np.exp(x - x.max())
+        return e / e.sum()
+
+    for i, text in rows[::7] + rows[-3:]:
+        own, total = [M.token_hash(t.encode()) for t in tokens(text)], 0.0
+        tails = [M.tail_class(t.encode()) for t in tokens(text)]
+        for k, h in enumerate(own):
+            feature = M.history(np.array(own[: k + 1], np.int64), np.array([0]))[:, k]
+            single = np.flatnonzero(m.single_h == h)
+            kind = int(single[0]) if len(single) else M.SINGLES + tails[k]
+            group, place = divmod(kind, M.SIZE)
+            second = M._second(feature[:, None], np.array([group]))[:, 0]
+            p1 = softmax(m.bias1 + sum(m.w1[f].astype(np.float64) for f in feature))[group]
+            p2 = softmax(m.bias2[group] + sum(m.w2[f].astype(np.float64) for f in second))[place]
+            inside = 1.0 if len(single) else (counts[h] + M.ADD if h in counts else m.unseen[tails[k]]) / 10 ** m.log_mass[kind]
+            total += math.log10(p1 * p2 * inside)
+        assert got[i]["score"] == pytest.approx(total, rel=1e-4, abs=1e-3)
