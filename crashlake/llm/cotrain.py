@@ -15,7 +15,8 @@ rows are taken at every run); a fifth of it calibrates. Features of all document
 Results for odd input: null text counts as empty and null columns as a value of their own; repeated
 rows are scored each; of several labels of an id the smallest counts, labels that are null or belong
 to no document do nothing; if labels of one kind or of none are left, every score is the share of
-good labels (1 without labels); a null id passes through unlabelled; other columns are ignored.
+good labels (1 without labels); a null id passes through unlabelled; a text of any length is read whole,
+in one task; other columns are ignored.
 """
 
 from __future__ import annotations

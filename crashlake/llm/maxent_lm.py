@@ -18,7 +18,8 @@ meet the documents that use them in a join. Scoring works on numpy batches.
 
 Tokens are told apart by 64-bit hashes. Results for odd input: null or empty text is the end token
 alone; repeated rows are scored each (and train each); a null id counts as empty text for the split,
-so it is held out; without training documents the base score is 0 per token; other columns are ignored.
+so it is held out; without training documents the base score is 0 per token; a text of any length is
+scored whole, in one task; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -27,7 +27,8 @@ classes of equal sets are told apart by 128 bits.
 Results for odd input: null, empty or blank text has no shingles, and is linked with nothing;
 fewer words than ``width`` make one shingle; repeated rows are copies; a row with a null id is
 linked like any other but never names a component (component_id is null if all its rows lack
-ids); an empty table gives no rows; other columns are ignored.
+ids); an empty table gives no rows; the shingles of a text of any length all count, and are made in
+one task; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -73,3 +73,13 @@ def test_views_of_odd_values():
         for n in (None, -5, 0, 10**12):
             assert C.meta_view(text, None, None, n).shape == (C.META_DIM,)
     assert C._shape(b"ONHA!!%%12ab") == b"A!%0a"
+
+
+def test_very_long_texts_are_read_whole(docs_of, spark):
+    texts, good = corpus(60)
+    long = (texts[0] + " ") * 20_000
+    docs = docs_of([*enumerate(texts), (500, long), (501, long + (texts[1] + " ") * 20_000)])
+    got = {r["doc_id"]: r["score"] for r in C.score(docs, spark.createDataFrame(list(enumerate(good)), "doc_id long, quality int")).collect()}
+    assert len(got) == 62 and all(0 <= x <= 1 for x in got.values())
+    tokens = C.Tokens()
+    assert (C.text_view(long.encode(), tokens) != C.text_view((long + (texts[1] + " ") * 20_000).encode(), tokens)).any()

@@ -184,3 +184,9 @@ def test_score_from_the_weights_place_by_place(docs_of, monkeypatch):
             inside = 1.0 if len(single) else (counts[h] + M.ADD if h in counts else m.unseen[tails[k]]) / 10 ** m.log_mass[kind]
             total += math.log10(p1 * p2 * inside)
         assert got[i]["score"] == pytest.approx(total, rel=1e-4, abs=1e-3)
+
+
+def test_a_very_long_text_is_scored_whole(docs_of):
+    long = "some words again and again, " * 80_000
+    rows = [*enumerate([long, *corpus(30)])]
+    check_base({r["doc_id"]: r for r in M.score(docs_of(rows)).collect()}, rows)

@@ -5,6 +5,7 @@ import corpus_pipeline
 import pytest
 from crashlake.llm import cotrain, ngram_join, packing, pii
 from crashlake.llm.queries import tokenizer_file
+from tests.llm.conftest import ODD_TEXTS
 from tests.llm.test_exact_dedup import expect
 from tests.llm.test_ngram_join import brute
 
@@ -69,3 +70,28 @@ def test_near_copies_keep_one_with_odd_rows(docs_of):
     assert sorted([(r["doc_id"], (r["text"] or "")[-3:]) for r in out.collect()], key=str) == sorted(
         [(3, "end"), (9, "one"), (None, "w99"[-3:]), (11, ""), (12, ""), (12, "")], key=str
     )
+
+
+def _tables(spark, docs, root):
+    docs.write.parquet(f"{root}/documents.parquet")
+    spark.read.parquet(f"{SF}/labels.parquet").limit(0).write.parquet(f"{root}/labels.parquet")
+
+
+def test_empty_tables(spark, tmp_path):
+    _tables(spark, spark.read.parquet(f"{SF}/documents.parquet").where("false"), tmp_path)
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.count() == 0 and {"doc_id", "piece", "sequence_id", "offset"} <= set(out.columns)
+
+
+def test_odd_documents_without_labels(spark, docs_of, tmp_path):
+    long = " ".join(f"word{i}" for i in range(60_000))
+    rows = [*enumerate(ODD_TEXTS), (100, long), (101, long), (102, long + " more"), (103, None), (None, "no id")]
+    _tables(spark, docs_of(rows).select("doc_id", "text", "lang", "source", "n_chars"), tmp_path)
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    whole = Counter()
+    for r in got:
+        whole[r["doc_id"]] += r["length"]
+    # 101 stays of the equal ones, and of the near ones the smallest id; one empty text stays
+    assert 101 in whole and not {100, 102} & set(whole) and len({0, 1, 103} & set(whole)) == 1 and None in whole
+    encoder = packing.encoder(open(tokenizer_file("byte_bpe_50k.json")).read())
+    assert whole[101] == len(encoder.ids(long)) + 1
