@@ -5,7 +5,8 @@ open one, a block ends an open ``p``, a cell ends a cell, ...), and the renderer
 tree with visibility rules and writes what a reader would see: blocks on lines of their own
 with blank lines around paragraphs and headings, list items with bullets or numbers and
 indentation, table cells in aligned columns (spanned rows and columns count), preformatted text as it stands. Everything
-visible is kept, whichever part of the page it is in. Builder and renderer use explicit
+visible is kept, whichever part of the page it is in, also the words of SVG text and MathML. An element that is not
+displayed takes its subtree with it; invisible is inherited, so a visible element inside is shown. Builder and renderer use explicit
 stacks, so nesting of any depth is fine.
 
 Results for odd input: null or empty html gives an empty text; broken markup never fails, a
@@ -34,11 +35,20 @@ _TAG_END = re.compile(r"(?:[^>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')|[=\"'])*+>")
 _ATTR = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _ASCII_UPPER = re.compile("[A-Z]+")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
-_HIDDEN_STYLE = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
+_NOT_DISPLAYED = re.compile(r"(?<![-\w])(?:display\s*:\s*none|content-visibility\s*:\s*hidden)", re.I)
+_VISIBILITY = re.compile(r"(?<![-\w])visibility\s*:\s*(visible|hidden|collapse)", re.I)
+#: A tag's attributes that end in the slash of an empty element (not of an unquoted value).
+_EMPTY = re.compile(r"(?:^|[\s\"'])/\s*$")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = frozenset("script style title head template noscript iframe noembed noframes object audio video canvas svg math datalist param rp".split())
+UNSEEN = frozenset("script style title head template noscript iframe noembed noframes object audio video canvas datalist param rp".split())
+#: Elements in which ``<x/>`` is an empty element.
+FOREIGN = ("svg", "math")
+#: Parts of SVG and MathML that are not drawn where they stand.
+UNDRAWN = frozenset("defs symbol clippath mask marker pattern desc metadata annotation annotation-xml".split())
+#: In SVG only the words in these are drawn.
+SVG_WORDS = frozenset("text foreignobject".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup html legend li main menu nav ol optgroup option p pre search section summary table ul tr caption thead tbody tfoot".split()
@@ -71,6 +81,13 @@ CELL_WIDTH = 60
 WIDEST = 4096
 
 
+#: Tags that end an open SVG, as the HTML standard has it.
+LEAVES_SVG = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre "
+    "ruby s small span strong strike sub sup table tt u ul var".split()
+)
+
+
 class Node:
     __slots__ = ("tag", "attrs", "children")
 
@@ -117,6 +134,8 @@ class Builder:
     def start_tag(self, tag: str, attrs: str) -> Node | None:
         if self.stack[-1].tag == "head" and tag not in UNSEEN and tag not in ("meta", "link", "base"):
             self.cut(len(self.stack) - 1)
+        while tag in LEAVES_SVG and self.opened["svg"] and not self.opened["foreignobject"] and not self.opened["desc"]:
+            self.end({"svg"}, frozenset())
         if tag in ENDS_P:
             self.end({"p"}, WALLS)
         if tag in IMPLIED:
@@ -125,11 +144,16 @@ class Builder:
             return None
         node = Node(tag, attrs)
         self.stack[-1].children.append(node)
+        if (tag in FOREIGN or self.foreign()) and _EMPTY.search(attrs):
+            return None
         if tag not in VOID and tag not in RAW:
             self.stack.append(node)
             self.opened[tag] += 1
         return node
 
+    def foreign(self) -> bool:
+        return any(self.opened[t] for t in FOREIGN)
+
     def end_tag(self, tag: str) -> None:
         if tag == "br" or tag == "p" and not self.opened["p"]:
             self.stack[-1].children.append(Node(tag))
@@ -181,15 +205,23 @@ def parse(html: str) -> Node:
     return build.root
 
 
-def hidden(node: Node) -> bool:
-    if node.tag in UNSEEN:
+def hidden(node: Node, foreign: bool = False) -> bool:
+    """Does the element not show at all, nor anything in it?"""
+    if node.tag in UNSEEN or foreign and node.tag in UNDRAWN:
         return True
     if not node.attrs or node.attrs.isspace():
         return False
     low = node.attrs.lower()
     if "hidden" in low and ((node.attr("hidden") is not None) or (node.tag == "input" and (node.attr("type") or "").lower() == "hidden")):
         return True
-    return "style" in low and bool(_HIDDEN_STYLE.search(node.attr("style") or ""))
+    return "style" in low and bool(_NOT_DISPLAYED.search(node.attr("style") or ""))
+
+
+def visible(node: Node, inherited: bool) -> bool:
+    if "isibility" not in node.attrs and "ISIBILITY" not in node.attrs.upper():
+        return inherited
+    said = _VISIBILITY.findall(node.attr("style") or "")
+    return said[-1].lower() == "visible" if said else inherited
 
 
 class Flow:
@@ -320,11 +352,15 @@ def render(root: Node) -> str:
     tables: list[list] = []  # rows of the open tables
     lists: list[list] = []  # [ordered, next number] of the open lists
     pre = 0
+    shown = [(True, True, False)]  # of the open elements: visible, words are drawn, inside SVG or MathML
     todo: list[tuple] = [(root, False)]
     while todo:
         node, leaving = todo.pop()
+        seen, drawn, foreign = shown[-1]
         if isinstance(node, str):
-            if pre:
+            if not (seen and drawn):
+                flow.words(" " if drawn else "")
+            elif pre:
                 first, *rest = node.replace("\r\n", "\n").split("\n")
                 flow.parts.append(first)
                 for line in rest:
@@ -335,6 +371,9 @@ def render(root: Node) -> str:
             continue
         tag = node.tag
         if leaving:
+            shown.pop()
+            if foreign and tag == "text":
+                flow.words(" ")
             if tag in ROW_GROUPS and tables:
                 tables[-1].append(None)
             if tag == "pre":
@@ -366,13 +405,14 @@ def render(root: Node) -> str:
                 flow.end_line()
                 flow.indent -= 1
                 flow.block(tag in SPACED)
-            elif tag == "q":
+            elif tag == "q" and seen:
                 flow.words('"')
             elif tag in BLOCK:
                 flow.block(tag in SPACED)
             continue
-        if hidden(node):
+        if hidden(node, foreign):
             continue
+        seen = visible(node, seen)
         if tag == "dialog" and node.attr("open") is None:
             continue
         if tag == "br":
@@ -381,6 +421,8 @@ def render(root: Node) -> str:
             elif flow.lines and not flow.mark:
                 flow.gap = 1
             continue
+        if tag in VOID and not seen:
+            continue
         if tag == "hr":
             flow.verbatim(["---"])
             continue
@@ -394,6 +436,9 @@ def render(root: Node) -> str:
         if tag in VOID:
             continue
         todo.append((node, True))
+        if foreign and tag == "text":
+            flow.words(" ")
+        shown.append((seen, tag != "svg" and (drawn or foreign and tag in SVG_WORDS), (foreign or tag in FOREIGN) and tag != "foreignobject"))
         if tag in ROW_GROUPS and tables:
             tables[-1].append(None)
         if tag == "pre":
@@ -423,7 +468,7 @@ def render(root: Node) -> str:
         elif tag in ("dd", "blockquote"):
             flow.block(tag in SPACED)
             flow.indent += 1
-        elif tag == "q":
+        elif tag == "q" and seen:
             flow.words('"')
         elif tag in BLOCK:
             flow.block(tag in SPACED)

@@ -32,6 +32,16 @@ CASES = [
     ("<textarea><b>raw</b></textarea><select><option>one<option>two</select>", "<b>raw</b>\none\ntwo"),
     ("<blockquote>q</blockquote>z<hr>y", "  q\n\nz\n---\ny"),
     ("a<!-- open", "a"),
+    ("<svg width=9><title>no</title><text x=1>120 m</text><text>Elm</text></svg>", "120 m Elm"),
+    ("a<svg> no <path d='M0 0'/><defs/><g><text>b<tspan>c</tspan></text></g><defs><text>no</text></defs></svg>d", "a bc d"),
+    ("<svg/>a<svg><style/><foreignObject><p>in <b>it</b></p></foreignObject><desc>no</desc></svg>", "a\n\nin it"),
+    ("<math><mi>x</mi><mo>=</mo><mspace/><mn>2</mn><annotation>no</annotation></math>", "x=2"),
+    ("a<span style='visibility:hidden'>no<b style='Visibility : visible'>yes</b>no</span>c", "a yes c"),
+    ("<div style='VISIBILITY:collapse'><q>no</q><img alt=no><hr><input type=submit value=no><p>no</p></div>b", "b"),
+    ("<p style='visibility:hidden;visibility:visible'>a</p><p style='content-visibility:hidden'>no <b style=visibility:visible>no</b></p>", "a"),
+    ("<div style='visibility:hidden'><ul><li>no<li style='visibility:visible'>b</ul></div>", "- b"),
+    ("<desc>a</desc> <text>b</text>", "a b"),
+    ("<svg><g><svg><text>a<p>b<table><tr><td>c</table>", "a\n\nb\n\nc"),
     ("x</", "x</"),
 ]
 
