@@ -37,6 +37,7 @@ _ASCII_UPPER = re.compile("[A-Z]+")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 _NOT_DISPLAYED = re.compile(r"(?<![-\w])(?:display\s*:\s*none|content-visibility\s*:\s*hidden)", re.I)
 _VISIBILITY = re.compile(r"(?<![-\w])visibility\s*:\s*(visible|hidden|collapse)", re.I)
+_NUMBER = re.compile(r"-?[0-9]{1,9}")
 #: A tag's attributes that end in the slash of an empty element (not of an unquoted value).
 _EMPTY = re.compile(r"(?:^|[\s\"'])/\s*$")
 
@@ -381,8 +382,8 @@ def render(root: Node) -> str:
                 flow.block(True)
             elif tag in ("td", "th") and tables:
                 lines, flow = flow.result(), flows.pop()
-                span = node.attr("colspan")
-                span = min(max(int(span), 1), 1000) if span and span.strip().isdigit() and len(span) < 6 else 1
+                span = (node.attr("colspan") or "").strip()
+                span = min(max(int(span), 1), 1000) if span.isascii() and span.isdigit() and len(span) < 6 else 1
                 height = (node.attr("rowspan") or "").strip()
                 height = min(int(height), 65534) if height.isascii() and height.isdigit() and len(height) < 6 else 1
                 if not tables[-1] or tables[-1][-1] is None:
@@ -455,12 +456,15 @@ def render(root: Node) -> str:
         elif tag in ("ul", "ol", "menu", "dir"):
             flow.block(not lists)
             flow.indent += 1
-            start = node.attr("start") if tag == "ol" else None
-            lists.append([tag == "ol", int(start) if start and start.strip().isdigit() and len(start) < 10 else 1])
+            start = (node.attr("start") or "").strip()
+            lists.append([tag == "ol", int(start) if _NUMBER.fullmatch(start) else 1])
         elif tag == "li":
             flow.end_line()
             flow.indent += not lists
             if lists and lists[-1][0]:
+                value = (node.attr("value") or "").strip()
+                if _NUMBER.fullmatch(value):
+                    lists[-1][1] = int(value)
                 flow.mark = f"{lists[-1][1]}. "
                 lists[-1][1] += 1
             else:

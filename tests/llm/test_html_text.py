@@ -41,6 +41,8 @@ CASES = [
     ("<p style='visibility:hidden;visibility:visible'>a</p><p style='content-visibility:hidden'>no <b style=visibility:visible>no</b></p>", "a"),
     ("<div style='visibility:hidden'><ul><li>no<li style='visibility:visible'>b</ul></div>", "- b"),
     ("<desc>a</desc> <text>b</text>", "a b"),
+    ("<ol start=-1><li>a<li>b<li value=7>c<li>d<li value=x>e</ol>", "-1. a\n0. b\n7. c\n8. d\n9. e"),
+    ("<ol start='²'><li value=''>a</ol><ul><li value=3>b</ul>", "1. a\n\n- b"),
     ("<svg><g><svg><text>a<p>b<table><tr><td>c</table>", "a\n\nb\n\nc"),
     ("x</", "x</"),
 ]
@@ -60,6 +62,7 @@ TABLES = [
     ("<tr><td rowspan=2>a<td>b<td rowspan=3>c<tr><td>d<tr><td>e<td>f", "a  b  c\n   d\ne  f"),
     (f"<tr><th>A<th>B<th>C<tr><td>x<td>{WIDE}<td>y<tr><td>1<td>2<td>3", f"A  B  C\nx  {WIDE}\n      y\n1  2  3"),
     ("<tr><td colspan=2>wide cell<td>z<tr><td>a<td>b<td>c", "wide cell  z\na  b       c"),
+    ("<tr><td colspan='²'>a<td rowspan='²'>b", "a  b"),
     ("<tr><td rowspan=x>a<td rowspan=-1>b<td rowspan=99999999999>c<tr><td>d<td>e<td>f", "a  b  c\nd  e  f"),
 ]
 
