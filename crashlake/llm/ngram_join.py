@@ -16,7 +16,12 @@ chance of at most ``MISS`` (as for the 64-bit hashes below); m keeps passages th
 documents share from making signatures by themselves. Sets so small that at most two elements
 may differ are signed by their subsets without one or two elements; where no deal is good
 enough there are d + 1 parts and some spare, of which a linked pair always shares one.
-Signatures of only one set are dropped by a partially aggregated count. Within a cell the sets
+Signatures of only one set are dropped by a partially aggregated count. A signature proves no
+link, so a template that many documents share can chain them into one large cell. Cells of many
+blocks are therefore split by the prefix principle: with the elements of a cell in one order,
+rare ones first, linked sets share one of the first n - ceil(t n / 100) + 1 of each. The order is
+taken from a block of the cell (any order is right, a good one is cheap), and sets that share
+such an element, directly or through others, form the smaller cells. Within a cell the sets
 meet in bounded blocks: every pair of blocks is one unit of work, with its own inverted lists,
 so a cell of any size is spread over tasks.
 
@@ -43,10 +48,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, id_and_text, input_partitions, materialise, release
+from .common import Scratch, components, id_and_text, input_partitions, materialise
 
 #: Elements of the sets in one block of a cell, about.
 BLOCK_ELEMENTS = 150_000
+#: Cells of at least as many blocks are split by rare elements before their blocks are paired.
+SPLIT_FROM = 4
+#: Blocks that share one copy of the sample which orders a cell's elements.
+BLOCKS_PER_SAMPLE = 64
 #: Cost of a binary probe against the cost of a merged entry, for the choice of L.
 PROBE_COST = 0.5
 #: Chance that a linked pair shares no signature, at most.
@@ -277,50 +286,62 @@ def near_duplicates(
     docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (smallest id reachable by links), n_links (rows linked with it, copies too)."""
-    whole = materialise(shingled(docs, width, percent, id_col, text_col), "shingled")
-    rows = materialise(whole.drop("sigs"), "sizes")
-    classes = rows.where("n > 0").groupBy("c1", "c2").agg(
-        F.first("n").alias("n"), F.count("*").alias("copies"), F.min("doc_id").alias("least")
-    )
-
-    # cells: sets that share signatures; a signature that only one class has goes first
-    sigs = whole.select("c1", F.explode("sigs").alias("sig"))
-    shared = sigs.groupBy("sig").agg(F.min("c1").alias("low"), F.max("c1").alias("high")).where("low <> high")
-    shared = materialise(shared.select("sig", "low"), "shared")
+    with Scratch() as scratch:
+        whole = scratch.table(shingled(docs, width, percent, id_col, text_col), "shingled")
+        rows = scratch.table(whole.drop("sigs"), "sizes")
+        classes = rows.where("n > 0").groupBy("c1", "c2").agg(
+            F.first("n").alias("n"), F.count("*").alias("copies"), F.min("doc_id").alias("least")
+        )
+        cells = _sharing(whole.select(F.col("c1").alias("node"), F.explode("sigs").alias("sig")), scratch, whole)
+        members = classes.join(cells.select(F.col("node").alias("c1"), F.col("root").alias("cell")), "c1")
+        members = scratch.table(members.withColumn("cid", F.monotonically_increasing_id()), "members")  # cid is drawn once
+        source = (docs, width, percent, id_col, text_col)
+        members = _split_cells(members, source, scratch)
+
+        edges = scratch.table(_cell_links(members, source), "links")
+        links = edges.where("b is null").groupBy(F.col("a").alias("cid")).agg(F.sum("links").alias("linked"))
+        roots = components(edges.where("b is not null").select("a", "b")).select(F.col("node").alias("cid"), "root")
+        known = members.join(roots, "cid", "left").join(links, "cid", "left")
+        known = known.select("c1", "c2", F.coalesce("root", "cid").alias("root"), "least", F.coalesce("linked", F.lit(0)).alias("linked"))
+        first = known.groupBy("root").agg(F.min("least").alias("component_id"))
+        known = known.join(first, "root").select("c1", "c2", "component_id", "linked")
+        named = classes.join(known, ["c1", "c2"], "left").select(
+            "c1", "c2", "copies", F.when(F.col("linked").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"),
+            F.coalesce("linked", F.lit(0)).alias("linked"),
+        )
+        # written, so that the next join shuffles on its own, and a class with many copies can be split
+        named = scratch.table(named, "named")
+        scratch.drop(edges)
+        out = rows.select("doc_id", "n", "c1", "c2").join(named, ["c1", "c2"], "left")
+        out = out.select(
+            "doc_id",
+            F.col("n").alias("n_shingles"),
+            F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+            F.when(F.col("n") > 0, F.col("linked") + F.col("copies") - 1).otherwise(F.lit(0)).cast("long").alias("n_links"),
+        )
+        return scratch.result(out, "near_duplicates")
+
+
+def _sharing(sigs: DataFrame, scratch: Scratch, stored: DataFrame) -> DataFrame:
+    """(node, root) of nodes that share signatures, directly or through others, from (node, sig) read off ``stored``, which goes."""
+    # a signature that only one node has goes first
+    shared = sigs.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
+    shared = scratch.table(shared.select("sig", "low"), "shared")
     # merged at every size: both sides grow with the corpus, and Spark can split a signature that is hot
-    edges = sigs.join(shared.hint("merge"), "sig").select(F.col("c1").alias("a"), F.col("low").alias("b"))
-    edges = materialise(edges.where("a <> b").distinct(), "cell_edges")
-    release(whole, shared)
-    cells = components(edges).select(F.col("node").alias("c1"), F.col("root").alias("cell"))
-    members = classes.join(cells, "c1").withColumn("cid", F.monotonically_increasing_id())
-    members = materialise(members, "members")  # cid is drawn once
-    release(edges)
-
-    edges = materialise(_cell_links(docs, members, width, percent, id_col, text_col), "links")
-    links = edges.where("b is null").groupBy(F.col("a").alias("cid")).agg(F.sum("links").alias("linked"))
-    roots = components(edges.where("b is not null").select("a", "b")).select(F.col("node").alias("cid"), "root")
-    known = members.join(roots, "cid", "left").join(links, "cid", "left")
-    known = known.select("c1", "c2", F.coalesce("root", "cid").alias("root"), "least", F.coalesce("linked", F.lit(0)).alias("linked"))
-    first = known.groupBy("root").agg(F.min("least").alias("component_id"))
-    known = known.join(first, "root").select("c1", "c2", "component_id", "linked")
-    named = classes.join(known, ["c1", "c2"], "left").select(
-        "c1", "c2", "copies", F.when(F.col("linked").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"),
-        F.coalesce("linked", F.lit(0)).alias("linked"),
-    )
-    # written, so that the next join shuffles on its own, and a class with many copies can be split
-    named = materialise(named, "named")
-    release(edges, members)
-    out = rows.select("doc_id", "n", "c1", "c2").join(named, ["c1", "c2"], "left")
-    return out.select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-        F.when(F.col("n") > 0, F.col("linked") + F.col("copies") - 1).otherwise(F.lit(0)).cast("long").alias("n_links"),
-    )
-
-
-def _cell_links(docs: DataFrame, members: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """(a, b, links) between classes of one cell, found block pair by block pair."""
+    edges = sigs.join(shared.hint("merge"), "sig").select(F.col("node").alias("a"), F.col("low").alias("b"))
+    edges = scratch.table(edges.where("a <> b").distinct(), "cell_edges")
+    scratch.drop(stored, shared)
+    return components(edges)
+
+
+def _sizes(members: DataFrame) -> DataFrame:
+    """(cell, blocks, in_cell)."""
+    return members.groupBy("cell").agg(F.ceil(F.sum("n") / BLOCK_ELEMENTS).cast("int").alias("blocks"), F.count("*").alias("in_cell"))
+
+
+def _sets(members: DataFrame, source: tuple) -> DataFrame:
+    """(c1, c2, elements) of the classes in ``members``."""
+    docs, width, _, id_col, text_col = source
     # the texts that stand for the classes: those of their smallest id (or of any row, for classes without ids)
     wanted = members.select(F.col("least").alias("want")).distinct()
     texts = id_and_text(docs, id_col, text_col).select("doc_id", F.col("text").cast("binary").alias("text"))
@@ -338,11 +359,76 @@ def _cell_links(docs: DataFrame, members: DataFrame, width: int, percent: int, i
                     ["c1", "c2", "elements"],
                 )
 
-    found = texts.mapInArrow(sets, "c1 long, c2 long, elements binary")
-    blocks = members.groupBy("cell").agg(F.ceil(F.sum("n") / BLOCK_ELEMENTS).cast("int").alias("blocks"), F.count("*").alias("in_cell"))
-    blocks = blocks.where("in_cell > 1")
+    return texts.mapInArrow(sets, "c1 long, c2 long, elements binary")
+
+
+def rare_first(s: np.ndarray, common: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
+    """The elements of a set of which any set that links with it, in the same order, has one among its own.
+
+    Order: by count in the sample (``common``, sorted, and its counts; others zero), then by hash.
+    """
+    seen = np.zeros(len(s), np.int64)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, s), len(common) - 1)
+        seen = np.where(common[at] == s, counts[at], 0)
+    # a linked set shares at least percent of the union, so of this set too
+    return s[np.lexsort((s, seen))[: len(s) - -(-percent * len(s) // 100) + 1]]
+
+
+def _split_cells(members: DataFrame, source: tuple, scratch: Scratch) -> DataFrame:
+    """``members`` with large cells split into those whose sets share a rare element; sets that share none are alone."""
+    docs, percent = source[0], source[2]
+    large = scratch.table(_sizes(members).where(F.col("blocks") >= SPLIT_FROM).select("cell", "blocks"), "large_cells")
+    if large.isEmpty():
+        return members
+    inside = members.join(large, "cell")
+    units = F.ceil(F.col("blocks") / BLOCKS_PER_SAMPLE).cast("int")
+    unit = F.pmod(F.xxhash64("cid", F.lit(5)), units).cast("int")
+    sample = F.transform(F.sequence(F.lit(0), units - 1), lambda u: F.struct(u.alias("unit"), F.lit(0).alias("side")))
+    own = F.array(F.struct(unit.alias("unit"), F.lit(1).alias("side")))
+    # one block of the cell is its sample, which every unit gets before its own sets
+    to = F.when(F.pmod(F.xxhash64("cid"), F.col("blocks")) == 0, F.concat(sample, own)).otherwise(own)
+    rows = _sets(inside, source).join(inside, ["c1", "c2"]).select("cell", "cid", "elements", F.explode(to).alias("to"))
+    rows = rows.select("cell", "to.unit", "to.side", "cid", "elements")
+    rows = rows.repartition(input_partitions(docs.sparkSession), "cell", "unit").sortWithinPartitions("cell", "unit", "side", "cid")
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, seen, common, counts = None, {}, None, None
+        for whole in batches:
+            for at in range(0, whole.num_rows, 500):
+                batch = whole.slice(at, 500)
+                nodes, sigs = [], []
+                columns = [batch.column(k).to_pylist() for k in range(4)]
+                for cell, unit, side, cid, elements in zip(*columns, batch.column(4), strict=True):
+                    if (cell, unit) != key:
+                        key, seen, common = (cell, unit), {}, None
+                    s = np.frombuffer(elements.as_py(), np.uint64)
+                    if side == 0:
+                        seen[cid] = s  # by class: a class may be read off several rows
+                        continue
+                    if common is None:
+                        common, counts = np.unique(np.concatenate([*seen.values(), s[:0]]), return_counts=True)
+                        common, counts, seen = common[counts > 1], counts[counts > 1], {}
+                    rare = rare_first(s, common, counts, percent)
+                    nodes.append(np.full(len(rare), cid, np.int64))
+                    sigs.append(mix(rare ^ np.uint64(cell % 2**64), 96).view(np.int64))
+                if nodes:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(nodes)), pa.array(np.concatenate(sigs))], ["node", "sig"])
+
+    rare = scratch.table(rows.mapInArrow(prefixes, "node long, sig long"), "rare_elements")
+    found = _sharing(rare, scratch, rare).select(F.col("node").alias("cid"), "root")
+    of_large = members.join(large.select("cell", F.lit(True).alias("split")), "cell", "left").join(found, "cid", "left")
+    # a cell is named by one of its sets from here on (a clash with another cell's name costs work, not links)
+    cell = F.when(F.col("split"), F.coalesce("root", "cid")).otherwise(F.col("cell"))
+    return scratch.table(of_large.select("c1", "c2", "n", "copies", "least", cell.alias("cell"), "cid"), "split_members")
+
+
+def _cell_links(members: DataFrame, source: tuple) -> DataFrame:
+    """(a, b, links) between classes of one cell, found block pair by block pair."""
+    docs, percent = source[0], source[2]
+    blocks = _sizes(members).where("in_cell > 1")
     placed = members.join(blocks, "cell").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-    rows = found.join(placed, ["c1", "c2"])
+    rows = _sets(members, source).join(placed, ["c1", "c2"])
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select(
         "cell", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
@@ -376,7 +462,7 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "
 
     Documents without shingles, and rows without an id, are no near copies of anything and stay.
     """
-    found = materialise(near_duplicates(docs, width, percent, id_col, text_col), "found")
+    found = near_duplicates(docs, width, percent, id_col, text_col)
     own_id = F.col(f"`{id_col}`").cast("long")
     gone = found.where("n_shingles > 0 and doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
     rows = docs.join(materialise(gone, "gone"), own_id == F.col("_gone"), "left_anti")  # ids only, of a size that Spark knows

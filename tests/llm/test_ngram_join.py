@@ -93,3 +93,60 @@ def test_signatures_of_linked_sets_always_meet():
 
 def test_empty_table(docs_of):
     assert J.near_duplicates(docs_of([(0, "a")]).where("false")).count() == 0
+
+
+def template_corpus(n, links=()):
+    """``n`` documents of 200 words, half of them one template: no two link, but for ``links`` (pairs of equal ends)."""
+    rng = random.Random(n)
+    template = [f"t{i}" for i in range(100)]
+    rows = [(i, [*template, *(f"d{i}x{rng.randrange(1 << 30)}" for _ in range(100))]) for i in range(n)]
+    for a, b in links:
+        rows[b] = (b, [*rows[a][1][:199], f"end{b}"])
+    return [(i, " ".join(w)) for i, w in rows]
+
+
+def test_template_shared_by_many_documents_is_not_compared_in_pairs(docs_of, spark, monkeypatch):
+    monkeypatch.setattr(J, "BLOCK_ELEMENTS", 4000)
+    compared = []
+    links = J._cell_links
+
+    def counted(members, source):
+        sizes = J._sizes(members).where("in_cell > 1").collect()
+        compared.append((sum(r["in_cell"] ** 2 for r in sizes), max((r["blocks"] for r in sizes), default=0)))
+        return links(members, source)
+
+    monkeypatch.setattr(J, "_cell_links", counted)
+    for n in (500, 2000):
+        rows = template_corpus(n, links=[(3, 5), (5, 400), (17, 18)])
+        found = {r["doc_id"]: (r["component_id"], r["n_links"]) for r in J.near_duplicates(docs_of(rows), 5, 80).collect()}
+        want = {i: (i, 0) for i, _ in rows} | {3: (3, 2), 5: (3, 2), 400: (3, 2), 17: (17, 1), 18: (17, 1)}
+        assert found == want
+    (few, one), (many, same) = compared
+    assert one == same == 1 and few <= 8 * 500 and many <= 8 * 2000
+
+
+def test_linked_sets_share_a_rare_element_in_any_order():
+    rng = np.random.default_rng(9)
+    for percent in (90, 80, 60):
+        for _ in range(2000):
+            n = int(rng.integers(1, rng.choice([4, 40, 300])))
+            x = np.unique(rng.integers(0, 1 << 60, n).astype(np.uint64))
+            y = np.unique(np.concatenate([x[rng.random(len(x)) < (0.5 + percent / 200)], rng.integers(0, 1 << 60, int(rng.integers(0, 1 + n // 10))).astype(np.uint64)]))
+            common = np.sort(rng.choice(x, int(rng.integers(0, len(x) + 1)), replace=False))
+            counts = rng.integers(2, 9, len(common))
+            if len(y) and len(np.intersect1d(x, y)) >= J.needed(len(x), len(y), percent):
+                assert len(np.intersect1d(J.rare_first(x, common, counts, percent), J.rare_first(y, common, counts, percent)))
+
+
+def test_scratch_tables_go_but_for_the_result(docs_of, spark):
+    from pathlib import Path
+
+    from crashlake.config import scratch_path
+
+    base = Path(scratch_path(spark, "probe").removeprefix("file:")).parents[1]
+    tables = lambda: {p for p in base.glob("*/*")} if base.exists() else set()
+    before = tables()
+    out = J.near_duplicates(docs_of(corpus(3)), 3, 90)
+    left = sorted(p.name for p in tables() - before)
+    assert out.count() and left.count("near_duplicates") == 1
+    assert not {"shingled", "sizes", "shared", "cell_edges", "members", "links", "named"} & set(left)
