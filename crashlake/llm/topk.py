@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, ship
+from .common import Scratch, ship
 
 QUERY_BLOCK = 1024
 CANDIDATE_BLOCK = 8192
@@ -111,23 +111,26 @@ def top_k(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k highest scores of every query; is_query is a condition on vec_id."""
     ship(vectors.sparkSession)
-    rows = materialise(quantised(vectors, id_col, vec_col, scale).withColumn("q", F.coalesce(is_query, F.lit(False))), "vectors")
-    counts = rows.agg(F.count("*").alias("n"), F.count_if("q").alias("m")).first()
-    n_c = -(-max(counts["n"], 1) // CANDIDATE_BLOCK)
-    n_q = -(-max(counts["m"], 1) // QUERY_BLOCK)
-    deal = lambda n: F.pmod(F.xxhash64("vec_id", F.lit(17)), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    queries = rows.where("q").select(F.size("v").alias("d"), deal(n_q).alias("qb"), every(n_c).alias("cb"), "vec_id", "v", F.lit(True).alias("q"))
-    candidates = rows.select(F.size("v").alias("d"), every(n_q).alias("qb"), deal(n_c).alias("cb"), "vec_id", "v", F.lit(False).alias("q"))
-
-    def block(left: pd.DataFrame) -> pd.DataFrame:
-        qs, cs = left[left["q"]], left[~left["q"]]
-        if not len(qs) or not len(cs):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
-        a, b, s = search_block(qs["vec_id"].to_numpy(), np.stack(qs["v"]), cs["vec_id"].to_numpy(), np.stack(cs["v"]), k)
-        return pd.DataFrame({"query_id": a, "vec_id": b, "score": s})
-
-    both = queries.unionByName(candidates)
-    found = both.groupBy("d", "qb", "cb").applyInPandas(block, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    with Scratch() as scratch:
+        rows = quantised(vectors, id_col, vec_col, scale).withColumn("q", F.coalesce(is_query, F.lit(False)))
+        rows = scratch.table(rows.withColumn("row", F.monotonically_increasing_id()), "vectors")  # drawn once
+        counts = rows.agg(F.count("*").alias("n"), F.count_if("q").alias("m")).first()
+        n_c = -(-max(counts["n"], 1) // CANDIDATE_BLOCK)
+        n_q = -(-max(counts["m"], 1) // QUERY_BLOCK)
+        deal = lambda n: F.pmod(F.xxhash64("row", F.lit(17)), F.lit(n)).cast("int")  # noqa: E731  rows, so that copies of one id spread
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+        queries = rows.where("q").select(F.size("v").alias("d"), deal(n_q).alias("qb"), every(n_c).alias("cb"), "vec_id", "v", F.lit(True).alias("q"))
+        candidates = rows.select(F.size("v").alias("d"), every(n_q).alias("qb"), deal(n_c).alias("cb"), "vec_id", "v", F.lit(False).alias("q"))
+
+        def block(left: pd.DataFrame) -> pd.DataFrame:
+            qs, cs = left[left["q"]], left[~left["q"]]
+            if not len(qs) or not len(cs):
+                return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
+            a, b, s = search_block(qs["vec_id"].to_numpy(), np.stack(qs["v"]), cs["vec_id"].to_numpy(), np.stack(cs["v"]), k)
+            return pd.DataFrame({"query_id": a, "vec_id": b, "score": s})
+
+        both = queries.unionByName(candidates)
+        found = both.groupBy("d", "qb", "cb").applyInPandas(block, "query_id long, vec_id long, score long")
+        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        found = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        return scratch.result(found.select("query_id", "rank", "vec_id", "score"), "hits")

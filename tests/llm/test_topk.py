@@ -75,3 +75,20 @@ def test_components_of_any_size(spark, monkeypatch):
             found = sorted((-held(sum(a * b for a, b in zip(v, w))), i) for i, w in whole if i != q)
             want += [(q, r + 1, i, -x) for r, (x, i) in enumerate(found[:5])]
     assert got == sorted(want)
+
+
+def test_many_rows_of_one_id_are_dealt_over_blocks(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = [(i, [rng.randint(-99, 99) / 100 for _ in range(4)]) for i in range(1, 90)]
+    rows += [(5, [rng.randint(-99, 99) / 100 for _ in range(4)]) for _ in range(20_000)]
+    monkeypatch.setattr(topk, "CANDIDATE_BLOCK", 512)
+    search = topk.search_block
+
+    def counted(q_ids, q, c_ids, c, k):
+        assert len(c_ids) < 2 * 512, "one block took the rows of an id"
+        return search(q_ids, q, c_ids, c, k)
+
+    monkeypatch.setattr(topk, "search_block", counted)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in topk.top_k(df, F.col("vec_id") % 7 == 0, 5).collect())
+    assert got == brute(rows, 5)
