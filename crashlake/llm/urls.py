@@ -5,7 +5,7 @@ host and path, one of accepted and one of rejected URLs. A model blends orders 0
 ``ORDER`` by Witten-Bell smoothing: a context that was seen often trusts its own counts,
 a new one falls back to the next shorter context. Counts are exact (contexts are told apart
 by 64-bit hashes), summed by a shuffle over all training URLs, and stay a table that grows
-with them: URLs are dealt into blocks, the contexts and grams of a block meet their counts
+with them: URLs are dealt into blocks of bounded characters, the contexts and grams of a block meet their counts
 in a join, and the counts found meet the block's URLs.
 
 Other URLs are judged by the difference of the two log-likelihoods per character. The
@@ -15,7 +15,8 @@ histogram of fixed size.
 
 Results for odd input: a null url or one without ``://`` has an empty host and path, no
 rule, and the score 0; without training URLs of both kinds every score is 0; a score of
-at least the threshold allows. Repeated rows are judged alike. Other columns are ignored.
+at least the threshold allows. Repeated rows are judged alike. A URL of any length is read whole,
+slice by slice; a block holds at most its share of characters and one longer URL. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,10 +25,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, release, ship
+from .common import input_partitions, materialise, release, ship
 
 #: Fixed values: (verdict, host, path prefix).
 RULES = (
@@ -38,8 +41,12 @@ RULES = (
     ("block", "com", "/de/"),
 )
 ORDER = 5
-#: Rows whose contexts are looked up together.
-BLOCK = 1024
+#: Characters of the URLs whose contexts are looked up together, about.
+BLOCK_CHARS = 65_536
+#: Characters whose keys are held at once.
+SLICE_CHARS = 262_144
+#: Characters that a counting task should get: at least, and at most where the cluster's partitions are too few.
+COUNT_CHARS = (131_072, 1 << 26)
 HOLD_OUT = 5
 BINS = 2000
 SPAN = 5.0
@@ -71,9 +78,28 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def context_keys(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """For each order and each character of ``text`` and its end: keys of its context, and of context and character."""
-    codes = np.frombuffer(("\x02" * ORDER + text + "\x03").encode("utf-32-le"), np.uint32).astype(np.uint64)
+def slices(texts: list[str]) -> Iterator[list[tuple[int, int, int]]]:
+    """(text, first, last + 1) of the characters and ends of all texts in order, in groups of at most SLICE_CHARS."""
+    group, room = [], SLICE_CHARS
+    for i, text in enumerate(texts):
+        at = 0
+        while at <= len(text):
+            stop = min(at + room, len(text) + 1)
+            group.append((i, at, stop))
+            room -= stop - at
+            at = stop
+            if not room:
+                yield group
+                group, room = [], SLICE_CHARS
+    if group:
+        yield group
+
+
+def context_keys(text: str, first: int = 0, stop: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """For each order and each character of ``text`` and its end (of those from first to stop): keys of its context, and of context and character."""
+    stop = len(text) + 1 if stop is None else stop
+    lead = text[max(first - ORDER, 0) : first].rjust(ORDER, "\x02")
+    codes = np.frombuffer((lead + text[first:stop] + "\x03" * (stop > len(text))).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     n = len(codes) - ORDER
     contexts, grams = np.empty((ORDER + 1, n), np.uint64), np.empty((ORDER + 1, n), np.uint64)
     h = np.zeros(n, np.uint64)
@@ -97,17 +123,19 @@ def per_character(texts: list[str], counts: dict[str, np.ndarray], alphabet: int
         at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
         return np.where(known[at] == keys, counts[name][order][at], 0)
 
-    contexts, grams = (np.concatenate(x, axis=1) for x in zip(*map(context_keys, texts), strict=True))
     sizes = np.array([len(t) + 1 for t in texts])
-    first = np.cumsum(sizes) - sizes
-    out = np.empty((2, len(texts)))
-    for k in (0, 1):
-        p = np.full(contexts.shape[1], 1.0 / alphabet)
-        for o in range(ORDER + 1):
-            n, t, c = find(contexts[o], f"n{k}"), find(contexts[o], f"kinds{k}"), find(grams[o], f"n{k}")
-            p = np.where(n > 0, (c + t * p) / np.maximum(n + t, 1), p)
-        out[k] = np.add.reduceat(np.log(p), first) / sizes
-    return out
+    out = np.zeros((2, len(texts)))
+    for group in slices(texts):
+        contexts, grams = (np.concatenate(x, axis=1) for x in zip(*(context_keys(texts[i], *span) for i, *span in group), strict=True))
+        lengths = np.array([stop - first for _, first, stop in group])
+        owner = [i for i, _, _ in group]  # a text has one slice a group
+        for k in (0, 1):
+            p = np.full(contexts.shape[1], 1.0 / alphabet)
+            for o in range(ORDER + 1):
+                n, t, c = find(contexts[o], f"n{k}"), find(contexts[o], f"kinds{k}"), find(grams[o], f"n{k}")
+                p = np.where(n > 0, (c + t * p) / np.maximum(n + t, 1), p)
+            out[k, owner] += np.add.reduceat(np.log(p), np.cumsum(lengths) - lengths)
+    return out / sizes
 
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,24 +143,33 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = [*zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)]
         for kind in (False, True):
-            own = [(*context_keys(t), n) for t, accepted, n in rows if accepted == kind]
-            if not own:
-                continue
-            context = np.concatenate([c.ravel() for c, _, _ in own])
-            gram = np.concatenate([g.ravel() for _, g, _ in own])
-            weight = np.concatenate([np.full(c.size, n) for c, _, n in own])
-            found, at, back = np.unique(gram, return_index=True, return_inverse=True)  # a gram has one context
-            n = np.bincount(back, weight).astype(np.int64)
-            columns = [pa.array(np.full(len(found), kind, np.int32)), pa.array(context[at]), pa.array(found), pa.array(n)]
-            yield pa.RecordBatch.from_arrays(columns, ["accepted", "context", "gram", "n"])
+            own = [(t, n) for t, accepted, n in rows if accepted == kind]
+            for group in slices([t for t, _ in own]):
+                keys = [(*context_keys(own[i][0], *span), own[i][1]) for i, *span in group]
+                context = np.concatenate([c.ravel() for c, _, _ in keys])
+                gram = np.concatenate([g.ravel() for _, g, _ in keys])
+                weight = np.concatenate([np.full(c.size, n) for c, _, n in keys])
+                found, at, back = np.unique(gram, return_index=True, return_inverse=True)  # a gram has one context
+                n = np.bincount(back, weight).astype(np.int64)
+                columns = [pa.array(np.full(len(found), kind, np.int32)), pa.array(context[at]), pa.array(found), pa.array(n)]
+                yield pa.RecordBatch.from_arrays(columns, ["accepted", "context", "gram", "n"])
+
+
+def counting_tasks(chars: int, partitions: int) -> int:
+    """Tasks that count ``chars`` characters: enough to keep the cluster busy, each with a bounded share."""
+    least, most = COUNT_CHARS
+    return max(1, min(-(-chars // least), max(partitions, -(-chars // most))))
 
 
 def fit(settled: DataFrame) -> DataFrame | None:
     """Counts (key, n0, kinds0, n1, kinds1) of rejected and accepted from (text, accepted) rows; None without rows of both kinds."""
     rows = settled.groupBy("text", "accepted").agg(F.count("*").alias("n"))
-    if rows.select("accepted").distinct().count() < 2:
+    chars = [r["chars"] for r in rows.groupBy("accepted").agg(F.sum(F.length("text") + 1).alias("chars")).collect()]  # at most two rows
+    if len(chars) < 2:
         return None
-    grams = rows.mapInArrow(_count_grams, "accepted int, context long, gram long, n long")
+    tasks = counting_tasks(sum(chars), input_partitions(settled.sparkSession))
+    # a character makes twelve keys, so the few bytes of the texts do not tell Spark the work
+    grams = rows.repartition(tasks, "text", "accepted").select("text", "accepted", "n").mapInArrow(_count_grams, "accepted int, context long, gram long, n long")
     pairs = materialise(grams.groupBy("accepted", "context", "gram").agg(F.sum("n").alias("n")), "grams")
     own = lambda k, x: F.coalesce(F.sum(F.when(F.col("accepted") == k, x)), F.lit(0))
     sums = [f(k) for k in (0, 1) for f in (lambda k: own(k, F.col("n")).alias(f"n{k}"), lambda k: own(k, F.lit(1)).alias(f"kinds{k}"))]
@@ -153,8 +190,10 @@ def _scored(rows: DataFrame, counts: DataFrame | None) -> DataFrame:
             for b, t in zip(*(x.to_pylist() for x in batch.columns), strict=True):
                 texts.setdefault(b, set()).add(t)
             for b, own in texts.items():
-                keys = np.unique(np.concatenate([x.ravel() for t in own for x in context_keys(t)]))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), b)), pa.array(keys)], ["block", "key"])
+                own = [*own]
+                for group in slices(own):
+                    keys = np.unique(np.concatenate([x.ravel() for i, *span in group for x in context_keys(own[i], *span)]))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), b)), pa.array(keys)], ["block", "key"])
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         texts = left.column("text").to_pylist()
@@ -165,12 +204,27 @@ def _scored(rows: DataFrame, counts: DataFrame | None) -> DataFrame:
             known |= dict(zip(own, (high - low).tolist(), strict=True))
         return left.append_column("score", pa.array([known[t] for t in texts], pa.float64()))
 
-    found = rows.where("text <> ''").select("block", "text").mapInArrow(wanted, "block long, key long").join(counts, "key")
+    found = rows.where("text <> ''").select("block", "text").mapInArrow(wanted, "block long, key long")
+    found = found.join(counts, "key")  # a key may come twice, from two batches or slices of a block: once is enough below
     found = found.select("block", *counts.columns)
     schema = ", ".join(f"`{c}` {t}" for c, t in [*rows.dtypes, ("score", "double")])
     return rows.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(score, schema)
 
 
+def _in_blocks(rows: DataFrame) -> DataFrame:
+    """``rows`` with a column block: neighbouring rows with about BLOCK_CHARS characters of text, or one longer text."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start, before = TaskContext.get().partitionId() << 40, 0
+        for batch in batches:
+            ends = before + np.cumsum(pc.utf8_length(batch.column("text")).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+            if len(ends):
+                before = int(ends[-1])
+            yield batch.append_column("block", pa.array(start + ends // BLOCK_CHARS))
+
+    return rows.mapInArrow(deal, ", ".join(f"`{c}` {t}" for c, t in [*rows.dtypes, ("block", "bigint")]))
+
+
 def calibrate(scored: DataFrame) -> float:
     """Threshold of best balanced accuracy over (score, accepted) rows, from BINS counts of each kind; 0 without rows."""
     b = F.least(F.greatest(F.floor((F.col("score") + SPAN) * (BINS / (2 * SPAN))), F.lit(0)), F.lit(BINS - 1)).cast("int")
@@ -193,8 +247,7 @@ def judge(pages: DataFrame, rules: tuple = RULES, id_col: str = "page_id", url_c
     rows = pages.select(F.col(f"`{id_col}`").cast("long").alias("page_id"), host.alias("host"), path.alias("path"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     rows = rows.select("*", rule.alias("rule"), verdict.alias("settled"), F.concat("host", "path").alias("text"))
-    row = F.monotonically_increasing_id()  # drawn once
-    rows = materialise(rows.withColumn("block", row - F.pmod(row, F.lit(BLOCK))), "urls")
+    rows = materialise(_in_blocks(rows), "urls")  # blocks are drawn once
     settled = rows.where("settled is not null").select("text", (F.col("settled") == "allow").alias("accepted"))
     held_out = F.pmod(F.xxhash64("text"), F.lit(HOLD_OUT)) == 0
     counts = fit(settled.where(~held_out))

@@ -95,7 +95,7 @@ def brute_score(texts, trained):
 
 
 def test_counts_are_exact_however_many_contexts(spark, monkeypatch):
-    monkeypatch.setattr(urls, "BLOCK", 64)
+    monkeypatch.setattr(urls, "BLOCK_CHARS", 2000)
     rng = random.Random(4)
     paths = [f"{rng.choice(['fr', 'de', 'it'])}/{rng.randrange(10**30)}" for _ in range(9000)]
     paths += paths[:50]
@@ -109,3 +109,44 @@ def test_counts_are_exact_however_many_contexts(spark, monkeypatch):
     some = rng.sample([(t, s) for t, _, s in got if t], 300)
     assert [s for _, s in some] == pytest.approx(brute_score([t for t, _ in some], trained), abs=1e-9)
     assert all(s == 0 for t, _, s in got if not t)
+
+
+def test_slices_cover_every_character_once_and_give_the_same_keys(monkeypatch):
+    import numpy as np
+
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("ab/\u00e9\U0001f600") for _ in range(rng.choice([0, 1, 5, 40, 300]))) for _ in range(60)]
+    whole = [urls.context_keys(t) for t in texts]
+    monkeypatch.setattr(urls, "SLICE_CHARS", 37)
+    groups = [*urls.slices(texts)]
+    assert all(sum(stop - first for _, first, stop in g) <= 37 for g in groups)
+    for i, t in enumerate(texts):
+        spans = [span for g in groups for j, *span in g if j == i]
+        assert [x for first, stop in spans for x in range(first, stop)] == [*range(len(t) + 1)]
+        for part in (0, 1):
+            assert np.array_equal(np.concatenate([urls.context_keys(t, *s)[part] for s in spans], axis=1), whole[i][part])
+
+
+def test_very_long_urls_and_blocks_of_characters(spark, monkeypatch):
+    monkeypatch.setattr(urls, "BLOCK_CHARS", 5000)
+    rng = random.Random(6)
+    long = ["http://b.net/" + "".join(rng.choice("abcde") for _ in range(300_000)), "http://b.com/de/" + "edcba" * 80_000]
+    rows = [f"http://b.com/{rng.choice(['fr/ab', 'de/ed'])}{rng.randrange(10**9)}" for _ in range(300)] + long
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(rows)], "page_id long, url string").coalesce(1)
+    in_blocks = urls._in_blocks(pages.selectExpr("url as text")).groupBy("block").agg(F.sum(F.length("text")).alias("c"), F.max(F.length("text")).alias("m"))
+    assert all(r["c"] - r["m"] <= 5000 for r in in_blocks.collect())
+    got = {r["page_id"]: r for r in urls.judge(pages).collect()}
+    assert len(got) == len(rows)
+    texts = spark.createDataFrame([(r["host"] + r["path"], r["rule"]) for r in got.values()], "text string, rule string")
+    out = F.pmod(F.xxhash64("text"), F.lit(urls.HOLD_OUT)) == 0
+    trained = [(r["text"], r["rule"] == "com/fr/") for r in texts.where(~out & F.col("rule").isNotNull()).collect()]
+    some = [0, 1, len(rows) - 2, len(rows) - 1]
+    want = brute_score([got[i]["host"] + got[i]["path"] for i in some], trained)
+    assert [got[i]["score"] for i in some] == pytest.approx(want, abs=1e-9)
+
+
+def test_counting_is_spread_over_tasks_of_bounded_size():
+    assert urls.counting_tasks(10, 8) == 1
+    assert urls.counting_tasks(1_400_000, 200) == 11
+    assert urls.counting_tasks(10**9, 200) == 200
+    assert urls.counting_tasks(10**12, 200) == -(-(10**12) // (1 << 26))
