@@ -236,3 +236,17 @@ def test_fingerprint_tells_nulls_places_and_counts_apart(spark):
     assert len({of(s) for s in sets}) == len(sets)
     assert of([("x", "y"), ("z", "w")]) == of([("z", "w"), ("x", "y")])
     assert of([("x", "")]) == of([("x", None)])  # as CSV reads it
+
+
+def test_small_chunks_are_written_by_many_tasks(spark, tmp_path):
+    out = land_chunked_csv(spark.range(400).select(F.col("id").cast("string").alias("k"), F.col("id").alias("_o")), str(tmp_path / "c"), 10, ["_o"], drop=["_o"])
+    assert out == {"rows": 400, "chunks": 40}
+    written = file_inventory(spark, str(tmp_path / "c"), "*.csv").select(F.regexp_extract("key", "part-([0-9]+)-", 1)).distinct().count()
+    assert written > 4  # a handful of kilobytes, which used to be one task
+
+
+def test_writing_tasks_follow_the_chunks(spark):
+    from crashlake.sinks.csv import FILES_PER_TASK, writing_tasks
+
+    assert [writing_tasks(spark, n) for n in (0, 1, 5, 8, 100)] == [1, 1, 5, 8, 8]  # 8 shuffle partitions
+    assert writing_tasks(spark, 1000 * FILES_PER_TASK) == 1000
