@@ -133,7 +133,9 @@ def read_records(
     if other:
         raise ValueError(f"the header of {other[0]['_file']} is {list(other[0]['h'])}, not {names}")
     begin = heads.select("_file", "crlf", F.col("head._split").alias("_h_split"), F.col("head._line").alias("_h_line"))
-    body = records.join(begin, "_file").where((F.col("_split") != F.col("_h_split")) | (F.col("_line") != F.col("_h_line")))
+    # a row per split, so that the records of one file need not meet in one task
+    begin = splits.select("_file", "_split").join(begin, "_file")
+    body = records.join(begin, ["_file", "_split"]).where((F.col("_split") != F.col("_h_split")) | (F.col("_line") != F.col("_h_line")))
     return body.select(*ORDER, _unified("record").alias("record")).where("record <> ''"), names
 
 

@@ -221,11 +221,20 @@ def q_land_source_order(spark, sf_dir):
     return df.select(F.col("event_id").cast("bigint").alias("event_id"), "event_type", "chunk")
 
 
+#: Characters of text in a source file, about, where two files would hold more; a task writes a file.
+SOURCE_FILE_CHARS = 256 << 20
+
+
+def _source_files(docs: DataFrame) -> int:
+    chars = docs.agg(F.sum(F.length("text").cast("long"))).head()[0] or 0
+    return max(2, -(-chars // SOURCE_FILE_CHARS))
+
+
 def q_land_source_multiline(spark, sf_dir):
-    """Whole documents, whose texts hold line breaks, quotes and commas, landed from two files that many tasks read each."""
+    """Whole documents, whose texts hold line breaks, quotes and commas, landed from two files or more that many tasks read each."""
     root = scratch_path(spark, "land_source_multiline")
     docs = standins.table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
-    write_csv(docs.repartitionByRange(2, "doc_id").sortWithinPartitions("doc_id"), join_path(root, "src"))
+    write_csv(docs.repartitionByRange(_source_files(docs), "doc_id").sortWithinPartitions("doc_id"), join_path(root, "src"))
     jobs.land_source(spark, "accidents", join_path(root, "src"), join_path(root, "raw"), records_per_file=300)
     df = _read_chunked(spark, join_path(root, "raw", RAW_FOLDERS["accidents"]), docs.columns)
     return df.select(F.col("doc_id").cast("bigint").alias("doc_id"), "lang", F.md5("text").alias("text_md5"), "chunk")

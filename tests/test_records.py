@@ -122,3 +122,29 @@ def test_landing_reads_a_file_in_several_tasks(spark, tmp_path, small_splits):
     for k in range(5):
         parts = [one_task(spark, str(tmp_path / f"{kind}/accident_data/chunk={k}"), ",") for kind in ("fast", "slow")]
         assert parts[0] == parts[1] and len(parts[0]) == min(70, 300 - 70 * k)
+
+
+def test_records_of_one_file_stay_in_many_tasks(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("k,v\n" + "".join(f'{i},"x\n{i}"\n' for i in range(2000)))
+    conf = {
+        "spark.sql.files.maxPartitionBytes": "2048", "spark.sql.files.openCostInBytes": "0", "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        rows = read_csv_records(spark, str(tmp_path / "a.csv")).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sum(r["count"] for r in rows) == 2000 and len(rows) > 2
+
+
+def test_source_files_follow_the_texts(spark, monkeypatch):
+    from crashlake import suite
+
+    docs = spark.createDataFrame([("abc",), (None,), ("defgh",)], "text string")
+    assert suite._source_files(docs) == 2 and suite._source_files(docs.limit(0)) == 2
+    monkeypatch.setattr(suite, "SOURCE_FILE_CHARS", 2)
+    assert suite._source_files(docs) == 4
