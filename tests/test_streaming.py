@@ -306,3 +306,43 @@ def test_the_marts_refresh_reads_the_touched_months_only(spark, tmp_path):
         jobs.month_counts(spark, lake, [(2016, 5)]).explain()
     line = next(x for x in out.getvalue().splitlines() if "PartitionFilters" in x)
     assert "2016" in line and "5" in line.split("PartitionFilters")[1]
+
+
+def test_micro_batches_are_folded_in_once(spark, tmp_path, monkeypatch):
+    from crashlake.streaming import refresh
+
+    raw, lake = str(tmp_path / "raw"), str(tmp_path / "lake")
+    _raw_zone(raw)
+    jobs.build_lake(spark, raw, lake)
+    for k, severity in enumerate("431"):
+        write_csv_file(f"{raw}/accident_data/load=2/chunk={k}/part.csv", ACCIDENT_HEADER, [_changed(ACCIDENTS[0], Severity=severity), ACCIDENTS[3 + k % 2]])
+    put, calls = refresh._put_pending, []
+    monkeypatch.setattr(refresh, "_put_pending", lambda *args: calls.append(args) or put(*args))
+    query = accident_refresh(spark, raw, lake, str(tmp_path / "ckpt"), max_files_per_trigger=1)
+    query.awaitTermination()
+    assert len(query.recentProgress) >= 4 and len(calls) == 2  # four micro-batches, one fold
+    assert _facts(spark, lake) == ["A-1", "A-2", "A-3", "A-4"] and _severity(spark, lake)["A-1"] == 1
+
+
+def test_rows_that_a_stream_left_behind_are_folded_in_by_the_next(spark, tmp_path, monkeypatch):
+    from crashlake.streaming import refresh
+
+    raw, lake = str(tmp_path / "raw"), str(tmp_path / "lake")
+    _raw_zone(raw)
+    jobs.build_lake(spark, raw, lake)
+    land = lambda uid, severity: write_csv_file(
+        f"{raw}/accident_data/load=2/chunk=0/part-00000-0a1b2c3d-0000-4000-8000-00112233445{uid}.c000.csv", ACCIDENT_HEADER,
+        [_changed(ACCIDENTS[3], Severity=severity)],
+    )
+    land(1, "1")
+    fold = refresh._fold_incoming
+    monkeypatch.setattr(refresh, "_fold_incoming", lambda *args: None)
+    accident_refresh(spark, raw, lake, str(tmp_path / "ckpt")).awaitTermination()  # dies before it folds
+    land(2, "3")  # the chunk is landed anew: the later one stays
+    accident_refresh(spark, raw, lake, str(tmp_path / "ckpt")).awaitTermination()
+    assert _facts(spark, lake) == ["A-1", "A-2", "A-3"]
+    monkeypatch.setattr(refresh, "_fold_incoming", fold)
+    assert refresh_batch(spark, read_raw_dataset(spark, raw, "accidents").limit(0), lake)["accidents"] == 0
+    assert _severity(spark, lake)["A-4"] == 3
+    accident_refresh(spark, raw, lake, str(tmp_path / "ckpt")).awaitTermination()
+    assert _severity(spark, lake)["A-4"] == 3 and not refresh.versions.exists(spark, refresh._beside_fact(spark, lake, refresh.INCOMING))
