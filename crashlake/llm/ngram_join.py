@@ -295,10 +295,13 @@ def near_duplicates(
         cells = _sharing(whole.select(F.col("c1").alias("node"), F.explode("sigs").alias("sig")), scratch, whole)
         members = classes.join(cells.select(F.col("node").alias("c1"), F.col("root").alias("cell")), "c1")
         members = scratch.table(members.withColumn("cid", F.monotonically_increasing_id()), "members")  # cid is drawn once
-        source = (docs, width, percent, id_col, text_col)
+        # the texts are dealt out once: the sets of all cells are stored, for splitting and for linking
+        sets = scratch.table(_sets(members, (docs, width, id_col, text_col)), "sets")
+        source = (sets, percent)
         members = _split_cells(members, source, scratch)
 
         edges = scratch.table(_cell_links(members, source), "links")
+        scratch.drop(sets)
         links = edges.where("b is null").groupBy(F.col("a").alias("cid")).agg(F.sum("links").alias("linked"))
         roots = components(edges.where("b is not null").select("a", "b")).select(F.col("node").alias("cid"), "root")
         known = members.join(roots, "cid", "left").join(links, "cid", "left")
@@ -341,7 +344,7 @@ def _sizes(members: DataFrame) -> DataFrame:
 
 def _sets(members: DataFrame, source: tuple) -> DataFrame:
     """(c1, c2, elements) of the classes in ``members``."""
-    docs, width, _, id_col, text_col = source
+    docs, width, id_col, text_col = source
     # the texts that stand for the classes: those of their smallest id (or of any row, for classes without ids)
     wanted = members.select(F.col("least").alias("want")).distinct()
     texts = id_and_text(docs, id_col, text_col).select("doc_id", F.col("text").cast("binary").alias("text"))
@@ -377,7 +380,7 @@ def rare_first(s: np.ndarray, common: np.ndarray, counts: np.ndarray, percent: i
 
 def _split_cells(members: DataFrame, source: tuple, scratch: Scratch) -> DataFrame:
     """``members`` with large cells split into those whose sets share a rare element; sets that share none are alone."""
-    docs, percent = source[0], source[2]
+    sets, percent = source
     large = scratch.table(_sizes(members).where(F.col("blocks") >= SPLIT_FROM).select("cell", "blocks"), "large_cells")
     if large.isEmpty():
         return members
@@ -388,9 +391,9 @@ def _split_cells(members: DataFrame, source: tuple, scratch: Scratch) -> DataFra
     own = F.array(F.struct(unit.alias("unit"), F.lit(1).alias("side")))
     # one block of the cell is its sample, which every unit gets before its own sets
     to = F.when(F.pmod(F.xxhash64("cid"), F.col("blocks")) == 0, F.concat(sample, own)).otherwise(own)
-    rows = _sets(inside, source).join(inside, ["c1", "c2"]).select("cell", "cid", "elements", F.explode(to).alias("to"))
+    rows = sets.join(inside, ["c1", "c2"]).select("cell", "cid", "elements", F.explode(to).alias("to"))
     rows = rows.select("cell", "to.unit", "to.side", "cid", "elements")
-    rows = rows.repartition(input_partitions(docs.sparkSession), "cell", "unit").sortWithinPartitions("cell", "unit", "side", "cid")
+    rows = rows.repartition(input_partitions(sets.sparkSession), "cell", "unit").sortWithinPartitions("cell", "unit", "side", "cid")
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, seen, common, counts = None, {}, None, None
@@ -425,16 +428,16 @@ def _split_cells(members: DataFrame, source: tuple, scratch: Scratch) -> DataFra
 
 def _cell_links(members: DataFrame, source: tuple) -> DataFrame:
     """(a, b, links) between classes of one cell, found block pair by block pair."""
-    docs, percent = source[0], source[2]
+    sets, percent = source
     blocks = _sizes(members).where("in_cell > 1")
     placed = members.join(blocks, "cell").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-    rows = _sets(members, source).join(placed, ["c1", "c2"])
+    rows = sets.join(placed, ["c1", "c2"])
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select(
         "cell", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
         (F.col("block") > F.col("other")).cast("int").alias("side"), "cid", "copies", "elements",
     )
-    rows = rows.repartition(input_partitions(docs.sparkSession), "cell", "i", "j").sortWithinPartitions("cell", "i", "j", "cid")
+    rows = rows.repartition(input_partitions(sets.sparkSession), "cell", "i", "j").sortWithinPartitions("cell", "i", "j", "cid")
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def emit(out: list[tuple]) -> pa.RecordBatch:

@@ -150,3 +150,22 @@ def test_scratch_tables_go_but_for_the_result(docs_of, spark):
     left = sorted(p.name for p in tables() - before)
     assert out.count() and left.count("near_duplicates") == 1
     assert not {"shingled", "sizes", "shared", "cell_edges", "members", "links", "named"} & set(left)
+
+
+def test_texts_are_dealt_out_once_for_splitting_and_linking(docs_of, monkeypatch):
+    monkeypatch.setattr(J, "BLOCK_ELEMENTS", 4000)
+    calls = {"_sets": 0, "_split_cells": 0}
+
+    def counted(name, f):
+        def run(*args):
+            calls[name] += 1
+            return f(*args)
+
+        monkeypatch.setattr(J, name, run)
+
+    counted("_sets", J._sets)
+    counted("_split_cells", J._split_cells)
+    rows = template_corpus(300, links=[(3, 5)])
+    found = {r["doc_id"]: r["component_id"] for r in J.near_duplicates(docs_of(rows), 5, 80).collect()}
+    assert found == {i: 3 if i == 5 else i for i, _ in rows}
+    assert calls == {"_sets": 1, "_split_cells": 1}
