@@ -1,10 +1,11 @@
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from crashlake import versions
-from crashlake.llm.common import components, materialise, release
+from crashlake.llm.common import BATCH_BYTES, components, id_and_text, materialise, release
 
 
 def brute(edges):
@@ -46,3 +47,15 @@ def test_materialised_tables_are_shared_and_released(spark):
     assert versions.exists(spark, t.scratch)
     release(t)
     assert not versions.exists(spark, t.scratch)
+
+
+def test_batches_handed_to_python_are_bounded_by_bytes(spark):
+    docs = spark.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 2000).alias("text"))  # 30 MB in a partition
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "size"])
+
+    found = id_and_text(docs).mapInArrow(sizes, "n long, size long").collect()
+    assert sum(r["n"] for r in found) == 3000
+    assert max(r["size"] for r in found) < 2 * BATCH_BYTES
