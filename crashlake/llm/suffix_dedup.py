@@ -15,7 +15,9 @@ same document or another. Shards are made so that equal strings of that length m
 4. A shard's pieces, joined by a byte that UTF-8 never uses, get a suffix array by induced
    sorting and its permuted common prefixes (:mod:`suffix_array`): a string is repeated if
    it shares LENGTH bytes with the suffix before it or after it in the array, or if its
-   piece occurs twice.
+   piece occurs twice. As strings of different anchors differ, a shard that the deal made
+   larger than meant is sorted in parts of whole anchors, one after the other: sorting takes
+   about a hundred bytes of memory a byte.
 5. Repeated ranges go back to the texts, and the results of texts to their documents.
 
 An anchor with very many different pieces (a passage in a third of all documents, each
@@ -41,6 +43,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -225,35 +228,59 @@ def _split(length: int):
     return run
 
 
-def _sort_shard(length: int):
+def _whole_anchors(table: pa.Table, most: int) -> Iterator[pa.Table]:
+    """The shard in parts of whole anchors, each of at most ``most`` bytes of pieces or of one anchor."""
+    size = pc.binary_length(table.column("piece")).to_numpy().astype(np.int64)
+    if size.sum() <= most:
+        yield table
+        return
+    key = table.column("key").to_numpy()
+    order = np.argsort(key, kind="stable")
+    key, size, table = key[order], size[order], table.take(pa.array(order))
+    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    begin, held = 0, 0
+    for at, n in zip(first.tolist(), np.add.reduceat(size, first).tolist()):
+        if held and held + n > most:
+            yield table.slice(begin, at - begin)
+            begin, held = at, 0
+        held += n
+    yield table.slice(begin)
+
+
+def _sort_shard(length: int, most: int):
     def run(table: pa.Table) -> pa.Table:
-        pieces = [p.as_py() for p in table.column("piece")]
-        data = np.frombuffer(bytes([DIVIDER]).join(pieces) + bytes([DIVIDER]), np.uint8)
-        size = np.array([len(p) for p in pieces])
-        begin = np.concatenate(([0], np.cumsum(size + 1)))[:-1]
-        sa = suffix_array(np.append(data.astype(np.int64) + 1, 0), 257)
-        before, common = permuted_common_prefixes(data, sa)
-        hit = common >= length
-        repeated = hit.copy()
-        repeated[before[hit]] = True
-        often = table.column("n").to_numpy() >= 2
-        kind = np.repeat(np.arange(len(pieces)), size + 1)
-        place = np.arange(len(data)) - begin[kind]
-        string = place + length <= size[kind]  # inside the piece
-        repeated = string & (repeated | often[kind])
-        # runs of repeated strings, as byte ranges of their piece
-        new = repeated & ~np.concatenate(([False], repeated[:-1]))
-        end = repeated & ~np.concatenate((repeated[1:], [False]))
-        first, last = np.flatnonzero(new), np.flatnonzero(end)
-        which = pa.array(kind[first])
-        return pa.table(
-            {"key": table.column("key").take(which), "piece_id": table.column("piece_id").take(which),
-             "from_byte": pa.array(place[first]), "to_byte": pa.array(place[last] + length)}
-        )
+        return pa.concat_tables([_sort_part(part, length) for part in _whole_anchors(table, most)])
 
     return run
 
 
+def _sort_part(table: pa.Table, length: int) -> pa.Table:
+    """Byte ranges of the pieces that repeated strings cover: (key, piece_id, from_byte, to_byte)."""
+    pieces = [p.as_py() for p in table.column("piece")]
+    data = np.frombuffer(bytes([DIVIDER]).join(pieces) + bytes([DIVIDER]), np.uint8)
+    size = np.array([len(p) for p in pieces])
+    begin = np.concatenate(([0], np.cumsum(size + 1)))[:-1]
+    sa = suffix_array(np.append(data.astype(np.int64) + 1, 0), 257)
+    before, common = permuted_common_prefixes(data, sa)
+    hit = common >= length
+    repeated = hit.copy()
+    repeated[before[hit]] = True
+    often = table.column("n").to_numpy() >= 2
+    kind = np.repeat(np.arange(len(pieces)), size + 1)
+    place = np.arange(len(data)) - begin[kind]
+    string = place + length <= size[kind]  # inside the piece
+    repeated = string & (repeated | often[kind])
+    # runs of repeated strings, as byte ranges of their piece
+    new = repeated & ~np.concatenate(([False], repeated[:-1]))
+    end = repeated & ~np.concatenate((repeated[1:], [False]))
+    first, last = np.flatnonzero(new), np.flatnonzero(end)
+    which = pa.array(kind[first])
+    return pa.table(
+        {"key": table.column("key").take(which), "piece_id": table.column("piece_id").take(which),
+         "from_byte": pa.array(place[first]), "to_byte": pa.array(place[last] + length)}
+    )
+
+
 def remove(raw: bytes, ranges: list[tuple[int, int]]) -> tuple[bytes, int]:
     """What is left of the bytes, and the number of maximal removed runs."""
     kept, at, spans, end = [], 0, 0, -1
@@ -309,7 +336,7 @@ def repeated_ranges(scratch: Scratch, texts: DataFrame, length: int = LENGTH, mo
     shard = F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard")
     ranges = scratch.table(
         different.select(shard, "key", "piece_id", "piece", "n").groupBy("shard")
-        .applyInArrow(_sort_shard(length), "key long, piece_id binary, from_byte long, to_byte long"),
+        .applyInArrow(_sort_shard(length, 2 * SHARD_BYTES), "key long, piece_id binary, from_byte long, to_byte long"),
         "ranges",
     )
     placed = parts.select("key", "tid", "at", "piece_id").join(ranges.hint("merge"), ["key", "piece_id"])

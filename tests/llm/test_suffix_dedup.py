@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -95,6 +96,28 @@ def test_many_shards_give_the_same(docs_of, monkeypatch):
     assert result(docs_of(rows)) == brute(rows)
 
 
+def test_a_large_shard_is_sorted_in_parts(monkeypatch):
+    rng = random.Random(11)
+    rows = []
+    for key in range(12):
+        same = prose(rng, 230, "abcdefgh").encode()
+        pieces = [prose(rng, 300, "abcdefgh").encode() for _ in range(20 if key else 200)] + [b"<" + same, same + b">"]
+        rows += [(key, b"%d.%d" % (key, k), piece, 1 + (k == 3)) for k, piece in enumerate(pieces)]
+    rng.shuffle(rows)
+    shard = pa.table(dict(zip(("key", "piece_id", "piece", "n"), map(list, zip(*rows)))))
+    sizes = []
+    array = suffix_dedup.suffix_array
+    monkeypatch.setattr(suffix_dedup, "suffix_array", lambda t, k: sizes.append(len(t)) or array(t, k))
+    got = suffix_dedup._sort_shard(200, 20_000)(shard)
+    of_one = sum(len(piece) + 1 for key, _, piece, _ in rows if key == 0)
+    assert len(sizes) > 3 and sorted(sizes)[-1] <= of_one + 1 and sorted(sizes)[-2] <= 20_200
+    expected = Counter({(key, b"%d.3" % key, 0, 300): 1 for key in range(12)})
+    for key in range(12):
+        n = 20 if key else 200
+        expected[key, b"%d.%d" % (key, n), 1, 231] = expected[key, b"%d.%d" % (key, n + 1), 0, 230] = 1
+    assert Counter(zip(*(c.to_pylist() for c in got.columns))) == expected
+
+
 def test_odd_rows(docs_of):
     rows = [*enumerate(ODD_TEXTS), (None, "x" * 4000), (None, "long enough " * 30), (None, "long enough " * 30), (7, None), (7, None)]
     rows += [(9, "row " * 100)] * 3
