@@ -205,7 +205,9 @@ def _scored(rows: DataFrame, counts: DataFrame | None) -> DataFrame:
         return left.append_column("score", pa.array([known[t] for t in texts], pa.float64()))
 
     found = rows.where("text <> ''").select("block", "text").mapInArrow(wanted, "block long, key long")
-    found = found.join(counts, "key")  # a key may come twice, from two batches or slices of a block: once is enough below
+    # sorted, never broadcast: the keys are twelve a character, but Spark takes them for no larger than the URLs' table.
+    # a key may come twice, from two batches or slices of a block: once is enough below
+    found = found.join(counts.hint("merge"), "key")
     found = found.select("block", *counts.columns)
     schema = ", ".join(f"`{c}` {t}" for c, t in [*rows.dtypes, ("score", "double")])
     return rows.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(score, schema)

@@ -150,3 +150,16 @@ def test_counting_is_spread_over_tasks_of_bounded_size():
     assert urls.counting_tasks(1_400_000, 200) == 11
     assert urls.counting_tasks(10**9, 200) == 200
     assert urls.counting_tasks(10**12, 200) == -(-(10**12) // (1 << 26))
+
+
+def test_keys_and_counts_are_never_broadcast_through_the_driver(spark, tmp_path):
+    def stored(name, rows, schema):
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / name))
+        return spark.read.schema(schema).parquet(str(tmp_path / name))
+
+    block = stored("urls", [(0, "a.com/fr/1"), (0, "b.org/")], "block long, text string")
+    counts = stored("counts", [(1, 1, 1, 0, 0)], "key long, n0 long, kinds0 long, n1 long, kinds1 long")
+    out = urls._scored(block, counts)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert {r["text"] for r in out.collect()} == {"a.com/fr/1", "b.org/"}
