@@ -346,3 +346,54 @@ def test_rows_that_a_stream_left_behind_are_folded_in_by_the_next(spark, tmp_pat
     assert _severity(spark, lake)["A-4"] == 3
     accident_refresh(spark, raw, lake, str(tmp_path / "ckpt")).awaitTermination()
     assert _severity(spark, lake)["A-4"] == 3 and not refresh.versions.exists(spark, refresh._beside_fact(spark, lake, refresh.INCOMING))
+
+
+def test_chunk_order_below_a_folder_is_that_of_the_whole_path(spark, tmp_path):
+    from crashlake.streaming.refresh import arrival, chunk_order, chunk_order_below
+
+    top = tmp_path / "run 07" / "raw9"
+    inside = ["load=9/chunk=2/part-00000-0a1b2c3d-0000-4000-8000-001122334451.c000.csv", "load=10/chunk=007/p.csv", "12/0.csv", "p.csv"]
+    uri = top.as_uri().removeprefix("file://")
+    paths = [f"{begin}{uri}/{p}" for begin in ("file:", "file://") for p in inside] + ["s3a://b/raw9/load=10/chunk=3/p.csv", "", "file:/"]
+    df = spark.createDataFrame([(p,) for p in paths], "p string")
+    rows = df.select("p", chunk_order(F.col("p")).alias("whole"), chunk_order_below(spark, str(top), F.col("p")).alias("below")).collect()
+    assert [r["p"] for r in rows if r["whole"] != r["below"]] == []
+    # rows of one chunk in the order of their micro-batches
+    ten = [spark.range(1).select(arrival(F.lit("p"), n).alias("a"), F.lit(n).alias("n")) for n in (9, 10, 100)]
+    assert [r["n"] for r in ten[1].union(ten[2]).union(ten[0]).orderBy("a").collect()] == [9, 10, 100]
+
+
+def test_micro_batches_run_the_same_generated_code(spark, tmp_path, capsys):
+    from crashlake.streaming.refresh import Arrived
+
+    write_csv_file(str(tmp_path / "a.csv"), ACCIDENT_HEADER, ACCIDENTS)
+    raw, arrived, code = spark.read.option("header", True).csv(str(tmp_path)), Arrived(), []
+    for number in (1234, 5678):
+        arrived(raw, number).explain("codegen")
+        code.append(capsys.readouterr().out.split("Generated code:", 1)[1])
+    assert code[0] == code[1]
+
+
+def test_many_chunk_folders_are_listed_by_few_tasks(spark, tmp_path):
+    from crashlake.sources.csv import LISTING, read_header
+
+    sc = spark.sparkContext
+    most = 4 * sc.defaultParallelism
+    for k in range(most + 40):
+        write_csv_file(f"{tmp_path}/raw/accident_data/load=1/chunk={k}/part.csv", ACCIDENT_HEADER, [ACCIDENTS[k % 3]])
+    write_csv_file(f"{tmp_path}/raw/accident_data/load=1/_content/part.csv", ["other"], [])
+    spark.conf.unset(LISTING)
+    try:
+        sc.setJobGroup("listing", "listing")
+        schema = read_header(spark, f"{tmp_path}/raw/accident_data")
+        raw = read_raw_dataset(spark, f"{tmp_path}/raw", "accidents", schema=schema)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert schema.names == ACCIDENT_HEADER and raw.count() == most + 40
+    jobs_run = [sc.statusTracker().getJobInfo(j) for j in sc.statusTracker().getJobIdsForGroup("listing")]
+    tasks = [sc.statusTracker().getStageInfo(s).numTasks for j in jobs_run for s in j.stageIds]
+    assert tasks and max(tasks) <= most
+    spark.conf.set(LISTING, "5000")
+    read_raw_dataset(spark, f"{tmp_path}/raw", "accidents", schema=schema)
+    assert spark.conf.get(LISTING) == "5000"  # the session's own setting stays
+    spark.conf.unset(LISTING)
