@@ -10,6 +10,8 @@ import hashlib
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -83,6 +85,21 @@ def staging_path(spark: SparkSession, owner: str, name: str) -> str:
     return "/".join([shared_dir(spark), "crashlake", "staging", key, name])
 
 
+#: Spark removes an execution's shuffle files when it has ended, not when the driver happens to collect garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the executions inside go as soon as each has ended."""
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 def join_path(root: str, *parts: str) -> str:
     return "/".join([root.rstrip("/"), *[p.strip("/") for p in parts]])
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crashlake import versions
-from crashlake.config import scratch_path
+from crashlake.config import scratch_path, shuffles_removed
 
 
 _shipped: set[str] = set()
@@ -41,20 +41,12 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
-#: Spark removes an execution's shuffle files when it has ended, not when the driver happens to collect garbage.
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once under the shared folder and return a reader over it; its shuffle files go at once."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
-    try:
+    with shuffles_removed(spark):
         df.write.mode("errorifexists").parquet(path)
-    finally:
-        spark.conf.set(CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch = path
     return out

@@ -77,7 +77,7 @@ def staged_positions(df: DataFrame, order_by: list[str] | None, index_col: str =
     file scan: file path, then byte position of the split, then record. Rows of
     one split (or one sorted range) are a run; each row is written with its run
     and a running id that was drawn in that same write. Run lengths, read from
-    the staged files, become offsets.
+    the staged files, become offsets. The frame's ``scratch`` is the folder written, for the caller to delete.
     """
     spark = df.sparkSession
     if order_by is None:
@@ -92,12 +92,16 @@ def staged_positions(df: DataFrame, order_by: list[str] | None, index_col: str =
         staged = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_mid", F.monotonically_increasing_id())
         staged = staged.select(*_cols(df), F.lit("").alias("_run"), F.shiftright("_mid", 33).alias("_block"), "_mid")
     path = scratch_path(spark, "staged")
-    staged.write.parquet(path)
+    staged.write.option("compression", "zstd").parquet(path)
     staged = spark.read.schema(staged.schema).parquet(path)
     runs = staged.groupBy("_run", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     before = Window.orderBy("_run", "_block").rowsBetween(Window.unboundedPreceding, -1)  # one row per run
     offsets = runs.select("_run", "_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    runs_path = scratch_path(spark, "runs")  # stored, so that Spark sees a row per run and leaves the staged rows where they are
+    offsets.write.parquet(runs_path)
+    offsets = spark.read.schema(offsets.schema).parquet(runs_path)
     placed = staged.join(offsets, ["_run", "_block"]).select(
         *_cols(df), (F.col("_off") + F.col("_mid") - F.col("_first")).cast("bigint").alias(index_col)
     )
+    placed.scratch = path
     return placed, staged.count()  # from the footers

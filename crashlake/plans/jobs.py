@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crashlake import changes, versions
-from crashlake.config import join_path, scratch_path, staging_path
+from crashlake.config import join_path, scratch_path, shuffles_removed, staging_path
 from crashlake.functions import safe_date, safe_double, safe_int
 from crashlake.operators.lasting import lasting_ids
 from crashlake.plans import marts, quality, transforms
@@ -115,6 +115,7 @@ def land_source(
     multi_line: bool = True,
     bad_records: str | None = None,
     one_task: bool = False,
+    own_source: bool = False,
 ) -> dict[str, int]:
     """Land one source CSV file (or folder) into the raw zone in file order (K6, K8, T7).
 
@@ -130,34 +131,38 @@ def land_source(
 
     Records may hold line breaks. A file is still read by many tasks: its splits are brought in line with its records
     (:mod:`crashlake.sources.records`). ``multi_line=False`` spares that work where no record holds a line break;
-    ``one_task`` reads each file in one task with Spark's own ``multiLine`` source.
+    ``one_task`` reads each file in one task with Spark's own ``multiLine`` source. With ``own_source`` the source is
+    scratch of the caller's, who can make it again: where splits are read it goes as soon as its lines are staged, so that
+    it does not lie on the disk beside the chunks.
     """
     n = DEFAULT_CHUNK_RECORDS[dataset] if records_per_file is None else records_per_file
     if n <= 0:
         raise ValueError("records_per_file must be > 0")
-    sep, dest = RAW_DELIMITERS[dataset], _raw_dest(raw_root, dataset, load)
-    aligned = multi_line and not one_task
-    if aligned:
-        mode = {"mode": "PERMISSIVE", "corrupt": "_corrupt_record"} if bad_records else {}
-        df = read_csv_records(spark, source, sep, **mode)
-        schema = df.schema
-    else:
-        df = read_csv(spark, source, sep=sep, multi_line=multi_line)
-        schema = T.StructType([*df.schema.fields, T.StructField("_corrupt_record", T.StringType())])
-    bad = {}
-    if bad_records:
-        if not aligned:
-            df = read_csv(spark, source, sep=sep, schema=schema, mode="PERMISSIVE", multi_line=multi_line)
-        # all columns are written first: the parser only knows a record is bad when it parses all of them
-        aside = scratch_path(spark, "bad_records")
-        bad = {"bad": write_table(df.where(F.col("_corrupt_record").isNotNull()), aside)}
-        spark.read.schema(schema).parquet(aside).select("_corrupt_record").write.mode("overwrite").text(bad_records)
-        df = df.where(F.col("_corrupt_record").isNull())
-    order = ORDER if aligned else None
-    out = land_chunked_csv(df, dest, n, order_by=order, sep=sep, drop=["_corrupt_record", *(order or [])])
-    if verify:
-        _verify_landed(spark, dest, out)
-    return {**out, **bad}
+    with shuffles_removed(spark):
+        sep, dest = RAW_DELIMITERS[dataset], _raw_dest(raw_root, dataset, load)
+        aligned = multi_line and not one_task
+        if aligned:
+            mode = {"mode": "PERMISSIVE", "corrupt": "_corrupt_record"} if bad_records else {}
+            df = read_csv_records(spark, source, sep, own=own_source, **mode)
+            schema, lines = df.schema, df.scratch
+        else:
+            df = read_csv(spark, source, sep=sep, multi_line=multi_line)
+            schema = T.StructType([*df.schema.fields, T.StructField("_corrupt_record", T.StringType())])
+            lines = None
+        bad = {}
+        if bad_records:
+            if not aligned:
+                df = read_csv(spark, source, sep=sep, schema=schema, mode="PERMISSIVE", multi_line=multi_line)
+            # all columns are written first: the parser only knows a record is bad when it parses all of them
+            aside = scratch_path(spark, "bad_records")
+            bad = {"bad": write_table(df.where(F.col("_corrupt_record").isNotNull()), aside)}
+            spark.read.schema(schema).parquet(aside).select("_corrupt_record").write.mode("overwrite").text(bad_records)
+            df = df.where(F.col("_corrupt_record").isNull())
+        order = ORDER if aligned else None
+        out = land_chunked_csv(df, dest, n, order_by=order, sep=sep, drop=["_corrupt_record", *(order or [])], until_staged=lines)
+        if verify:
+            _verify_landed(spark, dest, out)
+        return {**out, **bad}
 
 
 def raw_file_count(spark: SparkSession, raw_root: str, expected: int | None = None) -> DataFrame:

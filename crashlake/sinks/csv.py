@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crashlake.config import join_path
+from crashlake import versions
+from crashlake.config import join_path, shuffles_removed
 from crashlake.operators.keys import staged_positions
 from crashlake.sources.csv import CSV_DIALECT, read_csv
 
@@ -19,7 +20,8 @@ FILES_PER_TASK = 16
 def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
     """Replace ``path`` with header CSV in the lake's RFC-4180 dialect."""
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.options(**CSV_DIALECT).option("sep", sep).csv(path)
+    with shuffles_removed(df.sparkSession):
+        writer.options(**CSV_DIALECT).option("sep", sep).csv(path)
 
 
 def chunk_assign(
@@ -35,7 +37,9 @@ def chunk_assign(
     if records_per_file <= 0:
         raise ValueError("records_per_file must be > 0")
     frame, rows = staged_positions(df, order_by, "_idx")
-    return frame.withColumn(chunk_col, F.floor(F.col("_idx") / F.lit(records_per_file)).cast("bigint")), rows
+    out = frame.withColumn(chunk_col, F.floor(F.col("_idx") / F.lit(records_per_file)).cast("bigint"))
+    out.scratch = frame.scratch
+    return out, rows
 
 
 def writing_tasks(spark: SparkSession, chunks: int) -> int:
@@ -81,6 +85,7 @@ def land_chunked_csv(
     order_by: list[str] | None,
     sep: str = ",",
     drop: list[str] | None = None,
+    until_staged: str | None = None,
 ) -> dict[str, int]:
     """Replace ``dest`` with header CSV chunks of at most ``records_per_file`` records.
 
@@ -93,9 +98,12 @@ def land_chunked_csv(
     chunk and written, by a number of tasks that follows the number of chunks. The number of rows staged and the number the writing
     tasks sent out are compared; a difference raises. The writing tasks also sum up
     a fingerprint of what they send out, which is kept in ``dest/_content`` for
-    :func:`verify_content`. Returns ``{"rows": n, "chunks": k}``.
+    :func:`verify_content`. Returns ``{"rows": n, "chunks": k}``. The staged rows are deleted when the chunks are
+    written, and ``until_staged``, a scratch folder that ``df`` reads, as soon as the rows are staged.
     """
     chunked, rows = chunk_assign(df, records_per_file, order_by)
+    if until_staged:
+        versions.delete(df.sparkSession, until_staged)
     names = [c for c in df.columns if c not in set(drop or [])]
     checked = _as_written(df, names)
     keep = [F.col(f"`{c}`") for c in names] + [F.col("chunk")]
@@ -109,6 +117,7 @@ def land_chunked_csv(
         out = out.observe(sent, F.count(F.lit(1)).alias("rows"), *marks)  # above the last shuffle: in the writing tasks
     writer = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
     writer.options(**CSV_DIALECT).option("sep", sep).partitionBy("chunk").csv(dest)
+    versions.delete(df.sparkSession, chunked.scratch)
     if rows and sent.get["rows"] != rows:
         raise RuntimeError(f"{sent.get['rows']} of {rows} rows landed in {dest}")
     if rows and checked:

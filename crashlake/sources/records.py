@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from crashlake import versions
 from crashlake.config import scratch_path
 from crashlake.sources.csv import CSV_DIALECT, read_csv
 
@@ -85,15 +86,21 @@ def _with_states(rows: DataFrame, partition: list[str], order: str) -> DataFrame
 
 
 def read_records(
-    spark: SparkSession, path: str | list[str], sep: str, max_record: int = MAX_RECORD
+    spark: SparkSession, path: str | list[str], sep: str, max_record: int = MAX_RECORD, own: bool = False
 ) -> tuple[DataFrame, list[str]]:
-    """Raw text of every record but the headers, with :data:`ORDER`; and the header's column names."""
+    """Raw text of every record but the headers, with :data:`ORDER`; and the header's column names.
+
+    The records read their lines from the folder ``scratch`` of the frame, which whoever has read them for the last time deletes.
+    With ``own`` the files under ``path`` (a file or folder) are the caller's scratch, deleted once their lines are there.
+    """
     names = read_csv(spark, path, sep=sep).columns
     placed = _with_states(_lines(spark, path, sep), ["_file", "_split"], "_line")
     upto = Window.partitionBy("_file", "_split").orderBy("_line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     first = {f"r{s}": F.last(F.when(F.col(f"s{s}") == 0, F.col("_line")), ignorenulls=True).over(upto) for s in (0, 1)}
     staged = scratch_path(spark, "lines")
-    placed.withColumns(first).write.parquet(staged)
+    placed.withColumns(first).write.option("compression", "zstd").parquet(staged)
+    if own:
+        versions.delete(spark, path)
     lines = spark.read.parquet(staged)
 
     # the function of a split is that of its last line, after the state that line begins in
@@ -103,7 +110,8 @@ def read_records(
     last = F.when(F.col("begins") == 0, F.col("r0")).otherwise(F.col("r1"))
     opened = F.last(F.when(last.isNotNull(), F.struct("_split", last.alias("_line"))), ignorenulls=True)
     earlier = Window.partitionBy("_file").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.select("_file", "_split", "begins", opened.over(earlier).alias("opened"))
+    # stored, so that Spark sees a row per split and leaves the lines where they are
+    splits = _stored(splits.select("_file", "_split", "begins", opened.over(earlier).alias("opened")), "splits")
 
     own = F.when(F.col("begins") == 0, F.col("r0")).otherwise(F.col("r1"))
     starts = F.when(F.col("begins") == 0, F.col("s0")).otherwise(F.col("s1"))
@@ -123,7 +131,7 @@ def read_records(
     single = known.where("whole").select(*ORDER, F.col("part.value").alias("record"))
     records = single.unionByName(joined.select(*ORDER, "record"))
 
-    heads = records.groupBy("_file").agg(F.min(F.struct("_split", "_line", "record")).alias("head"))  # a row per file
+    heads = _stored(records.groupBy("_file").agg(F.min(F.struct("_split", "_line", "record")).alias("head")), "heads")  # a row per file
     schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
     heads = heads.withColumn("crlf", F.substring_index("head.record", "\n", 1).rlike("^[^\r]*\r$"))
     text = F.regexp_replace(_unified("head.record"), "^\ufeff", "")
@@ -134,9 +142,17 @@ def read_records(
         raise ValueError(f"the header of {other[0]['_file']} is {list(other[0]['h'])}, not {names}")
     begin = heads.select("_file", "crlf", F.col("head._split").alias("_h_split"), F.col("head._line").alias("_h_line"))
     # a row per split, so that the records of one file need not meet in one task
-    begin = splits.select("_file", "_split").join(begin, "_file")
+    begin = _stored(splits.select("_file", "_split").join(begin, "_file"), "begin")
     body = records.join(begin, ["_file", "_split"]).where((F.col("_split") != F.col("_h_split")) | (F.col("_line") != F.col("_h_line")))
-    return body.select(*ORDER, _unified("record").alias("record")).where("record <> ''"), names
+    out = body.select(*ORDER, _unified("record").alias("record")).where("record <> ''")
+    out.scratch = staged
+    return out, names
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _unified(record: str) -> Column:
@@ -152,14 +168,16 @@ def _options(sep: str, mode: str, corrupt: str | None = None) -> dict[str, str]:
 
 def read_csv_records(
     spark: SparkSession, path: str | list[str], sep: str = ",", mode: str = "FAILFAST", corrupt: str | None = None,
-    max_record: int = MAX_RECORD,
+    max_record: int = MAX_RECORD, own: bool = False,
 ) -> DataFrame:
     """What ``read_csv`` gives for the same files, in parallel inside a file, with the columns :data:`ORDER` after the source's.
 
-    With ``mode="PERMISSIVE"`` and a column name ``corrupt`` malformed records are kept in that column.
+    ``own`` is that of :func:`read_records`. With ``mode="PERMISSIVE"`` and a column name ``corrupt`` malformed records are kept in that column.
     """
-    records, names = read_records(spark, path, sep, max_record)
+    records, names = read_records(spark, path, sep, max_record, own)
     fields = [T.StructField(n, T.StringType()) for n in names] + ([T.StructField(corrupt, T.StringType())] if corrupt else [])
     ddl = ", ".join(f"`{f.name.replace('`', '``')}` string" for f in fields)
     parsed = records.select(*ORDER, F.from_csv("record", ddl, _options(sep, mode, corrupt)).alias("_r"))
-    return parsed.select(*[F.col("_r").getField(f.name).alias(f.name) for f in fields], *ORDER)
+    out = parsed.select(*[F.col("_r").getField(f.name).alias(f.name) for f in fields], *ORDER)
+    out.scratch = records.scratch
+    return out

@@ -235,7 +235,7 @@ def q_land_source_multiline(spark, sf_dir):
     root = scratch_path(spark, "land_source_multiline")
     docs = standins.table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
     write_csv(docs.repartitionByRange(_source_files(docs), "doc_id").sortWithinPartitions("doc_id"), join_path(root, "src"))
-    jobs.land_source(spark, "accidents", join_path(root, "src"), join_path(root, "raw"), records_per_file=300)
+    jobs.land_source(spark, "accidents", join_path(root, "src"), join_path(root, "raw"), records_per_file=300, own_source=True)
     df = _read_chunked(spark, join_path(root, "raw", RAW_FOLDERS["accidents"]), docs.columns)
     return df.select(F.col("doc_id").cast("bigint").alias("doc_id"), "lang", F.md5("text").alias("text_md5"), "chunk")
 

@@ -148,3 +148,26 @@ def test_source_files_follow_the_texts(spark, monkeypatch):
     assert suite._source_files(docs) == 2 and suite._source_files(docs.limit(0)) == 2
     monkeypatch.setattr(suite, "SOURCE_FILE_CHARS", 2)
     assert suite._source_files(docs) == 4
+
+
+@pytest.mark.parametrize("own", [False, True])
+def test_a_landing_leaves_no_lines_no_staged_rows_and_no_shuffle_files(spark, tmp_path, small_splits, own):
+    from pathlib import Path
+
+    from crashlake.config import shared_dir
+
+    def left():
+        top = Path(shared_dir(spark).removeprefix("file:"))
+        local = Path(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()[0].toString())
+        return {p for n in ("lines", "staged") for p in top.glob(f"crashlake/*/{n}")} | set(local.rglob("shuffle_*.data"))
+
+    rows = [(str(i), "two\nlines", "x") for i in range(200)]
+    for k in range(2):
+        write_csv_file(str(tmp_path / f"src/f{k}.csv"), ["id", "a", "b"], rows[100 * k : 100 * k + 100])
+    before = left()
+    out = jobs.land_source(spark, "accidents", str(tmp_path / "src"), str(tmp_path / "raw"), records_per_file=30, own_source=own)
+    assert out == {"rows": 200, "chunks": 7}
+    # the last small execution may still be cleaning up
+    assert [p for p in left() - before if p.name in ("lines", "staged") or p.stat().st_size > 2000] == []
+    assert (tmp_path / "src").exists() != own
+    assert read_csv(spark, str(tmp_path / "raw")).count() == 200
